@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import huffman_ids, langid, simhash
 from .common import documents
 
 
@@ -14,9 +14,22 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return huffman_ids.digests(huffman_ids.stored_ids(documents(spark, sf_dir), path))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": op4_simhash,
+        "op8_language_id": op8_language_id,
+        "op10_token_ids": op10_token_ids,
     }
 
 
