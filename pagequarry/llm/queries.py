@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman_ids, langid, simhash
+from . import huffman_ids, langid, sentencepiece_viterbi, simhash
 from .common import documents
 
 
@@ -14,6 +14,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentencepiece_viterbi.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -28,6 +34,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": op4_simhash,
+        "op5_sentencepiece": op5_sentencepiece,
         "op8_language_id": op8_language_id,
         "op10_token_ids": op10_token_ids,
     }
