@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman_ids, langid, sentencepiece_viterbi, simhash
+from . import flac, huffman_ids, langid, sentencepiece_viterbi, simhash
 from .common import documents
 
 
@@ -20,6 +20,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.digests(flac.store(documents(spark, sf_dir)))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": op4_simhash,
         "op5_sentencepiece": op5_sentencepiece,
+        "op7_flac": op7_flac,
         "op8_language_id": op8_language_id,
         "op10_token_ids": op10_token_ids,
     }
