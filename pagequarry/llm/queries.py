@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import flac, huffman_ids, langid, sentencepiece_viterbi, simhash
+from . import flac, huffman_ids, langid, sentencepiece_viterbi, simhash, warc_zip
 from .common import documents
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zip.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -37,6 +42,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op4_simhash": op4_simhash,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_flac": op7_flac,
