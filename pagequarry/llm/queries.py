@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import flac, huffman_ids, langid, sentencepiece_viterbi, simhash, warc_zip
+from . import decontaminate, flac, huffman_ids, langid, line_dedup, sentencepiece_viterbi, simhash, warc_zip
 from .common import documents
 
 
@@ -15,6 +15,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.without_shared_lines(documents(spark, sf_dir)))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -43,6 +51,8 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op2_decontaminate": op2_decontaminate,
+        "op3_line_dedup": op3_line_dedup,
         "op4_simhash": op4_simhash,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_flac": op7_flac,
@@ -52,4 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontaminate": decontaminate.ORACLE_SQL,
+        "op3_line_dedup": line_dedup.ORACLE_SQL,
+    }
