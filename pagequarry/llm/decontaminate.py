@@ -228,6 +228,26 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thr
     return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
 
 
+def without_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, threshold: float = THRESHOLD, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """The rows of ``docs``, with all columns, that contain no item; blocks of items are searched one after the other."""
+    at = docs.columns.index("text")
+    for held in _blocks(items, block):
+        index = build(held, words, threshold)
+
+        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                data, offsets = utf8(b.column(at))
+                clean = np.ones(b.num_rows, bool)
+                for i, j in slices(offsets, SLICE):
+                    part = data[offsets[i] : offsets[j]]
+                    for d, _, _ in search(index, part, offsets[i : j + 1] - offsets[i], words, threshold):
+                        clean[i + d] = False
+                yield b.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = f"""

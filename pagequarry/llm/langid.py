@@ -14,8 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, utf8
 
@@ -160,21 +161,27 @@ def sample(docs: DataFrame, n_docs: int = TRAIN_DOCS, windows: int = TRAIN_WINDO
     return [r["cut"] for r in rows], [r["lang"] for r in rows]
 
 
-def predict(docs: DataFrame, net: ByteNet) -> DataFrame:
-    """``doc_id, lang_pred, score`` from ``doc_id`` and ``text`` alone."""
+def annotate(docs: DataFrame, net: ByteNet) -> DataFrame:
+    """``docs`` with all its columns and ``lang_pred, score``, predicted from ``text`` alone.
+
+    Columns of those two names are replaced.
+    """
+    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names, at = [*columns, "lang_pred", "score"], columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1)
+            texts = b.column(at)
             ok = np.array([has_letter(t.as_py()) for t in texts], bool)
             data, offsets = utf8(texts)
             langs, scores = np.full(len(ok), UNKNOWN, object), np.zeros(len(ok))
             if net.langs:
                 for i, j in slices(offsets, 1 << 21):
                     _score(net, data, offsets[i : j + 1], ok[i:j], langs[i:j], scores[i:j])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    schema = T.StructType([*docs.select(*columns).schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def _score(net: ByteNet, data: memoryview, offsets: np.ndarray, ok: np.ndarray, langs: np.ndarray, scores: np.ndarray) -> None:
@@ -201,6 +208,16 @@ def _score(net: ByteNet, data: memoryview, offsets: np.ndarray, ok: np.ndarray,
     scores[rows] = np.clip(total[rows, best[rows]] / sizes[rows], 0, 1)
 
 
+def held_out() -> Column:
+    """Whether a row's id as text has a CRC-32 that leaves 2 on division by 4."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def fitted(docs: DataFrame) -> ByteNet:
+    """The network that a bounded sample of the rows not held out teaches."""
+    return train(*sample(docs.select("doc_id", "text", "lang").filter(~held_out())))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of ``docs`` (``doc_id, text, lang``).
 
@@ -210,7 +227,14 @@ def identify(docs: DataFrame) -> DataFrame:
     without an id is not held out and not learned from. Repeated rows give
     repeated results; other columns are ignored; an empty table gives none.
     """
-    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    cuts, labels = sample(docs.select("doc_id", "text", "lang").filter(~fold))
-    found = predict(docs, train(cuts, labels))
-    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+    found = annotate(docs.select(F.col("doc_id").cast("long"), "text"), fitted(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def with_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, with all columns, that are text in some language.
+
+    Rows predicted ``und`` or with a score under ``least`` go.
+    """
+    found = annotate(docs, fitted(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*docs.columns) if not {"lang_pred", "score"} & set(docs.columns) else found

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, flac, huffman_ids, langid, line_dedup, sentencepiece_viterbi, simhash, warc_zip
+from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, sentencepiece_viterbi, simhash, warc_zip
 from .common import documents
 
 
@@ -41,6 +41,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sentencepiece": op5_sentencepiece,
         "op7_flac": op7_flac,
         "op8_language_id": op8_language_id,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_token_ids": op10_token_ids,
     }
 
