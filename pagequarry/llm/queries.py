@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, sentencepiece_viterbi, simhash, warc_zip
+from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, sentencepiece_viterbi, simhash, suffix_dedup, warc_zip
 from .common import documents
 
 
@@ -33,6 +33,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.without_repeats(documents(spark, sf_dir)))
+
+
 def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.digests(flac.store(documents(spark, sf_dir)))
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_dedup": op3_line_dedup,
         "op4_simhash": op4_simhash,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_flac": op7_flac,
         "op8_language_id": op8_language_id,
         "op9_lm_scoring": op9_lm_scoring,
