@@ -1,0 +1,16 @@
+"""All queries on the reference data planes, registered by module."""
+
+from __future__ import annotations
+
+from . import evidence_queries
+from .registry import QUERIES, SQL
+
+MODULES = (evidence_queries,)
+
+
+def queries():
+    return dict(QUERIES)
+
+
+def oracle_sql():
+    return dict(SQL)
