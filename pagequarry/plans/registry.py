@@ -63,7 +63,8 @@ def query(name: str, *fixtures: str, sql: str | None = None):
     def add(build: Callable[[Inputs], DataFrame]):
         QUERIES[name] = lambda spark, folder: build(Inputs(spark, folder))
         if sql:
-            SQL[name] = with_fixtures(fixtures, sql)
+            text = with_fixtures(fixtures, sql)
+            SQL[name] = text.replace("WITH ", "WITH RECURSIVE ", 1) if "/*recursive*/" in text else text
         return build
 
     return add
