@@ -63,24 +63,30 @@ def slots(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return flat.groupBy(*keys, "slot").agg(F.avg("x").alias("x"), F.max_by("value", F.struct("confidence", -F.col("x"))).alias("value"), F.count("*").alias("support"))
 
 
-def tracks(slots_: DataFrame, tolerance: float = 100.0) -> DataFrame:
-    """Consensus tracks of slots over pages by direction: mean x, modal value, pages and agreement."""
+SERIES = ("document_id", "direction")
+
+
+def tracks(slots_: DataFrame, tolerance: float = 100.0, keys: tuple[str, ...] = SERIES) -> DataFrame:
+    """Consensus tracks of slots over the pages of a document, by direction: mean x, modal value, pages and agreement.
+
+    A group is one direction of one document, so its array is as long as the document has slots.
+    """
     item = F.struct(F.col("x").cast("double").alias("x"), "page", "slot", F.round("value", 3).alias("value"))
-    g = slots_.groupBy("direction").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    g = slots_.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
     ids = sq.mean_clusters(F.transform("items", lambda i: i["x"]), F.lit(tolerance))
-    flat = g.select("direction", F.explode(F.arrays_zip("items", ids.alias("ids"))).alias("z")).select("direction", F.col("z.ids").alias("track"), "z.items.*")
-    modal = flat.groupBy("direction", "track", "value").agg(F.count("*").alias("n"), F.min("x").alias("first"))
-    modal = modal.groupBy("direction", "track").agg(F.max_by("value", F.struct("n", -F.col("first"))).alias("value"), F.max("n").alias("agree"))
-    base = flat.groupBy("direction", "track").agg(F.avg("x").alias("x"), F.countDistinct("page").alias("n_pages"), F.count("*").alias("support"))
-    return base.join(modal, ["direction", "track"]).select("direction", "track", "x", "value", "n_pages", "support", (F.col("agree") / F.col("support")).alias("agreement"))
+    flat = g.select(*keys, F.explode(F.arrays_zip("items", ids.alias("ids"))).alias("z")).select(*keys, F.col("z.ids").alias("track"), "z.items.*")
+    modal = flat.groupBy(*keys, "track", "value").agg(F.count("*").alias("n"), F.min("x").alias("first"))
+    modal = modal.groupBy(*keys, "track").agg(F.max_by("value", F.struct("n", -F.col("first"))).alias("value"), F.max("n").alias("agree"))
+    base = flat.groupBy(*keys, "track").agg(F.avg("x").alias("x"), F.countDistinct("page").alias("n_pages"), F.count("*").alias("support"))
+    return base.join(modal, [*keys, "track"]).select(*keys, "track", "x", "value", "n_pages", "support", (F.col("agree") / F.col("support")).alias("agreement"))
 
 
-def rising_tracks(tracks_: DataFrame) -> DataFrame:
+def rising_tracks(tracks_: DataFrame, keys: tuple[str, ...] = SERIES) -> DataFrame:
     """The tracks of each direction whose values form the longest strictly rising series from left to right."""
-    g = tracks_.groupBy("direction").agg(F.array_sort(F.collect_list(F.struct("x", "track", "value", "n_pages"))).alias("items"))
+    g = tracks_.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("x", "track", "value", "n_pages"))).alias("items"))
     path = sq.rising_subsequence(F.transform("items", lambda i: i["value"]))
-    kept = g.select("direction", F.posexplode(F.transform(path, lambda p: F.get(F.col("items"), p))).alias("slot", "i"))
-    return kept.select("direction", (F.col("slot") + 1).alias("slot"), "i.track", "i.x", "i.value")
+    kept = g.select(*keys, F.posexplode(F.transform(path, lambda p: F.get(F.col("items"), p))).alias("slot", "i"))
+    return kept.select(*keys, (F.col("slot") + 1).alias("slot"), "i.track", "i.x", "i.value")
 
 
 def gap_tolerance(schema: DataFrame, factor: float, default: float) -> DataFrame:

@@ -148,30 +148,30 @@ def g10(i):
     return best.select("page", "direction", (-F.col("b.y")).alias("y"), "b.n", "b.span")
 
 
-fixture("page_slots", "SELECT page, direction, place AS slot, avg(x) AS x, max(value) AS value FROM cells GROUP BY page, direction, place", "cells")
-TRACKS = """/*recursive*/, s AS (SELECT *, round(value, 3) AS v3, row_number() OVER (PARTITION BY direction ORDER BY x, page, slot) AS rn FROM page_slots),
-c AS (SELECT direction, rn, x AS total, CAST(1 AS BIGINT) AS n, CAST(1 AS INT) AS cid FROM s WHERE rn = 1 UNION ALL SELECT s.direction, s.rn, CASE WHEN abs(s.x - c.total / c.n) <= 100 THEN c.total + s.x ELSE s.x END, CASE WHEN abs(s.x - c.total / c.n) <= 100 THEN c.n + 1 ELSE 1 END, CASE WHEN abs(s.x - c.total / c.n) <= 100 THEN c.cid ELSE c.cid + 1 END FROM c JOIN s ON s.direction = c.direction AND s.rn = c.rn + 1),
-f AS (SELECT s.*, c.cid AS track FROM s JOIN c USING (direction, rn)), mo AS (SELECT direction, track, v3, count(*) AS n, min(x) AS first FROM f GROUP BY 1, 2, 3), mm AS (SELECT direction, track, v3 AS value, n AS agree FROM mo QUALIFY row_number() OVER (PARTITION BY direction, track ORDER BY n DESC, first) = 1),
-tr AS (SELECT direction, track, avg(x) AS x, any_value(mm.value) AS value, count(DISTINCT page) AS n_pages, count(*) AS support, any_value(agree) / count(*) AS agreement FROM f JOIN mm USING (direction, track) GROUP BY 1, 2) """
+fixture("page_slots", "SELECT concat('D', CAST(page % 4 AS STRING)) AS document_id, page, direction, place AS slot, avg(x) AS x, max(value) AS value FROM cells GROUP BY page, direction, place", "cells")
+TRACKS = """/*recursive*/, s AS (SELECT *, round(value, 3) AS v3, row_number() OVER (PARTITION BY document_id, direction ORDER BY x, page, slot) AS rn FROM page_slots),
+c AS (SELECT document_id, direction, rn, x AS total, CAST(1 AS BIGINT) AS n, CAST(1 AS INT) AS cid FROM s WHERE rn = 1 UNION ALL SELECT s.document_id, s.direction, s.rn, CASE WHEN abs(s.x - c.total / c.n) <= 100 THEN c.total + s.x ELSE s.x END, CASE WHEN abs(s.x - c.total / c.n) <= 100 THEN c.n + 1 ELSE 1 END, CASE WHEN abs(s.x - c.total / c.n) <= 100 THEN c.cid ELSE c.cid + 1 END FROM c JOIN s ON s.document_id = c.document_id AND s.direction = c.direction AND s.rn = c.rn + 1),
+f AS (SELECT s.*, c.cid AS track FROM s JOIN c USING (document_id, direction, rn)), mo AS (SELECT document_id, direction, track, v3, count(*) AS n, min(x) AS first FROM f GROUP BY 1, 2, 3, 4), mm AS (SELECT document_id, direction, track, v3 AS value, n AS agree FROM mo QUALIFY row_number() OVER (PARTITION BY document_id, direction, track ORDER BY n DESC, first) = 1),
+tr AS (SELECT document_id, direction, track, avg(x) AS x, any_value(mm.value) AS value, count(DISTINCT page) AS n_pages, count(*) AS support, any_value(agree) / count(*) AS agreement FROM f JOIN mm USING (document_id, direction, track) GROUP BY 1, 2, 3) """
 
 
 def _tracks(i):
     return ms.tracks(i.page_slots)
 
 
-@query("a11_track_consensus", "page_slots", sql=TRACKS.replace("mm.value", "mm.value") + "SELECT direction, track, round(x, 6) AS x, value, n_pages, support, round(agreement, 9) AS agreement FROM tr".replace("any_value(value)", "any_value(value)"))
+@query("a11_track_consensus", "page_slots", sql=TRACKS + "SELECT document_id, direction, track, round(x, 6) AS x, value, n_pages, support, round(agreement, 9) AS agreement FROM tr")
 def a11(i):
-    return _tracks(i).select("direction", "track", F.round("x", 6).alias("x"), "value", "n_pages", "support", F.round("agreement", 9).alias("agreement"))
+    return _tracks(i).select("document_id", "direction", "track", F.round("x", 6).alias("x"), "value", "n_pages", "support", F.round("agreement", 9).alias("agreement"))
 
 
-@query("p22_promoted_tracks", "page_slots", sql=TRACKS + "SELECT direction, track, n_pages FROM tr WHERE n_pages >= 2")
+@query("p22_promoted_tracks", "page_slots", sql=TRACKS + "SELECT document_id, direction, track, n_pages FROM tr WHERE n_pages >= 2")
 def p22(i):
-    return _tracks(i).filter("n_pages >= 2").select("direction", "track", "n_pages")
+    return _tracks(i).filter("n_pages >= 2").select("document_id", "direction", "track", "n_pages")
 
 
-@query("g12_rising_subsequence", "page_slots", sql=TRACKS + ", o AS (SELECT *, row_number() OVER (PARTITION BY direction ORDER BY x) AS p FROM tr), paths AS (SELECT direction, p, value, CAST(1 AS BIGINT) AS len, [p] AS path FROM o UNION ALL SELECT o.direction, o.p, o.value, paths.len + 1, list_append(paths.path, o.p) FROM paths JOIN o ON o.direction = paths.direction AND o.p > paths.p AND o.value > paths.value) SELECT direction, max(len) AS longest FROM paths GROUP BY 1")
+@query("g12_rising_subsequence", "page_slots", sql=TRACKS + ", o AS (SELECT *, row_number() OVER (PARTITION BY document_id, direction ORDER BY x) AS p FROM tr), paths AS (SELECT document_id, direction, p, value, CAST(1 AS BIGINT) AS len FROM o UNION ALL SELECT o.document_id, o.direction, o.p, o.value, paths.len + 1 FROM paths JOIN o ON o.document_id = paths.document_id AND o.direction = paths.direction AND o.p > paths.p AND o.value > paths.value) SELECT document_id, direction, max(len) AS longest FROM paths GROUP BY 1, 2")
 def g12(i):
-    return ms.rising_tracks(_tracks(i)).groupBy("direction").agg(F.count("*").alias("longest"))
+    return ms.rising_tracks(_tracks(i)).groupBy("document_id", "direction").agg(F.count("*").alias("longest"))
 
 
 TOL = ", gp AS (SELECT direction, lead(x) OVER (PARTITION BY direction ORDER BY x) - x AS gap FROM slot_schema), tol AS (SELECT direction, least(120, greatest(35, coalesce(median(gap) FILTER (gap > 0), 100) * {f}::DOUBLE)) AS tolerance FROM gp GROUP BY 1) "
