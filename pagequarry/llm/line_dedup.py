@@ -77,13 +77,15 @@ def without_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, max_share:
     cut = F.aggregate("_hits", F.lit(0).cast("long"), lambda a, x: a + x["size"])
     drops = drops.filter(cut <= F.col("_whole") * F.lit(max_share)).select("_row", "_doc", F.col("_hits.position").alias("_drop"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keyed = docs.select(*columns, *_row_key(F.col("doc_id"), F.col("text")))
+    # a struct, so that no column of the table can clash with those added here
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_r"), *_row_key(F.col("doc_id"), F.col("text")))
     joined = keyed.join(drops, ["_row", "_doc"], "left")
-    parts = F.split("text", "\n", -1)
+    text = F.col("_r.text")
+    parts = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_drop", i)), "\n")
     return joined.select(
-        *[F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        *[F.when(F.col("_drop").isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"_r.`{c}`").alias(c) for c in columns],
+        F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
         F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_removed"),
     )
 

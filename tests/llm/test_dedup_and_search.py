@@ -45,7 +45,9 @@ def test_lines_equal_brute_force(docs, rnd, min_sites):
 
 def test_copies_are_left_whole_and_odd_tables_pass(docs):
     df = docs([(i % 3, "same line one\nsame line two", "en", f"s{i}", 0) for i in range(12)])
-    got = ld.without_shared_lines(df.withColumnRenamed("lang", "n_removed"), 3).collect()
+    clashing = df.selectExpr("*", "1 as _row", "2 as _doc", "3 as _drop", "4 as `a.b`").withColumnRenamed("lang", "n_removed")
+    got = ld.without_shared_lines(clashing, 3).collect()
+    assert {(r["_row"], r["_doc"], r["_drop"], r["a.b"]) for r in got} == {(1, 2, 3, 4)}
     assert {r["text"] for r in got} == {"same line one\nsame line two"} and {r["n_removed"] for r in got} == {0}
     assert ld.without_shared_lines(df.limit(0)).count() == 0
 
