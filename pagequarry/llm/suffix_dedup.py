@@ -331,7 +331,8 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH, size: int = ANCHOR,
     """
     n = width(keyed.sparkSession)
     every = stage_table(segments(keyed, length, size), "segments")
-    again = every.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # written, so that the join deals out both sides anew and a hot anchor's rows can be split
+    again = stage_table(every.groupBy("anchor").count().filter("count > 1").select("anchor"), "again")
     met = stage_table(every.join(again, "anchor", "left_semi"), "met")
     drop_table(every)
     one = F.struct("_doc", "_row", "start", "strings", "place")
