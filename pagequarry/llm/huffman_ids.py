@@ -18,7 +18,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,8 @@ MAX_LENGTH = 16
 BLOCK = 2048
 FILE_IDS = 4_000_000
 END_ID = 1
-CACHE_WORDS = 900_000
+CACHE_WORDS = 400_000
+NEW_WORDS = 200_000
 
 
 # ---------------------------------------------------------------- codes
@@ -197,13 +200,26 @@ class IdFile:
 # ---------------------------------------------------------------- tokens
 
 
+def _byte_chars() -> dict[int, int]:
+    """The characters that stand for bytes at the byte level: printable ones for themselves, the others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
+_BYTE_CHARS = _byte_chars()
+# ASCII marks but the apostrophe, which can start a piece of its own with letters
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
 class WordTokens:
     """Ids of whole texts by the tokenizers library, remembered by chunk between white space.
 
     The tokenizer drops white space and never joins what it parts, so the ids of
     a text are those of its chunks in turn. A chunk is looked up in lower case
     where case can't matter: without marks that compose and without the spelling
-    of a special token.
+    of a special token. Chunks met in a second slice of texts are kept longer than
+    those met in one only; both sets are bounded.
     """
 
     _composes = re.compile("[^\x00-˿]")
@@ -213,7 +229,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype, self.words, self.seen = dtype, words, {}
+        self.dtype, self.words, self.seen, self.new = dtype, words, {}, {}
         spec = json.loads(self.tokenizer.to_str())
         self.specials = [t["content"].lower().encode() for t in spec["added_tokens"]]
         steps = [p["type"] for p in spec["pre_tokenizer"].get("pretokenizers", [])]
@@ -227,37 +243,56 @@ class WordTokens:
         plain = not self._composes.search(text) and not any(s in low for s in self.specials)
         return (low if plain else raw).split()
 
-    def _learn(self, missing: set[bytes]) -> None:
-        seen, pack = self.seen, lambda ids: np.array(ids, self.dtype).tobytes()
-        model, rest, marks = self.tokenizer.model, [], {}
+    def _plain(self, chunk: bytes) -> str | None:
+        """What the tokenizer's normalizer and byte level make of a chunk of Latin letters; None if it is anything else."""
+        if chunk.isalpha():
+            return chunk.decode() if chunk.islower() else None
+        if chunk.isascii() or not (found := _LATIN.fullmatch(chunk.decode())):
+            return None
+        return found[0].lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+
+    def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
+        two = self.dtype == "<u2" and sys.byteorder == "little"
+        pack = (lambda ids: array("H", ids).tobytes()) if two else (lambda ids: np.array(ids, self.dtype).tobytes())
+        model, out, rest, marks = self.tokenizer.model, {}, [], {}
         for chunk in missing:
-            core = chunk
-            if chunk[-1:] in b".," and len(chunk) > 1:
-                core = chunk[:-1]
-            if core.isalpha() and core.islower():
-                ids = seen.get(core) or pack([t.id for t in model.tokenize(core.decode())])
-                if core is not chunk:
-                    end = chunk[-1:]
-                    if end not in marks:
-                        marks[end] = pack(self.tokenizer.encode(end.decode(), add_special_tokens=False).ids)
-                    seen[core] = ids
-                    ids += marks[end]
-                seen[chunk] = ids
-            else:
+            core = chunk.rstrip(_MARKS)
+            if not core or (plain := self._plain(core)) is None:
                 rest.append(chunk)
+                continue
+            ids = out.get(core) or self.seen.get(core) or self.new.get(core)
+            if ids is None:
+                ids = out[core] = pack([t.id for t in model.tokenize(plain)])
+            if len(core) < len(chunk):
+                end = chunk[len(core) :]
+                if end not in marks:
+                    marks[end] = pack(self.tokenizer.encode(end.decode(), add_special_tokens=False).ids)
+                out[chunk] = ids + marks[end]
         for chunk, found in zip(rest, self.tokenizer.encode_batch([c.decode() for c in rest], add_special_tokens=False), strict=True):
-            seen[chunk] = pack(found.ids)
+            out[chunk] = pack(found.ids)
+        return out
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
-        if len(self.seen) > self.words:
-            self.seen.clear()
         chunks = [self._chunks(t) for t in texts]
-        missing: set[bytes] = set()
-        for c in chunks:
-            missing.update(set(c).difference(self.seen))
+        seen, new, here, missing = self.seen, self.new, {}, []
+        for c in set().union(*chunks):
+            ids = seen.get(c)
+            if ids is None:
+                ids = new.pop(c, None)
+                if ids is None:
+                    missing.append(c)
+                    continue
+                seen[c] = ids
+            here[c] = ids
         if missing:
-            self._learn(missing)
-        get = self.seen.__getitem__
+            learned = self._learn(missing)
+            here |= learned
+            new |= learned
+        if len(new) > NEW_WORDS:
+            new.clear()
+        if len(seen) > self.words:
+            seen.clear()
+        get = here.__getitem__
         return [b"".join(map(get, c)) + end for c in chunks]
 
 
@@ -273,7 +308,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         end = np.array([end_id], dtype).tobytes()
         for b in batches:
             _, offsets = utf8(b.column(1))
-            for i, j in slices(offsets, 1 << 22):
+            for i, j in slices(offsets, 3 << 20):
                 texts = [t or "" for t in b.column(1)[i:j].to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(words.encode(texts, end), pa.binary())], names=["doc_id", "ids"])
 

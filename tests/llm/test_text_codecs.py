@@ -24,6 +24,7 @@ TEXTS = [
     "  a  b\n c\t▁d ",
     "aaaaaaaaaaaaaaaa",
     "word " * 5000,
+    "word*** word'*** word-'s _x_ x_ w<|endoftext|>! w|> été--… été.' a'.",
     "same text",
     "same text",
 ]
@@ -31,7 +32,7 @@ TEXTS = [
 
 def test_word_tokens_equal_the_library(rnd):
     library, words = Tokenizer.from_file(BPE), hf.WordTokens(BPE, "<u2")
-    made = ["".join(rnd.choice("abcXYZéß .,'!-\n\t12") for _ in range(rnd.randint(0, 50))) for _ in range(300)]
+    made = ["".join(rnd.choice("abcXYZéß .,'!-*_|<>\n\t12") for _ in range(rnd.randint(0, 50))) for _ in range(300)]
     for t in [x or "" for x in [*TEXTS, *made]]:
         assert np.frombuffer(words.encode([t])[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
 
