@@ -89,20 +89,24 @@ def canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> tuple[bytes, np.ndarray]:
     """The bit string of ``ids`` and the bit offset of each block of ``block`` ids."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
-    at = ends - size
-    total = int(ends[-1]) if len(ids) else 0
-    words = np.zeros(total // 64 + 2, np.uint64)
-    code, room = codes[ids], 64 - (at & 63) - size
-    high = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
-    word = at >> 6
-    if len(ids):
+    total = int(lengths[ids].sum(dtype=np.int64))
+    words, offsets, base = np.zeros(total // 64 + 2, np.uint64), [], 0
+    piece = max(1, (1 << 18) // block) * block
+    for k in range(0, len(ids), piece):
+        part = ids[k : k + piece]
+        size = lengths[part].astype(np.int64)
+        ends = np.cumsum(size) + base
+        at = ends - size
+        base = int(ends[-1])
+        code, room, word = codes[part], 64 - (at & 63) - size, at >> 6
+        high = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        words[word[first]] = np.bitwise_or.reduceat(high, first)
+        words[word[first]] |= np.bitwise_or.reduceat(high, first)
         over = np.flatnonzero(room < 0)
         words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    return words.astype(">u8").tobytes()[: (total + 7) // 8], at[::block].copy()
+        offsets.append(at[::block])
+    starts = np.concatenate(offsets) if offsets else np.zeros(0, np.int64)
+    return words.astype(">u8").tobytes()[: (total + 7) // 8], starts
 
 
 def decode_blocks(bits: bytes, starts: np.ndarray, n_ids: int, lengths: np.ndarray, block: int = BLOCK) -> np.ndarray:
@@ -251,7 +255,7 @@ class WordTokens:
             return None
         return found[0].lower().encode().decode("latin-1").translate(_BYTE_CHARS)
 
-    def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
         two = self.dtype == "<u2" and sys.byteorder == "little"
         pack = (lambda ids: array("H", ids).tobytes()) if two else (lambda ids: np.array(ids, self.dtype).tobytes())
         model, out, rest, marks = self.tokenizer.model, {}, [], {}
@@ -274,16 +278,14 @@ class WordTokens:
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         chunks = [self._chunks(t) for t in texts]
-        seen, new, here, missing = self.seen, self.new, {}, []
-        for c in set().union(*chunks):
-            ids = seen.get(c)
-            if ids is None:
-                ids = new.pop(c, None)
-                if ids is None:
-                    missing.append(c)
-                    continue
-                seen[c] = ids
-            here[c] = ids
+        seen, new, every = self.seen, self.new, set().union(*chunks)
+        known = every & seen.keys()
+        here = dict(zip(known, map(seen.__getitem__, known), strict=True))
+        rest = every - known
+        again = rest & new.keys()
+        for c in again:
+            seen[c] = here[c] = new.pop(c)
+        missing = rest - again
         if missing:
             learned = self._learn(missing)
             here |= learned

@@ -68,6 +68,13 @@ def test_blocks_round_trip(rnd, n):
     assert hf.decode_blocks(bits, starts, n, lengths, block=8).tolist() == ids.tolist()
 
 
+def test_long_runs_of_blocks_round_trip(rnd):
+    ids = np.array([min(int(rnd.expovariate(0.1)), 300) for _ in range(600_000)], np.uint16)
+    lengths = hf.code_lengths(np.bincount(ids, minlength=301), 12)
+    bits, starts = hf.encode_ids(ids, lengths, hf.canonical(lengths)[0])
+    assert (hf.decode_blocks(bits, starts, len(ids), lengths) == ids).all()
+
+
 def test_file_ranges(tmp_path, rnd):
     ids = np.array([rnd.randrange(50) for _ in range(500)], np.uint16)
     lengths = hf.code_lengths(np.bincount(ids, minlength=50))
