@@ -1,30 +1,44 @@
 """Cross-entropy difference of documents under two matched bigram models.
 
 The target model counts documents labelled as good, the background model all
-documents. Both share one vocabulary, the most frequent words of the corpus, and
-one smoothing; background counts are scaled to the target's number of tokens, so
+documents. Both share one vocabulary, every word of the corpus, and one
+smoothing; background counts are scaled to the target's number of tokens, so
 neither is smoother for its size. A document's score is the mean over its
 tokens of the target's loss less the background's, in bits: the lower, the more
 it is like the target.
+
+Words are known by 64-bit hashes, and no table of them or of their bigrams is
+ever in one place. Tasks write documents in chunks of ``CHUNK`` words. A chunk
+asks for each of its different bigrams once, however often it holds it, and
+later for each of its words; requests are dealt out by hash into buckets, which
+sum what the chunks hold and answer in the order of the request. So a frequent
+word or bigram costs a row in each chunk at most, and a bucket about ``BUCKET``
+words of input.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage_table, utf8
+from .common import stage_table, width
 
-VOCABULARY = 1023
 DISCOUNT = 0.75
-WORDS_HELD = 400_000
+WORDS_HELD = 200_000
+CHUNK = 1_200_000
+BUCKET = 1_000_000
 BROADCAST_IDS = 1_000_000
+UNKNOWN, START = 0, 1
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"\w+")
 
 
@@ -32,7 +46,7 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int) -> list[str]:
     """The ``size`` most frequent words over all documents; ties go to the lesser word.
 
     Tasks count in Python and pass on what they have counted whenever it exceeds
@@ -58,64 +72,203 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-def token_rows(docs: DataFrame, vocab: list[str]) -> DataFrame:
-    """``doc_id, ids``: vocabulary numbers from 1, 0 for other words, as little-endian integers of two bytes."""
-    if len(vocab) >= 1 << 16:
-        raise ValueError("a vocabulary has fewer than 65,536 words")
-    number = {w: i + 1 for i, w in enumerate(vocab)}
+class _Keys(dict):
+    """The hash of each word met; ``UNKNOWN`` for words out of ``known``, if that is given."""
+
+    def __init__(self, known: frozenset[str] | None):
+        self.known = known
+
+    def __missing__(self, word: str) -> int:
+        key = UNKNOWN if self.known is not None and word not in self.known else xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        self[word] = key
+        return key
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    small = [a.astype(np.min_scalar_type(int(a.max()))) if len(a) and a.dtype.kind in "iu" and a.min() >= 0 else a for a in arrays]
+    data = pickle.dumps(small, 5)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True))
+
+
+def _chunks(docs: DataFrame, vocab: list[str] | None) -> DataFrame:
+    """``chunk, n, n_target, data`` from ``doc_id, text, target``: documents in chunks of about ``CHUNK`` words.
+
+    ``data`` has ids and which of them are null, targets, numbers of words, the
+    chunk's different keys in order, and the place of each word among these.
+    """
+    known = None if vocab is None else frozenset(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = number.get
+        keys, held, rows, seen = _Keys(known), [], 0, 0
+        task = TaskContext.get().partitionId() << 32
+
+        def out() -> pa.RecordBatch:
+            ids, good, tokens = zip(*held, strict=True)
+            sizes, good = np.array([len(t) for t in tokens]), np.array(good, bool)
+            mine, place = np.unique(np.concatenate(tokens), return_inverse=True)
+            data = _pack(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]), good, sizes, mine, place)
+            held.clear()
+            return pa.RecordBatch.from_pydict({"chunk": [task + rows], "n": [int(sizes.sum())], "n_target": [int(sizes[good].sum())], "data": [data]})
+
         for b in batches:
-            _, offsets = utf8(b.column(1))
-            for i, j in slices(offsets, 1 << 22):
-                ids = [np.array([get(w, 0) for w in words(t.as_py())], "<u2").tobytes() for t in b.column(1)[i:j]]
-                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for i, t, good in zip(*b.columns, strict=True):
+                found = words(t.as_py())
+                held.append((i.as_py(), good.as_py(), np.fromiter(map(keys.__getitem__, found), np.uint64, len(found))))
+                seen += len(found)
+                if len(keys) > WORDS_HELD:
+                    keys.clear()
+                if seen >= CHUNK or len(held) >= CHUNK:
+                    yield out()
+                    rows, seen = rows + 1, 0
+        if held:
+            yield out()
+
+    return docs.select(F.col("doc_id").cast("long"), "text", "target").mapInArrow(run, "chunk long, n long, n_target long, data binary")
+
+
+class _Chunk:
+    """A chunk's documents and different bigrams: previous and current place among its keys, the last of which is the start."""
+
+    def __init__(self, data: bytes):
+        self.ids, self.null, self.good, sizes, keys, place = _unpack(data)
+        self.sizes, place = sizes.astype(np.int64), place.astype(np.int64)
+        self.keys = np.append(keys.astype(np.uint64), np.uint64(START))
+        before = np.empty_like(place)
+        before[1:] = place[:-1]
+        self.first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        before[self.first] = len(keys)
+        pairs, self.pair = np.unique(before * len(self.keys) + place, return_inverse=True)
+        self.a, self.b = pairs // len(self.keys), pairs % len(self.keys)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often target documents and all documents of the chunk hold each bigram."""
+        n = len(self.a)
+        return np.bincount(self.pair[np.repeat(self.good, self.sizes)], minlength=n), np.bincount(self.pair, minlength=n)
+
+    def bigram_keys(self) -> np.ndarray:
+        return self.keys[self.a] * _PRIME + self.keys[self.b]
+
+
+def _asked(chunk: int, keys: np.ndarray, values: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Requests of a chunk: a row for each bucket that has one of its keys."""
+    bucket = keys % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    got, start = np.unique(bucket[order], return_index=True)
+    parts = [order[i:j] for i, j in zip(start, [*start[1:], len(order)], strict=True)]
+    data = [_pack(keys[p], *[v[p] for v in values]) for p in parts]
+    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), chunk)), pa.array(got.astype(np.int64)), pa.array(data, pa.binary())], names=["chunk", "bucket", "data"])
+
+
+def _told(keys: np.ndarray, answers: list[bytes], buckets: int) -> list[np.ndarray]:
+    """The answers to ``_asked``, in the order of ``keys``."""
+    order = np.argsort(keys % np.uint64(buckets), kind="stable")
+    out = []
+    for parts in zip(*map(_unpack, answers), strict=True):
+        told = np.concatenate(parts)
+        out.append(np.empty_like(told))
+        out[-1][order] = told
+    return out
+
+
+def _sums(requests: DataFrame) -> DataFrame:
+    """``chunk, bucket, fresh, data``: for each request the sums over all chunks of its keys' values.
+
+    A key is new in the first of its requests, so that some task can count each
+    once: this comes last in ``data``, and ``fresh`` is the number of such keys.
+    """
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, bytes]] = []
+
+        def out(bucket: int) -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*[_unpack(d) for _, d in held], strict=True)]
+            ends = np.cumsum([len(_unpack(d)[0]) for _, d in held])
+            keys, first, place = np.unique(columns[0], return_index=True, return_inverse=True)
+            fresh = np.zeros(len(place), bool)
+            fresh[first] = True
+            sums = [np.bincount(place, weights=c, minlength=len(keys)).astype(np.int64)[place] for c in columns[1:]]
+            parts = [slice(i, j) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+            data = [_pack(*[s[p] for s in sums], fresh[p]) for p in parts]
+            n = [int(fresh[p].sum()) for p in parts]
+            row = pa.RecordBatch.from_pydict({"chunk": [c for c, _ in held], "bucket": [bucket] * len(held), "fresh": n, "data": data})
+            held.clear()
+            return row
 
+        last = None
+        for b in batches:
+            for chunk, bucket, data in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if held and bucket != last:
+                    yield out(last)
+                last = bucket
+                held.append((chunk, data))
+        if held:
+            yield out(last)
+
+    dealt = requests.repartition(width(requests.sparkSession), "bucket").sortWithinPartitions("bucket", "chunk")
+    return dealt.mapInArrow(run, "chunk long, bucket long, fresh long, data binary")
+
+
+def _with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
+    """``chunk, kind, data``, sorted: each chunk (kind 0), then its answers of each kind by bucket."""
+    rows = chunks.select("chunk", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("bucket"), "data")
+    for kind, told in enumerate(answers, 1):
+        rows = rows.unionByName(told.select("chunk", F.lit(kind).alias("kind"), "bucket", "data"))
+    dealt = rows.repartition(width(chunks.sparkSession), "chunk").sortWithinPartitions("chunk", "kind", "bucket")
+    return dealt.select("chunk", "kind", "data")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[int, _Chunk, list[list[bytes]]]]:
+    last, parts = None, [[] for _ in range(kinds + 1)]
+    for b in batches:
+        for chunk, kind, data in zip(*b.columns, strict=True):
+            chunk = chunk.as_py()
+            if last is not None and chunk != last:
+                yield last, _Chunk(parts[0][0]), parts[1:]
+                parts = [[] for _ in range(kinds + 1)]
+            last = chunk
+            parts[kind.as_py()].append(data.as_py())
+    if last is not None:
+        yield last, _Chunk(parts[0][0]), parts[1:]
+
+
+def _bigram_requests(chunks: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, data in zip(*b.columns, strict=True):
+                c = _Chunk(data.as_py())
+                yield from _asked(chunk.as_py(), c.bigram_keys(), [*c.counts()], buckets)
 
-def _cells(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram cells of a column of ids, previous * size + current, and n + 1 offsets; ``size`` - 1 stands before the first."""
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    ids = np.frombuffer(memoryview(data)[offsets[0] : offsets[-1]] if data is not None else b"", "<u2").astype(np.int64)
-    offsets = (offsets - offsets[0]) // 2
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    first = offsets[:-1][np.diff(offsets) > 0]
-    before[first] = size - 1
-    return before * size + ids, offsets
+    return chunks.select("chunk", "data").mapInArrow(run, "chunk long, bucket long, data binary")
 
 
-def bigram_counts(tokens: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of each bigram (previous, current) in target rows and in all rows.
+def _word_requests(chunks: DataFrame, bigrams: DataFrame, buckets: int, scale: float, discount: float) -> DataFrame:
+    """Of each word, in the target and in all documents: occurrences, followers, and what the discount takes.
 
-    ``tokens`` has ``ids, target``. Tasks return the cells that they have seen;
-    Spark sums them; at most ``size`` ** 2 sums reach the driver.
+    The last is given as the number of different followers met ``discount``
+    times or more, and for the background also the count of the other followers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, size * size), np.int64)
-        for b in batches:
-            cells, offsets = _cells(b.column(0), size)
-            good = np.repeat(np.array(b.column(1).to_pylist(), bool), np.diff(offsets))
-            total[0] += np.bincount(cells[good], minlength=size * size)
-            total[1] += np.bincount(cells, minlength=size * size)
-        got = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(got), pa.array(total[0, got]), pa.array(total[1, got])], names=["cell", "target", "background"])
+        for chunk, c, (told,) in _gathered(batches, 1):
+            if not told:
+                continue
+            target, background, fresh = _told(c.bigram_keys(), told, buckets)
+            full = background * scale >= discount
+            n, mine = len(c.keys), c.counts()
+            values = [np.bincount(x, weights=m, minlength=n).astype(np.int64) for x in (c.b, c.a) for m in mine]
+            values += [np.bincount(c.a[fresh & x], minlength=n) for x in (target > 0, full)]
+            values.append(np.bincount(c.a[fresh & ~full], weights=background[fresh & ~full], minlength=n).astype(np.int64))
+            yield from _asked(chunk, c.keys, values, buckets)
 
-    rows = tokens.select("ids", "target").mapInArrow(run, "cell long, target long, background long")
-    sums = rows.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
-    out = np.zeros((2, size * size))
-    out[0, sums["cell"].to_numpy()] = sums["target"].to_numpy()
-    out[1, sums["cell"].to_numpy()] = sums["background"].to_numpy()
-    return out[0].reshape(size, size), out[1].reshape(size, size)
+    return _with_answers(chunks, bigrams).mapInArrow(run, "chunk long, bucket long, data binary")
 
 
 def losses(counts: np.ndarray, discount: float = DISCOUNT) -> np.ndarray:
-    """Bits for each (previous, current): absolute discounting, with add-half unigrams below."""
+    """Bits for each (previous, current) of a whole table, the last id being the start: absolute discounting, with add-half unigrams below."""
     size = len(counts)
     single = counts.sum(axis=0) + 0.5
     single[size - 1] = 0  # nothing is followed by the start
@@ -133,38 +286,56 @@ def matched(target: np.ndarray, background: np.ndarray) -> tuple[np.ndarray, np.
     return losses(target), losses(background * scale)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, loss_target, loss_background, score`` for each row of ``docs`` (``doc_id, text``).
 
     The target are the documents whose ``doc_id`` has quality 1 in ``labels``
     (``doc_id, quality``); repeated or null labels change nothing. Vocabulary and
-    counts are those of all rows, whole texts. A text without a word, empty or
-    null, has no tokens and null losses. Without any target document the target's
-    model knows no word better than another. Repeated rows count repeatedly and
-    give repeated results; other columns are ignored; an empty table gives none.
+    counts are those of all rows, whole texts; a caller may ask for the ``size``
+    most frequent words only, the others then are one unknown word. A text
+    without a word, empty or null, has no tokens and null losses. Without any
+    target document the target's model knows no word better than another.
+    Repeated rows count repeatedly and give repeated results; other columns are
+    ignored; an empty table gives none. The losses are those of ``matched``.
     """
-    vocab = vocabulary(docs, size)
-    cells = len(vocab) + 2
-    tokens = stage_table(token_rows(docs, vocab), "words")
+    vocab = None if size is None else vocabulary(docs, size)
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_good")).distinct()
     # ids are broadcast up to a size that is counted first; beyond it both sides are dealt out
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
-    marked = tokens.join(good, F.col("doc_id") == F.col("_good"), "left").select("ids", F.col("_good").isNotNull().alias("target"))
-    table = np.stack(matched(*bigram_counts(marked, cells))).reshape(2, -1)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = rows.join(good, F.col("doc_id") == F.col("_good"), "left").select("doc_id", "text", F.col("_good").isNotNull().alias("target"))
+    chunks = stage_table(_chunks(marked, vocab), "words")
+    total = chunks.agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).first()
+    n_background, n_target = total["n"] or 0, total["n_target"] or 0
+    scale = n_target / n_background if n_target and n_background else 1.0
+    buckets = max(16, n_background // BUCKET)
+    bigrams = stage_table(_sums(_bigram_requests(chunks, buckets)), "bigrams")
+    singles = stage_table(_sums(_word_requests(chunks, bigrams, buckets, scale, DISCOUNT)), "singles")
+    # the start is among the keys and the unknown word isn't, unless a size was asked for
+    kinds = (singles.agg(F.sum("fresh")).first()[0] or 1) if vocab is None else len(vocab) + 1
+
+    def bits(count: np.ndarray, taken: np.ndarray, left: np.ndarray, n: np.ndarray, single: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            p = np.where(n > 0, (count - taken + left * single) / n, single)
+        return -np.log2(np.maximum(p, 1e-12))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found, offsets = _cells(b.column(1), cells)
-            n = np.diff(offsets)
-            sums = np.zeros((2, len(n)))
-            some = n > 0
+        for _, c, (pairs, told) in _gathered(batches, 2):
+            means, some = np.zeros((2, len(c.sizes))), c.sizes > 0
             if some.any():
+                target, background, _ = _told(c.bigram_keys(), pairs, buckets)
+                as_b, as_b_all, as_a, as_a_all, kinds_t, full, rest, _ = _told(c.keys, told, buckets)
+                single = (as_b[c.b] + 0.5) / (n_target + 0.5 * kinds)
+                loss = [bits(target, np.minimum(target, DISCOUNT), (kinds_t * DISCOUNT)[c.a], as_a[c.a], single)]
+                single = (as_b_all[c.b] * scale + 0.5) / (n_background * scale + 0.5 * kinds)
+                count = background * scale
+                loss.append(bits(count, np.minimum(count, DISCOUNT), (full * DISCOUNT + rest * scale)[c.a], as_a_all[c.a] * scale, single))
                 for k in range(2):
-                    sums[k, some] = np.add.reduceat(table[k, found].astype(float), offsets[:-1][some])
-            with np.errstate(invalid="ignore", divide="ignore"):
-                means = sums / n
+                    means[k, some] = np.add.reduceat(loss[k][c.pair], c.first) / c.sizes[some]
             parts = [pa.array(x, pa.float64(), mask=~some) for x in (means[0], means[1], means[0] - means[1])]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), *parts], names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+            ids = pa.array(c.ids.astype(np.int64), pa.int64(), mask=c.null)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(c.sizes, pa.int64()), *parts], names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
-    return tokens.mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+    schema = "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
+    return _with_answers(chunks, bigrams, singles).mapInArrow(run, schema)

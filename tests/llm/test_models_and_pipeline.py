@@ -108,6 +108,21 @@ def test_scores_equal_brute_force(spark, rnd):
             assert abs(r["loss_target"] - a) < 1e-4 and abs(r["loss_background"] - b) < 1e-4 and abs(r["score"] - (a - b)) < 1e-4
 
 
+def test_every_word_counts(spark, rnd, monkeypatch):
+    rows = [(i, " ".join(f"w{rnd.randint(0, 1400)}" for _ in range(60))) for i in range(120)]
+    common = " ".join(f"w{k}" for k in range(1401))
+    rows += [(200, common), (201, "w1 rarea w2"), (202, "w1 rareb w2"), (203, "rarea w1"), (None, "rarea w1")]
+    good = {i for i in range(0, 120, 3)} | {203}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    for chunk in (lm_score.CHUNK, 500):
+        monkeypatch.setattr(lm_score, "CHUNK", chunk)
+        got = {r["doc_id"]: r for r in lm_score.score_documents(docs, labels).collect()}
+        assert len(got) == len(rows) and got[201]["score"] < got[202]["score"] - 0.1
+        for (i, _), (a, b) in zip(rows, plain_scores(rows, good, 10**6), strict=True):
+            assert abs(got[i]["loss_target"] - a) < 1e-4 and abs(got[i]["loss_background"] - b) < 1e-4
+
+
 def test_models_are_distributions(rnd):
     counts = np.array([[rnd.choice([0, 0, 1, 2.5, 9]) for _ in range(6)] for _ in range(6)])
     counts[:, 5] = 0
