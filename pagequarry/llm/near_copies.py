@@ -1,0 +1,101 @@
+"""Near copies by Jaccard similarity of word shingles: MinHash candidates, exact verification.
+
+Texts with the same words are one node. A node has ``BANDS`` keys made of
+``ROWS`` least hashes each; nodes that share a key are candidates, and a pair at
+similarity 0.8 shares none with a probability of 0.0004. A candidate pair is a
+link only if the similarity of the whole texts is ``SIMILARITY`` or more.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import stage_table
+from .components import connected_components
+
+SHINGLE = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 20, 5
+ALL_PAIRS = 32
+_RANDOM = np.random.default_rng(42).integers(0, 2**64, (2, BANDS * ROWS), np.uint64)
+
+
+def shingles(text: str | None, words: int = SHINGLE) -> tuple[int, np.ndarray]:
+    """A hash of all words of a text, and the different hashes of its shingles; a shorter text is one shingle."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    joined = b" ".join(found)
+    key = xxhash.xxh64_intdigest(joined)
+    if len(found) <= words:
+        return key, np.array([key], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+    starts, stops = np.r_[0, ends[:-words]].tolist(), (ends[words - 1 :] - 1).tolist()
+    digests = b"".join([xxhash.xxh64_digest(joined[a:b]) for a, b in zip(starts, stops, strict=True)])
+    return key, np.unique(np.frombuffer(digests, np.uint64))
+
+
+def _bands(found: np.ndarray) -> list[int]:
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for i in range(0, len(found), 4096):
+        least = np.minimum(least, ((found[i : i + 4096, None] ^ _RANDOM[0]) * (_RANDOM[1] | np.uint64(1))).min(axis=0))
+    return [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def _signatures(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingles(t.as_py()) for t in b.column(1)]
+            keys = pa.array(np.array([k for k, _ in found], np.uint64).view(np.int64))
+            bands = np.array([_bands(s) for _, s in found], np.uint64).view(np.int64).tolist()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), keys, pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "text", "key", "bands"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string, key long, bands array<long>")
+
+
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """``u, v``: all pairs of a band of at most ``ALL_PAIRS`` nodes; in a larger one each node with the least and the greatest."""
+    cells = nodes.select("key", F.explode("bands").alias("band"))
+    ends = cells.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z"), F.count("*").alias("n")).filter("n > 1")
+    met = stage_table(cells.join(ends, "band"), "bands")
+    few, many = met.filter(F.col("n") <= ALL_PAIRS), met.filter(F.col("n") > ALL_PAIRS)
+    pairs = few.select("band", F.col("key").alias("u")).join(few.select("band", F.col("key").alias("v")), "band").select("u", "v")
+    for end in ("a", "z"):
+        pairs = pairs.unionByName(many.select(F.least("key", end).alias("u"), F.greatest("key", end).alias("v")))
+    return pairs.filter("u < v").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = [similarity(shingles(s.as_py())[1], shingles(t.as_py())[1]) >= SIMILARITY for s, t in zip(b.column(2), b.column(3), strict=True)]
+            yield b.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    left, right = texts.toDF("u", "s"), texts.toDF("v", "t")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "s", "t").mapInArrow(run, "u long, v long")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """``doc_id, component_id`` for each row of ``docs`` (``doc_id, text``) with an id.
+
+    ``component_id`` is the least ``doc_id`` that links reach. Null, empty and
+    blank texts are copies of each other. Repeated rows give repeated results.
+    """
+    rows = stage_table(_signatures(docs.filter("doc_id is not null")), "signatures")
+    pairs = stage_table(_candidates(rows.groupBy("key").agg(F.first("bands").alias("bands"))), "pairs")
+    ends = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
+    texts = stage_table(rows.join(ends, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
+    found = connected_components(_verified(pairs, texts)).toDF("key", "group")
+    labels = rows.groupBy("key").agg(F.min("doc_id").alias("least")).join(found, "key", "left").select("key", "least", F.coalesce("group", "key").alias("group"))
+    labels = stage_table(labels, "labels")
+    least = labels.groupBy("group").agg(F.min("least").alias("component_id"))
+    return rows.select("doc_id", "key").join(labels.join(least, "group").select("key", "component_id"), "key").select("doc_id", "component_id")

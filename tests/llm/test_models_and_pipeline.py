@@ -181,6 +181,39 @@ def test_stages_keep_and_drop_what_they_should(spark, tmp_path, rnd):
     assert len(seen["sentencepiece"]) == len(seen["decontamination"]) and all(r["exact"] for r in seen["sentencepiece"])
 
 
+def test_near_copies_go(spark, rnd):
+    import corpus_pipeline as cp
+
+    rows = []
+    for i in range(0, 40, 2):
+        text = [f"w{rnd.randint(0, 5000)}" for _ in range(60)]
+        changed = [*text[:30], "other", *text[31:]]  # 51 of 61 shingles in common
+        rows += [(i, " ".join(text), "en", "s", 0), (i + 1, " ".join(changed), "en", "s", 0)]
+    half = rows[0][1].split()
+    rows += [(50, " ".join([*half[:30], *[f"x{k}" for k in range(30)]]), "en", "s", 0)]
+    rows += [(100 + k, f"u{k} " + rows[2][1], "en", "s", 0) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == [*range(0, 40, 2), 50]
+
+
+def test_near_copies_against_brute_force(spark):
+    import collections
+    import itertools
+
+    from pagequarry.llm import near_copies as nc
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r["doc_id"]: nc.shingles(r["text"])[1] for r in docs.collect()}
+    holders = collections.defaultdict(set)
+    for i, s in sets.items():
+        for x in s.tolist():
+            holders[x].add(i)
+    met = {p for h in holders.values() for p in itertools.combinations(sorted(h), 2)}
+    near = [p for p in met if nc.similarity(sets[p[0]], sets[p[1]]) >= nc.SIMILARITY]
+    group = {r["doc_id"]: r["component_id"] for r in nc.near_copies(docs).collect()}
+    assert near and sum(group[a] == group[b] for a, b in near) >= 0.98 * len(near)
+
+
 def test_pipeline_of_empty_table(spark, tmp_path):
     import corpus_pipeline as cp
 
