@@ -44,3 +44,11 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(plans.queries()) == set(plans.oracle_sql())
+
+
+def test_fixtures_hold_all_orders(spark):
+    from pagequarry.plans.registry import Inputs
+
+    i = Inputs(spark, SF)
+    assert i.cells.select("table_id").distinct().count() == i.orders.count()
+    assert i.cert_lines.count() == 3 * i.base_lines.count()
