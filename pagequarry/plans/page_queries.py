@@ -158,7 +158,7 @@ def u03(i):
     return left.join(b.exceptAll(a).agg(F.count("*").alias("only_right")), F.lit(True))
 
 
-fixture("rotations", "SELECT page, r.rotation, CASE WHEN page % 4 = 0 THEN concat('TAG NO: PT-', CAST(page % 900 + 100 AS STRING), ' ', text) WHEN page % 4 = 1 AND r.rotation = 90 THEN concat('Serial no 4411-', CAST(page % 90 + 10 AS STRING), ' certificate ', text) WHEN page % 4 = 2 AND r.rotation = 0 THEN concat(left(text, 50), ' instrument valve PSV 4', CAST(page % 50 + 10 AS STRING), ' ', left(text, 20)) WHEN page % 9 = 3 THEN concat('equipment tag table certificate ', left(text, 40)) ELSE left(text, 120) END AS text FROM (SELECT page, text FROM page_text) p CROSS JOIN (SELECT 0 AS rotation UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) r", "page_text")
+fixture("rotations", "SELECT page, r.rotation, CASE WHEN page % 4 = 0 THEN concat('TAG NO: PT-', CAST(page % 900 + 100 AS STRING), ' ', text) WHEN page % 4 = 1 AND r.rotation = 90 THEN concat('Serial no 4411-', CAST(page % 90 + 10 AS STRING), ' certificate ', text) WHEN page % 4 = 2 AND r.rotation = 0 THEN concat(left(text, 50), ' instrument valve PSV 4', CAST(page % 50 + 10 AS STRING), ' ', substring(text, 51)) WHEN page % 9 = 3 THEN concat('equipment tag table certificate ', text) ELSE text END AS text FROM (SELECT page, text FROM page_text) p CROSS JOIN (SELECT 0 AS rotation UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) r", "page_text")
 SCAN = rf""", n AS (SELECT page, rotation, trim(regexp_replace(translate(upper(replace(text, 'ß', 'ss')), '–—|_', '--  '), '\s+', ' ', 'g')) AS s FROM rotations),
 e AS (SELECT page, rotation, list_sort(list_distinct(list_transform(regexp_extract_all(s, '(?:^|[^A-Z0-9])((?:{pg.ISA_FUNCTIONS})\s*-?\s*\d{{2,8}})(?:[^A-Z0-9]|$)', 1), lambda x: regexp_replace(x, '\s+', '', 'g')))) AS tags,
 list_sort(list_distinct(list_transform(regexp_extract_all(s, '(\d{{3,8}}\s*[-/]\s*\d{{1,8}})', 1), lambda x: regexp_replace(x, '\s+', '', 'g')))) AS serials,
@@ -203,7 +203,7 @@ def j24(i):
     return i.rotations.select("page", "rotation", (at > 0).alias("has_tag"), ((at > 0) & near).alias("near"))
 
 
-fixture("table_text", "SELECT page, concat(left(text, 30), chr(10), 'name | qty | code', chr(10), 'a | ', CAST(page AS STRING), ' | b', CASE WHEN page % 3 = 0 THEN concat(chr(10), 'c | d | e') ELSE '' END, chr(10), 'plain', chr(10), CASE WHEN page % 2 = 0 THEN concat('x  y', chr(10), 'u  v  w', chr(10), chr(10), 'lonely | row') ELSE concat('p', chr(9), 'q') END) AS text FROM page_text WHERE position('|' IN text) = 0", "page_text")
+fixture("table_text", "SELECT page, concat(text, chr(10), 'name | qty | code', chr(10), 'a | ', CAST(page AS STRING), ' | b', CASE WHEN page % 3 = 0 THEN concat(chr(10), 'c | d | e') ELSE '' END, chr(10), 'plain', chr(10), CASE WHEN page % 2 = 0 THEN concat('x  y', chr(10), 'u  v  w', chr(10), chr(10), 'lonely | row') ELSE concat('p', chr(9), 'q') END) AS text FROM page_text WHERE position('|' IN text) = 0", "page_text")
 TABLES_SQL = r""", l AS (SELECT page, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM table_text),
 k AS (SELECT *, CASE WHEN trim(line) = '' THEN false WHEN contains(trim(line), '|') THEN len(list_filter(string_split(trim(line), '|'), lambda x: trim(x) <> '')) >= 2 WHEN contains(trim(line), chr(9)) THEN len(list_filter(string_split(trim(line), chr(9)), lambda x: trim(x) <> '')) >= 2 ELSE regexp_matches(trim(line), '\s{2,}') END AS ok FROM l),
 r AS (SELECT page, line_no, line, line_no - row_number() OVER (PARTITION BY page ORDER BY line_no) AS island FROM k WHERE ok),

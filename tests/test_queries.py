@@ -52,3 +52,15 @@ def test_fixtures_hold_all_orders(spark):
     i = Inputs(spark, SF)
     assert i.cells.select("table_id").distinct().count() == i.orders.count()
     assert i.cert_lines.count() == 3 * i.base_lines.count()
+
+
+def test_scanned_texts_are_whole(spark):
+    from pyspark.sql import functions as F
+
+    from pagequarry.plans.registry import Inputs
+
+    i = Inputs(spark, SF)
+    whole = i.page_text.select("page", F.length("text").alias("n"))
+    for name in ("rotations", "table_text"):
+        short = getattr(i, name).join(whole, "page").filter(F.length("text") < F.col("n"))
+        assert short.isEmpty(), name
