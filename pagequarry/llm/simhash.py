@@ -3,10 +3,18 @@
 Each fingerprint gets its Hamming distances to ``PIVOTS`` fixed reference
 fingerprints. By the triangle inequality two fingerprints within ``radius`` bits
 have distances to any reference that differ by ``radius`` at most, so a pair is
-discarded by its maximum coordinate difference before it is verified. Which
-pairs meet at all is settled without loss by the pigeonhole principle: of six
-bit blocks, three changed bits leave three blocks alone, so a pair shares one of
-the 20 cells made of three blocks each.
+discarded by its maximum coordinate difference before it is verified.
+
+Which pairs meet at all depends on the radius. ``near_duplicates`` links
+fingerprints within three bits; there the pigeonhole principle loses none: of
+six bit blocks, three changed bits leave three blocks alone, so a pair shares
+one of the 20 cells made of three blocks each. ``similar_texts`` links texts by
+the similarity of their shingles. At 0.8 about ten of 64 bits change, which
+leaves too few blocks alone, so there each text also has ``SAMPLES``
+fingerprints of a few shingles each, the least under as many hashes; a pair of
+this similarity shares one of them with a probability of over 0.999. The pairs
+that meet and that the tables and the distance of the whole fingerprints leave
+are verified by their whole texts.
 """
 
 from __future__ import annotations
@@ -28,6 +36,12 @@ SEED = 42
 RADIUS = 3
 PIVOTS = 16
 CELL_MAX = 4096
+TEXT_SHINGLE = 5
+SIMILARITY = 0.8
+SAMPLES, SAMPLE = 20, 5
+#: Bits in which fingerprints of texts at ``SIMILARITY`` may differ: three standard deviations over the mean.
+WIDE_RADIUS = 18
+_RANDOM = np.random.default_rng(SEED).integers(0, 2**64, (2, SAMPLES), np.uint64)
 
 
 def _mix(x: int) -> int:
@@ -68,6 +82,45 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(bits)).tobytes(), "big")
 
 
+def text_shingles(text: str | None, words: int = TEXT_SHINGLE) -> tuple[int, np.ndarray]:
+    """A hash of all words of a text, and the different hashes of its shingles; a shorter text is one shingle."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    joined = b" ".join(found)
+    key = xxhash.xxh64_intdigest(joined)
+    if len(found) <= words:
+        return key, np.array([key], ">u8")
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+    starts, stops = np.r_[0, ends[:-words]].tolist(), (ends[words - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_digest
+    return key, np.unique(np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(starts, stops, strict=True)]), ">u8"))
+
+
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits that over half of the hashes have; big-endian hashes stand along the last axis but one of their bytes."""
+    ones = np.zeros((*hashes.shape[:-2], 64), np.int64)
+    for i in range(0, hashes.shape[-2], 4096):
+        ones += np.unpackbits(hashes[..., i : i + 4096, :], axis=-1).sum(axis=-2, dtype=np.int64)
+    return np.packbits(2 * ones > hashes.shape[-2], axis=-1)
+
+
+def sampled_fingerprints(found: np.ndarray) -> tuple[int, np.ndarray]:
+    """The SimHash of a text's shingles, and those of ``SAMPLES`` samples of its ``SAMPLE`` least ones."""
+    raw, least, kept = found.view(np.uint8).reshape(-1, 8), None, None
+    native = found.astype(np.uint64)
+    for i in range(0, len(found), 1 << 15):
+        part = native[i : i + (1 << 15)]
+        mixed = (part ^ _RANDOM[0][:, None]) * (_RANDOM[1][:, None] | np.uint64(1))
+        at = np.broadcast_to(np.arange(i, i + len(part)), mixed.shape)
+        if least is not None:
+            mixed, at = np.concatenate([least, mixed], 1), np.concatenate([kept, at], 1)
+        if mixed.shape[1] > SAMPLE:
+            order = np.argpartition(mixed, SAMPLE - 1, axis=1)[:, :SAMPLE]
+            mixed, at = np.take_along_axis(mixed, order, 1), np.take_along_axis(at, order, 1)
+        least, kept = mixed, at
+    whole = int.from_bytes(_majority(raw).tobytes(), "big")
+    return whole, np.frombuffer(_majority(raw[kept]).tobytes(), ">u8").astype(np.uint64)
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``doc_id, fp``: the SimHash of each whole text as a signed long.
 
@@ -256,3 +309,149 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS,
     label = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(label, "fp", "left").select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+# ---------------------------------------------------------------- by similarity of shingles
+
+
+def _signatures(docs: DataFrame, words: int) -> DataFrame:
+    """``doc_id, text, key, fp, samples``: a hash of all words, the SimHash, and those of the samples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, fps, samples = [], [], []
+            for t in b.column(1):
+                key, found = text_shingles(t.as_py(), words)
+                whole, parts = sampled_fingerprints(found)
+                keys.append(_signed(key)), fps.append(_signed(whole)), samples.append(parts.view(np.int64))
+            flat = pa.array(np.concatenate(samples) if samples else np.zeros(0, np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(range(0, len(flat) + 1, SAMPLES), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.int64()), pa.array(fps, pa.int64()), lists], names=["doc_id", "text", "key", "fp", "samples"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string, key long, fp long, samples array<long>")
+
+
+def _verified_texts(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs ``u, v`` whose whole texts have the similarity; rows come in the order of ``u``, whose shingles are kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, mine = None, None
+        for b in batches:
+            near = []
+            for u, s, t in zip(b.column(0).to_pylist(), b.column(2), b.column(3), strict=True):
+                if u != last:
+                    last, mine = u, text_shingles(s.as_py(), words)[1]
+                other = text_shingles(t.as_py(), words)[1]
+                both = len(np.intersect1d(mine, other, assume_unique=True))
+                near.append(both >= similarity * (len(mine) + len(other) - both) - 1e-9)
+            yield b.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    left, right = texts.toDF("u", "s"), texts.toDF("v", "t")
+    return pairs.join(right, "v").join(left, "u").select("u", "v", "s", "t").mapInArrow(run, "u long, v long")
+
+
+def _meet(radius: int):
+    """A mapInArrow function over rows sorted by cell and salt: (cell, salt, key, group, home, apart, fp, pivots...) to pairs.
+
+    All rows of a cell that stand apart are held against all that are at home in
+    this salt, if they are of other groups.
+    """
+
+    def pairs(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, group, home, apart, fps, *tables = part
+        table = np.stack(tables, 1).astype("<i8").view(np.int8).reshape(len(key), -1).astype(np.int16)
+        fps, rows, here = fps.view(np.uint64), np.flatnonzero(apart), np.flatnonzero(home)
+        step = max(1, 1_000_000 // max(1, len(here)))
+        for k in range(0, len(rows), step):
+            i, j = np.repeat(rows[k : k + step], len(here)), np.tile(here, len(rows[k : k + step]))
+            other = group[i] != group[j]
+            i, j = i[other], j[other]
+            ok = _verified(table, fps, i, j, radius)
+            a, b = key[i[ok]], key[j[ok]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        now = None
+        for b in batches:
+            part = [b.column(c).to_numpy(zero_copy_only=False) for c in range(b.num_columns)]
+            edge = np.flatnonzero((part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])) + 1
+            for a, z in zip([0, *edge.tolist()], [*edge.tolist(), b.num_rows], strict=True):
+                if a == z:
+                    continue
+                at = (part[0][a], part[1][a])
+                if now is not None and at != now:
+                    yield from pairs([np.concatenate(x) for x in zip(*held, strict=True)])
+                    held = []
+                now = at
+                held.append([x[a:z] for x in part[2:]])
+        if held:
+            yield from pairs([np.concatenate(x) for x in zip(*held, strict=True)])
+
+    return run
+
+
+def _rest(met: DataFrame, groups: DataFrame, radius: int, pivots: int, cell_max: int) -> DataFrame | None:
+    """Pairs ``u, v`` of one cell and different groups that are within the radius; None if no cell holds two groups.
+
+    In each cell the rows of its largest group are held against the others only.
+    A cell of more than ``cell_max`` rows is dealt out by salts: each row is at
+    home in one, and rows that aren't in the largest group visit all. So a cell
+    costs rows times those out of its largest group, in tasks of bounded size.
+    """
+    named = met.join(groups.toDF("key", "group"), "key", "left").withColumn("group", F.coalesce("group", "key"))
+    named = stage_table(named, "named")
+    sizes = named.groupBy("cell", "group").agg(F.count("*").alias("n"))
+    tops = sizes.groupBy("cell").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("groups"))
+    tops = stage_table(tops.filter("groups > 1").select("cell", F.col("top.group").alias("top"), F.ceil(F.col("n") / cell_max).cast("int").alias("salts")), "tops")
+    if tops.isEmpty():
+        drop_table(named)
+        return None
+    rows = named.join(tops, "cell").withColumn("own", F.pmod("key", "salts").cast("int")).withColumn("apart", F.col("group") != F.col("top"))
+    places = F.when(F.col("apart"), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("own"))
+    rows = rows.withColumn("salt", F.explode(places)).withColumn("home", F.col("salt") == F.col("own"))
+    kept = rows.select("cell", "salt", "key", "group", "home", "apart", "fp", *_table(F.col("fp"), references(pivots)))
+    dealt = kept.repartition(width(met.sparkSession), "cell", "salt").sortWithinPartitions("cell", "salt")
+    return dealt.mapInArrow(_meet(radius), "u long, v long").distinct()
+
+
+def similar_texts(docs: DataFrame, words: int = TEXT_SHINGLE, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, pivots: int = PIVOTS, cell_max: int = CELL_MAX) -> DataFrame:
+    """``doc_id, component_id`` for each row of ``docs`` (``doc_id, text``) with an id.
+
+    Texts are linked if at least ``similarity`` of all their different shingles
+    are common to both; ``component_id`` is the least ``doc_id`` that links
+    reach. Words are those of ``fingerprint``; texts with the same words are one
+    node, and null, empty and blank texts are such. Each text is first held
+    against one other of each of its cells, and what is linked then is one group.
+    In cells that still hold several groups all pairs of different groups meet;
+    the distance tables and the fingerprints discard most, whole texts verify the
+    others. Repeated rows give repeated results, rows without an id none; other
+    columns are ignored; an empty table gives none.
+    """
+    rows = stage_table(_signatures(docs.filter("doc_id is not null"), words), "signatures")
+    nodes = rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("samples").alias("samples"))
+    cells = nodes.select("key", "fp", F.posexplode("samples").alias("part", "sample")).select(F.xxhash64("part", "sample").alias("cell"), "key", "fp")
+    # written, so that the join deals out both sides anew and a hot cell's rows can be split
+    leads = stage_table(cells.groupBy("cell").agg(F.min("key").alias("lead"), F.count("*").alias("n")).filter("n > 1"), "leads")
+    met = stage_table(cells.join(leads, "cell"), "met")
+    pairs = stage_table(met.filter("key > lead").select(F.col("lead").alias("u"), F.col("key").alias("v")).distinct(), "pairs")
+    ends = met.select("key").distinct()
+    texts = stage_table(rows.join(ends, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
+    groups = stage_table(connected_components(_verified_texts(pairs, texts, words, similarity)), "groups")
+    more = _rest(met.filter("n > 2").select("cell", "key", "fp"), groups, radius, pivots, cell_max)
+    if more is not None:
+        more = stage_table(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
+        found = stage_table(_verified_texts(more, texts, words, similarity), "links")
+        # groups are joined by the new links between them
+        of = groups.toDF("node", "group")
+        edges = found.join(of.toDF("u", "a"), "u", "left").join(of.toDF("v", "b"), "v", "left").select(F.coalesce("a", "u").alias("u"), F.coalesce("b", "v").alias("v"))
+        joined = connected_components(edges).toDF("group", "component")
+        alone = joined.join(of.select("group").distinct(), "group", "left_anti").select(F.col("group").alias("node"), "component")
+        groups = of.join(joined, "group", "left").select("node", F.coalesce("component", "group").alias("component")).unionByName(alone)
+    labels = rows.groupBy("key").agg(F.min("doc_id").alias("least")).join(groups.toDF("key", "group"), "key", "left").select("key", "least", F.coalesce("group", "key").alias("group"))
+    labels = stage_table(labels, "labels")
+    least = labels.groupBy("group").agg(F.min("least").alias("component_id"))
+    for table in (leads, met, pairs, texts):
+        drop_table(table)
+    return rows.select("doc_id", "key").join(labels.join(least, "group").select("key", "component_id"), "key").select("doc_id", "component_id")

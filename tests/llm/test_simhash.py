@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import collections
+import itertools
 import re
 
 import numpy as np
@@ -98,3 +100,65 @@ def test_coordinate_difference_never_drops_a_link(rnd):
         b = a ^ sum(1 << k for k in rnd.sample(range(64), 3))
         gap = np.bitwise_count(pivots ^ np.uint64(a)).astype(int) - np.bitwise_count(pivots ^ np.uint64(b)).astype(int)
         assert np.abs(gap).max() <= 3
+
+
+def plain_shingles(text, n=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(" ".join(words[i : i + n]) for i in range(len(words) - n + 1)) if len(words) >= n else frozenset([" ".join(words)])
+
+
+def plain_groups(texts):
+    sets = {i: plain_shingles(t) for i, t in texts.items()}
+    holders = collections.defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].add(i)
+    met = {p for h in holders.values() for p in itertools.combinations(sorted(h), 2)}
+    near = [(a, b) for a, b in met if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]
+    return near, components(texts, near)
+
+
+def test_similar_texts_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    near, want = plain_groups({r["doc_id"]: r["text"] for r in docs.collect()})
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_texts(docs).collect()}
+    assert near and sum(got[a] == got[b] for a, b in near) >= 0.98 * len(near)
+    assert all(want[i] == want[c] for i, c in got.items())
+
+
+@pytest.mark.parametrize("cell_max", [4096, 7])
+def test_large_groups_of_similar_texts(spark, rnd, cell_max):
+    # two bases that share most shingles, though not enough, and many near copies of either
+    base = [f"w{rnd.randint(0, 9000)}" for _ in range(100)]
+    half = [*base[:72], *[f"x{k}" for k in range(28)]]
+    texts = {}
+    for i in range(120):
+        words = list(base if i % 2 else half)
+        for _ in range(rnd.randint(0, 3)):
+            words[rnd.randrange(100)] = f"y{rnd.randint(0, 10**6)}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    near, want = plain_groups(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_texts(docs, cell_max=cell_max).collect()}
+    assert sum(got[a] == got[b] for a, b in near) >= 0.98 * len(near)
+    assert all(want[i] == want[c] for i, c in got.items())
+
+
+def test_pairs_of_different_groups_meet_in_whatever_salt(rnd):
+    import pyarrow as pa
+
+    n, salts = 40, 4
+    key, group = np.arange(n), np.array([rnd.choice([0, 0, 0, 1, 2]) for _ in range(n)])
+    rows = sorted((k % salts if g == 0 else s, k, g, s == k % salts or g == 0) for k, g in enumerate(group.tolist()) for s in ([0] if g == 0 else range(salts)))
+    cols = [np.zeros(len(rows), np.int64), *(np.array(x) for x in zip(*[(s, k, g, h, g != 0, 0, 0) for s, k, g, h in rows], strict=True))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[a : a + 11]) for c in cols], names=list("abcdefgh")) for a in range(0, len(rows), 11)]
+    got = {p for b in simhash._meet(3)(iter(batches)) for p in zip(*b.to_pydict().values(), strict=True)}
+    assert got == {(a, b) for a in range(n) for b in range(a + 1, n) if group[a] != group[b]}
+
+
+def test_similar_texts_of_odd_tables(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a b c d e"), (6, "a b c d e"), (None, "a b"), (9, "z " * 30_000), (8, "z z " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as key", "2 as component", "3 as samples")
+    got = sorted(map(tuple, simhash.similar_texts(df).collect()))
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (6, 6), (8, 8), (9, 8)]
+    assert simhash.similar_texts(df.limit(0)).count() == 0
