@@ -4,10 +4,13 @@ Every string of ``LENGTH`` bytes has an anchor: the leftmost of its
 ``ANCHOR``-byte substrings with the least hash. Equal strings have equal anchors
 at the same place, so strings that repeat meet if text is dealt out by anchors.
 Around each anchor a segment covers the strings that it is the anchor of; segments
-whose anchor occurs once are done. Equal segments are counted and kept once. The
-others are laid out in shards, in which the anchor, common to its group, is one
-symbol; a suffix array of the shard and its permuted common prefixes tell which
-strings of ``LENGTH`` bytes start elsewhere too.
+whose anchor occurs once are done. Equal segments, known by 64 bits of the anchor
+and 64 of the segment, are counted and kept once. The others are laid out in
+shards, in which the anchor, common to its group, is one symbol; a suffix array
+of the shard and its permuted common prefixes tell which strings of ``LENGTH``
+bytes start elsewhere too. A group of too many different segments is split by
+what its strings have in common beside the anchor: strings with the anchor at
+about the same place share bytes on either side of it.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from .common import drop_table, slices, stage_table, utf8, width
 LENGTH = 400
 ANCHOR = 200
 SHARD = 1 << 17
-GROUP_MAX = 4096
+GROUP_MAX = 1024
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -151,8 +154,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, size: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hashes of one text, their places, and the first string and number of strings of each.
+def anchors(data: np.ndarray, length: int = LENGTH, size: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors of one text, and the first string and number of strings of each.
 
     Texts are cut at 16 MB with an overlap, so that places fit the hash's low bits.
     """
@@ -160,9 +163,9 @@ def anchors(data: np.ndarray, length: int = LENGTH, size: int = ANCHOR) -> tuple
     most = 1 << 24
     if n > most:
         parts = [(at, anchors(data[at : at + most], length, size)) for at in range(0, n - length + 1, most - length + 1)]
-        return tuple(np.concatenate([x[k] + (at if k in (1, 2) else 0) for at, x in parts]) for k in range(4))
+        return tuple(np.concatenate([x[k] + (at if k < 2 else 0) for at, x in parts]) for k in range(3))
     if n < length:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
     up, down = _powers.to(n)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
@@ -177,11 +180,11 @@ def anchors(data: np.ndarray, length: int = LENGTH, size: int = ANCHOR) -> tuple
     least = np.minimum(right[:m], left[wide - 1 : wide - 1 + m])
     first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
     place = (least[first] & _PLACE).astype(np.int64)
-    return grams[place], place, first, np.diff(np.r_[first, m])
+    return place, first, np.diff(np.r_[first, m])
 
 
 KEYS = "_doc string, _row long"
-SEGMENT = f"{KEYS}, anchor long, segment long, start long, strings int, place int"
+SEGMENT = f"{KEYS}, anchor long, segment long, starts array<long>, strings int, place int"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -190,28 +193,43 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc"), F.xxhash64("doc_id", text).alias("_row"))
 
 
+def _digest(raw: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(raw)
+
+
 def segments(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR) -> DataFrame:
-    """A row for each anchor of each text: its hash, that of its segment, first string, strings, and the anchor's place in the segment."""
+    """A row for each anchor of each text, with the hashes of both: where the segment starts, how many strings it has, and the anchor's place in it.
+
+    A segment that a text repeats is one row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = utf8(b.column(2))
             flat = np.frombuffer(data, np.uint8)
             for i, j in slices(offsets, 1 << 22):
-                rows, found = [], []
+                rows, found, starts = [], [], []
                 for r in range(i, j):
                     lo, hi = int(offsets[r]), int(offsets[r + 1])
                     if hi - lo < length:
                         continue
-                    h, place, first, n = anchors(flat[lo:hi], length, size)
+                    place, first, n = anchors(flat[lo:hi], length, size)
                     raw = bytes(data[lo:hi])
-                    seg = [xxhash.xxh3_64_intdigest(raw[a:z]) for a, z in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)]
-                    found.append((h.view(np.int64), np.array(seg, np.uint64).view(np.int64), first, n.astype(np.int32), (place - first).astype(np.int32)))
-                    rows.append(np.full(len(h), r))
+                    mine = np.array([_digest(raw[a : a + size]) for a in place.tolist()], np.uint64)
+                    seg = np.array([_digest(raw[a:z]) for a, z in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], np.uint64)
+                    order = np.lexsort((first, seg, mine))
+                    mine, seg = mine[order], seg[order]
+                    head = np.flatnonzero(np.r_[True, (mine[1:] != mine[:-1]) | (seg[1:] != seg[:-1])])
+                    one = order[head]
+                    found.append((mine[head].view(np.int64), seg[head].view(np.int64), np.diff(np.r_[head, len(order)]), n[one].astype(np.int32), (place - first)[one].astype(np.int32)))
+                    starts.append(first[order])
+                    rows.append(np.full(len(head), r))
                 if rows:
                     at = pa.array(np.concatenate(rows))
-                    columns = [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)]
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *columns], names=["_doc", "_row", "anchor", "segment", "start", "strings", "place"])
+                    anchor, segment, times, strings, place = (np.concatenate(x) for x in zip(*found, strict=True))
+                    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(times)].astype(np.int32)), pa.array(np.concatenate(starts)))
+                    columns = [pa.array(anchor), pa.array(segment), lists, pa.array(strings), pa.array(place)]
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *columns], names=["_doc", "_row", "anchor", "segment", "starts", "strings", "place"])
 
     return docs.filter(F.octet_length("text") >= length).select("_doc", "_row", "text").mapInArrow(run, SEGMENT)
 
@@ -277,13 +295,17 @@ def _shards(length: int, size: int, shard: int):
         groups, weight, now = [], 0, None
         for b in batches:
             for anchor, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if anchor != now:
+                # the bytes decide, the hash only brings them together
+                mine = (anchor, row[-1][row[4] : row[4] + size])
+                if now is None or anchor != now[0]:
                     if weight >= shard:
                         if (out := solve(groups)) is not None:
                             yield out
                         groups, weight = [], 0
                     groups.append([])
-                    now = anchor
+                elif mine != now:
+                    groups.append([])
+                now = mine
                 groups[-1].append(tuple(row))
                 weight += len(row[-1]) - size + 2
         if groups and (out := solve(groups)) is not None:
@@ -310,20 +332,67 @@ def _fetch(length: int, size: int):
     return run
 
 
-def _windows(length: int):
-    """A mapInArrow function that hashes every string of segments in crowded groups, by anchor and place."""
-    kinds = pa.schema([("anchor", pa.int64()), ("hash", pa.binary()), ("_doc", pa.string()), ("_row", pa.int64()), ("start", pa.int64()), ("times", pa.int64())])
+def _parted(length: int, size: int, wide: int):
+    """A mapInArrow function that splits segments by the anchor's place in their strings, ``wide`` places to a part.
+
+    The parts of a group are groups of their own: the key is the old one, the
+    part, and the bytes on both sides of the anchor that all strings of the part
+    have.
+    """
+    kinds = pa.schema([("anchor", pa.int64()), ("_doc", pa.string()), ("_row", pa.int64()), ("start", pa.int64()), ("strings", pa.int32()), ("place", pa.int32()), ("times", pa.int64()), ("raw", pa.binary()), ("segment", pa.int64())])
+    free = length - size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for anchor, doc, row, start, n, _, times, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                hashes = [xxhash.xxh3_128_digest(raw[i : i + length]) for i in range(n)]
-                columns = [[anchor] * n, hashes, [doc] * n, [row] * n, range(start, start + n), [times] * n]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, kinds, strict=True)], schema=kinds)
+            for k in range(0, b.num_rows, 1024):
+                out = []
+                for anchor, doc, row, start, n, place, times, raw in zip(*(c.to_pylist() for c in b.slice(k, 1024).columns), strict=True):
+                    for part in range((place - n + 1) // wide, place // wide + 1):
+                        lo, hi = part * wide, min(part * wide + wide - 1, free)
+                        a, z = max(0, place - hi), min(n - 1, place - lo)
+                        near = raw[place - lo : place + size + free - hi]
+                        key = _digest(b"%d %d %d " % (anchor, wide, part) + near)
+                        own = raw[a : z + length]
+                        out.append((_signed(key), doc, row, start + a, z - a + 1, place - a, times, own, _signed(_digest(own))))
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
 
     return run
 
 
+def _signed(x: int) -> int:
+    return x - 2**64 if x >= 2**63 else x
+
+
+def _split(fetched: DataFrame, variants: DataFrame, length: int, size: int, group_max: int) -> tuple[DataFrame, DataFrame | None]:
+    """Fetched segments in groups of at most ``group_max``, and ranges of strings found to repeat on the way.
+
+    Crowded groups are split into parts, each at most half as wide as before.
+    Equal parts are counted and kept once. A part of one place has all its
+    strings' bytes in its key, so the splitting ends.
+    """
+    columns, found, wide = [c.split()[0] for c in FETCHED.split(", ")], None, length - size + 1
+    whole = None
+    while wide > 1:
+        crowded = stage_table(variants.filter(F.col("variants") > group_max).select("anchor"), "crowded")
+        if crowded.isEmpty():
+            break
+        wide = -(-wide // 2)
+        calm = fetched.join(crowded, "anchor", "left_anti").select(*columns)
+        whole = calm if whole is None else whole.unionByName(calm)
+        parts = fetched.join(crowded, "anchor", "left_semi").select(*columns)
+        parts = stage_table(parts.mapInArrow(_parted(length, size, wide), f"{FETCHED}, segment long"), "parts")
+        sums = stage_table(parts.groupBy("anchor", "segment").agg(F.sum("times").alias("all"), F.min(F.struct("_doc", "_row", "start")).alias("one")), "sums")
+        # a segment that was met more than once has been reported with all its strings
+        again = parts.filter("times = 1").join(sums.filter("all > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
+        again = again.select("_doc", "_row", "start", F.col("strings").cast("long").alias("strings"))
+        found = again if found is None else found.unionByName(again)
+        variants = stage_table(sums.groupBy("anchor").agg(F.count("*").alias("variants")).filter("variants > 1"), "variants")
+        kept = sums.join(variants.select("anchor"), "anchor").select("anchor", "segment", F.col("all").alias("times"), "one.*")
+        kept = parts.drop("times").join(kept, ["anchor", "segment", "_doc", "_row", "start"])
+        fetched = stage_table(kept.select(*columns), "fetched")
+    return fetched.select(*columns) if whole is None else whole.unionByName(fetched.select(*columns)), found
+
+
 def repeated_strings(keyed: DataFrame, length: int = LENGTH, size: int = ANCHOR, shard: int = SHARD, group_max: int = GROUP_MAX) -> DataFrame:
     """``_doc, _row, start, strings``: ranges of starts of ``length``-byte strings that also start elsewhere.
 
@@ -332,31 +401,23 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH, size: int = ANCHOR,
     n = width(keyed.sparkSession)
     every = stage_table(segments(keyed, length, size), "segments")
     # written, so that the join deals out both sides anew and a hot anchor's rows can be split
-    again = stage_table(every.groupBy("anchor").count().filter("count > 1").select("anchor"), "again")
+    again = stage_table(every.groupBy("anchor").agg(F.sum(F.size("starts")).alias("n")).filter("n > 1").select("anchor"), "again")
     met = stage_table(every.join(again, "anchor", "left_semi"), "met")
     drop_table(every)
-    one = F.struct("_doc", "_row", "start", "strings", "place")
-    kinds = met.groupBy("anchor", "segment").agg(F.count("*").alias("times"), F.min(one).alias("one"))
+    one = F.struct("_doc", "_row", F.col("starts")[0].alias("start"), "strings", "place")
+    kinds = met.groupBy("anchor", "segment").agg(F.sum(F.size("starts")).alias("times"), F.min(one).alias("one"))
     kinds = stage_table(kinds, "kinds")
     copies = met.join(kinds.filter("times > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
-    copies = copies.select("_doc", "_row", "start", F.col("strings").cast("long").alias("strings"))
-    variants = kinds.groupBy("anchor").agg(F.count("*").alias("variants")).filter("variants > 1")
-    wanted = kinds.join(variants, "anchor").select("anchor", "variants", "times", "one.*")
-    lists = wanted.groupBy("_doc", "_row").agg(F.collect_list(F.struct("anchor", "start", "strings", "place", F.col("times"))).alias("wanted"))
+    copies = copies.select("_doc", "_row", F.explode("starts").alias("start"), F.col("strings").cast("long").alias("strings"))
+    variants = stage_table(kinds.groupBy("anchor").agg(F.count("*").alias("variants")).filter("variants > 1"), "variants")
+    wanted = kinds.join(variants.select("anchor"), "anchor").select("anchor", "times", "one.*")
+    lists = wanted.groupBy("_doc", "_row").agg(F.collect_list(F.struct("anchor", "start", "strings", "place", "times")).alias("wanted"))
     fetched = lists.join(keyed.select("_doc", "_row", "text"), ["_doc", "_row"])
     fetched = stage_table(fetched.select("_doc", "_row", "text", "wanted").mapInArrow(_fetch(length, size), FETCHED), "fetched")
-    crowded = stage_table(variants.filter(F.col("variants") > group_max).select("anchor"), "crowded")
-    out = copies
-    if not crowded.isEmpty():
-        packed = fetched.join(crowded, "anchor", "left_semi").mapInArrow(_windows(length), f"anchor long, hash binary, {KEYS}, start long, times long")
-        packed = stage_table(packed, "windows")
-        equal = packed.groupBy("anchor", "hash").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "hash")
-        found = packed.filter("times = 1").join(equal, ["anchor", "hash"], "left_semi")
-        out = out.unionByName(found.select("_doc", "_row", "start", F.lit(1).cast("long").alias("strings")))
-        fetched = fetched.join(crowded, "anchor", "left_anti")
-    columns = [c.split()[0] for c in FETCHED.split(", ")]
-    dealt = fetched.select(*columns).repartition(n, "anchor").sortWithinPartitions("anchor")
-    return out.unionByName(dealt.mapInArrow(_shards(length, size, shard), RANGES))
+    fetched, found = _split(fetched, variants, length, size, group_max)
+    dealt = fetched.repartition(n, "anchor").sortWithinPartitions("anchor", F.substring("raw", F.col("place") + 1, F.lit(size)))
+    out = copies.unionByName(dealt.mapInArrow(_shards(length, size, shard), RANGES))
+    return out if found is None else out.unionByName(found)
 
 
 def covered(ranges: list[tuple[int, int]], length: int = LENGTH) -> list[tuple[int, int]]:
