@@ -49,7 +49,39 @@ def norm_label(c) -> Column:
 def scan_text(c) -> Column:
     """Text as tags are sought in it: upper case, plain dashes, no bars or underscores."""
     plain = F.translate(F.upper(text(c)), "–—|_", "--  ")
-    return F.btrim(F.regexp_replace(plain, r"\s+", " "))
+    return F.btrim(F.regexp_replace(plain, r"[\s\p{Z}\x0b\x1c-\x1f\x85]+", " "))
+
+
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def worded(choices: str) -> str:
+    """A pattern for whole words: what is neither letter, digit nor underscore stands on both sides."""
+    return rf"(?<![\p{{L}}\p{{N}}_])(?:{choices})(?![\p{{L}}\p{{N}}_])"
+
+
+def near_matches(s: Column, pattern: str, contexts: dict[str, str], window: int = 220) -> Column:
+    """Matches of a pattern in order, as structs: ``value``, and for each context whether its pattern occurs near the match.
+
+    Near is the match itself and ``window`` characters on either side. Places of
+    matches come from the lengths of matches and of what lies between them.
+    """
+    kind = f"array<struct<value: string, {', '.join(f'{n}: boolean' for n in contexts)}>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        first, stop = F.greatest(start - window, F.lit(0)), start + F.length(x["hit"])
+        flags = bind(F.substring(s, first + 1, stop - first + window), lambda w: F.struct(x["hit"].alias("value"), *[w.rlike(c).alias(n) for n, c in contexts.items()]))
+        return F.struct(stop.alias("at"), F.array_append(acc["out"], flags).alias("out"))
+
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(s, pattern, -1), F.lit(1), F.size(found))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+        return F.when(F.size(found) == 0, F.array().cast(kind)).otherwise(F.aggregate(F.arrays_zip(gaps.alias("gap"), found.alias("hit")), start, step, lambda a: a["out"]))
+
+    return bind(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), placed)
 
 
 def number(c) -> Column:

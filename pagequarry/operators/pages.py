@@ -22,6 +22,21 @@ ISA_FUNCTIONS = (
     "AT|AI|AIC|AIT|AC|AS|ZT|ZI|ZIC|ZIT|ZC|ZS|"
     "YT|YI|YIC|YIT|YC|YS|TE|FE|PE|LE|AE|VE|WE"
 )
+TAG_FIELD = "TAG|INSTRUMENT TAG|EQUIPMENT TAG|LOOP TAG|ITEM TAG|TAG NO"
+SERIAL_FIELD = "SERIAL|SERIAL NO|SERIAL NUMBER|S/N|SNO"
+CERTIFICATE = (
+    "FINAL TEST CERTIFICATE|DECLARATION OF CONFORMITY|CALIBRATION CERTIFICATE|TEST CERTIFICATE|"
+    "INSPECTION CERTIFICATE|CERTIFICATE OF CONFORMITY|CERTIFICATE|DECLARATION"
+)
+EQUIPMENT_CONTEXT = (
+    "EQUIPMENT|INSTRUMENTS?|VALVE|ACTUATOR|TRANSMITTER|CONTROLLER|SWITCH|GAUGE|DETECTOR|SENSOR|METER|ANALYSER|ANALYZER|"
+    "SOLENOID|CONTROL VALVE|PRESSURE|TEMPERATURE|FLOW|LEVEL|PROCESS CONNECTION|SET ?POINT|PROOF PRESSURE|RANGE|"
+    "MANUFACTURER|MODEL|TYPE|SERIAL"
+)
+TABLE_CONTEXT = (
+    "TABLE|EQUIPMENT LIST|INSTRUMENT DATA|DATA SHEET|DOCUMENT REGISTER|DOCUMENT NUMBER|DRAWING|SPARE PARTS?|PART NUMBER|"
+    "QUANTITY|DESCRIPTION|MODEL|RANGE|SET ?POINT|TERMINAL|WIRING|SCHEMATIC|PNEUMATIC|HYDRAULIC|PACKING|STORAGE"
+)
 
 
 def route(chars: Column, words: Column, alnum: Column, images: Column, min_chars: int = 80, min_words: int = 15, min_alnum: float = 0.25) -> Column:
@@ -136,41 +151,139 @@ def page_sets_equal(*frames: DataFrame) -> DataFrame:
     return every.groupBy("page").agg(F.count("*").alias("n_frames")).filter(F.col("n_frames") < len(frames))
 
 
+# a look at the shape comes before the long list of functions
+ISA_TAG = rf"(?<![A-Z0-9])(?=[A-Z]{{2,4}}\s*-?\s*\d)(?:{ISA_FUNCTIONS})\s*-?\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
+COMPACT_TAG = rf"(?<![A-Z0-9])\d{{3,8}}\s*(?:{ISA_FUNCTIONS})\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
+BROAD_TAG = r"(?<![A-Z0-9])\d{3,8}\s*[A-Z]{2,8}\s*\d{2,8}(?:[A-Z]{1,4})?(?![A-Z0-9])"
+SERIAL_OR_REFERENCE = r"(?<!\d)\d{3,8}\s*[-/]\s*\d{1,8}(?!\d)"
+_NEAR = {"near_tag": t.worded(TAG_FIELD), "near_equipment": t.worded(EQUIPMENT_CONTEXT)}
+
+
+def tag_accepted(tag: Column, compact: Column, separated: Column, near: Column) -> Column:
+    """Whether a tag counts: compact ones do, long ones if anything speaks for them, those of five characters or fewer only near a context."""
+    size = F.length(tag)
+    return compact | F.when(size > 5, separated | (size >= 7) | near).otherwise(near)
+
+
+def tag_matches(s: Column) -> Column:
+    """Tags in a scan text, compact ones first: structs of ``kind, tag, near_tag, near_equipment, accepted``."""
+
+    def judged(kind: str, pattern: str) -> Column:
+        def one(m: Column) -> Column:
+            tag = F.regexp_replace(m["value"], r"\s+", "")
+            ok = tag_accepted(tag, F.lit(kind == "compact_instrument_tag"), F.contains(m["value"], F.lit("-")), m["near_tag"] | m["near_equipment"])
+            return F.struct(F.lit(kind).alias("kind"), tag.alias("tag"), m["near_tag"].alias("near_tag"), m["near_equipment"].alias("near_equipment"), ok.alias("accepted"))
+
+        return F.transform(t.near_matches(s, pattern, _NEAR), one)
+
+    return F.concat(judged("compact_instrument_tag", COMPACT_TAG), judged("isa_instrument_tag", ISA_TAG))
+
+
+def broad_tags(s: Column) -> Column:
+    """Other compact identifiers near a tag field, in order."""
+    near = F.filter(t.near_matches(s, BROAD_TAG, {"near_tag": t.worded(TAG_FIELD)}), lambda m: m["near_tag"])
+    return F.array_distinct(F.transform(near, lambda m: F.regexp_replace(m["value"], r"\s+", "")))
+
+
+def serial_references(s: Column) -> Column:
+    """Serial numbers and references in a scan text, in order."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(s, F.lit(SERIAL_OR_REFERENCE), F.lit(0)), lambda x: F.regexp_replace(x, r"\s+", "")))
+
+
+def _evidence(s: Column) -> Column:
+    """What one scan text shows, as a struct."""
+    has = lambda words: s.rlike(t.worded(words))
+    terms = F.size(F.array_distinct(F.regexp_extract_all(s, F.lit(t.worded(TABLE_CONTEXT)), F.lit(0))))
+    return F.struct(
+        tag_matches(s).alias("matches"),
+        broad_tags(s).alias("broad"),
+        serial_references(s).alias("references"),
+        has(TAG_FIELD).alias("tag_field"),
+        has(SERIAL_FIELD).alias("serial_field"),
+        has(CERTIFICATE).alias("certificate"),
+        has(EQUIPMENT_CONTEXT).alias("equipment"),
+        terms.alias("table_terms"),
+    )
+
+
+def _reasons(e: Column, broad: Column) -> Column:
+    """Why a text scores, in order and each once."""
+    said = lambda label, x: F.concat(F.lit(f"{label}:"), x)
+
+    def of(m: Column) -> Column:
+        accepted = F.array(F.concat_ws(":", m["kind"], m["tag"]), F.when(m["near_tag"], said("tag_field_near", m["tag"])), F.when(m["near_equipment"], said("equipment_context_near", m["tag"])))
+        return F.when(m["accepted"], accepted).otherwise(F.array(said("short_tag_rejected_without_context", m["tag"])))
+
+    flags = F.array(
+        F.when(e["tag_field"], "tag_field_present"),
+        F.when(e["serial_field"], "serial_field_present"),
+        F.when(e["serial_field"] & e["tag_field"], "serial_and_tag_fields_present"),
+        F.when(e["certificate"], "certificate_or_declaration_present"),
+        F.when(e["equipment"], "equipment_context_present"),
+        F.when(e["table_terms"] > 0, "table_or_document_context_present"),
+        F.when(e["table_terms"] >= 3, said("table_context_terms", e["table_terms"].cast("string"))),
+    )
+    every = F.concat(
+        F.flatten(F.transform(e["matches"], of)),
+        F.transform(broad, lambda x: said("broad_candidate_in_tag_context", x)),
+        F.transform(e["references"], lambda x: said("serial_or_reference", x)),
+        flags,
+    )
+    return F.array_distinct(F.array_compact(every))
+
+
 def tag_evidence(rotations: DataFrame) -> DataFrame:
-    """Tags, context and scores of each rotation's text (``page, rotation, text``)."""
-    s = t.scan_text("text")
-    has = lambda words: s.rlike(rf"\b({words})\b")
-    tags = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(s, F.lit(rf"(?:^|[^A-Z0-9])((?:{ISA_FUNCTIONS})\s*-?\s*\d{{2,8}})(?:[^A-Z0-9]|$)"), F.lit(1)), lambda x: F.regexp_replace(x, r"\s+", ""))))
-    serials = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(s, F.lit(r"(\d{3,8}\s*[-/]\s*\d{1,8})"), F.lit(1)), lambda x: F.regexp_replace(x, r"\s+", ""))))
-    out = rotations.select(
+    """Tags, context, scores and reasons of each rotation's text (``page, rotation, text``)."""
+    found = rotations.select("page", "rotation", t.bind(t.scan_text("text"), _evidence).alias("e"))
+    e = F.col("e")
+    good = F.filter(e["matches"], lambda m: m["accepted"])
+    found = found.select("page", "rotation", "e", good.alias("good"), F.array_distinct(F.transform(good, lambda m: m["tag"])).alias("sure"))
+    found = found.withColumn("broad", F.array_except(e["broad"], "sure"))
+    point = lambda c, n: F.when(c, n).otherwise(0)
+    bonus = F.aggregate("good", F.lit(0), lambda a, m: a + point(m["near_tag"], 5) + point(m["near_equipment"], 2))
+    review = (
+        point(e["tag_field"], 3)
+        + point(e["serial_field"], 2)
+        + point(e["tag_field"] & e["serial_field"], 3)
+        + point(e["certificate"], 3)
+        + point(e["equipment"], 1)
+        + point(e["table_terms"] > 0, 1)
+        + point(e["table_terms"] >= 3, 2)
+    )
+    return found.select(
         "page",
         "rotation",
-        tags.alias("tags"),
-        serials.alias("serials"),
-        has("TAG|INSTRUMENT TAG|EQUIPMENT TAG|TAG NO").alias("tag_field"),
-        has("SERIAL|SERIAL NO|SERIAL NUMBER|S/N|SNO").alias("serial_field"),
-        has("CERTIFICATE|DECLARATION|LICENSE").alias("certificate"),
-        has("EQUIPMENT|INSTRUMENT|VALVE|PRESSURE|RANGE|MODEL|TYPE|PUBLIC").alias("equipment"),
-        has("TABLE|DRAWING|QUANTITY|DESCRIPTION|VERSION").alias("table"),
+        F.array_sort(F.concat("sure", "broad")).alias("tags"),
+        F.array_sort(e["references"]).alias("serials"),
+        e["tag_field"].alias("tag_field"),
+        e["certificate"].alias("certificate"),
+        e["equipment"].alias("equipment"),
+        (e["table_terms"] > 0).alias("table"),
+        (5 * F.size("sure") + bonus + 3 * F.size("broad")).alias("equipment_score"),
+        review.alias("review_score"),
+        F.size(e["references"]).alias("serial_score"),
+        F.exists("good", lambda m: m["near_tag"] | m["near_equipment"]).alias("near"),
+        F.exists("good", lambda m: m["near_equipment"]).alias("near_equipment"),
+        _reasons(e, F.col("broad")).alias("reasons"),
     )
-    one = lambda c, n: F.when(F.col(c), n).otherwise(0)
-    review = one("tag_field", 3) + one("serial_field", 2) + F.when(F.col("tag_field") & F.col("serial_field"), 3).otherwise(0) + one("certificate", 3) + one("equipment", 1) + one("table", 1)
-    near = (F.size("tags") > 0) & (F.col("tag_field") | F.col("equipment"))
-    return out.select("*", review.alias("review_score"), F.size("serials").alias("serial_score"), (F.size("tags") * 5 + F.when(near, 2).otherwise(0)).alias("equipment_score"), near.alias("near"))
 
 
 def merged_rotations(found: DataFrame) -> DataFrame:
-    """One row for each page: largest scores, tags of all rotations, and the decision."""
+    """One row for each page: largest scores, tags and reasons of all rotations, and the decision."""
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    turned = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("rotation")))), ",")
+    said = F.array_sort(F.collect_list(F.struct("rotation", "reasons")))
     m = found.groupBy("page").agg(
         *[F.max(c).alias(c) for c in ("equipment_score", "review_score", "serial_score")],
         flat("tags").alias("tags"),
         flat("serials").alias("serials"),
         F.bool_or("near").alias("near"),
         F.bool_or(F.col("tag_field") & (F.col("equipment") | F.col("certificate"))).alias("field"),
-        F.bool_or("equipment").alias("equipment"),
+        F.bool_or(F.col("equipment") | F.col("near_equipment")).alias("equipment"),
         F.bool_or("table").alias("table"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("review_score") >= 5, F.col("rotation")))), ",").alias("review_rotations"),
+        turned(F.col("near")).alias("strong_rotations"),
+        turned(F.col("review_score") >= 5).alias("review_rotations"),
+        F.flatten(F.transform(said, lambda r: F.transform(r["reasons"], lambda x: F.concat(r["rotation"].cast("string"), F.lit("deg:"), x)))).alias("reasons"),
     )
     decision = (
         F.when(F.col("near"), "tag_detected_with_context")
@@ -180,7 +293,19 @@ def merged_rotations(found: DataFrame) -> DataFrame:
         .when(F.col("table"), "document_or_table_context_only")
         .otherwise("no_tag_evidence")
     )
-    return m.select("page", "equipment_score", "review_score", "serial_score", F.array_join("tags", ",").alias("tags"), F.array_join("serials", ",").alias("serials"), "review_rotations", decision.alias("decision"))
+    return m.select(
+        "page",
+        "equipment_score",
+        "review_score",
+        "serial_score",
+        F.array_join("tags", ",").alias("tags"),
+        F.array_join("serials", ",").alias("serials"),
+        "strong_rotations",
+        "review_rotations",
+        F.array_join(F.array_distinct("reasons"), " | ").alias("reasons"),
+        decision.alias("decision"),
+        (F.col("near") | (F.col("field") & F.col("equipment"))).alias("selected"),
+    )
 
 
 def text_tables(pages: DataFrame) -> DataFrame:

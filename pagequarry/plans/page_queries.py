@@ -158,36 +158,84 @@ def u03(i):
     return left.join(b.exceptAll(a).agg(F.count("*").alias("only_right")), F.lit(True))
 
 
-fixture("rotations", "SELECT page, r.rotation, CASE WHEN page % 4 = 0 THEN concat('TAG NO: PT-', CAST(page % 900 + 100 AS STRING), ' ', text) WHEN page % 4 = 1 AND r.rotation = 90 THEN concat('Serial no 4411-', CAST(page % 90 + 10 AS STRING), ' certificate ', text) WHEN page % 4 = 2 AND r.rotation = 0 THEN concat(left(text, 50), ' instrument valve PSV 4', CAST(page % 50 + 10 AS STRING), ' ', substring(text, 51)) WHEN page % 9 = 3 THEN concat('equipment tag table certificate ', text) ELSE text END AS text FROM (SELECT page, text FROM page_text) p CROSS JOIN (SELECT 0 AS rotation UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) r", "page_text")
-SCAN = rf""", n AS (SELECT page, rotation, trim(regexp_replace(translate(upper(replace(text, 'ß', 'ss')), '–—|_', '--  '), '\s+', ' ', 'g')) AS s FROM rotations),
-e AS (SELECT page, rotation, list_sort(list_distinct(list_transform(regexp_extract_all(s, '(?:^|[^A-Z0-9])((?:{pg.ISA_FUNCTIONS})\s*-?\s*\d{{2,8}})(?:[^A-Z0-9]|$)', 1), lambda x: regexp_replace(x, '\s+', '', 'g')))) AS tags,
-list_sort(list_distinct(list_transform(regexp_extract_all(s, '(\d{{3,8}}\s*[-/]\s*\d{{1,8}})', 1), lambda x: regexp_replace(x, '\s+', '', 'g')))) AS serials,
-regexp_matches(s, '\b(TAG|INSTRUMENT TAG|EQUIPMENT TAG|TAG NO)\b') AS tag_field, regexp_matches(s, '\b(SERIAL|SERIAL NO|SERIAL NUMBER|S/N|SNO)\b') AS serial_field, regexp_matches(s, '\b(CERTIFICATE|DECLARATION|LICENSE)\b') AS certificate, regexp_matches(s, '\b(EQUIPMENT|INSTRUMENT|VALVE|PRESSURE|RANGE|MODEL|TYPE|PUBLIC)\b') AS equipment, regexp_matches(s, '\b(TABLE|DRAWING|QUANTITY|DESCRIPTION|VERSION)\b') AS tbl FROM n),
-ev AS (SELECT *, CAST(3 * tag_field::INT + 2 * serial_field::INT + 3 * (tag_field AND serial_field)::INT + 3 * certificate::INT + equipment::INT + tbl::INT AS INT) AS review_score, CAST(len(serials) AS INT) AS serial_score, CAST(5 * len(tags) + CASE WHEN len(tags) > 0 AND (tag_field OR equipment) THEN 2 ELSE 0 END AS INT) AS equipment_score, len(tags) > 0 AND (tag_field OR equipment) AS near FROM e),
-m AS (SELECT page, max(equipment_score) AS equipment_score, max(review_score) AS review_score, max(serial_score) AS serial_score, list_sort(list_distinct(flatten(list(tags)))) AS tags, list_sort(list_distinct(flatten(list(serials)))) AS serials, coalesce(string_agg(CAST(rotation AS STRING), ',' ORDER BY rotation) FILTER (review_score >= 5), '') AS review_rotations, bool_or(near) AS near, bool_or(tag_field AND (equipment OR certificate)) AS field, bool_or(equipment) AS equipment, bool_or(tbl) AS tbl FROM ev GROUP BY 1),
-d AS (SELECT page, equipment_score, review_score, serial_score, array_to_string(tags, ',') AS tags, array_to_string(serials, ',') AS serials, review_rotations, CASE WHEN near THEN 'tag_detected_with_context' WHEN field AND equipment THEN 'tag_field_with_equipment_context' WHEN len(tags) > 0 THEN 'tag_like_text_without_supporting_context' WHEN len(serials) > 0 THEN 'serial_or_document_reference_only' WHEN tbl THEN 'document_or_table_context_only' ELSE 'no_tag_evidence' END AS decision FROM m) """
-
-
-@query("a03_rotation_merge", "rotations", sql=SCAN + "SELECT page, equipment_score, review_score, serial_score, tags, serials, review_rotations FROM d")
+# each page in four rotations; every kind of tag, field and reference stands at some places, next to others or far from them
+fixture("rotations", """SELECT page, r.rotation, CASE
+WHEN page % 8 = 0 THEN concat('TAG NO: PT-', CAST(page % 900 + 100 AS STRING), ' TT-', CAST(page % 90 + 10 AS STRING), 'AB ZS-1 ', text)
+WHEN page % 8 = 1 AND r.rotation = 90 THEN concat('Serial no 4411-', CAST(page % 90 + 10 AS STRING), '-7 certificate of conformity ', text)
+WHEN page % 8 = 2 AND r.rotation = 0 THEN concat(left(text, 50), ' instrument valve PSV 4', CAST(page % 50 + 10 AS STRING), ' ', substring(text, 51))
+WHEN page % 8 = 3 THEN concat('equipment tag table certificate spare parts set point wiring ', text)
+WHEN page % 8 = 4 THEN concat('FS5 ', text, ' 100PT2', CAST(page % 9 AS STRING), ' 200 FT 300 LT 400 | ZT — 12345')
+WHEN page % 8 = 5 AND r.rotation >= 180 THEN concat(text, ' item tag 4321 QQQ 55 and 4321QQQ55 123/45 S/N')
+WHEN page % 8 = 6 THEN concat('LT_7 ', substring(text, 1, 100), ' PIT 77 level ', substring(text, 101))
+WHEN page % 9 = 3 THEN concat('drawing 7777-1 ', text) ELSE text END AS text
+FROM (SELECT page, text FROM page_text) p CROSS JOIN (SELECT 0 AS rotation UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) r""", "page_text")
+
+
+def _scan_sql() -> str:
+    """The twin's engine has no look-around: runs of characters are marked instead, and patterns take the marks in."""
+    gap = r"(?:⟩\s*⟨)?"
+    tags = {
+        "compact_instrument_tag": rf"⟨\d{{3,8}}{gap}(?:{pg.ISA_FUNCTIONS}){gap}\d{{1,8}}(?:[A-Z]{{1,4}})?⟩",
+        "isa_instrument_tag": rf"⟨(?:{pg.ISA_FUNCTIONS})(?:⟩\s*-?\s*⟨)?\d{{1,8}}(?:[A-Z]{{1,4}})?⟩",
+        "broad": rf"⟨\d{{3,8}}{gap}[A-Z]{{2,8}}{gap}\d{{2,8}}(?:[A-Z]{{1,4}})?⟩",
+    }
+    has = lambda c, words: rf"regexp_matches({c}, '(^|[^\p{{L}}\p{{N}}_])({words})([^\p{{L}}\p{{N}}_]|$)')"
+    table = pg.TABLE_CONTEXT.replace(" ?", r"(?:⟩\s*⟨)?").replace(" ", r"⟩\s+⟨")
+    hits = " UNION ALL ".join(f"SELECT page, rotation, s, '{k}' AS kind, {n} AS nth, regexp_extract_all(a, '{p}') AS hits, string_split_regex(a, '{p}') AS gaps FROM n" for n, (k, p) in enumerate(tags.items()))
+    return rf""", n0 AS (SELECT page, rotation, trim(regexp_replace(translate(upper(replace(text, 'ß', 'ss')), '–—|_', '--  '), '[\s\p{{Z}}\x0b\x1c-\x1f\x85]+', ' ', 'g')) AS s FROM rotations),
+n AS (SELECT page, rotation, s, regexp_replace(s, '([A-Z0-9]+)', '⟨\1⟩', 'g') AS a, regexp_replace(s, '(\d+)', '⟨\1⟩', 'g') AS digits, regexp_replace(s, '([\p{{L}}\p{{N}}_]+)', '⟨\1⟩', 'g') AS w FROM n0),
+h0 AS ({hits}),
+h1 AS (SELECT page, rotation, s, kind, nth, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM h0 WHERE len(hits) > 0),
+h2 AS (SELECT page, rotation, s, kind, nth, i, translate(hit, '⟨⟩', '') AS hit, length(translate(hit, '⟨⟩', '')) AS size, sum(length(translate(gap, '⟨⟩', '')) + length(translate(hit, '⟨⟩', ''))) OVER (PARTITION BY page, rotation, nth ORDER BY i) AS stop FROM h1),
+h3 AS (SELECT *, regexp_replace(hit, '\s+', '', 'g') AS tag, substring(s, CAST(greatest(stop - size - 220, 0) + 1 AS BIGINT), CAST(stop - greatest(stop - size - 220, 0) + 220 AS BIGINT)) AS near FROM h2),
+h4 AS (SELECT *, {has("near", pg.TAG_FIELD)} AS near_tag, {has("near", pg.EQUIPMENT_CONTEXT)} AS near_equipment FROM h3),
+hit AS (SELECT page, rotation, kind, nth, i, tag, near_tag, near_equipment, kind = 'compact_instrument_tag' OR CASE WHEN length(tag) > 5 THEN contains(hit, '-') OR length(tag) >= 7 OR near_tag OR near_equipment ELSE near_tag OR near_equipment END AS accepted FROM h4 WHERE kind <> 'broad'),
+sure AS (SELECT page, rotation, list_distinct(list(tag)) AS sure, CAST(5 * count(DISTINCT tag) + sum(5 * near_tag::INT + 2 * near_equipment::INT) AS INT) AS points, bool_or(near_tag OR near_equipment) AS near, bool_or(near_equipment) AS near_equipment FROM hit WHERE accepted GROUP BY 1, 2),
+brd AS (SELECT h4.page, h4.rotation, tag, min(i) AS i FROM h4 LEFT JOIN sure USING (page, rotation) WHERE kind = 'broad' AND near_tag AND NOT list_contains(coalesce(sure, []), tag) GROUP BY 1, 2, 3),
+brds AS (SELECT page, rotation, list(tag) AS broad FROM brd GROUP BY 1, 2),
+ser AS (SELECT page, rotation, ref, min(i) AS i FROM (SELECT page, rotation, unnest(x) AS ref, generate_subscripts(x, 1) AS i FROM (SELECT page, rotation, list_transform(regexp_extract_all(digits, '⟨\d{{3,8}}⟩\s*[-/]\s*⟨\d{{1,8}}⟩'), lambda r: regexp_replace(translate(r, '⟨⟩', ''), '\s+', '', 'g')) AS x FROM n) q) q GROUP BY 1, 2, 3),
+sers AS (SELECT page, rotation, list_sort(list(ref)) AS serials FROM ser GROUP BY 1, 2),
+f AS (SELECT page, rotation, s, {has("s", pg.TAG_FIELD)} AS tag_field, {has("s", pg.SERIAL_FIELD)} AS serial_field, {has("s", pg.CERTIFICATE)} AS certificate, {has("s", pg.EQUIPMENT_CONTEXT)} AS equipment, len(list_distinct(regexp_extract_all(w, '⟨(?:{table})⟩'))) AS terms FROM n),
+ev AS (SELECT f.*, coalesce(near, false) AS near, coalesce(near_equipment, false) AS near_equipment, list_sort(list_concat(coalesce(sure, []), coalesce(broad, []))) AS tags, coalesce(serials, []) AS serials,
+CAST(coalesce(points, 0) + 3 * len(coalesce(broad, [])) AS INT) AS equipment_score, CAST(len(coalesce(serials, [])) AS INT) AS serial_score,
+CAST(3 * tag_field::INT + 2 * serial_field::INT + 3 * (tag_field AND serial_field)::INT + 3 * certificate::INT + equipment::INT + (terms > 0)::INT + 2 * (terms >= 3)::INT AS INT) AS review_score
+FROM f LEFT JOIN sure USING (page, rotation) LEFT JOIN brds USING (page, rotation) LEFT JOIN sers USING (page, rotation)),
+why AS (SELECT page, rotation, nth AS part, i, 1 AS sub, CASE WHEN accepted THEN kind || ':' || tag ELSE 'short_tag_rejected_without_context:' || tag END AS reason FROM hit
+UNION ALL SELECT page, rotation, nth, i, 2, 'tag_field_near:' || tag FROM hit WHERE accepted AND near_tag UNION ALL SELECT page, rotation, nth, i, 3, 'equipment_context_near:' || tag FROM hit WHERE accepted AND near_equipment
+UNION ALL SELECT page, rotation, 2, i, 0, 'broad_candidate_in_tag_context:' || tag FROM brd UNION ALL SELECT page, rotation, 3, i, 0, 'serial_or_reference:' || ref FROM ser
+UNION ALL SELECT page, rotation, 4, 1, 0, 'tag_field_present' FROM f WHERE tag_field UNION ALL SELECT page, rotation, 4, 2, 0, 'serial_field_present' FROM f WHERE serial_field UNION ALL SELECT page, rotation, 4, 3, 0, 'serial_and_tag_fields_present' FROM f WHERE serial_field AND tag_field
+UNION ALL SELECT page, rotation, 4, 4, 0, 'certificate_or_declaration_present' FROM f WHERE certificate UNION ALL SELECT page, rotation, 4, 5, 0, 'equipment_context_present' FROM f WHERE equipment
+UNION ALL SELECT page, rotation, 4, 6, 0, 'table_or_document_context_present' FROM f WHERE terms > 0 UNION ALL SELECT page, rotation, 4, 7, 0, 'table_context_terms:' || terms FROM f WHERE terms >= 3),
+reasons AS (SELECT page, string_agg(rotation || 'deg:' || reason, ' | ' ORDER BY rotation, place) AS reasons FROM (SELECT page, rotation, reason, min(100000 * part + 10 * i + sub) AS place FROM why GROUP BY 1, 2, 3) q GROUP BY 1),
+m AS (SELECT page, max(equipment_score) AS equipment_score, max(review_score) AS review_score, max(serial_score) AS serial_score, list_sort(list_distinct(flatten(list(tags)))) AS tags, list_sort(list_distinct(flatten(list(serials)))) AS serials,
+coalesce(string_agg(CAST(rotation AS STRING), ',' ORDER BY rotation) FILTER (near), '') AS strong_rotations, coalesce(string_agg(CAST(rotation AS STRING), ',' ORDER BY rotation) FILTER (review_score >= 5), '') AS review_rotations,
+bool_or(near) AS near, bool_or(tag_field AND (equipment OR certificate)) AS field, bool_or(equipment OR near_equipment) AS equipment, bool_or(terms > 0) AS tbl FROM ev GROUP BY 1),
+d AS (SELECT page, equipment_score, review_score, serial_score, array_to_string(tags, ',') AS tags, array_to_string(serials, ',') AS serials, strong_rotations, review_rotations, coalesce(reasons, '') AS reasons, near OR (field AND equipment) AS selected,
+CASE WHEN near THEN 'tag_detected_with_context' WHEN field AND equipment THEN 'tag_field_with_equipment_context' WHEN len(tags) > 0 THEN 'tag_like_text_without_supporting_context' WHEN len(serials) > 0 THEN 'serial_or_document_reference_only' WHEN tbl THEN 'document_or_table_context_only' ELSE 'no_tag_evidence' END AS decision FROM m LEFT JOIN reasons USING (page)) """
+
+
+SCAN = _scan_sql()
+
+
+@query("a03_rotation_merge", "rotations", sql=SCAN + "SELECT page, equipment_score, review_score, serial_score, tags, serials, strong_rotations, review_rotations, reasons FROM d")
 def a03(i):
-    return pg.merged_rotations(pg.tag_evidence(i.rotations)).drop("decision")
+    return pg.merged_rotations(pg.tag_evidence(i.rotations)).drop("decision", "selected")
 
 
-@query("p44_selection_decision", "rotations", sql=SCAN + "SELECT page, decision FROM d")
+@query("p44_selection_decision", "rotations", sql=SCAN + "SELECT page, decision, selected FROM d")
 def p44(i):
-    return pg.merged_rotations(pg.tag_evidence(i.rotations)).select("page", "decision")
+    return pg.merged_rotations(pg.tag_evidence(i.rotations)).select("page", "decision", "selected")
 
 
-@query("p45_tag_acceptance", "rotations", sql=SCAN + ", x AS (SELECT page, rotation, unnest(tags) AS tag, tag_field OR equipment AS ctx FROM ev) SELECT page, rotation, tag, (length(tag) > 5 AND (contains(tag, '-') OR length(tag) >= 7 OR ctx)) OR (length(tag) <= 5 AND ctx) AS accepted FROM x")
+@query("p45_tag_acceptance", "rotations", sql=SCAN + "SELECT page, rotation, kind, CAST(row_number() OVER (PARTITION BY page, rotation ORDER BY nth, i) - 1 AS INT) AS nth, tag, accepted FROM hit")
 def p45(i):
-    x = pg.tag_evidence(i.rotations).select("page", "rotation", F.explode("tags").alias("tag"), (F.col("tag_field") | F.col("equipment")).alias("ctx"))
-    n = F.length("tag")
-    return x.select("page", "rotation", "tag", (((n > 5) & (F.contains("tag", F.lit("-")) | (n >= 7) | F.col("ctx"))) | ((n <= 5) & F.col("ctx"))).alias("accepted"))
+    found = i.rotations.select("page", "rotation", F.posexplode(t.bind(t.scan_text("text"), pg.tag_matches)).alias("nth", "m"))
+    return found.select("page", "rotation", "m.kind", "nth", "m.tag", "m.accepted")
 
 
-@query("f04_regex_scan", "rotations", sql=SCAN + "SELECT page, rotation, array_to_string(tags, ',') AS tags, array_to_string(serials, ',') AS serials FROM ev")
+@query("f04_regex_scan", "rotations", sql=SCAN + "SELECT page, rotation, array_to_string(tags, ',') AS tags, array_to_string(serials, ',') AS serials, equipment_score, review_score FROM ev")
 def f04(i):
-    return pg.tag_evidence(i.rotations).select("page", "rotation", F.array_join("tags", ",").alias("tags"), F.array_join("serials", ",").alias("serials"))
+    return pg.tag_evidence(i.rotations).select("page", "rotation", F.array_join("tags", ",").alias("tags"), F.array_join("serials", ",").alias("serials"), "equipment_score", "review_score")
 
 
 @query("f03_scan_text", "rotations", sql=SCAN + "SELECT page, rotation, s AS scan_text FROM n")
@@ -195,12 +243,11 @@ def f03(i):
     return i.rotations.select("page", "rotation", t.scan_text("text").alias("scan_text"))
 
 
-@query("j24_text_proximity", "rotations", sql=SCAN + ", x AS (SELECT page, rotation, s, strpos(s, 'PT-') AS pos FROM n) SELECT page, rotation, pos > 0 AS has_tag, pos > 0 AND regexp_matches(substring(s, greatest(1, pos - 220), 440), '\\b(TAG|SERIAL)\\b') AS near FROM x")
+@query("j24_text_proximity", "rotations", sql=SCAN + "SELECT page, rotation, CAST(i - 1 AS INT) AS nth, hit AS value, near_tag, near_equipment FROM h4 WHERE kind = 'isa_instrument_tag'")
 def j24(i):
-    s = t.scan_text("text")
-    at = F.instr(s, "PT-")
-    near = F.substring(s, F.greatest(F.lit(1), at - 220), F.lit(440)).rlike(r"\b(TAG|SERIAL)\b")
-    return i.rotations.select("page", "rotation", (at > 0).alias("has_tag"), ((at > 0) & near).alias("near"))
+    contexts = {"near_tag": t.worded(pg.TAG_FIELD), "near_equipment": t.worded(pg.EQUIPMENT_CONTEXT)}
+    found = t.bind(t.scan_text("text"), lambda s: t.near_matches(s, pg.ISA_TAG, contexts))
+    return i.rotations.select("page", "rotation", F.posexplode(found).alias("nth", "m")).select("page", "rotation", "nth", "m.*")
 
 
 fixture("table_text", "SELECT page, concat(text, chr(10), 'name | qty | code', chr(10), 'a | ', CAST(page AS STRING), ' | b', CASE WHEN page % 3 = 0 THEN concat(chr(10), 'c | d | e') ELSE '' END, chr(10), 'plain', chr(10), CASE WHEN page % 2 = 0 THEN concat('x  y', chr(10), 'u  v  w', chr(10), chr(10), 'lonely | row') ELSE concat('p', chr(9), 'q') END) AS text FROM page_text WHERE position('|' IN text) = 0", "page_text")

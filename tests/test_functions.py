@@ -9,6 +9,7 @@ from pagequarry.functions import geometry as g
 from pagequarry.functions import sequence as sq
 from pagequarry.functions import text as t
 from pagequarry.operators import measure as ms
+from pagequarry.operators import pages as pg
 from pagequarry.operators import tables as tb
 
 
@@ -101,3 +102,48 @@ def test_key_values(spark):
 def test_casefold(spark):
     assert one(spark, t.casefold(F.lit("Straße"))) == "strasse"
     assert one(spark, t.norm_alnum(F.lit(" A-b 1"))) == "ab1" and one(spark, t.text(F.lit(None))) == ""
+
+
+# ---------------------------------------------------------------- tag scan
+
+
+def scanned(spark, *texts):
+    rows = spark.createDataFrame([(1, 90 * k, x) for k, x in enumerate(texts)], "page long, rotation int, text string")
+    found = pg.tag_evidence(rows)
+    return [r.asDict() for r in found.orderBy("rotation").collect()], pg.merged_rotations(found).first().asDict()
+
+
+def test_neighbouring_tags_are_all_found(spark):
+    (e,), _ = scanned(spark, "Tag no PT-101 PT-102,TT – 7|FE_12AB 100PT200 300 FT 4")
+    assert e["tags"] == sorted(["PT-101", "PT-102", "TT-7", "FE12AB", "100PT200", "300FT4", "FT4"])
+    assert e["equipment_score"] == 7 * (5 + 5)
+    assert [r for r in e["reasons"] if r.startswith("compact")] == ["compact_instrument_tag:100PT200", "compact_instrument_tag:300FT4"]
+
+
+def test_short_tags_need_a_context_within_220_characters(spark):
+    far = "x " * 150
+    (a, b), m = scanned(spark, f"ZS-1 {far} valve", f"ZS-1 and FS5 {'x ' * 20} valve")
+    assert a["tags"] == [] and "short_tag_rejected_without_context:ZS-1" in a["reasons"] and a["equipment"]
+    assert b["tags"] == ["FS5", "ZS-1"] and b["equipment_score"] == 2 * (5 + 2) and b["near"]
+    assert m["decision"] == "tag_detected_with_context" and m["selected"] and m["strong_rotations"] == "90"
+
+
+def test_repeated_tags_score_once_but_for_what_is_near(spark):
+    (e,), _ = scanned(spark, "level PSV-4410 PSV-4410")
+    assert e["tags"] == ["PSV-4410"] and e["equipment_score"] == 5 + 2 + 2
+
+
+def test_broad_identifiers_count_near_a_tag_field(spark):
+    (a, b), m = scanned(spark, "item tag 4321 QQQ 55 4321QQQ55", "4321QQQ55")
+    assert a["tags"] == ["4321QQQ55"] and a["equipment_score"] == 3 and b["tags"] == []
+    assert m["decision"] == "tag_like_text_without_supporting_context" and not m["selected"]
+
+
+def test_fields_references_and_decisions(spark):
+    (e,), m = scanned(spark, "Serial no 123-4-5 9999/1 data sheet drawing set point ÉTAG")
+    assert e["serials"] == ["123-4", "9999/1"] and not e["tag_field"] and e["review_score"] == 2 + 1 + 1 + 2
+    assert m["decision"] == "serial_or_document_reference_only"
+    assert m["reasons"].split(" | ")[0] == "0deg:serial_or_reference:123-4"
+    assert scanned(spark, "equipment tag")[1]["decision"] == "tag_field_with_equipment_context"
+    assert scanned(spark, "packing")[1]["decision"] == "document_or_table_context_only"
+    assert scanned(spark, None)[1]["decision"] == "no_tag_evidence"
