@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -87,3 +87,16 @@ def tile_starts(width: Column, tiles: int = 5, share: float = 0.3) -> Column:
     tile = F.ceil(width / (tiles - (tiles - 1) * share))
     step = F.floor(tile * (1 - share))
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(tiles - 1)), lambda i: F.least(i * step, width - tile)))
+
+
+def overlapping(boxes: DataFrame, keys: list[str], number: str, height: float = 64.0) -> DataFrame:
+    """Pairs of boxes of one group that overlap: ``keys, left_no, right_no, left, right``, the lesser number first.
+
+    ``boxes`` has the keys, a number and a box ``b``. Boxes meet by the horizontal
+    bands that they cover, in the first band that both have.
+    """
+    first, last = F.floor(F.col("b.y1") / height), F.floor(F.col("b.y2") / height)
+    banded = boxes.select(*keys, F.col(number).alias("no"), "b", first.alias("first"), F.explode(F.sequence(first, F.greatest(first, last))).alias("band"))
+    left, right = banded.toDF(*keys, "left_no", "left", "left_first", "band"), banded.toDF(*keys, "right_no", "right", "right_first", "band")
+    j = left.join(right, [*keys, "band"]).filter("left_no < right_no and band = greatest(left_first, right_first)")
+    return j.select(*keys, "left_no", "right_no", "left", "right").filter(overlap_ratio(F.col("left"), F.col("right")) > 0)

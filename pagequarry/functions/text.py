@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Punctuation that does not belong to a value at its ends.
+EDGES = " \t\r\n:;,.()[]{}"
 NUMBER = r"^[-+]?\d+([.,]\d+)?$"
 
 

@@ -12,6 +12,7 @@ from ..functions import text as t
 
 IDENTITY = ("equipment_tag", "serial_number")
 METADATA = ("model", "equipment_description", "range_or_rating", "set_point", "declaration_reference", "purchase_order", "test_certificate_reference")
+PROVENANCE = ("source_page", "evidence_id", "source_text")
 CORE = ("model", "equipment_description", "range_or_rating", "set_point")
 
 
@@ -42,7 +43,9 @@ def best_evidence(evidence: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """One row for each equipment and field with the best evidence of its best value.
 
     Values are equal by case-folded, cleaned text; evidence is ranked by tier, then
-    confidence, then selection score, and ties go to the least evidence id.
+    confidence, then selection score, and ties go to the least evidence id. What
+    the group rests on comes along: pages, evidence ids and source texts of all
+    its rows, each once and in order.
     """
     e = evidence.filter((t.clean("equipment_id") != "") & (t.clean("field_name") != "") & (t.clean("field_value") != ""))
     e = e.filter(~F.col("field_name").isin(*policy.identity_fields))
@@ -51,14 +54,17 @@ def best_evidence(evidence: DataFrame, policy: Policy = Policy()) -> DataFrame:
     lead = e.groupBy("equipment_id", "equipment_tag", "serial_number", "field_name", "norm_value").agg(
         F.max("score").alias("score"),
         F.max_by("field_value", F.struct("score", F.col("evidence_id"))).alias("field_value"),
-        F.min("evidence_id").alias("first_id"),
         F.count("*").alias("n_rows"),
+        *[F.collect_set(F.when(t.clean(c) != "", F.col(c))).alias(c) for c in PROVENANCE],
     )
+    every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     return lead.groupBy("equipment_id", "equipment_tag", "serial_number", "field_name").agg(
         F.count("*").alias("n_values"),
         F.sum("n_rows").alias("n_rows"),
         F.max_by("norm_value", F.struct("score", "norm_value")).alias("norm_value"),
+        F.max_by("field_value", F.struct("score", "norm_value")).alias("field_value"),
         F.max("score").alias("score"),
+        *[every(c).alias(f"{c}s") for c in PROVENANCE],
     )
 
 
@@ -112,25 +118,41 @@ def summary(decided: DataFrame) -> DataFrame:
 
 def patterns(evidence: DataFrame) -> DataFrame:
     """Groups of evidence with equal field, value and source text, label-only rows left out."""
-    e = evidence.select("*", *[t.casefold(t.clean(c)).alias(f"norm_{k}") for c, k in (("field_name", "field"), ("field_value", "value"), ("source_text", "source"))])
-    f, v, s = F.col("norm_field"), F.col("norm_value"), F.col("norm_source")
+    key = ["norm_field", "norm_value", "norm_source"]
+    norms = F.struct(*[t.casefold(t.clean(c)).alias(n) for n, c in zip(key, ("field_name", "field_value", "source_text"), strict=True)])
+    # a generator, so that the norms are made once and not again in the filter
+    e = evidence.select("equipment_id", "source_page", "confidence", F.inline(F.array(norms)))
+    f, v, s = (F.col(c) for c in key)
     e = e.filter((f != "") & (v != "") & (v != f) & (s != v) & (s != f))
-    out = e.groupBy("norm_field", "norm_value", "norm_source").agg(
-        F.countDistinct("equipment_id").alias("n_equipment"),
-        F.array_join(F.array_sort(F.collect_set("source_page")), ",").alias("pages"),
-        F.max("confidence").alias("max_confidence"),
-        F.count("*").alias("n_rows"),
-    )
+    # counted by equipment and by page first, so that a frequent text is no single row's list of rows
+    rows = e.groupBy(*key, "equipment_id").agg(F.max("confidence").alias("confidence"), F.count("*").alias("n"))
+    rows = rows.groupBy(*key).agg(F.count("equipment_id").alias("n_equipment"), F.max("confidence").alias("max_confidence"), F.sum("n").alias("n_rows"))
+    pages = e.select(*key, "source_page").distinct().groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list("source_page")), ",").alias("pages"))
+    out = rows.join(pages, key)
     action = F.when(F.col("n_equipment") > 1, "review_once_then_propagate").otherwise("review_equipment_specific")
     return out.select(t.short_id("PAT-", f, v, s).alias("pattern_id"), "*", action.alias("action"))
 
 
+def numbered(rows: DataFrame, key: str, name: str, prefix: int = 4) -> DataFrame:
+    """``rows`` with their place in the order of the text column ``key``, whose values differ.
+
+    Rows are numbered within the first characters of their key, after as many as
+    lesser ones have; so only the counts of prefixes are in one place.
+    """
+    rows = rows.withColumn("_prefix", F.left(key, F.lit(prefix)))
+    counts = rows.groupBy("_prefix").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("_prefix", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_prefix").orderBy(key)) + F.col("_before")
+    return rows.join(counts, "_prefix").withColumn(name, place).drop("_prefix", "_before")
+
+
 def identity_registry(evidence: DataFrame) -> DataFrame:
     """Different pairs of tag and serial number with their pages and an id by their order."""
     key = F.concat(t.norm_upper("equipment_tag"), F.lit("::"), t.clean("serial_number"))
     groups = evidence.groupBy(key.alias("identity_key")).agg(F.min("equipment_tag").alias("equipment_tag"), F.min("serial_number").alias("serial_number"), F.array_join(F.array_sort(F.collect_set("source_page")), ",").alias("pages"))
-    number = F.row_number().over(Window.orderBy("identity_key"))
-    return groups.select(F.format_string("EQ-%04d", number).alias("registry_id"), "*")
+    found = numbered(groups, "identity_key", "_place")
+    return found.select(F.format_string("EQ-%04d", F.col("_place")).alias("registry_id"), *groups.columns)
 
 
 def promotion(evidence: DataFrame) -> DataFrame:

@@ -64,6 +64,12 @@ def slots(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 SERIES = ("document_id", "direction")
+BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a hint to broadcast it if it has ``most`` rows or fewer, counted up to one more."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def tracks(slots_: DataFrame, tolerance: float = 100.0, keys: tuple[str, ...] = SERIES) -> DataFrame:
@@ -148,8 +154,14 @@ def row_confidence(identifier: Column, rising: Column, falling: Column) -> Colum
 
 
 def coverage_gaps(tags: DataFrame, schema: DataFrame, found: DataFrame) -> DataFrame:
-    """Tags with the slots of the schema that they have no observation for; the schema is small by construction."""
-    every = tags.select("tag").distinct().join(F.broadcast(schema.select("direction", "slot", F.col("value").alias("nominal"))))
+    """Tags with the slots of the schema that they have no observation for.
+
+    Each tag meets each slot, which is the result before what was found is taken
+    out. The schema has one row for each direction and slot and is broadcast if it
+    is counted to be small.
+    """
+    slots_ = checked_broadcast(schema.select("direction", "slot", F.col("value").alias("nominal")))
+    every = tags.select("tag").distinct().crossJoin(slots_)
     return every.join(found.select("tag", "direction", "slot").distinct(), ["tag", "direction", "slot"], "left_anti")
 
 

@@ -326,26 +326,53 @@ def queue_order(priority: Column, route_: Column, score: Column, page: Column) -
     return [F.desc(t.rank(priority, PRIORITY_RANK)), F.desc(t.rank(route_, ROUTE_RANK)), score.desc(), page]
 
 
-def tag_candidate(value: Column, context: Column, terms: list[str]) -> Column:
+# fixed values
+EQUIPMENT_TERMS = (
+    "EQUIPMENT", "VESSEL", "RECEIVER", "PUMP", "COMPRESSOR", "MOTOR", "TANK", "FILTER", "SEPARATOR", "EXCHANGER", "HEATER",
+    "COOLER", "VALVE", "SKID", "PACKAGE", "BLOWER", "FAN", "GENERATOR", "TURBINE", "INSTRUMENT", "AIR",
+)
+TITLE_BLOCK_TERMS = ("SCALE", "SHEET", "DRAWN", "CHECKED", "APPROVED", "APPD", "DWN", "REVISION", "DOCUMENT NUMBER", "PURCHASER", "CLIENT REP")
+REFERENCE_PREFIXES = ("RFT-", "GMMOS-", "IN-")
+EXPLICIT_LABEL = r"\b(EQUIPMENT|VESSEL|PUMP|COMPRESSOR|MOTOR|SKID|PACKAGE)\s+(TAG|NO\.?|NUMBER)\b|\bTAG\s*(NO\.?|NUMBER|#)?\s*[:#]|\bEQUIPMENT\s*:"
+DRAWING_LABEL = r"\b(DRG|DWG|DRAWING)"
+DOCUMENT_LABEL = r"\b(DOC|DOCUMENT|QCP|WPS|WPQR|ITP|MDR|P&ID)\b"
+JOB_LABEL = r"\bJOB"
+EXCLUDE, ADMIT, REVIEW = "exclude_from_asset_admission", "admit_to_asset_candidate_queue", "review_for_asset_admission"
+
+
+def _terms_in(text: Column, terms: tuple[str, ...]) -> Column:
+    return F.filter(F.array(*[F.lit(x) for x in sorted(terms)]), lambda x: F.contains(text, x))
+
+
+def nearby_terms(context: Column) -> Column:
+    """The equipment terms that stand in a text, in order."""
+    return _terms_in(F.upper(t.clean(context, t.EDGES)), EQUIPMENT_TERMS)
+
+
+def tag_candidate(value: Column, context: Column) -> Column:
     """What an identifier in its line is: struct of type, score and recommendation."""
-    ctx = F.upper(context)
-    n = F.size(F.filter(F.array(*[F.lit(x) for x in terms]), lambda x: F.contains(ctx, x)))
-    full = value.rlike(rf"(?i)^{t.FULL.strip(chr(92) + 'b')}$")
-    pair = value.rlike("/")
-    explicit = ctx.rlike(r"\b(EQUIPMENT|VESSEL|PUMP|COMPRESSOR|MOTOR|SKID|PACKAGE)\s+(TAG|NO\.?|NUMBER)\b|\bTAG\s*(NO\.?|NUMBER|#)?\s*[:#]|\bEQUIPMENT\s*:")
-    drawing = ctx.rlike(r"\b(DRG|DWG|DRAWING)\b")
-    document = ctx.rlike(r"\b(DOC|DOCUMENT|QCP|WPS|WPQR|ITP|MDR)\b")
-    job = ctx.rlike(r"\bJOB\b")
-    make = lambda kind, score, what: F.struct(F.lit(kind).alias("type"), score.cast("int").alias("score"), F.lit(what).alias("recommendation"))
-    total = F.when(explicit, 8).otherwise(0) + F.least(F.lit(4), n) + F.when(pair, 3).otherwise(0) + F.when(full, 2).otherwise(-2)
-    return (
-        F.when(drawing | F.upper(value).rlike("^(RFT-|GMMOS-|IN-)"), make("drawing_or_document_reference", F.lit(-7), "exclude"))
-        .when(document & ctx.rlike("SPECIFICATION|PROCEDURE|DOCUMENT"), make("document_or_procedure_reference", F.lit(-6), "exclude"))
-        .when(full & explicit, make("likely_equipment_tag", F.lit(12), "admit"))
-        .when(full & (n >= 1), make("possible_equipment_tag", F.lit(6) + F.least(F.lit(3), n), "review"))
-        .when(document, make("document_or_procedure_reference", F.lit(-6), "exclude"))
-        .when(job, make("job_number_or_reference", F.lit(-5), "exclude"))
-        .when(total >= 10, make("likely_equipment_tag", total, "admit"))
-        .when(total >= 5, make("possible_equipment_tag", total, "review"))
-        .otherwise(make("ambiguous_identifier", total, "review_only"))
-    )
+
+    def judged(c: Column) -> Column:
+        ctx, v = c["ctx"], c["value"]
+        n = F.size(_terms_in(ctx, EQUIPMENT_TERMS))
+        full = v.rlike(rf"^(?:{t.FULL})$")
+        explicit, document = ctx.rlike(EXPLICIT_LABEL), ctx.rlike(DOCUMENT_LABEL)
+        prefix = F.exists(F.array(*[F.lit(p) for p in REFERENCE_PREFIXES]), lambda p: F.startswith(v, p))
+        make = lambda kind, score, what: F.struct(F.lit(kind).alias("type"), score.cast("int").alias("score"), F.lit(what).alias("recommendation"))
+        point = lambda c, n: F.when(c, n).otherwise(0)
+        title = F.size(_terms_in(ctx, TITLE_BLOCK_TERMS)) >= 3
+        total = point(explicit, 8) + F.least(F.lit(4), n) + point(ctx.rlike(t.PAIR), 3) - point(title, 5) + F.when(full, 2).otherwise(-2)
+        return (
+            F.when(ctx.rlike(DRAWING_LABEL) | prefix, make("drawing_or_document_reference", F.lit(-7), EXCLUDE))
+            .when(document & ctx.rlike("SPECIFICATION|PROCEDURE|DOCUMENT"), make("document_or_procedure_reference", F.lit(-6), EXCLUDE))
+            .when(full & explicit, make("likely_equipment_tag", F.lit(12), ADMIT))
+            .when(full & (n >= 1), make("possible_equipment_tag", F.lit(6) + F.least(F.lit(3), n), REVIEW))
+            .when(document, make("document_or_procedure_reference", F.lit(-6), EXCLUDE))
+            .when(ctx.rlike(JOB_LABEL), make("job_number_or_reference", F.lit(-5), EXCLUDE))
+            .when(total >= 10, make("likely_equipment_tag", total, ADMIT))
+            .when(total >= 5, make("possible_equipment_tag", total, REVIEW))
+            .otherwise(make("ambiguous_identifier", total, "review_only"))
+        )
+
+    up = lambda c: F.upper(t.clean(c, t.EDGES))
+    return t.bind(F.struct(up(context).alias("ctx"), up(value).alias("value")), judged)

@@ -27,17 +27,30 @@ def pair_score(direct: Column, tag: Column, confidence: Column, dy: Column) -> C
     return F.when(direct, 10000.0).otherwise(0.0) + F.when(n >= 10, 1000.0).otherwise(0.0) + n * 10 + confidence * 100 - dy / 10
 
 
+def _band(y: Column, height: float = 64.0) -> Column:
+    """Which horizontal band of a page ``y`` lies in."""
+    return F.floor(y / height)
+
+
 def pairs(lines: DataFrame) -> DataFrame:
     """Serial numbers with tags: on the same line, or from the first neighbour to the right on the same row.
 
-    ``lines`` has ``page, line_no, text, confidence, x1, y1, x2, y2``.
+    ``lines`` has ``page, line_no, text, confidence, x1, y1, x2, y2``. Lines of a
+    page meet by bands of its height: a serial number asks the bands that it
+    reaches, a tag lies in one.
     """
-    direct = lines.select("page", "line_no", F.regexp_extract("text", DIRECT, 1).alias("serial"), F.upper(F.regexp_extract("text", DIRECT, 2)).alias("tag"), unit_confidence(F.col("confidence")).alias("confidence"), F.lit(True).alias("direct"), F.lit(0.0).alias("dy")).filter("tag <> ''")
-    alone = lines.filter(F.col("text").rlike(SERIAL) & ~F.col("text").rlike(DIRECT)).select("page", "line_no", F.regexp_extract("text", SERIAL, 1).alias("serial"), "x2", "y1", (F.col("y2") - F.col("y1")).alias("h"), "confidence")
-    others = lines.select("page", F.col("line_no").alias("n_no"), F.upper(F.regexp_extract("text", TAG, 1)).alias("tag"), F.col("x1").alias("nx1"), F.col("y1").alias("ny1"), F.col("confidence").alias("n_confidence")).filter("tag <> ''")
+    serial, mark = F.regexp_extract("text", SERIAL, 1), F.upper(F.regexp_extract("text", TAG, 1))
+    found = F.struct(serial.alias("serial"), mark.alias("mark"), F.regexp_extract("text", DIRECT, 1).alias("direct_serial"), F.upper(F.regexp_extract("text", DIRECT, 2)).alias("direct_tag"))
+    # a generator, so that each pattern runs once for a line
+    read = lines.select("page", "line_no", "x1", "x2", "y1", "y2", unit_confidence(F.col("confidence")).alias("confidence"), F.inline(F.array(found)))
+    direct = read.filter("direct_tag <> ''").select("page", "line_no", F.col("direct_serial").alias("serial"), F.col("direct_tag").alias("tag"), "confidence", F.lit(True).alias("direct"), F.lit(0.0).alias("dy"))
+    reach = F.greatest(F.lit(26.0), (F.col("y2") - F.col("y1")) * 1.15)
+    alone = read.filter("serial <> '' and direct_tag = ''").select("page", "line_no", "serial", "x2", "y1", reach.alias("reach"), "confidence")
+    alone = alone.withColumn("band", F.explode(F.sequence(_band(F.col("y1") - F.col("reach")), _band(F.col("y1") + F.col("reach")))))
+    others = read.filter("mark <> ''").select("page", _band(F.col("y1")).alias("band"), F.col("line_no").alias("n_no"), F.col("mark").alias("tag"), F.col("x1").alias("nx1"), F.col("y1").alias("ny1"), F.col("confidence").alias("n_confidence"))
     dy = F.abs(F.col("ny1") - F.col("y1"))
-    j = alone.join(others, "page").filter((F.col("n_no") != F.col("line_no")) & (dy <= F.greatest(F.lit(26.0), F.col("h") * 1.15)) & (F.col("nx1") >= F.col("x2") - 30))
-    near = j.groupBy("page", "line_no", "serial").agg(F.min(F.struct("nx1", dy.alias("dy"), "n_no", "tag", F.least(unit_confidence(F.col("confidence")), unit_confidence(F.col("n_confidence"))).alias("confidence"))).alias("b"))
+    j = alone.join(others, ["page", "band"]).filter((F.col("n_no") != F.col("line_no")) & (dy <= F.col("reach")) & (F.col("nx1") >= F.col("x2") - 30))
+    near = j.groupBy("page", "line_no", "serial").agg(F.min(F.struct("nx1", dy.alias("dy"), "n_no", "tag", F.least("confidence", "n_confidence").alias("confidence"))).alias("b"))
     split = near.select("page", "line_no", "serial", "b.tag", "b.confidence", F.lit(False).alias("direct"), F.col("b.dy").alias("dy"))
     both = direct.unionByName(split)
     return both.withColumn("score", pair_score(F.col("direct"), F.col("tag"), F.col("confidence"), F.col("dy")))
@@ -51,8 +64,10 @@ def ranked_pairs(found: DataFrame) -> DataFrame:
 
 def nearest_set_points(records: DataFrame, lines: DataFrame, most: float = 120.0) -> DataFrame:
     """The set point line of the page that is closest to each record's line, within ``most``."""
-    points = lines.select("page", F.regexp_extract("text", SET_POINT, 1).alias("set_point"), F.col("y1").alias("sy"), F.col("line_no").alias("s_no")).filter("set_point <> ''")
-    j = records.join(points, "page").withColumn("d", F.abs(F.col("sy") - F.col("y1"))).filter(F.col("d") <= most)
+    found = F.struct(F.regexp_extract("text", SET_POINT, 1).alias("set_point"))
+    points = lines.select("page", _band(F.col("y1")).alias("band"), F.col("y1").alias("sy"), F.col("line_no").alias("s_no"), F.inline(F.array(found))).filter("set_point <> ''")
+    asked = records.select("page", "line_no", "y1", F.explode(F.sequence(_band(F.col("y1") - most), _band(F.col("y1") + most))).alias("band"))
+    j = asked.join(points, ["page", "band"]).withColumn("d", F.abs(F.col("sy") - F.col("y1"))).filter(F.col("d") <= most)
     return j.groupBy("page", "line_no").agg(F.min(F.struct("d", "s_no", "set_point")).alias("b")).select("page", "line_no", F.col("b.set_point").alias("set_point"), F.col("b.d").alias("distance"))
 
 

@@ -103,43 +103,54 @@ def review_priority(reason: Column, confidence: Column) -> Column:
     return F.when(has("no_numbered_record_start", "missing") | (confidence < 0.8), "high").when(has("continuation", "merged", "inconsistent"), "medium").otherwise("low")
 
 
-def auto_review(rows: DataFrame, least: float = 0.8) -> DataFrame:
-    """Scores 0 to 100 with what speaks against a row, and the decision.
+# fixed values
+STRUCTURE_REASONS = "no_numbered_record_start|unstructured|continuation_without_clear_start"
+HARD_REASONS = "missing_inspection_detail|missing_activity_number|no_table_candidate_detected"
+
+
+def auto_review(rows: DataFrame, least: float = 0.8, accept: int = 70, provisional: int = 45) -> DataFrame:
+    """Scores 0 to 100, what speaks for and against a row, and the decision.
 
-    ``rows`` has ``page, table_id, text, confidence, n_rows, reason, crop``.
+    ``rows`` has ``page, table_id, text, confidence, n_rows, reason, crop``; a null
+    crop has no entry in the manifest, an empty one no file.
     """
-    c, n, length = F.col("confidence"), F.col("n_rows"), F.length(F.btrim("text"))
+    c, n, length, crop = F.col("confidence"), F.col("n_rows"), F.length(F.btrim("text")), F.col("crop")
     alnum = t.ratio(F.btrim("text"), r"\p{L}\p{N}")
     copies = F.count("*").over(Window.partitionBy(*TABLE, t.norm_upper("text")))
     r = rows.withColumn("copies", copies)
-    low = F.col("reason").isin("no_numbered_record_start", "low_average_ocr_confidence")
-    score = (
-        F.when(F.col("crop") != "", 20).otherwise(0)
-        + F.when(c >= least, 30).when(c >= 0.65, 18).when(c > 0, 5).otherwise(0)
-        + F.when(length >= 30, 20).when(length >= 12, 10).otherwise(0)
-        + F.when(alnum >= 0.55, 15).when(alnum >= 0.35, 7).otherwise(0)
-        + F.when(n == 1, 15).when(n.between(2, 4), 7).otherwise(0)
-        + F.when(F.col("copies") == 1, 10).otherwise(0)
-        - F.when(low, 8).otherwise(0)
-    )
-    cautions = F.array_compact(
-        F.array(
-            F.when(F.col("crop") == "", "crop_path_missing"),
-            F.when(c >= least, None).when(c >= 0.65, "moderate_ocr_confidence").when(c > 0, "low_ocr_confidence").otherwise("missing_ocr_confidence"),
-            F.when(length < 12, "very_short_or_empty_text"),
-            F.when(alnum >= 0.55, None).when(alnum >= 0.35, "mixed_or_noisy_text").otherwise("mostly_symbols_or_noise"),
-            F.when(n.between(2, 4), "merged_visual_rows").when(n > 4, "many_merged_visual_rows").when(n < 1, "source_rows_unknown"),
-            F.when(F.col("copies") > 1, "possible_duplicate_record"),
-            F.when(low, "low_structure_confidence"),
-        )
-    )
-    r = r.select("*", F.greatest(F.lit(0), F.least(F.lit(100), score)).alias("score"), cautions.alias("cautions"))
+    reason = F.lower(t.text("reason"))
+    # for each test: whether it holds, points, what speaks for the row, what speaks against it
+    tests = [
+        [(crop != "", 20, "review_crop_exists", None), (crop == "", 0, None, "crop_path_missing"), (crop.isNull(), 0, None, "crop_manifest_entry_missing")],
+        [
+            (c >= least, 30, "strong_average_ocr_confidence", None),
+            (c >= 0.65, 18, "moderate_average_ocr_confidence", "moderate_ocr_confidence"),
+            (c > 0, 5, None, "low_ocr_confidence"),
+            (F.lit(True), 0, None, "missing_ocr_confidence"),
+        ],
+        [(length >= 30, 20, "substantive_text", None), (length >= 12, 10, "short_but_nonempty_text", None), (F.lit(True), 0, None, "very_short_or_empty_text")],
+        [(alnum >= 0.55, 15, "readable_alphanumeric_content", None), (alnum >= 0.35, 7, None, "mixed_or_noisy_text"), (F.lit(True), 0, None, "mostly_symbols_or_noise")],
+        [(n == 1, 15, "single_visual_row", None), (n.between(2, 4), 7, "bounded_wrapped_rows", "merged_visual_rows"), (n > 4, 0, None, "many_merged_visual_rows"), (F.lit(True), 0, None, "source_rows_unknown")],
+        [(F.col("copies") == 1, 10, "unique_within_page_table", None), (F.lit(True), 0, None, "possible_duplicate_record")],
+        [(reason.rlike(STRUCTURE_REASONS), -8, None, "low_structure_confidence")],
+        [(reason.rlike(HARD_REASONS), -25, None, "existing_hard_extraction_issue")],
+    ]
+
+    def first(test: list[tuple], k: int, other) -> Column:
+        out = F.when(test[0][0], F.lit(test[0][k]))
+        for case in test[1:]:
+            out = out.when(case[0], F.lit(case[k]))
+        return out.otherwise(F.lit(other))
+
+    score = sum((first(x, 1, 0) for x in tests[1:]), first(tests[0], 1, 0))
+    said = lambda k: F.array_compact(F.array(*[first(x, k, None).cast("string") for x in tests]))
+    r = r.select("*", F.greatest(F.lit(0), F.least(F.lit(100), score)).alias("score"), said(2).alias("positive"), said(3).alias("cautions"))
     hard = F.arrays_overlap("cautions", F.array(*[F.lit(x) for x in HARD_FAILURES]))
     decision = (
         F.when(hard, "needs_human_review")
-        .when((F.col("score") >= 70) & F.array_contains("cautions", "low_structure_confidence"), "auto_accepted_low_structure")
-        .when(F.col("score") >= 70, "auto_accepted")
-        .when(F.col("score") >= 45, "auto_accepted_low_confidence")
+        .when((F.col("score") >= accept) & F.array_contains("cautions", "low_structure_confidence"), "auto_accepted_low_structure")
+        .when(F.col("score") >= accept, "auto_accepted")
+        .when(F.col("score") >= provisional, "auto_accepted_low_confidence")
         .otherwise("needs_human_review")
     )
     return r.select("*", decision.alias("decision"))

@@ -59,10 +59,14 @@ decided AS (SELECT equipment_id, equipment_tag, serial_number, field_name, n_val
 """
 
 
-@query("a15_best_evidence", "evidence", sql=RANKED + "SELECT equipment_id, equipment_tag, serial_number, field_name, n_values, n_rows, norm_value, tier_rank, confidence, selection_score FROM g")
+PROVENANCE = ", pv AS (SELECT equipment_id, field_name, array_to_string(list_sort(list_distinct(list(source_page))), '|') AS source_pages, array_to_string(list_sort(list_distinct(list(evidence_id))), '|') AS evidence_ids, array_to_string(list_sort(list_distinct(list(source_text))), ' || ') AS source_texts FROM evidence GROUP BY 1, 2) "
+
+
+@query("a15_best_evidence", "evidence", sql=RANKED + PROVENANCE + "SELECT equipment_id, equipment_tag, serial_number, field_name, n_values, n_rows, norm_value, tier_rank, confidence, selection_score, source_pages, evidence_ids, source_texts FROM g JOIN pv USING (equipment_id, field_name)")
 def a15(i):
     g = ev.best_evidence(i.evidence)
-    return g.select("equipment_id", "equipment_tag", "serial_number", "field_name", "n_values", "n_rows", "norm_value", F.col("score.rank").alias("tier_rank"), "score.confidence", "score.selection_score")
+    joined = [F.array_join(c, by).alias(c) for c, by in (("source_pages", "|"), ("evidence_ids", "|"), ("source_texts", " || "))]
+    return g.select("equipment_id", "equipment_tag", "serial_number", "field_name", "n_values", "n_rows", "norm_value", F.col("score.rank").alias("tier_rank"), "score.confidence", "score.selection_score", *joined)
 
 
 @query("p34_auto_accept", "evidence", sql=RANKED + "SELECT * FROM decided")

@@ -306,18 +306,21 @@ def s11(i):
 
 
 CANDIDATE = r"""(SELECT page, CASE CAST(page % 5 AS INT) WHEN 0 THEN concat('863-ACS-', CAST(page % 900 + 100 AS STRING)) WHEN 1 THEN concat('IN-', CAST(page AS STRING), '-AB') WHEN 2 THEN concat('863-AB-', CAST(page % 800 + 100 AS STRING), '/', CAST(page % 800 + 101 AS STRING)) WHEN 3 THEN concat('X', CAST(page AS STRING), '-7-2') ELSE concat('512-P-', CAST(page % 700 + 200 AS STRING)) END AS candidate,
-CASE CAST(page % 7 AS INT) WHEN 0 THEN 'EQUIPMENT TAG: here' WHEN 1 THEN 'pump and valve near' WHEN 2 THEN 'DRAWING no' WHEN 3 THEN 'document specification' WHEN 4 THEN 'JOB 12' WHEN 5 THEN 'ITP ref' ELSE left(text, 25) END AS context FROM page_text)"""
+CASE CAST(page % 7 AS INT) WHEN 0 THEN 'EQUIPMENT TAG: here' WHEN 1 THEN CASE WHEN page % 2 = 0 THEN 'pump and valve near' ELSE 'skid pump motor filter 512-PV-100/200, ' END WHEN 2 THEN 'DRAWING no' WHEN 3 THEN 'document specification' WHEN 4 THEN 'JOB 12' WHEN 5 THEN concat('ITP ref ', left(text, 30)) ELSE concat('scale sheet drawn checked package fan air skid 863-AB-', CAST(page % 800 + 100 AS STRING), ' / ', CAST(page % 800 + 101 AS STRING), ' ', left(text, 25)) END AS context FROM page_text)"""
 fixture("candidates", CANDIDATE.removeprefix("(").removesuffix(")"), "page_text")
-TERMS = ["PUMP", "VALVE", "MOTOR", "VESSEL", "TANK"]
-P38 = r""", c AS (SELECT *, upper(context) AS u, CAST((contains(upper(context), 'PUMP'))::INT + (contains(upper(context), 'VALVE'))::INT + (contains(upper(context), 'MOTOR'))::INT + (contains(upper(context), 'VESSEL'))::INT + (contains(upper(context), 'TANK'))::INT AS INT) AS n, regexp_matches(candidate, '^(\d{3,4})\s*-\s*([A-Z]{1,4})\s*-\s*(\d{3,5})$', 'i') AS f, contains(candidate, '/') AS pr FROM candidates),
-x AS (SELECT *, regexp_matches(u, '\b(EQUIPMENT|VESSEL|PUMP|COMPRESSOR|MOTOR|SKID|PACKAGE)\s+(TAG|NO\.?|NUMBER)\b|\bTAG\s*(NO\.?|NUMBER|#)?\s*[:#]|\bEQUIPMENT\s*:') AS ex, regexp_matches(u, '\b(DRG|DWG|DRAWING)\b') AS dr, regexp_matches(u, '\b(DOC|DOCUMENT|QCP|WPS|WPQR|ITP|MDR)\b') AS dc, regexp_matches(u, '\bJOB\b') AS jb FROM c),
-y AS (SELECT *, (CASE WHEN ex THEN 8 ELSE 0 END) + least(4, n) + (CASE WHEN pr THEN 3 ELSE 0 END) + (CASE WHEN f THEN 2 ELSE -2 END) AS total FROM x),
-z AS (SELECT page, candidate, CASE WHEN dr OR regexp_matches(upper(candidate), '^(RFT-|GMMOS-|IN-)') THEN 'drawing_or_document_reference|-7|exclude' WHEN dc AND regexp_matches(u, 'SPECIFICATION|PROCEDURE|DOCUMENT') THEN 'document_or_procedure_reference|-6|exclude' WHEN f AND ex THEN 'likely_equipment_tag|12|admit' WHEN f AND n >= 1 THEN 'possible_equipment_tag|' || (6 + least(3, n)) || '|review' WHEN dc THEN 'document_or_procedure_reference|-6|exclude' WHEN jb THEN 'job_number_or_reference|-5|exclude' WHEN total >= 10 THEN 'likely_equipment_tag|' || total || '|admit' WHEN total >= 5 THEN 'possible_equipment_tag|' || total || '|review' ELSE 'ambiguous_identifier|' || total || '|review_only' END AS w FROM y),
+TERMS = ", ".join(f"'{x}'" for x in sorted(pg.EQUIPMENT_TERMS))
+TITLES = ", ".join(f"'{x}'" for x in pg.TITLE_BLOCK_TERMS)
+UP = r"upper(trim(regexp_replace({0}, '\s+', ' ', 'g'), ' ' || chr(9) || chr(13) || chr(10) || ':;,.()[]{{}}'))"
+P38 = rf""", c AS (SELECT page, candidate, {UP.format("candidate")} AS v, {UP.format("context")} AS u FROM candidates),
+x AS (SELECT *, len(list_filter([{TERMS}], lambda x: contains(u, x)))::INT AS n, len(list_filter([{TITLES}], lambda x: contains(u, x))) >= 3 AS title, regexp_matches(v, '^\d{{3,4}}\s*-\s*[A-Z]{{1,4}}\s*-\s*\d{{3,5}}$') AS f, regexp_matches(u, '\b\d{{3,4}}\s*-\s*[A-Z]{{1,4}}\s*-\s*\d{{3,5}}\s*/\s*\d{{3,5}}\b') AS pr,
+regexp_matches(u, '{pg.EXPLICIT_LABEL}') AS ex, regexp_matches(u, '\b(DRG|DWG|DRAWING)') AS dr, regexp_matches(u, '\b(DOC|DOCUMENT|QCP|WPS|WPQR|ITP|MDR|P&ID)\b') AS dc, regexp_matches(u, '\bJOB') AS jb FROM c),
+y AS (SELECT *, (CASE WHEN ex THEN 8 ELSE 0 END) + least(4, n) + (CASE WHEN pr THEN 3 ELSE 0 END) - (CASE WHEN title THEN 5 ELSE 0 END) + (CASE WHEN f THEN 2 ELSE -2 END) AS total FROM x),
+z AS (SELECT page, candidate, CASE WHEN dr OR regexp_matches(v, '^(RFT-|GMMOS-|IN-)') THEN 'drawing_or_document_reference|-7|exclude_from_asset_admission' WHEN dc AND regexp_matches(u, 'SPECIFICATION|PROCEDURE|DOCUMENT') THEN 'document_or_procedure_reference|-6|exclude_from_asset_admission' WHEN f AND ex THEN 'likely_equipment_tag|12|admit_to_asset_candidate_queue' WHEN f AND n >= 1 THEN 'possible_equipment_tag|' || (6 + least(3, n)) || '|review_for_asset_admission' WHEN dc THEN 'document_or_procedure_reference|-6|exclude_from_asset_admission' WHEN jb THEN 'job_number_or_reference|-5|exclude_from_asset_admission' WHEN total >= 10 THEN 'likely_equipment_tag|' || total || '|admit_to_asset_candidate_queue' WHEN total >= 5 THEN 'possible_equipment_tag|' || total || '|review_for_asset_admission' ELSE 'ambiguous_identifier|' || total || '|review_only' END AS w FROM y),
 cand AS (SELECT page, candidate, split_part(w, '|', 1) AS type, CAST(split_part(w, '|', 2) AS INT) AS score, split_part(w, '|', 3) AS recommendation FROM z) """
 
 
 def _candidates(i):
-    return i.candidates.select("page", "candidate", "context", pg.tag_candidate(F.col("candidate"), F.col("context"), TERMS).alias("c")).select("page", "candidate", "context", "c.*")
+    return i.candidates.select("page", "candidate", "context", pg.tag_candidate(F.col("candidate"), F.col("context")).alias("c")).select("page", "candidate", "context", "c.*")
 
 
 @query("p38_tag_candidates", "candidates", sql=P38 + "SELECT page, candidate, type, score, recommendation FROM cand")
@@ -344,10 +347,9 @@ def o04(i):
     return _candidates(i).select("candidate", "page", F.row_number().over(w).alias("position"))
 
 
-@query("f26_nearby_terms", "candidates", sql=" SELECT page, candidate, array_to_string(list_sort(list_filter(['PUMP', 'VALVE', 'MOTOR', 'VESSEL', 'TANK'], lambda x: contains(upper(context), x))), ',') AS terms FROM candidates")
+@query("f26_nearby_terms", "candidates", sql=f" SELECT page, candidate, array_to_string(list_filter([{TERMS}], lambda x: contains({UP.format('context')}, x)), ',') AS terms FROM candidates")
 def f26(i):
-    found = F.filter(F.array(*[F.lit(x) for x in sorted(TERMS)]), lambda x: F.contains(F.upper("context"), x))
-    return i.candidates.select("page", "candidate", F.array_join(found, ",").alias("terms"))
+    return i.candidates.select("page", "candidate", F.array_join(pg.nearby_terms(F.col("context")), ",").alias("terms"))
 
 
 @query("f05_tag_extraction", "candidates", sql=r", p AS (SELECT page, candidate, regexp_extract_all(upper(candidate), '\b(\d{3,4})\s*-\s*([A-Z]{1,4})\s*-\s*(\d{3,5})\s*/\s*(\d{3,5})\b', 1) AS a, regexp_extract(upper(candidate), '\b(\d{3,4})-([A-Z]{1,4})-(\d{3,5})/(\d{3,5})\b', 1) AS p1, regexp_extract(upper(candidate), '\b(\d{3,4})-([A-Z]{1,4})-(\d{3,5})/(\d{3,5})\b', 2) AS p2, regexp_extract(upper(candidate), '\b(\d{3,4})-([A-Z]{1,4})-(\d{3,5})/(\d{3,5})\b', 3) AS p3, regexp_extract(upper(candidate), '\b(\d{3,4})-([A-Z]{1,4})-(\d{3,5})/(\d{3,5})\b', 4) AS p4, regexp_extract(upper(candidate), '\b(\d{3,4})-([A-Z]{1,4})-(\d{3,5})\b', 0) AS f FROM candidates) SELECT page, candidate, CASE WHEN len(a) > 0 THEN p1 || '-' || p2 || '-' || p3 || ',' || p1 || '-' || p2 || '-' || p4 ELSE f END AS tags FROM p")

@@ -52,12 +52,12 @@ def p09(i):
     "g05_iou",
     "ocr_lines",
     sql=""", p AS (SELECT a.table_id, a.line_no AS left_no, b.line_no AS right_no, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) AS w, greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS h, (a.x2 - a.x1) * (a.y2 - a.y1) AS s, (b.x2 - b.x1) * (b.y2 - b.y1) AS r FROM ocr_lines a JOIN ocr_lines b ON a.table_id = b.table_id AND a.line_no < b.line_no)
-SELECT table_id, left_no, right_no, CASE WHEN s + r - w * h > 0 THEN w * h / (s + r - w * h) ELSE 0 END AS iou, CASE WHEN least(s, r) > 0 THEN w * h / least(s, r) ELSE 0 END AS overlap FROM p""",
+SELECT table_id, left_no, right_no, CASE WHEN s + r - w * h > 0 THEN w * h / (s + r - w * h) ELSE 0 END AS iou, CASE WHEN least(s, r) > 0 THEN w * h / least(s, r) ELSE 0 END AS overlap FROM p WHERE w > 0 AND h > 0""",
 )
 def g05(i):
     b = i.ocr_lines.select("table_id", "line_no", g.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("b"))
-    j = b.alias("l").join(b.alias("r"), (F.col("l.table_id") == F.col("r.table_id")) & (F.col("l.line_no") < F.col("r.line_no")))
-    return j.select("l.table_id", F.col("l.line_no").alias("left_no"), F.col("r.line_no").alias("right_no"), g.iou(F.col("l.b"), F.col("r.b")).alias("iou"), g.overlap_ratio(F.col("l.b"), F.col("r.b")).alias("overlap"))
+    j = g.overlapping(b, ["table_id"], "line_no")
+    return j.select("table_id", "left_no", "right_no", g.iou(F.col("left"), F.col("right")).alias("iou"), g.overlap_ratio(F.col("left"), F.col("right")).alias("overlap"))
 
 
 GREEDY = """/*recursive*/, k AS (SELECT *, row_number() OVER (PARTITION BY table_id, lower(trim(text)) ORDER BY CASE source_kind WHEN 'detected_table_crop' THEN 3 ELSE 2 END DESC, confidence DESC, (x2 - x1) * (y2 - y1) DESC, line_no) AS rn, lower(trim(text)) AS key FROM ocr_lines),
@@ -149,16 +149,24 @@ def o03(i):
     return r.select("page", "table_id", "record_no", F.row_number().over(w).alias("position"))
 
 
-fixture("review_rows", "SELECT page, table_id, line_no, text, CASE WHEN line_no % 11 = 0 THEN 0.0 ELSE confidence END AS confidence, CAST(line_no % 6 AS INT) AS n_rows, CASE WHEN line_no % 5 = 0 THEN 'no_numbered_record_start' ELSE '' END AS reason, CASE WHEN table_id % 9 = 0 THEN '' ELSE concat('crop_', CAST(line_no AS STRING), '.png') END AS crop FROM ocr_lines", "ocr_lines")
-AUTO = r""", r AS (SELECT *, length(trim(text)) AS ln, CASE WHEN length(trim(text)) > 0 THEN length(regexp_replace(trim(text), '[^\p{L}\p{N}]', '', 'g')) / length(trim(text)) ELSE 0.0 END AS al, count(*) OVER (PARTITION BY page, table_id, regexp_replace(upper(text), '[^A-Z0-9]', '', 'g')) AS copies FROM review_rows),
-sc AS (SELECT *, least(100, greatest(0, (CASE WHEN crop <> '' THEN 20 ELSE 0 END) + (CASE WHEN confidence >= 0.8 THEN 30 WHEN confidence >= 0.65 THEN 18 WHEN confidence > 0 THEN 5 ELSE 0 END) + (CASE WHEN ln >= 30 THEN 20 WHEN ln >= 12 THEN 10 ELSE 0 END) + (CASE WHEN al >= 0.55 THEN 15 WHEN al >= 0.35 THEN 7 ELSE 0 END) + (CASE WHEN n_rows = 1 THEN 15 WHEN n_rows BETWEEN 2 AND 4 THEN 7 ELSE 0 END) + (CASE WHEN copies = 1 THEN 10 ELSE 0 END) - (CASE WHEN reason <> '' THEN 8 ELSE 0 END))) AS score,
-concat_ws(',', CASE WHEN crop = '' THEN 'crop_path_missing' END, CASE WHEN confidence >= 0.8 THEN NULL WHEN confidence >= 0.65 THEN 'moderate_ocr_confidence' WHEN confidence > 0 THEN 'low_ocr_confidence' ELSE 'missing_ocr_confidence' END, CASE WHEN ln < 12 THEN 'very_short_or_empty_text' END, CASE WHEN al >= 0.55 THEN NULL WHEN al >= 0.35 THEN 'mixed_or_noisy_text' ELSE 'mostly_symbols_or_noise' END, CASE WHEN n_rows BETWEEN 2 AND 4 THEN 'merged_visual_rows' WHEN n_rows > 4 THEN 'many_merged_visual_rows' WHEN n_rows < 1 THEN 'source_rows_unknown' END, CASE WHEN copies > 1 THEN 'possible_duplicate_record' END, CASE WHEN reason <> '' THEN 'low_structure_confidence' END) AS cautions FROM r),
-au AS (SELECT *, CASE WHEN regexp_matches(cautions, 'crop_path_missing|very_short_or_empty_text|mostly_symbols_or_noise|missing_ocr_confidence') THEN 'needs_human_review' WHEN score >= 70 AND contains(cautions, 'low_structure_confidence') THEN 'auto_accepted_low_structure' WHEN score >= 70 THEN 'auto_accepted' WHEN score >= 45 THEN 'auto_accepted_low_confidence' ELSE 'needs_human_review' END AS decision FROM sc) """
+fixture(
+    "review_rows",
+    """SELECT page, table_id, line_no, text, CASE WHEN line_no % 11 = 0 THEN 0.0 ELSE confidence END AS confidence, CAST(line_no % 6 AS INT) AS n_rows,
+CASE CAST(line_no % 7 AS INT) WHEN 0 THEN 'No_numbered_record_start' WHEN 1 THEN 'low_average_ocr_confidence' WHEN 2 THEN 'missing_activity_number; merged' WHEN 3 THEN 'continuation_without_clear_start' WHEN 4 THEN 'unstructured, no_table_candidate_detected' ELSE '' END AS reason,
+CASE WHEN table_id % 9 = 0 THEN '' WHEN table_id % 9 = 4 THEN NULL ELSE concat('crop_', CAST(line_no AS STRING), '.png') END AS crop FROM ocr_lines""",
+    "ocr_lines",
+)
+AUTO = r""", r0 AS (SELECT *, length(trim(text)) AS ln, CASE WHEN length(trim(text)) > 0 THEN length(regexp_replace(trim(text), '[^\p{L}\p{N}]', '', 'g')) / length(trim(text)) ELSE 0.0 END AS al, count(*) OVER (PARTITION BY page, table_id, regexp_replace(upper(text), '[^A-Z0-9]', '', 'g')) AS copies,
+regexp_matches(lower(reason), 'no_numbered_record_start|unstructured|continuation_without_clear_start') AS loose, regexp_matches(lower(reason), 'missing_inspection_detail|missing_activity_number|no_table_candidate_detected') AS hard FROM review_rows),
+sc AS (SELECT *, least(100, greatest(0, (CASE WHEN crop <> '' THEN 20 ELSE 0 END) + (CASE WHEN confidence >= 0.8 THEN 30 WHEN confidence >= 0.65 THEN 18 WHEN confidence > 0 THEN 5 ELSE 0 END) + (CASE WHEN ln >= 30 THEN 20 WHEN ln >= 12 THEN 10 ELSE 0 END) + (CASE WHEN al >= 0.55 THEN 15 WHEN al >= 0.35 THEN 7 ELSE 0 END) + (CASE WHEN n_rows = 1 THEN 15 WHEN n_rows BETWEEN 2 AND 4 THEN 7 ELSE 0 END) + (CASE WHEN copies = 1 THEN 10 ELSE 0 END) - (CASE WHEN loose THEN 8 ELSE 0 END) - (CASE WHEN hard THEN 25 ELSE 0 END))) AS score,
+concat_ws(',', CASE WHEN crop <> '' THEN 'review_crop_exists' END, CASE WHEN confidence >= 0.8 THEN 'strong_average_ocr_confidence' WHEN confidence >= 0.65 THEN 'moderate_average_ocr_confidence' END, CASE WHEN ln >= 30 THEN 'substantive_text' WHEN ln >= 12 THEN 'short_but_nonempty_text' END, CASE WHEN al >= 0.55 THEN 'readable_alphanumeric_content' END, CASE WHEN n_rows = 1 THEN 'single_visual_row' WHEN n_rows BETWEEN 2 AND 4 THEN 'bounded_wrapped_rows' END, CASE WHEN copies = 1 THEN 'unique_within_page_table' END) AS positive,
+concat_ws(',', CASE WHEN crop IS NULL THEN 'crop_manifest_entry_missing' WHEN crop = '' THEN 'crop_path_missing' END, CASE WHEN confidence >= 0.8 THEN NULL WHEN confidence >= 0.65 THEN 'moderate_ocr_confidence' WHEN confidence > 0 THEN 'low_ocr_confidence' ELSE 'missing_ocr_confidence' END, CASE WHEN ln < 12 THEN 'very_short_or_empty_text' END, CASE WHEN al >= 0.55 THEN NULL WHEN al >= 0.35 THEN 'mixed_or_noisy_text' ELSE 'mostly_symbols_or_noise' END, CASE WHEN n_rows BETWEEN 2 AND 4 THEN 'merged_visual_rows' WHEN n_rows > 4 THEN 'many_merged_visual_rows' WHEN n_rows < 1 THEN 'source_rows_unknown' END, CASE WHEN copies > 1 THEN 'possible_duplicate_record' END, CASE WHEN loose THEN 'low_structure_confidence' END, CASE WHEN hard THEN 'existing_hard_extraction_issue' END) AS cautions FROM r0),
+au AS (SELECT *, CASE WHEN regexp_matches(cautions, 'crop_path_missing|crop_manifest_entry_missing|very_short_or_empty_text|mostly_symbols_or_noise|existing_hard_extraction_issue|missing_ocr_confidence') THEN 'needs_human_review' WHEN score >= 70 AND contains(cautions, 'low_structure_confidence') THEN 'auto_accepted_low_structure' WHEN score >= 70 THEN 'auto_accepted' WHEN score >= 45 THEN 'auto_accepted_low_confidence' ELSE 'needs_human_review' END AS decision FROM sc) """
 
 
-@query("p13_auto_review_score", "review_rows", sql=AUTO + "SELECT page, table_id, line_no, score, cautions FROM au")
+@query("p13_auto_review_score", "review_rows", sql=AUTO + "SELECT page, table_id, line_no, score, positive, cautions FROM au")
 def p13(i):
-    return tb.auto_review(i.review_rows).select("page", "table_id", "line_no", "score", F.array_join("cautions", ",").alias("cautions"))
+    return tb.auto_review(i.review_rows).select("page", "table_id", "line_no", "score", F.array_join("positive", ",").alias("positive"), F.array_join("cautions", ",").alias("cautions"))
 
 
 @query("p14_auto_decision", "review_rows", sql=AUTO + "SELECT page, table_id, line_no, decision FROM au")
