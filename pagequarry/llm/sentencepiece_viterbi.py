@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,7 +27,11 @@ from pyspark.sql import functions as F
 from .common import slices, utf8
 
 MARK = "▁"
-CACHE_WORDS = 700_000
+#: Bytes of words that one Python worker may remember between texts, and pairs of pieces (about 130 bytes each).
+CACHE_BYTES = 176 << 20
+CACHE_PAIRS = 400_000
+#: Characters of a text that are cut into marked words at a time.
+PART = 1 << 19
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -73,19 +78,19 @@ class Model:
     squeeze: bool
     normalizer: str
     ids: dict[str, int] = field(init=False)
-    longest: int = field(init=False)
 
     def __post_init__(self):
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k in (NORMAL, USER)}
-        self.longest = max(map(len, self.ids), default=1)
+        # the longest piece that ends in two characters
+        self.reach: dict[str, int] = {}
+        for p in self.ids:
+            self.reach[p[-2:]] = max(self.reach.get(p[-2:], 1), len(p))
         if any(k == USER for k in self.kinds):
             # pieces given by a user are cut out before anything else
             self.user = sorted((p for p, k in zip(self.pieces, self.kinds, strict=True) if k == USER), key=len, reverse=True)
         else:
             self.user = []
         self.joins = {c for p in self.ids if len(p) > 1 for c in p}
-        # no merge and no piece reaches over two characters that stand together in no piece
-        self.pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("pieces reach over words")
         self.bytes = {self.pieces[i]: i for i, k in enumerate(self.kinds) if k == BYTE}
@@ -126,11 +131,13 @@ class Model:
 
 
 class Viterbi:
-    """Encodes marked words; keeps what it has learned of words and of pairs of pieces."""
+    """Encodes marked words; keeps what it has learned of pairs of pieces, ``pairs`` at most."""
 
-    def __init__(self, model: Model):
-        self.model = model
-        self.after: dict[tuple[int, int], bool] = {}
+    def __init__(self, model: Model, pairs: int = CACHE_PAIRS):
+        self.model, self.pairs = model, pairs
+        self.size = len(model.pieces)
+        self.sizes = [len(p) for p in model.pieces]
+        self.after: dict[int, bool] = {}
         self.least = min((s for s, k in zip(model.scores, model.kinds, strict=True) if k == NORMAL), default=0.0) - 10
 
     def merged(self, text: str) -> list[str]:
@@ -149,21 +156,21 @@ class Viterbi:
 
     def _follows(self, a: int, b: int) -> bool:
         """Whether piece ``b`` may stand after piece ``a``; -1 is the start of a word."""
-        key = (a, b)
-        found = self.after.get(key)
-        if found is None:
-            pieces = self.model.pieces
-            if a < 0:
-                found = self.merged(pieces[b]) == [pieces[b]]
-            else:
-                found = self.merged(pieces[a] + pieces[b]) == [pieces[a], pieces[b]]
-            self.after[key] = found
+        pieces = self.model.pieces
+        if a < 0:
+            found = self.merged(pieces[b]) == [pieces[b]]
+        else:
+            found = self.merged(pieces[a] + pieces[b]) == [pieces[a], pieces[b]]
+        if len(self.after) >= self.pairs:
+            self.after.clear()
+        self.after[a * self.size + b] = found
         return found
 
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """Pieces of each word, whose characters must all be pieces."""
-        ids, scores, longest, bpe = self.model.ids, self.model.scores, self.model.longest, self.model.bpe
-        after, follows = self.after, self._follows
+        ids, scores, reach, bpe = self.model.ids, self.model.scores, self.model.reach, self.model.bpe
+        inf, get, sizes = np.inf, ids.get, self.sizes
+        after, follows, size = self.after.get, self._follows, self.size
         # forward state of the current word: the best last piece of each prefix, and its score
         last, score, out, before = [-1], [0.0], {}, ""
         for word in sorted(set(words)):
@@ -173,40 +180,58 @@ class Viterbi:
                 shared += 1
             del last[shared + 1 :], score[shared + 1 :]
             for end in range(shared + 1, n + 1):
-                best, top = -1, -np.inf
-                for start in range(max(0, end - longest), end):
-                    piece = ids.get(word[start:end])
-                    if piece is None:
-                        continue
-                    if bpe:
+                best, top = -1, -inf
+                low = end - reach.get(word[end - 2 : end] if end > 1 else word[0], 1)
+                if low < 0:
+                    low = 0
+                if bpe:
+                    # at most one piece fits, and it is short more often than long
+                    for start in range(end - 1, low - 1, -1):
                         a = last[start]
-                        ok = after.get((a, piece))
-                        if ok is None:
-                            ok = follows(a, piece)
-                        if ok and (start == 0 or a >= 0):
-                            best, top = piece, score[start] + scores[piece]
+                        if a < 0 and start:
+                            continue
+                        piece = get(word[start:end])
+                        if piece is None:
+                            continue
+                        ok = after(a * size + piece)
+                        if ok or ok is None and follows(a, piece):
+                            best = piece
                             break
-                    elif score[start] + scores[piece] > top:
-                        best, top = piece, score[start] + scores[piece]
+                else:
+                    for start in range(low, end):
+                        piece = get(word[start:end])
+                        if piece is not None and score[start] + scores[piece] > top:
+                            best, top = piece, score[start] + scores[piece]
                 last.append(best)
-                score.append(top)
+                if not bpe:
+                    score.append(top)
             at, path = n, []
             while at:
-                path.append(last[at])
-                at -= len(self.model.pieces[last[at]])
+                piece = last[at]
+                path.append(piece)
+                at -= sizes[piece]
             out[word] = path[::-1]
             before = word
         return out
 
 
 class Codec:
-    """Encodes and decodes texts; remembers the ids of marked words."""
+    """Encodes and decodes texts; remembers the ids of marked words, in ``room`` bytes at most.
 
-    def __init__(self, path: str, words: int = CACHE_WORDS):
-        self.model, self.words, self.seen = Model.load(path), words, {}
+    Words not met since half the room was filled are forgotten when it is again.
+    """
+
+    def __init__(self, path: str, room: int = CACHE_BYTES):
+        self.model, self.room, self.held = Model.load(path), room, 0
+        self.seen: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.viterbi = Viterbi(self.model)
         self._unit = re.compile(f"{MARK}+[^{MARK}\\n\\t]*|[\\n\\t]|[^{MARK}\\n\\t]+" if not {"\n", "\t"} & self.model.joins else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        self._cut = re.compile(f"[^{MARK}](?={MARK})")
         self._user = re.compile("|".join(map(re.escape, self.model.user))) if self.model.user else None
+        known = "".join(map(re.escape, sorted(p for p in self.model.ids if len(p) == 1)))
+        # characters that are no pieces, and what a user gave
+        self._odd = re.compile("|".join([*map(re.escape, self.model.user), f"[^{known}]" if known else "."]), re.DOTALL)
         self._bytes = [self._raw(i) for i in range(len(self.model.pieces))]
 
     def _raw(self, i: int) -> bytes:
@@ -219,65 +244,90 @@ class Codec:
             return " ⁇ ".encode()
         return piece.replace(MARK, " ").encode()
 
-    def _units(self, text: str) -> list[str]:
+    def _parts(self, text: str) -> Iterator[list[str]]:
+        """The marked words of a text, in lists; a long text is cut between two of them every ``PART`` characters."""
         if self.model.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
         if not text:
-            return []
+            return
         text = text.replace(" ", MARK)
-        return self._unit.findall(MARK + text if self.model.prefix else text)
+        text, at = MARK + text if self.model.prefix else text, 0
+        while at < len(text):
+            cut = self._cut.search(text, at + PART)
+            stop = cut.end() if cut else len(text)
+            yield self._unit.findall(text[at:stop])
+            at = stop
 
     def _spelled(self, c: str) -> list[int]:
         """A character that is no piece, by its bytes or as unknown."""
         table = self.model.bytes
         return [table[f"<0x{b:02X}>"] for b in c.encode()] if table else [self.model.unk]
 
-    def _learn(self, units: set[str]) -> None:
-        ids, plain, parts = self.model.ids, [], {}
-        for unit in units:
-            pieces, at = [], 0
-            for m in self._user.finditer(unit) if self._user else ():
-                pieces += self._split(unit[at : m.start()]) + [[ids[m[0]]]]
-                at = m.end()
-            parts[unit] = pieces + self._split(unit[at:])
-            plain += [p for p in parts[unit] if isinstance(p, str)]
-        known = self.viterbi.encode_words(plain)
+    def _learned(self, units: set[str]) -> dict[str, bytes]:
+        odd = [u for u in units if self._odd.search(u)]
+        parts = {u: self._pieces(u) for u in odd}
+        plain = units.difference(odd)
+        known = self.viterbi.encode_words([*plain, *(p for x in parts.values() for p in x if isinstance(p, str))])
+        out = {u: array("i", known[u]).tobytes() for u in plain}
         unknown = [self.model.unk]
-        for unit in units:
+        for unit in odd:
             got, lost = [], False
             for p in parts[unit]:
                 new = known[p] if isinstance(p, str) else p
                 if new != unknown or not lost:
                     got += new
                 lost = new == unknown
-            self.seen[unit] = np.array(got, "<i4").tobytes()
-        if len(self.viterbi.after) > 2_000_000:
-            self.viterbi.after.clear()
+            out[unit] = array("i", got).tobytes()
+        return out
+
+    def _pieces(self, unit: str) -> list:
+        """Text between what a user's pieces and characters that are no pieces take out, and the ids of these."""
+        out, at = [], 0
+        for m in self._user.finditer(unit) if self._user else ():
+            out += self._split(unit[at : m.start()]) + [[self.model.ids[m[0]]]]
+            at = m.end()
+        return out + self._split(unit[at:])
 
     def _split(self, text: str) -> list:
-        """Runs of characters that pieces can join as text, characters that are no pieces as ids."""
-        ids, pairs, out, at = self.model.ids, self.model.pairs, [], 0
-        for i in range(len(text)):
-            if text[i] not in ids:
-                out += [text[at:i]] * (at < i) + [self._spelled(text[i])]
+        """Runs of characters that are pieces as text, others as ids."""
+        ids, out, at = self.model.ids, [], 0
+        for i, c in enumerate(text):
+            if c not in ids:
+                out += [text[at:i]] * (at < i) + [self._spelled(c)]
                 at = i + 1
-            elif at < i and text[i - 1 : i + 1] not in pairs:
-                out.append(text[at:i])
-                at = i
         return out + [text[at:]] * (at < len(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian int32."""
-        if len(self.seen) > self.words:
-            self.seen.clear()
-        units = [self._units(t) for t in texts]
-        missing: set[str] = set()
-        for u in units:
-            missing.update(set(u).difference(self.seen))
-        if missing:
-            self._learn(missing)
-        get = self.seen.__getitem__
-        return [b"".join(map(get, u)) for u in units]
+        out: list[list[bytes]] = [[] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        n = 0
+
+        def flush() -> None:
+            missing: set[str] = set()
+            for _, u in held:
+                missing.update(u)
+            missing.difference_update(self.seen)
+            known = {u: self.before[u] for u in missing if u in self.before}
+            known |= self._learned(missing.difference(known))
+            self.seen |= known
+            for k, u in held:
+                out[k].append(b"".join(map(self.seen.__getitem__, u)))
+            held.clear()
+            # a dictionary entry, the headers of both objects, and two bytes a character
+            self.held += sum(190 + 2 * len(u) + len(x) for u, x in known.items())
+            if self.held > self.room // 2:
+                self.before, self.seen, self.held = self.seen if self.held <= self.room else {}, {}, 0
+
+        for k, text in enumerate(texts):
+            for units in self._parts(text):
+                held.append((k, units))
+                n += len(units)
+                if n > PART // 4:
+                    flush()
+                    n = 0
+        flush()
+        return [b"".join(x) for x in out]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids; without the space that the mark in front stands for."""
@@ -305,7 +355,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             _, offsets = utf8(b.column(1))
-            for i, j in slices(offsets, 1 << 22):
+            for i, j in slices(offsets, 1 << 20):
                 texts = [t or "" for t in b.column(1)[i:j].to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(codec(path).encode(texts), pa.binary())], names=["doc_id", "ids"])
 
@@ -338,7 +388,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
         for b in batches:
             _, offsets = utf8(b.column(1))
-            for i, j in slices(offsets, 1 << 22):
+            for i, j in slices(offsets, 1 << 20):
                 texts = [t or "" for t in b.column(1)[i:j].to_pylist()]
                 c = codec(path)
                 ids = c.encode(texts)

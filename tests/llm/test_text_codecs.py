@@ -116,6 +116,17 @@ def test_pieces_equal_the_library(rnd):
         assert codec.decode(found) == library.decode(library.encode(t)) == t.replace("▁", " ")
 
 
+def test_memory_of_words_is_bounded_and_changes_nothing(rnd, monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [" ".join("".join(rnd.choice("abcehinorst") for _ in range(rnd.randint(1, 12))) for _ in range(3000)), "nospaces" * 9000, "", "  x   y " * 500]
+    monkeypatch.setattr(sv, "PART", 64)
+    codec = sv.Codec(PIECES, room=20_000)
+    codec.viterbi = sv.Viterbi(codec.model, pairs=50)
+    for t, ids in zip(texts, codec.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(t)
+        assert codec.held <= 20_000 and len(codec.viterbi.after) <= 50
+
+
 def test_unigram_models_take_the_best_path(rnd):
     pieces = ["<unk>", "a", "b", "ab", "ba", "aba", "abab", "bb"]
     scores = [0.0, -2.0, -2.5, -3.0, -3.2, -4.1, -6.5, -3.0]
@@ -138,4 +149,6 @@ def test_round_trip_and_decode(docs, spark):
     assert all(r["exact"] for r in got.values()) and got[0]["n_tokens"] == got[1]["n_tokens"] == 0
     back = {r["doc_id"]: r["text"] for r in sv.decode(sv.encode(df, PIECES), PIECES).collect()}
     assert back == {i: (t or "").replace("▁", " ") for i, t in enumerate(TEXTS)}
+    clashing = df.selectExpr("*", "1 as n_tokens", "2 as exact", "3 as ids")
+    assert sorted(map(tuple, sv.round_trip(clashing, PIECES).collect())) == sorted(map(tuple, got.values()))
     assert sv.round_trip(df.limit(0), PIECES).count() == 0
