@@ -4,7 +4,8 @@ The spread of a line is the number of different sites that it occurs on. Lines
 on one site only are told apart by the least and the greatest site; of the
 others, HyperLogLog sketches of the sites are merged for each line hash. Where
 an estimate is near the threshold, sites are counted exactly, so the decisions
-are those of exact counts.
+are those of exact counts. A line is known by two hashes of 64 bits each. Texts
+are split once; what follows reads the written hashes.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from .common import stage_table
 
 MIN_SITES = 10
-MAX_SHARE = 0.5
 SKETCH_BITS = 12
 BLANKS = " \t\r"
+LINE = ["line", "line2"]
 
 
 def _row_key(doc_id: Column, text: Column) -> list[Column]:
@@ -26,67 +27,65 @@ def _row_key(doc_id: Column, text: Column) -> list[Column]:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """``_row, _doc, site, position, size, whole, line``: a row for each line that isn't blank.
+    """``_row, _doc, site, position, line, line2``: a row for each line that isn't blank.
 
-    ``line`` is the hash of the line without blanks around it; ``size`` and
-    ``whole`` are bytes of the line and of its text.
+    ``line`` and ``line2`` are hashes of the line without blanks around it.
     """
     rows = docs.filter("text is not null").select(
         *_row_key(F.col("doc_id"), F.col("text")),
         F.coalesce("source", F.lit("")).alias("site"),
-        F.octet_length("text").alias("whole"),
         F.posexplode(F.split("text", "\n", -1)).alias("position", "_line"),
     )
     bare = F.btrim("_line", F.lit(BLANKS))
-    return rows.filter(bare != "").select("_row", "_doc", "site", "position", F.octet_length("_line").alias("size"), "whole", F.xxhash64(bare).alias("line"))
+    return rows.filter(bare != "").select("_row", "_doc", "site", "position", F.xxhash64(bare).alias("line"), F.xxhash64(F.lit(1), bare).alias("line2"))
 
 
 def shared_lines(found: DataFrame, min_sites: int = MIN_SITES, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """``line``: hashes of lines on ``min_sites`` different sites or more."""
-    seen = found.select("line", "site")
+    """``line, line2``: hashes of lines on ``min_sites`` different sites or more."""
+    seen = found.select(*LINE, "site")
     if min_sites <= 1:
-        return seen.select("line").distinct()
+        return seen.select(*LINE).distinct()
     site = F.xxhash64("site")
-    several = seen.groupBy("line").agg(F.min(site).alias("a"), F.max(site).alias("z")).filter("a <> z").select("line")
-    seen = seen.join(stage_table(several, "lines"), "line", "left_semi")
-    sketches = seen.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(sketch_bits)).alias("sketch"))
-    spread = stage_table(sketches.select("line", F.hll_sketch_estimate("sketch").alias("sites")), "spread")
+    several = seen.groupBy(*LINE).agg(F.min(site).alias("a"), F.max(site).alias("z")).filter("a <> z").select(*LINE)
+    seen = seen.join(stage_table(several, "lines"), LINE, "left_semi")
+    sketches = seen.groupBy(*LINE).agg(F.hll_sketch_agg("site", F.lit(sketch_bits)).alias("sketch"))
+    spread = stage_table(sketches.select(*LINE, F.hll_sketch_estimate("sketch").alias("sites")), "spread")
     # five standard errors of a sketch on either side
     band = 5 * 1.04 / 2 ** (sketch_bits / 2)
-    sure = spread.filter(F.col("sites") > min_sites * (1 + band)).select("line")
-    near = spread.filter(F.col("sites").between(min_sites * (1 - band) - 1, min_sites * (1 + band))).select("line")
-    exact = seen.join(near, "line", "left_semi").distinct().groupBy("line").count().filter(F.col("count") >= min_sites)
-    return sure.unionByName(exact.select("line"))
+    sure = spread.filter(F.col("sites") > min_sites * (1 + band)).select(*LINE)
+    near = spread.filter(F.col("sites").between(min_sites * (1 - band) - 1, min_sites * (1 + band))).select(*LINE)
+    exact = seen.join(near, LINE, "left_semi").distinct().groupBy(*LINE).count().filter(F.col("count") >= min_sites)
+    return sure.unionByName(exact.select(*LINE))
 
 
-def without_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def without_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``docs`` with all its columns, ``text`` without lines that ``min_sites`` sites share, and ``n_lines, n_removed``.
 
     Lines are parted by newlines and compared without blanks around them; blank
-    lines stay. A document more than ``max_share`` of whose bytes would go is a
-    copy of others rather than a page with boilerplate; it is left whole, for
+    lines stay. A document none of whose lines is its own, since each is shared,
+    is a copy and not a carrier of boilerplate; it stays whole, for
     near-duplicate removal to decide. A null source is a site of its own. A null
     text stays null and has no lines. Repeated rows are treated alike; other
     columns pass through, except that ``n_lines`` and ``n_removed`` are replaced;
     an empty table gives an empty one.
     """
-    found = lines(docs)
+    found = stage_table(lines(docs), "found")
     shared = stage_table(shared_lines(found, min_sites, sketch_bits), "shared-lines")
-    hits = found.join(shared, "line", "left_semi").select("_row", "_doc", "whole", F.struct("position", "size").alias("hit"))
-    drops = hits.groupBy("_row", "_doc").agg(F.max("whole").alias("_whole"), F.collect_set("hit").alias("_hits"))
-    cut = F.aggregate("_hits", F.lit(0).cast("long"), lambda a, x: a + x["size"])
-    drops = drops.filter(cut <= F.col("_whole") * F.lit(max_share)).select("_row", "_doc", F.col("_hits.position").alias("_drop"))
+    drops = found.join(shared, LINE, "left_semi").groupBy("_row", "_doc").agg(F.collect_set("position").alias("_drop"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     # a struct, so that no column of the table can clash with those added here
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_r"), *_row_key(F.col("doc_id"), F.col("text")))
     joined = keyed.join(drops, ["_row", "_doc"], "left")
     text = F.col("_r.text")
     parts = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_drop", i)), "\n")
-    return joined.select(
-        *[F.when(F.col("_drop").isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"_r.`{c}`").alias(c) for c in columns],
+    kept = F.filter(parts, lambda x, i: ~F.array_contains("_drop", i))
+    own = F.exists(kept, lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    cut = joined.withColumn("_kept", F.when(F.col("_drop").isNotNull(), F.when(own, kept)))
+    whole = F.col("_kept").isNull()
+    return cut.select(
+        *[F.when(whole, text).otherwise(F.array_join("_kept", "\n")).alias("text") if c == "text" else F.col(f"_r.`{c}`").alias(c) for c in columns],
         F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_removed"),
+        F.when(whole, 0).otherwise(F.size("_drop")).cast("long").alias("n_removed"),
     )
 
 
@@ -96,12 +95,12 @@ def digests(deduped: DataFrame) -> DataFrame:
 
 ORACLE_SQL = f"""
 WITH rows AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce(source, '') AS site FROM documents),
-parts AS (SELECT r, site, strlen(text) AS whole, string_split(text, chr(10)) AS p FROM rows WHERE text IS NOT NULL),
-lines AS (SELECT r, site, whole, unnest(p) AS raw, generate_subscripts(p, 1) AS position FROM parts),
-found AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM lines WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''),
+parts AS (SELECT r, site, string_split(text, chr(10)) AS p FROM rows WHERE text IS NOT NULL),
+lines AS (SELECT r, site, unnest(p) AS raw, generate_subscripts(p, 1) AS position FROM parts),
+found AS (SELECT r, site, position, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM lines WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''),
 shared AS (SELECT line FROM found GROUP BY line HAVING count(DISTINCT site) >= {MIN_SITES}),
-hits AS (SELECT r, whole, position, strlen(raw) AS size FROM found WHERE line IN (SELECT line FROM shared)),
-drops AS (SELECT r, list(position) AS gone FROM hits GROUP BY r HAVING sum(size) <= max(whole) * {MAX_SHARE})
+marked AS (SELECT r, position, line IN (SELECT line FROM shared) AS gone FROM found),
+drops AS (SELECT r, list(position) FILTER (WHERE gone) AS gone FROM marked GROUP BY r HAVING bool_or(gone) AND NOT bool_and(gone))
 SELECT doc_id,
        CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END::BIGINT AS n_lines,
        coalesce(len(gone), 0)::BIGINT AS n_removed,

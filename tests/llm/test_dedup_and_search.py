@@ -14,7 +14,7 @@ from pagequarry.llm import suffix_dedup as sd
 # ---------------------------------------------------------------- lines
 
 
-def plain_lines(rows, min_sites, share=0.5):
+def plain_lines(rows, min_sites):
     sites = collections.defaultdict(set)
     for text, site in rows:
         for line in (text or "").split("\n") if text is not None else []:
@@ -27,7 +27,7 @@ def plain_lines(rows, min_sites, share=0.5):
             continue
         parts = text.split("\n")
         gone = {k for k, x in enumerate(parts) if len(sites.get(x.strip(" \t\r"), ())) >= min_sites and x.strip(" \t\r")}
-        if sum(len(parts[k].encode()) for k in gone) > len(text.encode()) * share:
+        if not any(x.strip(" \t\r") for k, x in enumerate(parts) if k not in gone):
             gone = set()
         out.append(("\n".join(x for k, x in enumerate(parts) if k not in gone), len(parts), len(gone)))
     return out
@@ -52,6 +52,13 @@ def test_copies_are_left_whole_and_odd_tables_pass(docs):
     assert ld.without_shared_lines(df.limit(0)).count() == 0
 
 
+def test_carriers_lose_shared_lines_however_long(docs):
+    passage = "a passage that many sites carry " * 40
+    rows = [(i, f"own {i}\n{passage}", "en", f"s{i}", 0) for i in range(12)] + [(20, passage, "en", "s1", 0)]
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in ld.without_shared_lines(docs(rows)).collect()}
+    assert got == {i: (f"own {i}", 1) for i in range(12)} | {20: (passage, 0)}
+
+
 def test_main_path_has_no_python(docs):
     plan = ld.without_shared_lines(docs(["a\nb"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
