@@ -12,9 +12,10 @@ one of the 20 cells made of three blocks each. ``similar_texts`` links texts by
 the similarity of their shingles. At 0.8 about ten of 64 bits change, which
 leaves too few blocks alone, so there each text also has ``SAMPLES``
 fingerprints of a few shingles each, the least under as many hashes; a pair of
-this similarity shares one of them with a probability of over 0.999. The pairs
-that meet and that the tables and the distance of the whole fingerprints leave
-are verified by their whole texts.
+this similarity shares one of them with a probability of over 0.999. Texts that
+shared fingerprints join, directly or over others, are a family; its members come
+together once, whole, and the pairs that the tables and the distance of the whole
+fingerprints leave are verified by all their shingles.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_table, stage_table, width
@@ -41,6 +42,10 @@ SIMILARITY = 0.8
 SAMPLES, SAMPLE = 20, 5
 #: Bits in which fingerprints of texts at ``SIMILARITY`` may differ: three standard deviations over the mean.
 WIDE_RADIUS = 18
+#: A family of more members or bytes than this is dealt out in blocks; ``HUBS`` of its members go to all of them.
+BLOCK_TEXTS, BLOCK_BYTES, HUBS = 1024, 8 << 20, 16
+#: Family members that are broadcast, so that only their texts move; beyond it both sides are dealt out.
+BROADCAST_KEYS = 1_000_000
 _RANDOM = np.random.default_rng(SEED).integers(0, 2**64, (2, SAMPLES), np.uint64)
 
 
@@ -331,127 +336,133 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string, key long, fp long, samples array<long>")
 
 
-def _verified_texts(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs ``u, v`` whose whole texts have the similarity; rows come in the order of ``u``, whose shingles are kept."""
+def _block_links(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, sets: list[np.ndarray], label: np.ndarray, apart: np.ndarray, home: np.ndarray, radius: int, similarity: float) -> tuple[list[int], list[int]]:
+    """Links that join the similar texts of a block, fewer than texts: each one apart is held against those at home.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, mine = None, None
-        for b in batches:
-            near = []
-            for u, s, t in zip(b.column(0).to_pylist(), b.column(2), b.column(3), strict=True):
-                if u != last:
-                    last, mine = u, text_shingles(s.as_py(), words)[1]
-                other = text_shingles(t.as_py(), words)[1]
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                near.append(both >= similarity * (len(mine) + len(other) - both) - 1e-9)
-            yield b.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
-
-    left, right = texts.toDF("u", "s"), texts.toDF("v", "t")
-    return pairs.join(right, "v").join(left, "u").select("u", "v", "s", "t").mapInArrow(run, "u long, v long")
-
-
-def _meet(radius: int):
-    """A mapInArrow function over rows sorted by cell and salt: (cell, salt, key, group, home, apart, fp, pivots...) to pairs.
-
-    All rows of a cell that stand apart are held against all that are at home in
-    this salt, if they are of other groups.
+    ``label`` names groups that are joined already. A pair is discarded by the
+    tables, then by the distance of its fingerprints, then by its common shingles.
     """
-
-    def pairs(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, group, home, apart, fps, *tables = part
-        table = np.stack(tables, 1).astype("<i8").view(np.int8).reshape(len(key), -1).astype(np.int16)
-        fps, rows, here = fps.view(np.uint64), np.flatnonzero(apart), np.flatnonzero(home)
-        step = max(1, 1_000_000 // max(1, len(here)))
-        for k in range(0, len(rows), step):
-            i, j = np.repeat(rows[k : k + step], len(here)), np.tile(here, len(rows[k : k + step]))
-            other = group[i] != group[j]
-            i, j = i[other], j[other]
-            ok = _verified(table, fps, i, j, radius)
-            a, b = key[i[ok]], key[j[ok]]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"])
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    mine, label, us, vs = np.zeros(int(ids.max()) + 1, np.int32), label.copy(), [], []
+    for a in np.flatnonzero(apart).tolist():
+        rest = np.flatnonzero(home & (label != label[a]))
+        rest = rest[_verified(table, fps, np.full(len(rest), a), rest, radius)] if len(rest) else rest
+        if not len(rest):
+            continue
+        own = ids[starts[a] : starts[a] + sizes[a]]
+        mine[own] = 1
+        if 8 * len(rest) < len(sets):
+            common = np.array([mine[ids[starts[j] : starts[j] + sizes[j]]].sum() for j in rest.tolist()])
+        else:
+            common = np.add.reduceat(mine[ids], starts)[rest]
+        mine[own] = 0
+        for j in rest[common >= similarity * (sizes[a] + sizes[rest] - common) - 1e-9].tolist():
+            if label[j] != label[a]:
+                us.append(int(keys[a])), vs.append(int(keys[j]))
+                label[label == label[j]] = label[a]
+    return us, vs
+
+
+def _families(words: int, radius: int, similarity: float):
+    """A mapInArrow function over rows sorted by family and block: (family, block, key, group, apart, home, fp, text, pivots...) to links."""
+
+    def solve(rows: list[tuple]) -> pa.RecordBatch | None:
+        # equal rows of one document come next to each other
+        rows = [r for k, r in enumerate(rows) if not k or r[2] != rows[k - 1][2]]
+        if len(rows) < 2:
+            return None
+        _, _, keys, group, apart, home, fps, texts, *tables = zip(*rows, strict=True)
+        table = np.array(tables, "<i8").T.copy().view(np.int8).reshape(len(keys), -1).astype(np.int16)
+        sets = [text_shingles(x, words)[1] for x in texts]
+        _, label = np.unique(np.array(group, np.int64), return_inverse=True)
+        u, v = _block_links(np.array(keys, np.int64), np.array(fps, np.int64).view(np.uint64), table, sets, label, np.array(apart), np.array(home), radius, similarity)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]) if u else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        now = None
+        held: list[tuple] = []
         for b in batches:
-            part = [b.column(c).to_numpy(zero_copy_only=False) for c in range(b.num_columns)]
-            edge = np.flatnonzero((part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])) + 1
-            for a, z in zip([0, *edge.tolist()], [*edge.tolist(), b.num_rows], strict=True):
-                if a == z:
-                    continue
-                at = (part[0][a], part[1][a])
-                if now is not None and at != now:
-                    yield from pairs([np.concatenate(x) for x in zip(*held, strict=True)])
-                    held = []
-                now = at
-                held.append([x[a:z] for x in part[2:]])
-        if held:
-            yield from pairs([np.concatenate(x) for x in zip(*held, strict=True)])
+            for k in range(0, b.num_rows, 512):
+                for r in zip(*(c.to_pylist() for c in b.slice(k, 512).columns), strict=True):
+                    if held and r[:2] != held[-1][:2]:
+                        if (out := solve(held)) is not None:
+                            yield out
+                        held = []
+                    held.append(r)
+        if held and (out := solve(held)) is not None:
+            yield out
 
     return run
 
 
-def _rest(met: DataFrame, groups: DataFrame, radius: int, pivots: int, cell_max: int) -> DataFrame | None:
-    """Pairs ``u, v`` of one cell and different groups that are within the radius; None if no cell holds two groups.
+def _gathered(rows: DataFrame, members: DataFrame, pivots: int) -> DataFrame:
+    """The texts of ``members`` (``key, rep, family, block, group, apart, home``), sorted by family and block."""
+    if members.count() <= BROADCAST_KEYS:
+        members = F.broadcast(members)
+    texts = rows.withColumnRenamed("doc_id", "rep").join(members, ["key", "rep"])
+    kept = texts.select("family", "block", "key", "group", "apart", "home", "fp", "text", *_table(F.col("fp"), references(pivots)))
+    return kept.repartition(width(rows.sparkSession), "family", "block").sortWithinPartitions("family", "block", "key")
 
-    In each cell the rows of its largest group are held against the others only.
-    A cell of more than ``cell_max`` rows is dealt out by salts: each row is at
-    home in one, and rows that aren't in the largest group visit all. So a cell
-    costs rows times those out of its largest group, in tasks of bounded size.
-    """
-    named = met.join(groups.toDF("key", "group"), "key", "left").withColumn("group", F.coalesce("group", "key"))
-    named = stage_table(named, "named")
-    sizes = named.groupBy("cell", "group").agg(F.count("*").alias("n"))
-    tops = sizes.groupBy("cell").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("groups"))
-    tops = stage_table(tops.filter("groups > 1").select("cell", F.col("top.group").alias("top"), F.ceil(F.col("n") / cell_max).cast("int").alias("salts")), "tops")
-    if tops.isEmpty():
-        drop_table(named)
-        return None
-    rows = named.join(tops, "cell").withColumn("own", F.pmod("key", "salts").cast("int")).withColumn("apart", F.col("group") != F.col("top"))
-    places = F.when(F.col("apart"), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("own"))
-    rows = rows.withColumn("salt", F.explode(places)).withColumn("home", F.col("salt") == F.col("own"))
-    kept = rows.select("cell", "salt", "key", "group", "home", "apart", "fp", *_table(F.col("fp"), references(pivots)))
-    dealt = kept.repartition(width(met.sparkSession), "cell", "salt").sortWithinPartitions("cell", "salt")
-    return dealt.mapInArrow(_meet(radius), "u long, v long").distinct()
-
-
-def similar_texts(docs: DataFrame, words: int = TEXT_SHINGLE, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, pivots: int = PIVOTS, cell_max: int = CELL_MAX) -> DataFrame:
+
+def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: float, radius: int, pivots: int, block_texts: int) -> DataFrame:
+    """``key, group`` for each text that is similar to another one; ``group`` is a key of it."""
+    spark = rows.sparkSession
+    cells = nodes.select("key", F.posexplode("samples").alias("part", "sample")).select(F.xxhash64("part", "sample").alias("cell"), "key")
+    # written, so that the join deals out both sides anew and a hot cell's rows can be split
+    leads = stage_table(cells.groupBy("cell").agg(F.min("key").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leads")
+    met = cells.join(leads, "cell").filter("key > lead").select(F.col("lead").alias("u"), F.col("key").alias("v")).distinct()
+    family = connected_components(met).toDF("key", "family")
+    members = stage_table(family.join(nodes.select("key", "rep", "bytes"), "key"), "members")
+    drop_table(leads)
+    sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("n") / block_texts, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    large = stage_table(sizes.select("family", blocks.alias("blocks")).filter("blocks > 1"), "large")
+    plan = "u long, v long"
+    small = members.join(large, "family", "left_anti").select("key", "rep", "family", F.lit(0).alias("block"), F.col("key").alias("group"), F.lit(True).alias("apart"), F.lit(True).alias("home"))
+    links = stage_table(_gathered(rows, small, pivots).mapInArrow(_families(words, radius, similarity), plan), "links")
+    if large.isEmpty():
+        return connected_components(links).toDF("key", "group")
+    dealt = stage_table(members.join(large, "family").withColumn("own", F.pmod(F.xxhash64("key"), "blocks").cast("int")), "dealt")
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    # hubs join the groups of blocks that belong together
+    hubs = F.row_number().over(Window.partitionBy("family", "own").orderBy("key")) == 1
+    hub = dealt.filter(F.col("own") < HUBS).withColumn("hub", hubs).filter("hub").select("key", F.lit(True).alias("hub"))
+    placed = dealt.join(hub, "key", "left").withColumn("block", F.explode(F.when(F.col("hub"), everywhere).otherwise(F.array("own"))))
+    first = placed.select("key", "rep", "family", "block", F.col("key").alias("group"), F.lit(True).alias("apart"), F.lit(True).alias("home"))
+    links = links.unionByName(_gathered(rows, stage_table(first, "first"), pivots).mapInArrow(_families(words, radius, similarity), plan))
+    groups = stage_table(connected_components(links).toDF("key", "group"), "groups")
+    named = stage_table(dealt.join(groups, "key", "left").withColumn("group", F.coalesce("group", "key")), "named")
+    counts = named.groupBy("family", "group").agg(F.count("*").alias("n"))
+    tops = counts.groupBy("family").agg(F.max(F.struct("n", "group")).alias("top"), F.count("*").alias("groups")).filter("groups > 1")
+    rest = named.join(tops.select("family", F.col("top.group").alias("top")), "family").withColumn("apart", F.col("group") != F.col("top"))
+    rest = rest.withColumn("block", F.explode(F.when(F.col("apart"), everywhere).otherwise(F.array("own")))).withColumn("home", F.col("block") == F.col("own"))
+    rest = stage_table(rest.select("key", "rep", "family", "block", "group", "apart", "home"), "rest")
+    more = stage_table(_gathered(rows, rest, pivots).mapInArrow(_families(words, radius, similarity), plan), "links")
+    # groups are stars of links, and the new links join them
+    return connected_components(more.unionByName(groups.toDF("u", "v"))).toDF("key", "group")
+
+
+def similar_texts(docs: DataFrame, words: int = TEXT_SHINGLE, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, pivots: int = PIVOTS, block_texts: int = BLOCK_TEXTS) -> DataFrame:
     """``doc_id, component_id`` for each row of ``docs`` (``doc_id, text``) with an id.
 
     Texts are linked if at least ``similarity`` of all their different shingles
     are common to both; ``component_id`` is the least ``doc_id`` that links
     reach. Words are those of ``fingerprint``; texts with the same words are one
-    node, and null, empty and blank texts are such. Each text is first held
-    against one other of each of its cells, and what is linked then is one group.
-    In cells that still hold several groups all pairs of different groups meet;
-    the distance tables and the fingerprints discard most, whole texts verify the
-    others. Repeated rows give repeated results, rows without an id none; other
-    columns are ignored; an empty table gives none.
+    node, and null, empty and blank texts are such. All pairs of a family are
+    held against each other unless links have joined them already. A family of
+    more than ``block_texts`` texts is dealt out in blocks: each is solved by
+    itself together with a few texts that go to all blocks, and what the largest
+    group then leaves out is held against all blocks. Repeated rows give repeated
+    results, rows without an id none; other columns are ignored; an empty table
+    gives none.
     """
     rows = stage_table(_signatures(docs.filter("doc_id is not null"), words), "signatures")
-    nodes = rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("samples").alias("samples"))
-    cells = nodes.select("key", "fp", F.posexplode("samples").alias("part", "sample")).select(F.xxhash64("part", "sample").alias("cell"), "key", "fp")
-    # written, so that the join deals out both sides anew and a hot cell's rows can be split
-    leads = stage_table(cells.groupBy("cell").agg(F.min("key").alias("lead"), F.count("*").alias("n")).filter("n > 1"), "leads")
-    met = stage_table(cells.join(leads, "cell"), "met")
-    pairs = stage_table(met.filter("key > lead").select(F.col("lead").alias("u"), F.col("key").alias("v")).distinct(), "pairs")
-    ends = met.select("key").distinct()
-    texts = stage_table(rows.join(ends, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
-    groups = stage_table(connected_components(_verified_texts(pairs, texts, words, similarity)), "groups")
-    more = _rest(met.filter("n > 2").select("cell", "key", "fp"), groups, radius, pivots, cell_max)
-    if more is not None:
-        more = stage_table(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
-        found = stage_table(_verified_texts(more, texts, words, similarity), "links")
-        # groups are joined by the new links between them
-        of = groups.toDF("node", "group")
-        edges = found.join(of.toDF("u", "a"), "u", "left").join(of.toDF("v", "b"), "v", "left").select(F.coalesce("a", "u").alias("u"), F.coalesce("b", "v").alias("v"))
-        joined = connected_components(edges).toDF("group", "component")
-        alone = joined.join(of.select("group").distinct(), "group", "left_anti").select(F.col("group").alias("node"), "component")
-        groups = of.join(joined, "group", "left").select("node", F.coalesce("component", "group").alias("component")).unionByName(alone)
-    labels = rows.groupBy("key").agg(F.min("doc_id").alias("least")).join(groups.toDF("key", "group"), "key", "left").select("key", "least", F.coalesce("group", "key").alias("group"))
+    one = F.min(F.struct("doc_id", F.octet_length("text").alias("bytes"))).alias("one")
+    nodes = rows.groupBy("key").agg(one, F.first("samples").alias("samples"))
+    nodes = stage_table(nodes.select("key", "samples", F.col("one.doc_id").alias("rep"), F.coalesce("one.bytes", F.lit(0)).alias("bytes")), "nodes")
+    groups = _similar_groups(rows, nodes, words, similarity, radius, pivots, block_texts)
+    labels = nodes.select("key", "rep").join(groups, "key", "left").select("key", "rep", F.coalesce("group", "key").alias("group"))
     labels = stage_table(labels, "labels")
-    least = labels.groupBy("group").agg(F.min("least").alias("component_id"))
-    for table in (leads, met, pairs, texts):
-        drop_table(table)
+    least = labels.groupBy("group").agg(F.min("rep").alias("component_id"))
     return rows.select("doc_id", "key").join(labels.join(least, "group").select("key", "component_id"), "key").select("doc_id", "component_id")

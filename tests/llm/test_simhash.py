@@ -126,8 +126,8 @@ def test_similar_texts_against_brute_force(spark):
     assert all(want[i] == want[c] for i, c in got.items())
 
 
-@pytest.mark.parametrize("cell_max", [4096, 7])
-def test_large_groups_of_similar_texts(spark, rnd, cell_max):
+@pytest.mark.parametrize("block_texts", [1024, 17])
+def test_large_groups_of_similar_texts(spark, rnd, block_texts):
     # two bases that share most shingles, though not enough, and many near copies of either
     base = [f"w{rnd.randint(0, 9000)}" for _ in range(100)]
     half = [*base[:72], *[f"x{k}" for k in range(28)]]
@@ -139,21 +139,25 @@ def test_large_groups_of_similar_texts(spark, rnd, cell_max):
         texts[i] = " ".join(words)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     near, want = plain_groups(texts)
-    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_texts(docs, cell_max=cell_max).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_texts(docs, block_texts=block_texts).collect()}
     assert sum(got[a] == got[b] for a, b in near) >= 0.98 * len(near)
     assert all(want[i] == want[c] for i, c in got.items())
 
 
-def test_pairs_of_different_groups_meet_in_whatever_salt(rnd):
-    import pyarrow as pa
-
-    n, salts = 40, 4
-    key, group = np.arange(n), np.array([rnd.choice([0, 0, 0, 1, 2]) for _ in range(n)])
-    rows = sorted((k % salts if g == 0 else s, k, g, s == k % salts or g == 0) for k, g in enumerate(group.tolist()) for s in ([0] if g == 0 else range(salts)))
-    cols = [np.zeros(len(rows), np.int64), *(np.array(x) for x in zip(*[(s, k, g, h, g != 0, 0, 0) for s, k, g, h in rows], strict=True))]
-    batches = [pa.RecordBatch.from_arrays([pa.array(c[a : a + 11]) for c in cols], names=list("abcdefgh")) for a in range(0, len(rows), 11)]
-    got = {p for b in simhash._meet(3)(iter(batches)) for p in zip(*b.to_pydict().values(), strict=True)}
-    assert got == {(a, b) for a in range(n) for b in range(a + 1, n) if group[a] != group[b]}
+def test_block_links_are_those_of_brute_force(rnd):
+    sets = []
+    for _ in range(60):
+        base = rnd.choice([range(0, 40), range(30, 70), range(100, 130)])
+        sets.append(np.unique(np.array([x if rnd.random() > 0.08 else rnd.randrange(1000, 9999) for x in base], ">u8")))
+    n, none = len(sets), np.zeros((len(sets), 2), np.int16)
+    group = np.array([rnd.randrange(8) if rnd.random() < 0.3 else 100 + k for k in range(n)])
+    apart, home = np.array([rnd.random() < 0.6 for _ in range(n)]), np.array([rnd.random() < 0.7 for _ in range(n)])
+    u, v = simhash._block_links(np.arange(n), np.zeros(n, np.uint64), none, sets, group, apart, home, 3, 0.8)
+    near = lambda a, b: len(set(sets[a].tolist()) & set(sets[b].tolist())) >= 0.8 * len(set(sets[a].tolist()) | set(sets[b].tolist()))
+    same = [(i, j) for i in range(n) for j in range(i) if group[i] == group[j]]
+    pairs = [(a, b) for a in range(n) for b in range(n) if apart[a] and home[b] and a != b and near(a, b)]
+    assert u and len(u) < n and all(near(a, b) for a, b in zip(u, v, strict=True))
+    assert components(range(n), same + list(zip(u, v, strict=True))) == components(range(n), same + pairs)
 
 
 def test_similar_texts_of_odd_tables(spark):
