@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import bind
+
 
 def mean_clusters(values: Column, tolerance: Column) -> Column:
     """Cluster numbers from 1 of sorted doubles: a value joins the cluster whose running mean is within the tolerance."""
@@ -106,8 +108,13 @@ def merged_boxes(boxes: Column, gap: float = 60.0, share: float = 0.5, kind: str
 
     def absorb(kept: Column, b: Column) -> Column:
         grown = F.aggregate(kept, b, lambda acc, k: F.when(near(acc, k), hull(acc, k)).otherwise(acc))
-        return F.concat(F.filter(kept, lambda k: ~near(grown, k)), F.array(grown))
+        return bind(grown, lambda x: F.concat(F.filter(kept, lambda k: ~near(x, k)), F.array(x)))
+
+    def step(acc: Column, _: Column) -> Column:
+        once = F.aggregate(acc["boxes"], F.array().cast(kind), absorb)
+        after = bind(once, lambda x: F.struct(x.alias("boxes"), (F.size(x) < F.size(acc["boxes"])).alias("more")))
+        return F.when(acc["more"], after).otherwise(acc)
 
-    once = lambda a: F.aggregate(a, F.array().cast(kind), absorb)
-    # each pass merges at least one pair or changes nothing, so as many passes as boxes reach the fixed point
-    return F.aggregate(boxes, boxes, lambda a, _: once(a))
+    # a pass that merges nothing is the last; each other one takes a box away, so as many passes as boxes are enough
+    start = F.struct(boxes.cast(kind).alias("boxes"), F.lit(True).alias("more"))
+    return F.aggregate(boxes, start, step, lambda acc: acc["boxes"])

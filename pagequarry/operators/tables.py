@@ -192,6 +192,12 @@ def key_value(text: Column) -> Column:
     return F.when(ok, F.struct(label.alias("label"), value.alias("value")))
 
 
+def sparse_pages(lines: DataFrame, most: int = 2) -> DataFrame:
+    """Pages with labelled lines, but ``most`` of them or fewer (``page, text``): ``page, n``."""
+    fields = lines.filter(key_value(F.col("text")).isNotNull())
+    return fields.groupBy("page").agg(F.count("*").alias("n")).filter(F.col("n") <= most)
+
+
 def blocks(lines: DataFrame, gap: float = 85.0, reset: float = 220.0) -> DataFrame:
     """Block numbers of lines in reading order: a new one after a gap, a jump to the left, or at a heading."""
     w = Window.partitionBy("page").orderBy("y1", "x1", "line_no", "table_id")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..sources import files
 from ..sources.readers import MissingInput
 
 Frames = dict[str, DataFrame]
@@ -34,9 +40,7 @@ class Catalog:
         return f"{self.folder}/{name}"
 
     def has(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
-        return done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+        return files.exists(self.spark, f"{self.path(name)}/_SUCCESS")
 
     def load(self, name: str) -> DataFrame:
         if not self.has(name):
@@ -67,26 +71,136 @@ def selected(stages: list[Stage], start: str | None = None, stop: str | None = N
     return stages[a : z + 1]
 
 
-def run(stages: list[Stage], catalog: Catalog, inputs: Frames | None = None, start: str | None = None, stop: str | None = None, force: bool = False) -> dict[str, str]:
+def _within(spark: SparkSession, seconds: float | None, work: Callable[[], None]) -> None:
+    """Run ``work``; after ``seconds`` its jobs are cancelled, which makes it raise."""
+    if seconds is None:
+        return work()
+    sc, tag = spark.sparkContext, f"stage-{uuid.uuid4().hex}"
+    sc.addJobTag(tag)
+    sc.setInterruptOnCancel(True)
+    timer = threading.Timer(seconds, sc.cancelJobsWithTag, [tag])
+    timer.start()
+    try:
+        work()
+    finally:
+        timer.cancel()
+        sc.removeJobTag(tag)
+
+
+def run(
+    stages: list[Stage],
+    catalog: Catalog,
+    inputs: Frames | None = None,
+    start: str | None = None,
+    stop: str | None = None,
+    force: bool | tuple[str, ...] = False,
+    keep_going: bool = False,
+    timeout: float | None = None,
+) -> dict[str, str]:
     """Run stages in order and save their tables; stages whose tables are all there are skipped unless forced.
 
-    Returns what was done for each: ran or skipped.
+    ``force`` is for all stages or names some. Returns what was done for each: ran,
+    skipped, failed, or blocked by a failed one. The catalog's ``status.json`` says
+    the same with seconds and errors, and is replaced after each stage. A failure
+    ends the run, unless ``keep_going`` lets stages go on that don't need what
+    failed; so does a stage that takes more than ``timeout`` seconds.
     """
-    have, done = dict(inputs or {}), {}
+    have, done, status, lost = dict(inputs or {}), {}, {}, set()
     for s in selected(stages, start, stop):
-        if not force and all(catalog.has(m) for m in s.makes):
+        began, error = time.time(), None
+        forced = force is True or (isinstance(force, tuple) and bool({s.name, *s.aliases} & set(force)))
+
+        def work(s: Stage = s) -> None:
+            for n in (*s.needs, *s.optional):
+                if n not in have and (n in s.needs or catalog.has(n)):
+                    have[n] = catalog.load(n)
+            made = s.build(catalog.spark, {n: have[n] for n in (*s.needs, *s.optional) if n in have})
+            for m in s.makes:
+                have[m] = catalog.save(m, made[m])
+
+        if lost & set(s.needs):
+            done[s.name] = "blocked"
+        elif not forced and all(catalog.has(m) for m in s.makes):
             done[s.name] = "skipped"
-            continue
-        for n in (*s.needs, *s.optional):
-            if n not in have and (n in s.needs or catalog.has(n)):
-                have[n] = catalog.load(n)
-        made = s.build(catalog.spark, {n: have[n] for n in (*s.needs, *s.optional) if n in have})
-        for m in s.makes:
-            have[m] = catalog.save(m, made[m])
-        done[s.name] = "ran"
+        else:
+            try:
+                _within(catalog.spark, timeout, work)
+                done[s.name] = "ran"
+            except Exception as e:
+                done[s.name], error = "failed", e
+        if done[s.name] in ("failed", "blocked"):
+            lost |= set(s.makes)
+        status[s.name] = {"status": done[s.name], "seconds": round(time.time() - began, 3), "error": str(error)[:500] if error else ""}
+        files.put_text(catalog.spark, f"{catalog.folder}/status.json", json.dumps(status, indent=1))
+        if error and not keep_going:
+            raise error
     return done
 
 
+def progress(stages: list[Stage], catalog: Catalog) -> DataFrame:
+    """``position, stage, table_name, there``: which tables of a plan exist by now; for a view of a run that goes on elsewhere."""
+    rows = [(k, s.name, m, catalog.has(m)) for k, s in enumerate(stages) for m in s.makes]
+    return catalog.spark.createDataFrame(rows, "position int, stage string, table_name string, there boolean")
+
+
+def table_batch_stages(least: float = 0.8) -> list[Stage]:
+    """From page images and OCR pages of a batch to accepted and unresolved rows.
+
+    Rendering and OCR themselves are outside: the first two stages check and read
+    what they left.
+    """
+    from ..functions import text as t
+    from ..operators import tables as tb
+    from ..sources import readers as rd
+
+    row = [*tb.TABLE, "record_no"]
+
+    def render(_, f):
+        return {"rendered_pages": rd.image_pages(f["images"])}
+
+    def image_ocr(_, f):
+        lines = rd.parsed_ocr_pages(f["ocr_pages"]).join(f["rendered_pages"].select("page"), "page", "left_semi")
+        return {"ocr_lines": lines.withColumnRenamed("table_index", "table_id")}
+
+    def visual(_, f):
+        return {"visual_rows": tb.visual_rows(tb.deduplicated(tb.by_source(f["ocr_lines"], "prefer_crop")))}
+
+    def logical(_, f):
+        return {"logical_rows": tb.logical_rows(f["visual_rows"])}
+
+    def queue(_, f):
+        rows = f["logical_rows"].filter("status = 'needs_review'")
+        review_id = t.short_id("ROW-", *[F.col(c).cast("string") for c in row])
+        return {"review_queue": rows.select("*", review_id.alias("review_id"), tb.review_priority(F.col("reason"), F.col("confidence")).alias("priority"))}
+
+    def crops(_, f):
+        parts = f["review_queue"].select("review_id", *tb.TABLE, F.explode(F.split("source_rows", ",")).alias("row_no"))
+        boxes = f["visual_rows"].select(*tb.TABLE, F.col("row_no").cast("string").alias("row_no"), "x1", "y1", "x2", "y2")
+        hull = [F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2")]
+        return {"review_crops": parts.join(boxes, [*tb.TABLE, "row_no"]).groupBy("review_id").agg(*hull).withColumn("crop", F.concat(F.col("review_id"), F.lit(".png")))}
+
+    def review(_, f):
+        rows = f["review_queue"].join(f["review_crops"].select("review_id", "crop"), "review_id", "left")
+        return {"auto_review": tb.auto_review(rows, least)}
+
+    def export(_, f):
+        accepted = F.startswith("decision", F.lit("auto_accepted"))
+        a = f["auto_review"]
+        counts = a.groupBy("decision").agg(F.count("*").alias("n"))
+        return {"accepted_rows": a.filter(accepted), "unresolved_rows": a.filter(~accepted), "export_summary": counts}
+
+    return [
+        Stage("render", ("images",), ("rendered_pages",), render),
+        Stage("image_ocr", ("ocr_pages", "rendered_pages"), ("ocr_lines",), image_ocr),
+        Stage("visual_rows", ("ocr_lines",), ("visual_rows",), visual),
+        Stage("logical_rows", ("visual_rows",), ("logical_rows",), logical),
+        Stage("review_queue", ("logical_rows",), ("review_queue",), queue),
+        Stage("review_crops", ("review_queue", "visual_rows"), ("review_crops",), crops),
+        Stage("auto_review", ("review_queue", "review_crops"), ("auto_review",), review),
+        Stage("decision_export", ("auto_review",), ("accepted_rows", "unresolved_rows", "export_summary"), export),
+    ]
+
+
 def evidence_stages() -> list[Stage]:
     """From evidence to a reviewed registry."""
     from ..operators import evidence as ev

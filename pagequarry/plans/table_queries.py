@@ -307,9 +307,13 @@ def a29(i):
     return i.ocr_lines.groupBy("table_id").agg((heads * 10 + rows * 2 + F.least(F.lit(5), F.count_if(F.col("confidence") >= 0.8))).alias("score"))
 
 
-@query("p42_sparse_pages", "ocr_lines", sql=" SELECT page, count(*) AS n FROM ocr_lines WHERE contains(text, 'bullet') GROUP BY 1 HAVING count(*) <= 2")
+# pages with none to five labelled lines
+fixture("field_lines", "SELECT page, k AS line_no, CASE WHEN k < page % 6 THEN concat('Serial No: ', CAST(page AS STRING)) ELSE 'plain words' END AS text FROM (SELECT CAST(doc_id AS BIGINT) AS page FROM documents) d CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) n")
+
+
+@query("p42_sparse_pages", "field_lines", sql=" SELECT page, count(*) AS n FROM field_lines WHERE contains(text, ':') GROUP BY 1 HAVING count(*) <= 2")
 def p42(i):
-    return i.ocr_lines.filter(F.contains("text", F.lit("bullet"))).groupBy("page").agg(F.count("*").alias("n")).filter("n <= 2")
+    return tb.sparse_pages(i.field_lines)
 
 
 @query("p49_region_expansion", "ocr_lines", sql=" SELECT table_id, line_no, CASE WHEN w >= 140 AND h <= 350 THEN greatest(0, y1 - greatest(40, floor(h * 0.3))) ELSE y1 END AS ny1, CASE WHEN w >= 140 AND h <= 350 THEN least(1000, y2 + 550) ELSE y2 END AS ny2 FROM (SELECT *, x2 - x1 AS w, y2 - y1 AS h FROM ocr_lines) q")

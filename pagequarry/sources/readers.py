@@ -49,18 +49,22 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A file with an object on each line; other lines are left out."""
-    reader = spark.read.option("mode", "DROPMALFORMED")
-    return (reader.schema(schema) if schema else reader).json(path)
+    if schema is None:
+        return spark.read.option("mode", "DROPMALFORMED").json(path)
+    lines = spark.read.text(path).filter(F.startswith(F.btrim("value"), F.lit("{")))
+    parsed = lines.select(F.from_json("value", T.StructType([*schema, T.StructField("_bad", T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    return parsed.filter("r is not null and r._bad is null").select("r.*").drop("_bad")
 
 
-def read_ocr_pages(spark: SparkSession, path: str, pages: list[int] | None = None) -> DataFrame:
-    """Lines of a folder of OCR page files, one row each; broken files are left out.
+def parsed_ocr_pages(texts: DataFrame, pages: list[int] | None = None) -> DataFrame:
+    """Lines of OCR pages (``value``, a JSON object each), one row for each; broken pages are left out.
 
     ``document_id, page, table_index, line_no, text, confidence, x1, y1, x2, y2, source_kind``.
     """
-    schema = T.StructType([*OCR_PAGE, T.StructField("_corrupt_record", T.StringType())])
-    df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("pathGlobFilter", "page_*.json").json(path)
-    df = df.filter("_corrupt_record is null and page is not null")
+    schema = T.StructType([*OCR_PAGE, T.StructField("_bad", T.StringType())])
+    # a generator, so that a page is parsed once
+    parsed = F.explode(F.array(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})))
+    df = texts.select(parsed.alias("r")).filter("r._bad is null and r.page is not null").select("r.*")
     if pages is not None:
         df = df.filter(F.col("page").isin(*pages))
     tables = df.select("document_id", "page", F.posexplode("tables").alias("table_no", "table"))
@@ -68,6 +72,28 @@ def read_ocr_pages(spark: SparkSession, path: str, pages: list[int] | None = Non
     return lines.select("document_id", "page", "table_index", "line_no", "line.text", "line.confidence", "line.bbox.*", "line.source_kind")
 
 
+def read_ocr_pages(spark: SparkSession, path: str, pages: list[int] | None = None) -> DataFrame:
+    """``parsed_ocr_pages`` of a folder of files, a page each."""
+    return parsed_ocr_pages(spark.read.option("pathGlobFilter", "page_*.json").text(path, wholetext=True), pages)
+
+
+def read_workbook(spark: SparkSession, path: str) -> DataFrame:
+    """``sheet, row_no, cells`` of an XLSX workbook with texts in its cells, as ``write_workbook`` makes it."""
+    import io
+    import zipfile
+    from xml.etree import ElementTree
+
+    data = spark.read.format("binaryFile").load(path).first()["content"]
+    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    rows = []
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{main}sheet")]
+        for k, name in enumerate(names, 1):
+            for r in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{k}.xml")).iter(f"{main}row"):
+                rows.append((name, int(r.get("r")), ["".join(c.itertext()) for c in r.iter(f"{main}c")]))
+    return spark.createDataFrame(rows, "sheet string, row_no int, cells array<string>")
+
+
 def unwrapped(rows: DataFrame) -> DataFrame:
     """Rows whose fields stand in ``raw_record`` or ``review`` envelopes, with the fields at the top."""
     found = set(rows.columns)
@@ -123,11 +149,11 @@ def checked_batch(df: DataFrame, columns: tuple[str, ...] = ("document_id", "pag
     return df
 
 
-def load_policy(path: str):
-    """A review policy file; what it leaves out keeps its default."""
+def parse_policy(text: str):
+    """A review policy in JSON; what it leaves out keeps its default."""
     from ..operators.evidence import Policy
 
-    raw, p = json.loads(Path(path).read_text()), Policy()
+    raw, p = json.loads(text), Policy()
     auto, bands = raw.get("auto_accept", {}), raw.get("priority_thresholds", {})
     return Policy(
         tuple(raw.get("identity_fields", p.identity_fields)),
@@ -141,13 +167,13 @@ def load_policy(path: str):
     )
 
 
-def load_taxonomy(path: str) -> list[tuple[str, str, str, list[str]]]:
-    """A taxonomy file as (class, priority, route, keywords), in file order; raises on a malformed one."""
+def parse_taxonomy(text: str) -> list[tuple[str, str, str, list[str]]]:
+    """A taxonomy in YAML as (class, priority, route, keywords), in its order; raises on a malformed one."""
     import yaml
 
     from ..operators.pages import PRIORITY_RANK, ROUTE_RANK
 
-    classes = (yaml.safe_load(Path(path).read_text()) or {}).get("classes")
+    classes = (yaml.safe_load(text) or {}).get("classes")
     if not isinstance(classes, dict) or not classes:
         raise ContractError("a taxonomy has classes")
     out = []
@@ -158,10 +184,23 @@ def load_taxonomy(path: str) -> list[tuple[str, str, str, list[str]]]:
     return out
 
 
-def load_decisions(spark: SparkSession, path: str) -> DataFrame:
-    """``tag, decision, equipment_name`` of a decisions file."""
+def parse_decisions(spark: SparkSession, text: str) -> DataFrame:
+    """``tag, equipment_name`` of the decisions in YAML that accept a name."""
     import yaml
 
-    raw = yaml.safe_load(Path(path).read_text()) or {}
-    rows = [(k.strip().upper(), v.get("decision") or "", v.get("equipment_name") or "") for k, v in (raw.get("decisions") or raw).items() if isinstance(v, dict)]
-    return spark.createDataFrame(rows, "tag string, decision string, equipment_name string")
+    raw = yaml.safe_load(text) or {}
+    found = [(str(k).strip().upper(), v.get("decision"), str(v.get("equipment_name") or "").strip()) for k, v in (raw.get("decisions") or raw).items() if isinstance(v, dict)]
+    rows = [(tag, name) for tag, decision, name in found if decision == "accept_equipment_name" and name]
+    return spark.createDataFrame(rows, "tag string, equipment_name string")
+
+
+def load_policy(path: str):
+    return parse_policy(Path(path).read_text())
+
+
+def load_taxonomy(path: str) -> list[tuple[str, str, str, list[str]]]:
+    return parse_taxonomy(Path(path).read_text())
+
+
+def load_decisions(spark: SparkSession, path: str) -> DataFrame:
+    return parse_decisions(spark, Path(path).read_text())

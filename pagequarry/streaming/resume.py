@@ -3,23 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..sources.readers import OCR_PAGE
+from ..sources.readers import parsed_ocr_pages
 
 
-def page_stream(spark: SparkSession, folder: str, files: int = 1000) -> DataFrame:
-    """Lines of the OCR page files of a folder as a stream; files seen before are not read again."""
-    schema = T.StructType([*OCR_PAGE, T.StructField("_corrupt_record", T.StringType())])
-    pages = spark.readStream.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("pathGlobFilter", "page_*.json").option("maxFilesPerTrigger", files).json(folder)
-    pages = pages.filter("_corrupt_record is null and page is not null")
-    tables = pages.select("document_id", "page", F.posexplode("tables").alias("table_no", "table"))
-    lines = tables.select("document_id", "page", F.coalesce("table.table_index", "table_no").alias("table_index"), F.posexplode("table.lines").alias("line_no", "line"))
-    return lines.select("document_id", "page", "table_index", "line_no", "line.text", "line.confidence", "line.bbox.*", "line.source_kind")
+def page_stream(spark: SparkSession, folder: str, files: int = 1000, names: str = "page_*.json", whole: bool = True) -> DataFrame:
+    """Lines of the OCR page files of a folder as a stream; files seen before are not read again.
 
+    A file is a page, or has one on each line if ``whole`` is false.
+    """
+    texts = spark.readStream.option("pathGlobFilter", names).option("maxFilesPerTrigger", files).text(folder, wholetext=whole)
+    return parsed_ocr_pages(texts)
 
-def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str) -> None:
+
+def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str, **options) -> None:
     """Append the lines of all new page files to a Parquet table and stop; a rerun takes up where the last one ended."""
-    query = page_stream(spark, folder).writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = page_stream(spark, folder, **options).writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -102,3 +102,37 @@ def test_stages_run_resume_and_slice(spark, tmp_path):
     with pytest.raises(ValueError):
         st.selected(plan, "7b", "7a")
     assert catalog.first_of("missing", "decided").count() == n["decided"]
+
+
+def test_plan_goes_on_without_what_failed(spark, tmp_path):
+    few = spark.range(2)
+
+    def broken(_, f):
+        raise ValueError("no good")
+
+    make = lambda name, needs, build: st.Stage(name, needs, (name,), build)
+    plan = [make("a", (), broken), make("b", ("a",), lambda _, f: {"b": f["a"]}), make("c", (), lambda _, f: {"c": few})]
+    catalog = st.Catalog(spark, f"file://{tmp_path}")
+    assert st.run(plan, catalog, keep_going=True) == {"a": "failed", "b": "blocked", "c": "ran"}
+    said = json.loads((tmp_path / "status.json").read_text())
+    assert said["a"]["error"] == "no good" and said["c"]["status"] == "ran" and not (tmp_path / "status.json.partial").exists()
+    assert [r["there"] for r in st.progress(plan, catalog).orderBy("position").collect()] == [False, False, True]
+    with pytest.raises(ValueError):
+        st.run(plan, catalog)
+    assert st.run(plan[2:], catalog, force=("c",)) == {"c": "ran"} and st.run(plan[2:], catalog) == {"c": "skipped"}
+
+
+def test_workbook_is_read_again(spark, tmp_path):
+    df = spark.createDataFrame([("a & b", 1), (' "x" <y>', None)], "name string, n int")
+    path = f"file://{tmp_path}/x.xlsx"
+    sinks.write_workbook({"one & two": df}, path)
+    got = [tuple(r) for r in rd.read_workbook(spark, path).orderBy("row_no").collect()]
+    assert got == [("one & two", 1, ["name", "n"]), ("one & two", 2, ["a & b", "1"]), ("one & two", 3, [' "x" <y>', ""])]
+
+
+def test_decisions_and_json_lines(spark, tmp_path):
+    names = rd.parse_decisions(spark, "a1: {decision: accept_equipment_name, equipment_name: ' Pump '}\nb2: {decision: accept_equipment_name}\nc3: 4\n")
+    assert [tuple(r) for r in names.collect()] == [("A1", "Pump")]
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n[2]\n{"a": \n  {"a": 3}\n')
+    rows = rd.read_jsonl(spark, str(tmp_path / "x.jsonl"), spark.createDataFrame([], "a int").schema)
+    assert sorted(r["a"] for r in rows.collect()) == [1, 3]
