@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.files import scratch, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    Read from ``spark.checkpoint.dir``. Only where that is unset, as in local
-    tests, a local folder is made and set for this session.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="pagequarry-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+__all__ = ["documents", "drop_table", "shared_dir", "slices", "stage_path", "stage_table", "utf8", "width"]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch(spark, name)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
