@@ -26,8 +26,9 @@ FILTERS = 8
 EMBED = 8
 TRAIN_DOCS = 4000
 TRAIN_WINDOWS = 2
-MAX_LANGS = 512
 UNKNOWN = "und"
+BROADCAST_LANGS = 10_000
+MARGIN = 1.1
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -142,18 +143,19 @@ def sample(docs: DataFrame, n_docs: int = TRAIN_DOCS, windows: int = TRAIN_WINDO
     """Windows and labels to learn from, of about ``n_docs`` documents at most.
 
     Documents are drawn by a hash of their id at a rate for each language, so the
-    sample stays bounded whatever the size of ``docs``. Only rows with text, a
-    language and an id are drawn.
+    sample stays bounded whatever the size of ``docs`` and the number of languages;
+    if these are more than ``n_docs``, not each of them is drawn. Only rows with
+    text, a language and an id are.
     """
     usable = docs.filter("text is not null and lang is not null and doc_id is not null and length(text) > 0")
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if not counts:
+    counts = usable.groupBy("lang").agg(F.count("*").alias("_n"))
+    langs = counts.count()
+    if not langs:
         return [], []
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages are labelled")
-    share = n_docs / len(counts)
-    rates = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(min(1.0, share / n) * 2**32))])
-    drawn = usable.filter(F.xxhash64("doc_id", F.lit("draw")).bitwiseAND(F.lit(2**32 - 1)) < rates[F.col("lang")])
+    rate = F.least(F.lit(1.0), F.lit(n_docs / langs) / F.col("_n"))
+    rates = counts.select("lang", (rate * 2**32).cast("long").alias("_rate"))
+    drawn = usable.join(F.broadcast(rates) if langs <= BROADCAST_LANGS else rates, "lang")
+    drawn = drawn.filter(F.xxhash64("doc_id", F.lit("draw")).bitwiseAND(F.lit(2**32 - 1)) < F.col("_rate"))
     free = F.greatest(F.length("text") - WINDOW + 1, F.lit(1))
     cuts = F.array(*[F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit(i)), free).cast("int") + 1, F.lit(WINDOW)) for i in range(windows)])
     rows = drawn.select("doc_id", "lang", F.explode(cuts).alias("cut")).collect()
@@ -231,10 +233,19 @@ def identify(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
+def with_language(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The rows of ``docs``, with all columns, that are text in some language.
 
-    Rows predicted ``und`` or with a score under ``least`` go.
+    Rows without a letter go, and those that the network cannot tell: whose score
+    is less than ``margin`` times an even share of all languages. If there was
+    nothing to learn from, or one language only, all rows with a letter stay.
     """
-    found = annotate(docs, fitted(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return found.select(*docs.columns) if not {"lang_pred", "score"} & set(docs.columns) else found
+    net = fitted(docs)
+    if len(net.langs) < 2:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= margin / len(net.langs))
+    if not {"lang_pred", "score"} & set(docs.columns):
+        return annotate(docs, net).filter(sure).select(*docs.columns)
+    # columns of those names are kept apart
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
+    return annotate(rows, net).filter(sure).select("_row.*")

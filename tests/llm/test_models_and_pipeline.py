@@ -28,6 +28,44 @@ def test_training_is_reproducible():
     assert (a.kernel == b.kernel).all() and (a.embed == b.embed).all()
 
 
+def plain_prediction(net, text):
+    """A document's language and score, one window, position and filter at a time."""
+    raw, total = text.encode(), np.zeros(len(net.langs))
+    e, wide = net.embed.shape[1], net.widest
+    for a in range(0, len(raw), langid.WINDOW):
+        window = list(raw[a : a + langid.WINDOW])
+        padded = window + [0] * (langid.WINDOW - len(window) + wide - 1)
+        hidden = []
+        for f in range(net.kernel.shape[1]):
+            best = max(sum(float(net.embed[padded[i + j]] @ net.kernel[j * e : (j + 1) * e, f]) for j in range(wide)) for i in range(langid.WINDOW))
+            hidden.append(max(0.0, best + float(net.bias[f])))
+        z = np.array(hidden) @ net.out + net.out_bias
+        p = np.exp(z - z.max())
+        total += p / p.sum() * len(window)
+    return net.langs[int(total.argmax())], total.max() / len(raw)
+
+
+def test_predictions_equal_brute_force(docs):
+    net = langid.train(["der die das und " * 9, "the and of to in " * 9, "le la de et à " * 9] * 20, ["de", "en", "fr"] * 20, epochs=1)
+    texts = ["a", "the end of it", "und das war die Frage, à la carte " * 9, "é" * 129]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.annotate(docs(texts), net).collect()}
+    for i, t in enumerate(texts):
+        lang, score = plain_prediction(net, t)
+        assert got[i][0] == lang and abs(got[i][1] - score) < 1e-4
+
+
+def test_many_labels_and_undecided_texts(spark):
+    rows = [(i, f"text number {i} of its own", f"l{i}") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, labels = langid.sample(docs, n_docs=100)
+    assert len(set(labels)) < 250 and len(texts) == len(labels)
+    # nothing to learn from: what has a letter stays
+    bare = spark.createDataFrame([(1, "abc", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in langid.with_language(bare).collect()] == [1]
+    two = spark.createDataFrame([(i, ("the and of " if i % 2 else "der die das ") * 9, "en" if i % 2 else "de") for i in range(80)], "doc_id long, text string, lang string")
+    assert langid.with_language(two, margin=0.5).count() == 80 and langid.with_language(two, margin=2.1).count() == 0
+
+
 @pytest.fixture(scope="module")
 def identified(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -196,24 +234,6 @@ def test_near_copies_go(spark, rnd):
     assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == [*range(0, 40, 2), 50]
 
 
-def test_near_copies_against_brute_force(spark):
-    import collections
-    import itertools
-
-    from pagequarry.llm import near_copies as nc
-
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    sets = {r["doc_id"]: nc.shingles(r["text"])[1] for r in docs.collect()}
-    holders = collections.defaultdict(set)
-    for i, s in sets.items():
-        for x in s.tolist():
-            holders[x].add(i)
-    met = {p for h in holders.values() for p in itertools.combinations(sorted(h), 2)}
-    near = [p for p in met if nc.similarity(sets[p[0]], sets[p[1]]) >= nc.SIMILARITY]
-    group = {r["doc_id"]: r["component_id"] for r in nc.near_copies(docs).collect()}
-    assert near and sum(group[a] == group[b] for a, b in near) >= 0.98 * len(near)
-
-
 def test_pipeline_of_empty_table(spark, tmp_path):
     import corpus_pipeline as cp
 
