@@ -6,7 +6,8 @@ their number of shingles. An item's sketch is its least shingle hashes, one more
 than it may miss: a document that contains the item shares at least one of them,
 so no containment is lost, however long the document is. In each partition only
 hashes up to the largest of its sketches are looked up. Candidates are verified
-by exact containment of the shingles' words.
+by exact containment of the shingles' words. An item of fewer than five words is
+one shingle of its own width, and documents are searched for each such width.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BLOCK_SHINGLES = 500_000
 SLICE = 1 << 20
+#: A longer text is hashed in windows of this many bytes, which share the words between them.
+LONG = 4 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -99,15 +102,18 @@ def bare_words(text: str | None) -> list[bytes]:
 
 
 def shingles(text: str | None, words: int = SHINGLE) -> list[bytes]:
-    """Different shingles of a text, in order."""
+    """Different shingles of a text, in order; a shorter text is one."""
     w = bare_words(text)
+    if len(w) < words:
+        return [b" ".join(w)] if w else []
     return list(dict.fromkeys(b" ".join(w[i : i + words]) for i in range(len(w) - words + 1)))
 
 
 @dataclass
 class Partition:
-    """Items of similar size: sorted sketch hashes, the item of each, and the largest hash."""
+    """Items of one width and similar size: sorted sketch hashes, the item of each, and the largest hash."""
 
+    width: int
     hashes: np.ndarray
     items: np.ndarray
     largest: np.uint64
@@ -123,22 +129,22 @@ class Index:
 
 
 def build(items: list[tuple[int, str]], words: int = SHINGLE, threshold: float = THRESHOLD) -> Index:
-    """Index items of ``words`` words or more; shorter ones have no shingle and match nothing."""
+    """Index items that have a word."""
     found = [(i, s) for i, t in items if (s := shingles(t, words))]
-    by_size: dict[int, list[tuple[np.ndarray, int]]] = {}
+    by_size: dict[tuple[int, int], list[tuple[np.ndarray, int]]] = {}
     for k, (_, s) in enumerate(found):
-        text = b"\n".join(s)
+        text, wide = b"\n".join(s), s[0].count(b" ") + 1
         sizes = np.cumsum([0] + [len(x) + 1 for x in s])
         sizes[-1] -= 1
-        hashes, _ = shingle_hashes(np.frombuffer(text, np.uint8), sizes, words)
+        hashes, _ = shingle_hashes(np.frombuffer(text, np.uint8), sizes, wide)
         allowed = len(s) - needed(len(s), threshold)
-        by_size.setdefault(len(s).bit_length(), []).append((np.sort(hashes)[: allowed + 1], k))
+        by_size.setdefault((wide, len(s).bit_length()), []).append((np.sort(hashes)[: allowed + 1], k))
     partitions = []
-    for _, sketches in sorted(by_size.items()):
+    for (wide, _), sketches in sorted(by_size.items(), key=lambda x: x[0]):
         hashes = np.concatenate([h for h, _ in sketches])
         owner = np.repeat([k for _, k in sketches], [len(h) for h, _ in sketches])
         order = np.argsort(hashes, kind="stable")
-        partitions.append(Partition(hashes[order], owner[order], hashes.max()))
+        partitions.append(Partition(wide, hashes[order], owner[order], hashes.max()))
     return Index([i for i, _ in found], [s for _, s in found], partitions)
 
 
@@ -147,29 +153,67 @@ def needed(n: int, threshold: float = THRESHOLD) -> int:
     return max(1, math.ceil(n * threshold - 1e-9))
 
 
-def search(index: Index, data: memoryview, offsets: np.ndarray, words: int = SHINGLE, threshold: float = THRESHOLD) -> Iterator[tuple[int, int, int]]:
-    """(text number, item number, shingles shared) for each containment."""
-    hashes, owner = shingle_hashes(np.frombuffer(data, np.uint8), offsets, words)
-    pairs = []
+def _windows(data: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    """A long text in windows that end between words and begin ``words`` words before the last one's end."""
+    at = back = 0
+    while at < len(data):
+        stop = min(len(data), at + LONG)
+        while stop < len(data) and not _WHITE[data[stop]]:
+            space = np.flatnonzero(_WHITE[data[stop : stop + 4096]])
+            stop = stop + int(space[0]) if len(space) else min(len(data), stop + 4096)
+        yield data[back:stop]
+        at = back = stop
+        for _ in range(words - 1):
+            while back and _WHITE[data[back - 1]]:
+                back -= 1
+            while back and not _WHITE[data[back - 1]]:
+                back -= 1
+
+
+def _met(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Pairs of text and item numbers that share a hash of the item's sketch."""
+    pairs, last, hashes, owner = [], 0, None, None
     for p in index.partitions:
+        if p.width != last:
+            last = p.width
+            hashes, owner = shingle_hashes(data, offsets, last)
         few = np.flatnonzero(hashes <= p.largest)
         h = hashes[few]
         at = np.searchsorted(p.hashes, h, side="left")
         hit = np.flatnonzero(p.hashes[np.minimum(at, len(p.hashes) - 1)] == h)
         at, doc = at[hit], owner[few[hit]]
         while len(at):
-            pairs.append(np.stack([doc, p.items[at]]))
+            pairs.append(np.unique(np.stack([doc, p.items[at]]), axis=1))
             same = at + 1 < len(p.hashes)
             same[same] = p.hashes[at[same] + 1] == p.hashes[at[same]]
             at, doc = at[same] + 1, doc[same]
+    return pairs
+
+
+def search(index: Index, data: memoryview, offsets: np.ndarray, words: int = SHINGLE, threshold: float = THRESHOLD) -> Iterator[tuple[int, int, int]]:
+    """(text number, item number, shingles shared) for each containment."""
+    flat = np.frombuffer(data, np.uint8)
+    if len(offsets) == 2 and len(flat) > LONG:
+        pairs = [x for w in _windows(flat, words) for x in _met(index, w, np.array([0, len(w)]))]
+    else:
+        pairs = _met(index, flat, offsets)
     if not pairs:
         return
-    joined, now = b"", -1
+    now, tried = -1, 0
     for d, k in np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist():
         if d != now:
-            now, joined = d, b" " + b" ".join(bytes(data[offsets[d] : offsets[d + 1]]).lower().split()) + b" "
-        shared = sum(b" " + s + b" " in joined for s in index.parts[k])
-        if shared >= needed(len(index.parts[k]), threshold):
+            now, tried, text = d, 0, bytes(data[offsets[d] : offsets[d + 1]]).lower().split()
+            joined, sets = b" " + b" ".join(text) + b" ", {}
+        wanted, tried = index.parts[k], tried + 1
+        wide = wanted[0].count(b" ") + 1
+        # a few items are sought one shingle after the other, for more the text's shingles are kept
+        if tried < 3:
+            shared = sum(b" " + s + b" " in joined for s in wanted)
+        else:
+            if wide not in sets:
+                sets[wide] = {b" ".join(text[i : i + wide]) for i in range(len(text) - wide + 1)}
+            shared = len(sets[wide].intersection(wanted))
+        if shared >= needed(len(wanted), threshold):
             yield d, k, shared
 
 
@@ -196,8 +240,8 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thr
     ``docs`` has ``doc_id, text``, ``items`` has ``item_id, text``. All documents
     are held against all items; a set of items that is larger than ``block`` words
     is searched in blocks of that size, so what each task holds is bounded. Null
-    and empty texts contain nothing, and nothing contains items of fewer than
-    ``words`` words. Rows of one ``item_id`` with different texts are items of
+    and empty texts contain nothing, and nothing contains items without a word; an
+    item of fewer than ``words`` words is one shingle. Rows of one ``item_id`` with different texts are items of
     their own; equal rows count once. Repeated documents give repeated results;
     other columns are ignored; an empty table on either side gives no rows.
     """
@@ -251,12 +295,14 @@ def without_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thres
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
-ds AS (SELECT DISTINCT r, doc_id, unnest(list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i : i + {SHINGLE - 1}], ' '))) AS s FROM d WHERE len(w) >= {SHINGLE}),
-i AS (SELECT row_number() OVER () AS k, item_id, {_WORDS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL)),
-s AS (SELECT DISTINCT k, item_id, unnest(list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i : i + {SHINGLE - 1}], ' '))) AS s FROM i WHERE len(w) >= {SHINGLE}),
+WITH i AS (SELECT row_number() OVER () AS k, item_id, {_WORDS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL)),
+iw AS (SELECT *, least(len(w), {SHINGLE}) AS wide FROM i WHERE len(w) > 0),
+s AS (SELECT DISTINCT k, item_id, wide, unnest(list_transform(range(1, len(w) - wide + 2), lambda i: array_to_string(w[i : i + wide - 1], ' '))) AS s FROM iw),
 n AS (SELECT k, count(*) AS n_shingles FROM s GROUP BY k),
-hit AS (SELECT r, doc_id, k, item_id, count(*) AS n_shared FROM ds JOIN s USING (s) GROUP BY ALL)
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+dw AS (SELECT r, doc_id, w, wide FROM d, (SELECT DISTINCT wide FROM iw) q WHERE len(w) >= wide),
+ds AS (SELECT DISTINCT r, doc_id, wide, unnest(list_transform(range(1, len(w) - wide + 2), lambda i: array_to_string(w[i : i + wide - 1], ' '))) AS s FROM dw),
+hit AS (SELECT r, doc_id, k, item_id, count(*) AS n_shared FROM ds JOIN s USING (wide, s) GROUP BY ALL)
 SELECT doc_id, item_id::BIGINT AS item_id, n_shared::BIGINT AS n_shared, n_shingles::BIGINT AS n_shingles, n_shared::DOUBLE / n_shingles AS containment
 FROM hit JOIN n USING (k) WHERE n_shared >= ceil(n_shingles * {THRESHOLD}::DOUBLE - 1e-9)
 """

@@ -68,15 +68,17 @@ def test_main_path_has_no_python(docs):
 
 
 def plain_contained(texts, items, threshold=0.8):
-    def shingles(t):
+    def shingles(t, n):
         w = (t or "").encode().lower().split()
-        return {b" ".join(w[i : i + 5]) for i in range(len(w) - 4)}
+        return {b" ".join(w[i : i + n]) for i in range(len(w) - n + 1)}
 
     out = []
     for d, t in enumerate(texts):
-        s = shingles(t)
         for k, item in items:
-            q = shingles(item)
+            n = min(5, len(item.split()))
+            if not n:
+                continue
+            s, q = shingles(t, n), shingles(item, n)
             if q and len(q & s) >= dc.needed(len(q), threshold):
                 out.append((d, k, len(q & s), len(q)))
     return sorted(out)
@@ -87,7 +89,7 @@ def test_containment_equals_brute_force(docs, spark, rnd, block):
     words = [f"w{i}" for i in range(60)] + ["É", "naïve."]
     say = lambda n: [rnd.choice(words) for _ in range(n)]
     items = [(k, " ".join(say(rnd.choice([3, 5, 8, 20, 50])))) for k in range(20)]
-    items += [(99, items[3][1]), (3, items[3][1]), (50, None), (51, ""), (None, "a b c d e f")]
+    items += [(99, items[3][1]), (3, items[3][1]), (50, None), (51, " "), (52, "É"), (53, "w1 w1"), (54, "w7 W8 w9"), (None, "a b c d e f")]
     texts = [None, "", "one two", "w1 " * 30_000]
     for _ in range(60):
         body = say(rnd.randint(0, 400))
@@ -107,6 +109,19 @@ def test_containment_equals_brute_force(docs, spark, rnd, block):
     assert clean == set(range(len(texts))) - {d for d, *_ in want}
 
 
+def test_long_texts_are_searched_in_windows(docs, spark, rnd, monkeypatch):
+    words = [f"w{i}" for i in range(500)]
+    item = " ".join(rnd.choices(words, k=12))
+    texts = [" ".join([*rnd.choices(words, k=n), item, *rnd.choices(words, k=300)]) for n in range(0, 120, 7)]
+    table = spark.createDataFrame([(1, item), (2, item.rsplit(" ", 9)[0]), (3, "nowhere")], "item_id long, text string")
+    want = sorted(map(tuple, dc.contained_items(docs(texts), table).collect()))
+    index = dc.build([(1, item), (2, item.rsplit(" ", 9)[0]), (3, "nowhere")])
+    for size in (64, 100, 257):
+        monkeypatch.setattr(dc, "LONG", size)
+        got = [(d, index.ids[k], n) for d, t in enumerate(texts) for _, k, n in dc.search(index, memoryview(t.encode()), np.array([0, len(t)]))]
+        assert sorted(got) == [r[:3] for r in want] and got
+
+
 def test_no_items_or_no_documents(docs, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
