@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import stage_path, stage_table, width
 
 ARCHIVE_BYTES = 64 << 20
+BROADCAST_DIGESTS = 500_000
 RANGE_BYTES = 4 << 20
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
 DATE = "1970-01-01T00:00:00Z"
@@ -206,13 +207,15 @@ def parse_record(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     """``page_id, url, html, refers_to``: of equal payloads of at least ``least`` bytes, the one with the largest id is the response.
 
-    Only payloads that occur more than once are joined back, so nothing moves
-    where all differ, and copies are counted before they move.
+    Digests are counted first. Those that occur more than once are written and, up
+    to a counted number, broadcast, so that no payload moves; beyond it both sides
+    are dealt out by digest.
     """
     payload = F.coalesce("html", F.lit(""))
     keyed = pages.select(F.col("page_id").cast("long"), "url", payload.alias("html"), F.sha1(payload.cast("binary")).alias("_sha"), F.octet_length(payload).alias("_size"))
     groups = keyed.filter(F.col("_size") >= least).groupBy("_sha").agg(F.max("page_id").alias("_first"), F.count("*").alias("_n"))
-    joined = keyed.join(groups.filter("_n > 1").select("_sha", "_first"), "_sha", "left")
+    again = stage_table(groups.filter("_n > 1").select("_sha", "_first"), "again")
+    joined = keyed.join(F.broadcast(again) if again.count() <= BROADCAST_DIGESTS else again, "_sha", "left")
     return joined.select("page_id", "url", "html", F.when(F.col("page_id").eqNullSafe(F.col("_first")), F.lit(None).cast("long")).otherwise(F.col("_first")).alias("refers_to"))
 
 
