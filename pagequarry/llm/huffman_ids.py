@@ -7,8 +7,8 @@ blocks are decoded independently, by a table that maps the next bits to an id
 and its length. Files hold whole documents in ascending order of ``doc_id``.
 
 File layout, little-endian: the magic, then the sections ``lengths`` (zlib, a
-byte for each id of the vocabulary), ``docs`` (doc_id and number of ids, int64
-each), ``checkpoints`` (bit offset of each block, int64), ``bits`` (big-endian
+byte for each id of the vocabulary), ``docs`` (doc_id, number of ids and whether
+there is a doc_id, int64 each), ``checkpoints`` (bit offset of each block, int64), ``bits`` (big-endian
 bit string), then a footer: JSON with each section's place and the numbers, its
 size as uint32, and the magic again.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import drop_table, slices, stage_path, stage_table, utf8, width
 
-MAGIC = b"PQHIDS1\n"
+MAGIC = b"PQHIDS2\n"
 MAX_LENGTH = 16
 BLOCK = 2048
 FILE_IDS = 4_000_000
@@ -137,12 +137,12 @@ def decode_blocks(bits: bytes, starts: np.ndarray, n_ids: int, lengths: np.ndarr
 # ---------------------------------------------------------------- files
 
 
-def write_file(path: str, doc_ids: np.ndarray, n_tokens: np.ndarray, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> int:
-    """Write one file, under another name until it is whole; returns its bytes."""
+def write_file(path: str, doc_ids: np.ndarray, n_tokens: np.ndarray, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, block: int = BLOCK, named: np.ndarray | None = None) -> int:
+    """Write one file, under another name until it is whole; returns its bytes. ``named`` tells documents with an id."""
     bits, starts = encode_ids(ids, lengths, codes, block)
     sections = {
         "lengths": zlib.compress(lengths.tobytes()),
-        "docs": np.stack([doc_ids, n_tokens]).astype("<i8").tobytes(),
+        "docs": np.stack([doc_ids, n_tokens, np.ones(len(doc_ids)) if named is None else named]).astype("<i8").tobytes(),
         "checkpoints": starts.astype("<i8").tobytes(),
         "bits": bits,
     }
@@ -174,7 +174,7 @@ class IdFile:
         size = int.from_bytes(tail[-len(MAGIC) - 4 : -len(MAGIC)], "little")
         self.about = json.loads(tail[-len(MAGIC) - 4 - size : -len(MAGIC) - 4])
         self.lengths = np.frombuffer(zlib.decompress(self._section("lengths")), np.uint8)
-        self.doc_ids, self.n_tokens = np.frombuffer(self._section("docs"), "<i8").reshape(2, -1)
+        self.doc_ids, self.n_tokens, self.named = np.frombuffer(self._section("docs"), "<i8").reshape(3, -1)
         self.checkpoints = np.frombuffer(self._section("checkpoints"), "<i8")
 
     def _range(self, start: int, size: int) -> bytes:
@@ -366,15 +366,15 @@ def write_ids(tokens: DataFrame, lengths: np.ndarray, folder: str, block: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seq = TaskContext.get(), 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         files, place = pafs.FileSystem.from_uri(folder)
         files.create_dir(place, recursive=True)
 
         def out() -> pa.RecordBatch:
             nonlocal seq
-            doc_ids, sizes, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+            doc_ids, named, sizes, ids = (np.concatenate(x) for x in zip(*held, strict=True))
             path = f"{folder}/ids-{task.partitionId():06d}-{seq:06d}-{task.taskAttemptId()}.pqh"
-            n_bytes = write_file(path, doc_ids, sizes, ids, lengths, codes, block)
+            n_bytes = write_file(path, doc_ids, sizes, ids, lengths, codes, block, named)
             row = {"part": [task.partitionId()], "seq": [seq], "path": [path], "n_docs": [len(doc_ids)], "n_ids": [len(ids)], "n_bytes": [n_bytes]}
             held.clear()
             seq += 1
@@ -385,8 +385,9 @@ def write_ids(tokens: DataFrame, lengths: np.ndarray, folder: str, block: int =
             for i, j in slices(offsets, file_ids * np.dtype(dtype).itemsize):
                 ids = np.frombuffer(data[offsets[i] : offsets[j]], dtype)
                 sizes = np.diff(offsets[i : j + 1]) // np.dtype(dtype).itemsize
-                held.append((b.column(0)[i:j].to_numpy(zero_copy_only=False), sizes, ids.copy()))
-                if sum(len(x[2]) for x in held) >= file_ids:
+                mine = b.column(0)[i:j]
+                held.append((mine.fill_null(0).to_numpy(zero_copy_only=False), mine.is_valid().to_numpy(zero_copy_only=False), sizes, ids.copy()))
+                if sum(len(x[3]) for x in held) >= file_ids:
                     yield out()
         if held:
             yield out()
@@ -409,7 +410,7 @@ def read_ids(files: DataFrame) -> DataFrame:
                     lo, hi = int(starts[i]), int(ends[j - 1])
                     data = f.ids(lo, hi).astype("<u4").tobytes()
                     rows = [data[4 * (a - lo) : 4 * (z - lo)] for a, z in zip(starts[i:j].tolist(), ends[i:j].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids[i:j]), pa.array(starts[i:j] + base), pa.array(rows, pa.binary())], names=["doc_id", "start", "ids"])
+                    yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids[i:j], mask=f.named[i:j] == 0), pa.array(starts[i:j] + base), pa.array(rows, pa.binary())], names=["doc_id", "start", "ids"])
                 f.close()
 
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
@@ -424,11 +425,11 @@ def stored_ids(docs: DataFrame, path: str, end_id: int = END_ID, most: int = MAX
     """Tokenize ``docs`` (``doc_id, text``), write the ids to files and read them back: ``doc_id, start, ids``.
 
     A null or empty text has the end id only. Documents follow each other by
-    ``doc_id``, those of one id by their ids; rows without an id are not written.
+    ``doc_id``, those of one id by their ids; rows without an id come first.
     Other columns are ignored; an empty table writes no file and gives no rows.
     """
     spark = docs.sparkSession
-    tokens = stage_table(token_ids(docs.filter("doc_id is not null"), path, end_id), "tokens")
+    tokens = stage_table(token_ids(docs, path, end_id), "tokens")
     counts = id_counts(tokens, vocabulary(path))
     files = stage_table(write_ids(tokens, code_lengths(counts, most), stage_path(spark, "ids"), block), "id-files")
     drop_table(tokens)
