@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import decontaminate, langid, line_dedup, near_copies, sentencepiece_viterbi
+from pagequarry.llm import decontaminate, langid, line_dedup, sentencepiece_viterbi, simhash
 from pagequarry.llm.common import documents, stage_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,8 +25,8 @@ def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group, once if its row repeats; rows without an id stay."""
-    groups = stage_table(near_copies.near_copies(docs), "groups")
+    """Keeps the document with the least id of each group of similar texts, once if its row repeats; rows without an id stay."""
+    groups = stage_table(simhash.similar_texts(docs), "groups")
     keep = groups.filter("doc_id = component_id").groupBy("doc_id").count()
     again = not keep.filter("count > 1").isEmpty()
     named = docs.filter("doc_id is not null").join(keep.select("doc_id"), "doc_id", "left_semi")
