@@ -148,6 +148,38 @@ def sequence_checks(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return g.select(*keys, "n_rows", "first", "last", F.array_join(missing, ",").alias("missing"), (F.col("n_rows") - F.size("s")).alias("n_duplicates"))
 
 
+def direction_bands(cells: DataFrame, keys: tuple[str, ...], least: float = 70.0, share: float = 0.3) -> DataFrame:
+    """The range of x that each direction's headers reach, with a margin (``text, x1, x2``).
+
+    Only cells that name a direction and a measurement count, and only those with a width.
+    """
+    wide = F.col("x2") - F.col("x1")
+    margin = F.greatest(F.lit(least), wide * share)
+    c = cells.select(*keys, "x1", "x2", direction("text").alias("direction"), has_term("text").alias("_term")).filter("direction <> '' and _term and x2 > x1")
+    return c.groupBy(*keys, "direction").agg(F.min(F.greatest(F.lit(0.0), F.col("x1") - margin)).alias("from_x"), F.max(F.col("x2") + margin).alias("to_x"))
+
+
+def direction_groups(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One hull for the header cells of each direction, with its centre and its different texts in order."""
+    c = cells.withColumn("direction", direction("text")).filter((F.col("direction") != "") & has_term("text"))
+    g = c.groupBy(*keys, "direction").agg(
+        F.min("x1").alias("x1"), F.max("x2").alias("x2"), F.min("y1").alias("y1"), F.max("y2").alias("y2"), F.array_join(F.array_sort(F.collect_set(t.clean("text"))), " | ").alias("text")
+    )
+    return g.withColumn("x_centre", (F.col("x1") + F.col("x2")) / 2)
+
+
+def body_cells(cells: DataFrame, headers: DataFrame, keys: tuple[str, ...], below: float = 18.0) -> DataFrame:
+    """The cells more than ``below`` under the lowest header of their group (``headers``: keys and ``bottom``)."""
+    return cells.join(headers, list(keys)).filter(F.col("y") > F.col("bottom") + below).drop("bottom")
+
+
+def row_groups(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows by the row number that cells were given, from 1: number of cells, and their texts from left to right."""
+    parts = F.array_sort(F.collect_list(F.struct("x", "y", "text")))
+    g = cells.filter("row_no > 0").groupBy(*keys, "row_no").agg(F.count("*").alias("n_cells"), parts.alias("p"))
+    return g.select(*keys, "row_no", "n_cells", F.array_join(F.transform("p", lambda x: x["text"]), " ").alias("text"))
+
+
 def row_confidence(identifier: Column, rising: Column, falling: Column) -> Column:
     points = F.lit(45) + F.when(identifier != "", 20).otherwise(0) + F.when(rising, 15).otherwise(0) + F.when(falling, 15).otherwise(0)
     return F.least(points, F.lit(95)) / 100

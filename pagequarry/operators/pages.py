@@ -308,13 +308,17 @@ def merged_rotations(found: DataFrame) -> DataFrame:
     )
 
 
+def table_like(line: Column) -> Column:
+    """Whether a line looks like a table's row: two filled cells between bars or tabs, or two spaces in a row."""
+    bare = F.btrim(line)
+    cells = lambda sep: F.size(F.filter(F.split(bare, sep), lambda x: F.btrim(x) != "")) >= 2
+    return F.when(bare == "", False).when(F.contains(bare, F.lit("|")), cells(r"\|")).when(F.contains(bare, F.lit("\t")), cells("\t")).otherwise(bare.rlike(r"\s{2,}"))
+
+
 def text_tables(pages: DataFrame) -> DataFrame:
     """Runs of two or more lines that look like table rows (``page, text``): ``page, first_line, n_lines, header``."""
     lines = pages.select("page", F.posexplode(F.split(t.text("text"), "\n")).alias("line_no", "line"))
-    cells = lambda sep: F.size(F.filter(F.split(F.btrim("line"), sep), lambda x: F.btrim(x) != "")) >= 2
-    bare = F.btrim("line")
-    like = F.when(bare == "", False).when(F.contains(bare, F.lit("|")), cells(r"\|")).when(F.contains(bare, F.lit("\t")), cells("\t")).otherwise(bare.rlike(r"\s{2,}"))
-    lines = lines.withColumn("like", like)
+    lines = lines.withColumn("like", table_like(F.col("line")))
     w = Window.partitionBy("page").orderBy("line_no")
     island = F.col("line_no") - F.row_number().over(w)
     runs = lines.filter("like").withColumn("island", island)

@@ -192,6 +192,36 @@ def key_value(text: Column) -> Column:
     return F.when(ok, F.struct(label.alias("label"), value.alias("value")))
 
 
+# fixed values
+NOISE_VALUES = (
+    "", "TAG", "TAG #", "EQUIPMENT", "EQUIPMENT:", "PROJECT", "PROJECT:", "CLIENT", "CLIENT:", "JOB", "JOB #", "JOB NO", "DRG",
+    "DRG #", "DWG", "DRAWING", "DRAWING:", "REV", "REVISION", "DOCUMENT", "MODEL", "TYPE", "SCALE", "SIZE", "SHEET", "DATE",
+    "DESCRIPTION", "CLIENT DOCS", "CLIENT REP", "FOR CLIENT", "FOR MANUFACTURER",
+)
+RELATED_MARKERS = (
+    "INSPECTION", "ACT:#", "ACTIVITY", "STANDARD", "H - HOLD", "R - REVIEW", "W - WITNESS", "M - MONITOR", "CERTIFICATE", "ASME",
+    "API ", "NACE", "EN ",
+)
+
+
+def valid_phrase(value: Column, words: int = 1) -> Column:
+    """Whether a value says something: no label, 3 to 100 characters, and ``words`` words of two letters or more."""
+    v = t.clean(value, t.EDGES)
+    found = F.size(F.regexp_extract_all(F.upper(v), F.lit("([A-Z]{2,})"), F.lit(1)))
+    return ~F.upper(v).isin(*NOISE_VALUES) & F.length(v).between(3, 100) & (found >= words)
+
+
+def related_record(text: Column) -> Column:
+    """Whether a line belongs to an inspection, certificate or standard."""
+    up = F.upper(t.clean(text, t.EDGES))
+    return F.exists(F.array(*[F.lit(m) for m in RELATED_MARKERS]), lambda m: F.contains(up, m))
+
+
+def best_orientation(scores: DataFrame) -> DataFrame:
+    """The rotation of each page with the best score, then most tables, then least turn (``page, rotation, score, tables``)."""
+    return scores.groupBy("page").agg(F.max_by("rotation", F.struct("score", "tables", -F.col("rotation"))).alias("rotation"), F.max("score").alias("score"))
+
+
 def sparse_pages(lines: DataFrame, most: int = 2) -> DataFrame:
     """Pages with labelled lines, but ``most`` of them or fewer (``page, text``): ``page, n``."""
     fields = lines.filter(key_value(F.col("text")).isNotNull())

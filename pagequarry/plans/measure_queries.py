@@ -84,15 +84,24 @@ def g15(i):
     return i.row_words.withColumn("n", n).filter("n between 1 and 10000").groupBy("row_no").agg(F.min_by("n", "x").alias("position"))
 
 
-@query("g07_direction_bands", "cells", sql=" SELECT table_id, direction, min(x - greatest(70, 0.3::DOUBLE * 40)) AS from_x, max(x + 40 + greatest(70, 0.3::DOUBLE * 40)) AS to_x FROM cells GROUP BY 1, 2")
+# header cells: with and without a direction, a measurement or a width
+fixture(
+    "header_cells",
+    """SELECT CAST(ok % 700 AS INT) AS table_id, CASE CAST(pk % 8 AS INT) WHEN 0 THEN 'Rising Pressure (Bar)' WHEN 1 THEN 'falling  reading' WHEN 2 THEN 'Ascending test value' WHEN 3 THEN 'Rising' WHEN 4 THEN 'descending error %' WHEN 5 THEN 'Pressure' WHEN 6 THEN 'Rising actual' ELSE 'Uprising value' END AS text,
+CAST(pk % 50 * 10 AS DOUBLE) AS x1, CAST(pk % 50 * 10 + sk % 300 - 5 AS DOUBLE) AS x2, CAST(ln * 20 AS DOUBLE) AS y1, CAST(ln * 20 + 15 AS DOUBLE) AS y2, CAST(ln - 2 AS INT) AS row_no, CAST(sk % 7 AS DOUBLE) AS y FROM base_lines""",
+    "base_lines",
+)
+HEADS = ", hc AS (SELECT *, CASE WHEN regexp_matches(lower(text), '\\brising\\b') THEN 'rising' WHEN regexp_matches(lower(text), '\\bfalling\\b') THEN 'falling' WHEN regexp_matches(lower(text), '\\bascending\\b') THEN 'increasing' WHEN regexp_matches(lower(text), '\\bdescending\\b') THEN 'decreasing' ELSE '' END AS direction, regexp_matches(lower(text), '\\b(pressure|reading|test|value|error|actual)\\b') AS term FROM header_cells) "
+
+
+@query("g07_direction_bands", "header_cells", sql=HEADS + "SELECT table_id, direction, min(greatest(0, x1 - greatest(70, (x2 - x1) * 0.3::DOUBLE))) AS from_x, max(x2 + greatest(70, (x2 - x1) * 0.3::DOUBLE)) AS to_x FROM hc WHERE direction <> '' AND term AND x2 > x1 GROUP BY 1, 2")
 def g07(i):
-    m = F.greatest(F.lit(70.0), F.lit(40.0) * 0.3)
-    return i.cells.groupBy("table_id", "direction").agg(F.min(F.col("x") - m).alias("from_x"), F.max(F.col("x") + 40 + m).alias("to_x"))
+    return ms.direction_bands(i.header_cells, ("table_id",))
 
 
-@query("g08_direction_groups", "cells", sql=" SELECT page, direction, min(x) AS x1, max(x) AS x2, string_agg(DISTINCT tag, ',' ORDER BY tag) AS tags FROM cells GROUP BY 1, 2")
+@query("g08_direction_groups", "header_cells", sql=HEADS + "SELECT table_id, direction, min(x1) AS x1, max(x2) AS x2, min(y1) AS y1, max(y2) AS y2, string_agg(DISTINCT regexp_replace(text, '\\s+', ' ', 'g'), ' | ' ORDER BY regexp_replace(text, '\\s+', ' ', 'g')) AS text, (min(x1) + max(x2)) / 2 AS x_centre FROM hc WHERE direction <> '' AND term GROUP BY 1, 2")
 def g08(i):
-    return i.cells.groupBy("page", "direction").agg(F.min("x").alias("x1"), F.max("x").alias("x2"), F.array_join(F.array_sort(F.collect_set("tag")), ",").alias("tags"))
+    return ms.direction_groups(i.header_cells, ("table_id",))
 
 
 TERR = ", k AS (SELECT table_id, direction, avg(x) AS x, 0.0::DOUBLE AS lft, 3000.0::DOUBLE AS rgt FROM cells GROUP BY 1, 2), terr AS (SELECT table_id, direction, coalesce((x + lag(x) OVER w) / 2, lft) AS from_x, coalesce((x + lead(x) OVER w) / 2, rgt) AS to_x FROM k WINDOW w AS (PARTITION BY table_id ORDER BY x, direction)) "
@@ -205,9 +214,9 @@ def p50(i):
     return n.groupBy(ms.mapping_status(F.col("distance"), F.abs(F.col("value") - F.col("nominal"))).alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("g14_row_groups", "cells", sql=" SELECT table_id, y, count(*) AS n_cells, min(x) AS first_x FROM cells GROUP BY 1, 2")
+@query("g14_row_groups", "header_cells", sql=" SELECT table_id, row_no, count(*) AS n_cells, string_agg(text, ' ' ORDER BY x1, y, text) AS text FROM header_cells WHERE row_no > 0 GROUP BY 1, 2")
 def g14(i):
-    return i.cells.groupBy("table_id", "y").agg(F.count("*").alias("n_cells"), F.min("x").alias("first_x"))
+    return ms.row_groups(i.header_cells.withColumn("x", F.col("x1")), ("table_id",))
 
 
 fixture("nearby_cells", "SELECT table_id, direction, tag, value + CASE WHEN c.k = 1 THEN 0.0005 ELSE 0 END AS value, x + c.k * 30 AS x, y + c.k * 10 AS y, confidence - CASE WHEN place % 2 = 0 THEN 0.1 ELSE -0.1 END * c.k AS confidence, place * 2 + c.k AS seq FROM cells CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1) c", "cells")
@@ -233,8 +242,7 @@ def p18(i):
 @query("p19_body_filter", "cells", sql=", h AS (SELECT table_id % 50 AS grp, min(y) AS bottom FROM cells GROUP BY 1) SELECT cell_id FROM cells c JOIN h ON h.grp = c.table_id % 50 WHERE c.y > h.bottom + 18")
 def p19(i):
     c = i.cells.withColumn("grp", F.col("table_id") % 50)
-    h = c.groupBy("grp").agg(F.min("y").alias("bottom"))
-    return c.join(h, "grp").filter(F.col("y") > F.col("bottom") + 18).select("cell_id")
+    return ms.body_cells(c, c.groupBy("grp").agg(F.min("y").alias("bottom")), ("grp",)).select("cell_id")
 
 
 ROWS = ", r AS (SELECT table_id, tag, bool_or(direction = 'rising') AS rising, bool_or(direction = 'falling') AS falling FROM cells GROUP BY 1, 2) "

@@ -267,13 +267,10 @@ def w06(i):
     return pg.text_tables(i.table_text).groupBy("page").agg(F.count("*").alias("n_tables"), F.sum("n_lines").alias("n_lines"))
 
 
-@query("p41_table_line", "table_text", sql=TABLES_SQL + "SELECT page, CAST(line_no AS INT) AS line_no, ok AS table_like FROM k WHERE page % 10 < 5")
+@query("p41_table_line", "table_text", sql=TABLES_SQL + "SELECT page, CAST(line_no AS INT) AS line_no, ok AS table_like FROM k")
 def p41(i):
-    lines = i.table_text.filter("page % 10 < 5").select("page", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    bare = F.btrim("line")
-    cells = lambda sep: F.size(F.filter(F.split(bare, sep), lambda x: F.btrim(x) != "")) >= 2
-    like = F.when(bare == "", False).when(F.contains(bare, F.lit("|")), cells(r"\|")).when(F.contains(bare, F.lit("\t")), cells("\t")).otherwise(bare.rlike(r"\s{2,}"))
-    return lines.select("page", "line_no", like.alias("table_like"))
+    lines = i.table_text.select("page", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("page", "line_no", pg.table_like(F.col("line")).alias("table_like"))
 
 
 @query("k08_full_text", "page_text", sql=" SELECT document_id, md5(string_agg(text, chr(10) ORDER BY page)) AS text_md5, count(*) AS n_pages FROM page_text GROUP BY 1")

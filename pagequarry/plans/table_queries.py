@@ -297,7 +297,7 @@ def a10(i):
 @query("a28_best_orientation", "ocr_lines", sql=", k AS (SELECT page, (line_no % 4) * 90 AS rotation, count(DISTINCT table_id) AS tables, CAST(round(sum(confidence) * 100) AS BIGINT) AS score FROM ocr_lines GROUP BY 1, 2) SELECT page, rotation, score FROM k QUALIFY row_number() OVER (PARTITION BY page ORDER BY score DESC, tables DESC, rotation) = 1")
 def a28(i):
     k = i.ocr_lines.groupBy("page", ((F.col("line_no") % 4) * 90).alias("rotation")).agg(F.countDistinct("table_id").alias("tables"), F.round(F.sum("confidence") * 100).cast("long").alias("score"))
-    return k.groupBy("page").agg(F.max_by("rotation", F.struct("score", "tables", -F.col("rotation"))).alias("rotation"), F.max("score").alias("score"))
+    return tb.best_orientation(k)
 
 
 @query("a29_table_score", "ocr_lines", sql=" SELECT table_id, 10 * count(*) FILTER (contains(text, 'GENERAL')) + 2 * count(DISTINCT text) FILTER (contains(text, 'Row')) + least(5, floor(count(*) FILTER (confidence >= 0.8) / 100)) AS score FROM ocr_lines GROUP BY 1".replace("least(5, floor(count(*) FILTER (confidence >= 0.8) / 100))", "CAST(least(5, count(*) FILTER (confidence >= 0.8)) AS BIGINT)"))
@@ -375,17 +375,18 @@ def f28(i):
     return i.key_lines.select("table_id", "line_no", t.after_label("text", "CLIENT").alias("client"))
 
 
-@query("p39_noise_values", "key_lines", sql=" SELECT table_id, line_no, NOT (upper(trim(text)) IN ('', 'TAG', 'EQUIPMENT', 'PROJECT', 'CLIENT', 'MODEL', 'REV')) AND length(trim(text)) BETWEEN 3 AND 100 AND len(regexp_extract_all(text, '[A-Z]{2,}')) >= 1 AS valid FROM key_lines")
+CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'), ' ' || chr(9) || chr(13) || chr(10) || ':;,.()[]{}')"
+fixture("phrases", "SELECT table_id, line_no, CASE CAST(line_no % 9 AS INT) WHEN 0 THEN ' (Tag #) ' WHEN 1 THEN 'for manufacturer' WHEN 2 THEN 'JOB NO.' WHEN 3 THEN 'ab' WHEN 4 THEN concat('r - review, ', text) WHEN 5 THEN 'see API 6A' WHEN 6 THEN 'act:# 12 x' WHEN 7 THEN '1 2 3 4 5' ELSE concat(text, ' of the open ', repeat('w', line_no)) END AS text FROM ocr_lines", "ocr_lines")
+
+
+@query("p39_noise_values", "phrases", sql=f" SELECT table_id, line_no, NOT (upper({CLEAN}) IN ({', '.join(repr(x) for x in tb.NOISE_VALUES)})) AND length({CLEAN}) BETWEEN 3 AND 100 AND len(regexp_extract_all(upper({CLEAN}), '[A-Z]{{2,}}')) >= 1 AS valid, NOT (upper({CLEAN}) IN ({', '.join(repr(x) for x in tb.NOISE_VALUES)})) AND length({CLEAN}) BETWEEN 3 AND 100 AND len(regexp_extract_all(upper({CLEAN}), '[A-Z]{{2,}}')) >= 2 AS two_words FROM phrases")
 def p39(i):
-    v = F.btrim("text")
-    noise = F.upper(v).isin("", "TAG", "EQUIPMENT", "PROJECT", "CLIENT", "MODEL", "REV")
-    caps = F.size(F.regexp_extract_all("text", F.lit("([A-Z]{2,})"), F.lit(1))) >= 1
-    return i.key_lines.select("table_id", "line_no", (~noise & F.length(v).between(3, 100) & caps).alias("valid"))
+    return i.phrases.select("table_id", "line_no", tb.valid_phrase(F.col("text")).alias("valid"), tb.valid_phrase(F.col("text"), 2).alias("two_words"))
 
 
-@query("p40_related_markers", "key_lines", sql=" SELECT table_id, line_no FROM key_lines WHERE regexp_matches(upper(text), 'INSPECTION|ACTIVITY|STANDARD|CERTIFICATE|ASME|API |NACE|EN |SERIAL')")
+@query("p40_related_markers", "phrases", sql=f" SELECT table_id, line_no FROM phrases WHERE regexp_matches(upper({CLEAN}), 'INSPECTION|ACT:#|ACTIVITY|STANDARD|H - HOLD|R - REVIEW|W - WITNESS|M - MONITOR|CERTIFICATE|ASME|API |NACE|EN ')")
 def p40(i):
-    return i.key_lines.filter(F.upper("text").rlike("INSPECTION|ACTIVITY|STANDARD|CERTIFICATE|ASME|API |NACE|EN |SERIAL")).select("table_id", "line_no")
+    return i.phrases.filter(tb.related_record(F.col("text"))).select("table_id", "line_no")
 
 
 @query("f06_line_fields", "key_lines", sql=r", f AS (SELECT table_id, line_no, regexp_extract(upper(text), 'SERIAL NO: *(\S+)', 1) AS serial, regexp_extract(upper(text), 'MODEL *: *(\S+)', 1) AS model, regexp_extract(upper(text), 'CLIENT: *(.+)$', 1) AS client FROM key_lines) SELECT table_id, line_no, field_name, value FROM (UNPIVOT f ON serial, model, client INTO NAME field_name VALUE value) q WHERE value <> ''")
