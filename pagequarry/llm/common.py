@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.files import scratch, shared_dir
 
-__all__ = ["documents", "drop_table", "shared_dir", "slices", "stage_path", "stage_table", "utf8", "width"]
+__all__ = ["documents", "drop_table", "mapped", "shared_dir", "slices", "stage_path", "stage_table", "utf8", "width"]
+
+
+#: Rows that the JVM hands to Python at once.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches of ``BATCH_ROWS`` rows at most.
+
+    The JVM writes a batch through direct buffers as large as the batch, which only
+    a garbage collection frees, and such stages make little garbage otherwise: with
+    Spark's default of 10,000 texts these buffers outgrow the heap. The session
+    keeps the setting, since plans read it when they run.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -42,9 +61,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def width(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions, for explicit repartitioning."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of a table's files that a task of an explicit repartitioning gets at most.
+PART_BYTES = 128 << 20
+
+
+def width(table: DataFrame, times: float = 1.0) -> int:
+    """Partitions for explicit repartitioning: the session's number, or more if the table is large.
+
+    ``table`` is read from files, whose size its plan knows; for others, where plans
+    give an endless size, it is the session's number. ``times`` is how much larger
+    the rows are that are dealt out.
+    """
+    found = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(found, int(size * times) // PART_BYTES + 1) if size < 1 << 60 else found
 
 
 def utf8(column: pa.Array) -> tuple[memoryview, np.ndarray]:

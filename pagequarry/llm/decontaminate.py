@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import mapped, slices, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -267,7 +267,7 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thr
                         ]
                         yield pa.RecordBatch.from_arrays(rows, names=["doc_id", "item_id", "n_shared", "n_shingles", "containment"])
 
-        found = texts.mapInArrow(run, SCHEMA)
+        found = texts.transform(mapped, run, SCHEMA)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
 
@@ -288,7 +288,7 @@ def without_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thres
                         clean[i + d] = False
                 yield b.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.transform(mapped, run, docs.schema)
     return docs
 
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, slices, stage_path, stage_table, utf8, width
+from .common import drop_table, mapped, slices, stage_path, stage_table, utf8, width
 
 MAGIC = b"PQHIDS2\n"
 MAX_LENGTH = 16
@@ -314,7 +314,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 texts = [t or "" for t in b.column(1)[i:j].to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(words.encode(texts, end), pa.binary())], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, ids binary")
 
 
 def vocabulary(path: str) -> int:
@@ -341,7 +341,7 @@ def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
         got = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array(total[got])], names=["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = tokens.select("ids").transform(mapped, run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size, np.int64)
     out[rows["id"].to_numpy(int)] = rows["n"].to_numpy(np.int64)
     return out
@@ -392,9 +392,9 @@ def write_ids(tokens: DataFrame, lengths: np.ndarray, folder: str, block: int =
         if held:
             yield out()
 
-    n = width(tokens.sparkSession)
+    n = width(tokens)
     dealt = tokens.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids")
-    return dealt.mapInArrow(run, "part int, seq int, path string, n_docs long, n_ids long, n_bytes long")
+    return dealt.transform(mapped, run, "part int, seq int, path string, n_docs long, n_ids long, n_bytes long")
 
 
 def read_ids(files: DataFrame) -> DataFrame:
@@ -418,7 +418,7 @@ def read_ids(files: DataFrame) -> DataFrame:
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     based = files.join(parts, "part").select("path", (F.col("base") + F.coalesce(F.sum("n_ids").over(before), F.lit(0))).alias("base"))
-    return based.repartition(width(files.sparkSession), "path").mapInArrow(run, "doc_id long, start long, ids binary")
+    return based.repartition(width(files, 1000.0), "path").transform(mapped, run, "doc_id long, start long, ids binary")
 
 
 def stored_ids(docs: DataFrame, path: str, end_id: int = END_ID, most: int = MAX_LENGTH, block: int = BLOCK) -> DataFrame:

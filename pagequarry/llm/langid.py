@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, utf8
+from .common import mapped, slices, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -183,7 +183,7 @@ def annotate(docs: DataFrame, net: ByteNet) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=names)
 
     schema = T.StructType([*docs.select(*columns).schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*columns).mapInArrow(run, schema)
+    return docs.select(*columns).transform(mapped, run, schema)
 
 
 def _score(net: ByteNet, data: memoryview, offsets: np.ndarray, ok: np.ndarray, langs: np.ndarray, scores: np.ndarray) -> None:

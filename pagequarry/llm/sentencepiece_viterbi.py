@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import mapped, slices, utf8
 
 MARK = "▁"
 #: Bytes of words that one Python worker may remember between texts, and pairs of pieces (about 130 bytes each).
@@ -359,7 +359,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 texts = [t or "" for t in b.column(1)[i:j].to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(codec(path).encode(texts), pa.binary())], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -370,7 +370,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             texts = [codec(path).decode(np.frombuffer(x or b"", "<i4")) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long"), "ids").transform(mapped, run, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -402,4 +402,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(rows, names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "exact"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, exact boolean")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, exact boolean")

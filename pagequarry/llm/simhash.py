@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, stage_table, width
+from .common import drop_table, mapped, stage_table, width
 from .components import connected_components
 
 SHINGLE = 3
@@ -137,7 +137,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
             fps = [_signed(fingerprint(t.as_py(), words)) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, fp long")
 
 
 def _masks(bits: list[int], blocks: int, kept: int) -> list[int]:
@@ -291,9 +291,9 @@ def fingerprint_links(classes: DataFrame, radius: int = RADIUS, pivots: int = PI
         deep = _split(cells.join(crowded, "cell", "left_semi"), radius)
         cells = cells.join(crowded, "cell", "left_anti").unionByName(deep)
     order = ["cell", "id", "fp", *[c for c in nodes.columns if c.startswith("pivots")]]
-    n = width(classes.sparkSession)
+    n = width(classes, 60.0)
     dealt = cells.select(*order).repartition(n, "cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(link_sorted_cells(radius), "u long, v long")
+    return dealt.transform(mapped, link_sorted_cells(radius), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS, pivots: int = PIVOTS) -> DataFrame:
@@ -333,7 +333,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(range(0, len(flat) + 1, SAMPLES), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.int64()), pa.array(fps, pa.int64()), lists], names=["doc_id", "text", "key", "fp", "samples"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string, key long, fp long, samples array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, text string, key long, fp long, samples array<long>")
 
 
 def _block_links(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, sets: list[np.ndarray], label: np.ndarray, apart: np.ndarray, home: np.ndarray, radius: int, similarity: float) -> tuple[list[int], list[int]]:
@@ -402,7 +402,7 @@ def _gathered(rows: DataFrame, members: DataFrame, pivots: int) -> DataFrame:
         members = F.broadcast(members)
     texts = rows.withColumnRenamed("doc_id", "rep").join(members, ["key", "rep"])
     kept = texts.select("family", "block", "key", "group", "apart", "home", "fp", "text", *_table(F.col("fp"), references(pivots)))
-    return kept.repartition(width(rows.sparkSession), "family", "block").sortWithinPartitions("family", "block", "key")
+    return kept.repartition(width(rows), "family", "block").sortWithinPartitions("family", "block", "key")
 
 
 def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: float, radius: int, pivots: int, block_texts: int) -> DataFrame:
@@ -420,7 +420,7 @@ def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: f
     large = stage_table(sizes.select("family", blocks.alias("blocks")).filter("blocks > 1"), "large")
     plan = "u long, v long"
     small = members.join(large, "family", "left_anti").select("key", "rep", "family", F.lit(0).alias("block"), F.col("key").alias("group"), F.lit(True).alias("apart"), F.lit(True).alias("home"))
-    links = stage_table(_gathered(rows, small, pivots).mapInArrow(_families(words, radius, similarity), plan), "links")
+    links = stage_table(_gathered(rows, small, pivots).transform(mapped, _families(words, radius, similarity), plan), "links")
     if large.isEmpty():
         return connected_components(links).toDF("key", "group")
     dealt = stage_table(members.join(large, "family").withColumn("own", F.pmod(F.xxhash64("key"), "blocks").cast("int")), "dealt")
@@ -430,7 +430,7 @@ def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: f
     hub = dealt.filter(F.col("own") < HUBS).withColumn("hub", hubs).filter("hub").select("key", F.lit(True).alias("hub"))
     placed = dealt.join(hub, "key", "left").withColumn("block", F.explode(F.when(F.col("hub"), everywhere).otherwise(F.array("own"))))
     first = placed.select("key", "rep", "family", "block", F.col("key").alias("group"), F.lit(True).alias("apart"), F.lit(True).alias("home"))
-    links = links.unionByName(_gathered(rows, stage_table(first, "first"), pivots).mapInArrow(_families(words, radius, similarity), plan))
+    links = links.unionByName(_gathered(rows, stage_table(first, "first"), pivots).transform(mapped, _families(words, radius, similarity), plan))
     groups = stage_table(connected_components(links).toDF("key", "group"), "groups")
     named = stage_table(dealt.join(groups, "key", "left").withColumn("group", F.coalesce("group", "key")), "named")
     counts = named.groupBy("family", "group").agg(F.count("*").alias("n"))
@@ -438,7 +438,7 @@ def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: f
     rest = named.join(tops.select("family", F.col("top.group").alias("top")), "family").withColumn("apart", F.col("group") != F.col("top"))
     rest = rest.withColumn("block", F.explode(F.when(F.col("apart"), everywhere).otherwise(F.array("own")))).withColumn("home", F.col("block") == F.col("own"))
     rest = stage_table(rest.select("key", "rep", "family", "block", "group", "apart", "home"), "rest")
-    more = stage_table(_gathered(rows, rest, pivots).mapInArrow(_families(words, radius, similarity), plan), "links")
+    more = stage_table(_gathered(rows, rest, pivots).transform(mapped, _families(words, radius, similarity), plan), "links")
     # groups are stars of links, and the new links join them
     return connected_components(more.unionByName(groups.toDF("u", "v"))).toDF("key", "group")
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, slices, stage_table, utf8, width
+from .common import drop_table, mapped, slices, stage_table, utf8, width
 
 LENGTH = 400
 ANCHOR = 200
@@ -231,7 +231,7 @@ def segments(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR) -> DataF
                     columns = [pa.array(anchor), pa.array(segment), lists, pa.array(strings), pa.array(place)]
                     yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *columns], names=["_doc", "_row", "anchor", "segment", "starts", "strings", "place"])
 
-    return docs.filter(F.octet_length("text") >= length).select("_doc", "_row", "text").mapInArrow(run, SEGMENT)
+    return docs.filter(F.octet_length("text") >= length).select("_doc", "_row", "text").transform(mapped, run, SEGMENT)
 
 
 # ---------------------------------------------------------------- shards
@@ -380,7 +380,7 @@ def _split(fetched: DataFrame, variants: DataFrame, length: int, size: int, grou
         calm = fetched.join(crowded, "anchor", "left_anti").select(*columns)
         whole = calm if whole is None else whole.unionByName(calm)
         parts = fetched.join(crowded, "anchor", "left_semi").select(*columns)
-        parts = stage_table(parts.mapInArrow(_parted(length, size, wide), f"{FETCHED}, segment long"), "parts")
+        parts = stage_table(parts.transform(mapped, _parted(length, size, wide), f"{FETCHED}, segment long"), "parts")
         sums = stage_table(parts.groupBy("anchor", "segment").agg(F.sum("times").alias("all"), F.min(F.struct("_doc", "_row", "start")).alias("one")), "sums")
         # a segment that was met more than once has been reported with all its strings
         again = parts.filter("times = 1").join(sums.filter("all > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
@@ -398,7 +398,6 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH, size: int = ANCHOR,
 
     ``keyed`` has ``_doc, _row, text``.
     """
-    n = width(keyed.sparkSession)
     every = stage_table(segments(keyed, length, size), "segments")
     # written, so that the join deals out both sides anew and a hot anchor's rows can be split
     again = stage_table(every.groupBy("anchor").agg(F.sum(F.size("starts")).alias("n")).filter("n > 1").select("anchor"), "again")
@@ -413,10 +412,11 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH, size: int = ANCHOR,
     wanted = kinds.join(variants.select("anchor"), "anchor").select("anchor", "times", "one.*")
     lists = wanted.groupBy("_doc", "_row").agg(F.collect_list(F.struct("anchor", "start", "strings", "place", "times")).alias("wanted"))
     fetched = lists.join(keyed.select("_doc", "_row", "text"), ["_doc", "_row"])
-    fetched = stage_table(fetched.select("_doc", "_row", "text", "wanted").mapInArrow(_fetch(length, size), FETCHED), "fetched")
+    fetched = stage_table(fetched.select("_doc", "_row", "text", "wanted").transform(mapped, _fetch(length, size), FETCHED), "fetched")
+    parts = width(fetched)
     fetched, found = _split(fetched, variants, length, size, group_max)
-    dealt = fetched.repartition(n, "anchor").sortWithinPartitions("anchor", F.substring("raw", F.col("place") + 1, F.lit(size)))
-    out = copies.unionByName(dealt.mapInArrow(_shards(length, size, shard), RANGES))
+    dealt = fetched.repartition(parts, "anchor").sortWithinPartitions("anchor", F.substring("raw", F.col("place") + 1, F.lit(size)))
+    out = copies.unionByName(dealt.transform(mapped, _shards(length, size, shard), RANGES))
     return out if found is None else out.unionByName(found)
 
 
@@ -463,7 +463,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, s
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
 
     joined = keyed.join(lists, ["_doc", "_row"], "left").select("doc_id", "text", "ranges")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    return joined.transform(mapped, run, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
 
 
 def digests(kept: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_path, stage_table, width
+from .common import mapped, stage_path, stage_table, width
 
 ARCHIVE_BYTES = 64 << 20
 BROADCAST_DIGESTS = 500_000
@@ -264,7 +264,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         if lines:
             yield out()
 
-    return pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, n_records long, n_bytes long")
+    return pages.select("page_id", "url", "html", "refers_to").transform(mapped, run, "path string, n_records long, n_bytes long")
 
 
 # ---------------------------------------------------------------- reading
@@ -304,11 +304,11 @@ def locate(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                 zipped.close()
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], schema=kinds)
 
-    return archives.select("path").mapInArrow(run, "path string, start long, size long, offsets array<long>, lengths array<long>")
+    return archives.select("path").transform(mapped, run, "path string, start long, size long, offsets array<long>, lengths array<long>")
 
 
-def read_records(ranges: DataFrame) -> DataFrame:
-    """The records of ``locate``'s ranges, each range fetched at once.
+def read_records(ranges: DataFrame, parts: int) -> DataFrame:
+    """The records of ``locate``'s ranges, each range fetched at once, in ``parts`` tasks.
 
     ``page_id, record_type, uri, payload_bytes, payload_digest, refers_to, payload``:
     the digest of a response is computed again and held against its header; a
@@ -334,8 +334,8 @@ def read_records(ranges: DataFrame) -> DataFrame:
                     rows.append((ids[0], fields["warc-type"], fields.get("warc-target-uri"), whole, digest, ids[1], payload if known else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
-    dealt = ranges.repartition(width(ranges.sparkSession))
-    return dealt.mapInArrow(run, "page_id long, record_type string, uri string, payload_bytes long, payload_digest string, refers_to long, payload binary")
+    dealt = ranges.repartition(parts)
+    return dealt.transform(mapped, run, "page_id long, record_type string, uri string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
 def archived(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -349,4 +349,5 @@ def archived(pages: DataFrame, least: int = 0) -> DataFrame:
     """
     folder = stage_path(pages.sparkSession, "archives")
     archives = stage_table(write_archives(with_revisits(pages, least), folder), "archive-list")
-    return read_records(locate(archives.repartition(width(pages.sparkSession), "path")))
+    parts = width(pages)
+    return read_records(locate(archives.repartition(parts, "path")), parts)

@@ -143,4 +143,4 @@ def test_ranges_split_at_records(spark, tmp_path):
     assert archives.count() > 3
     ranges = warc_zip.locate(archives, 300)
     assert ranges.count() > archives.count()
-    assert {r["page_id"]: bytes(r["payload"]).decode() for r in warc_zip.read_records(ranges).collect()} == {i: f"page {i} " * 50 for i in range(40)}
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in warc_zip.read_records(ranges, 4).collect()} == {i: f"page {i} " * 50 for i in range(40)}
