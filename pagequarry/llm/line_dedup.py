@@ -19,6 +19,7 @@ MIN_SITES = 10
 SKETCH_BITS = 12
 BLANKS = " \t\r"
 LINE = ["line", "line2"]
+SALTS = 16
 
 
 def _row_key(doc_id: Column, text: Column) -> list[Column]:
@@ -42,19 +43,22 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def shared_lines(found: DataFrame, min_sites: int = MIN_SITES, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``line, line2``: hashes of lines on ``min_sites`` different sites or more."""
-    seen = found.select(*LINE, "site")
+    seen = found.select(*LINE, "site", F.pmod("_row", F.lit(SALTS)).cast("int").alias("salt"))
     if min_sites <= 1:
         return seen.select(*LINE).distinct()
     site = F.xxhash64("site")
     several = seen.groupBy(*LINE).agg(F.min(site).alias("a"), F.max(site).alias("z")).filter("a <> z").select(*LINE)
-    seen = seen.join(stage_table(several, "lines"), LINE, "left_semi")
-    sketches = seen.groupBy(*LINE).agg(F.hll_sketch_agg("site", F.lit(sketch_bits)).alias("sketch"))
+    several = stage_table(several, "lines")
+    # a frequent line's rows are joined and sketched in as many tasks as there are salts
+    salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sketches = seen.join(salted, [*LINE, "salt"], "left_semi").groupBy(*LINE, "salt").agg(F.hll_sketch_agg("site", F.lit(sketch_bits)).alias("sketch"))
+    sketches = sketches.groupBy(*LINE).agg(F.hll_union_agg("sketch").alias("sketch"))
     spread = stage_table(sketches.select(*LINE, F.hll_sketch_estimate("sketch").alias("sites")), "spread")
     # five standard errors of a sketch on either side
     band = 5 * 1.04 / 2 ** (sketch_bits / 2)
     sure = spread.filter(F.col("sites") > min_sites * (1 + band)).select(*LINE)
     near = spread.filter(F.col("sites").between(min_sites * (1 - band) - 1, min_sites * (1 + band))).select(*LINE)
-    exact = seen.join(near, LINE, "left_semi").distinct().groupBy(*LINE).count().filter(F.col("count") >= min_sites)
+    exact = seen.join(near, LINE, "left_semi").select(*LINE, "site").distinct().groupBy(*LINE).count().filter(F.col("count") >= min_sites)
     return sure.unionByName(exact.select(*LINE))
 
 
