@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import mapped, slices, utf8
 
 RATE = 8000
 BLOCK = 1152
@@ -587,7 +587,7 @@ def store(docs: DataFrame) -> DataFrame:
                 media = encode([padded(t) for t in texts])
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(list(map(len, texts)), pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, n_bytes long, media binary")
 
 
 def feature(payload: bytes) -> str:
@@ -608,11 +608,11 @@ def pcm_blocks(stored: DataFrame) -> DataFrame:
                 blocks = [payload[p[0] : p[0] + p[2]] for p in info.points]
                 yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(firsts), pa.int64()), pa.array(firsts, pa.int64()), pa.array(blocks, pa.binary())], names=["doc_id", "first_sample", "pcm"])
 
-    return stored.filter("media is not null").select("doc_id", "media").mapInArrow(run, "doc_id long, first_sample long, pcm binary")
+    return stored.filter("media is not null").select("doc_id", "media").transform(mapped, run, "doc_id long, first_sample long, pcm binary")
 
 
 def digests(stored: DataFrame) -> DataFrame:
-    """Read the streams of ``stored`` back and describe what was read."""
+    """Read the streams of ``stored`` back and describe what was read; ``block_samples`` are the first samples of blocks, by the seek points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -630,8 +630,9 @@ def digests(stored: DataFrame) -> DataFrame:
                     pa.array(list(map(len, media)), pa.int64()),
                     pa.array([hashlib.sha256(m).hexdigest() for m in media]),
                     pa.array(list(map(feature, payloads))),
+                    pa.array([[first for first, _, _ in metadata(m).points] for m in media], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(rows, names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                yield pa.RecordBatch.from_arrays(rows, names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "block_samples"])
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return stored.mapInArrow(run, schema)
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, block_samples array<long>"
+    return stored.transform(mapped, run, schema)
