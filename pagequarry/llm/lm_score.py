@@ -3,14 +3,16 @@
 The target model counts documents labelled as good, the background model all
 documents. Both share one vocabulary, every word of the corpus, and one
 smoothing; background counts are scaled to the target's number of tokens, so
-neither is smoother for its size. A document's score is the mean over its
-tokens of the target's loss less the background's, in bits: the lower, the more
-it is like the target.
+neither is smoother for its size, and a corpus of more documents of the same kind
+gives the same losses. A document is scored by models of all other documents: its
+own counts are taken out first. The score is the mean over its tokens of the
+target's loss less the background's, in bits: the lower, the more it is like the
+target.
 
 Words are known by 64-bit hashes, and no table of them or of their bigrams is
 ever in one place. Tasks write documents in chunks of ``CHUNK`` words. A chunk
-asks for each of its different bigrams once, however often it holds it, and
-later for each of its words; requests are dealt out by hash into buckets, which
+asks for each of its different bigrams and words once, however often it holds
+them, and tells its counts; requests are dealt out by hash into buckets, which
 sum what the chunks hold and answer in the order of the request. So a frequent
 word or bigram costs a row in each chunk at most, and a bucket about ``BUCKET``
 words of input.
@@ -20,7 +22,6 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table, width
+from .common import mapped, stage_table, width
 
-DISCOUNT = 0.75
+#: Tokens that a context is given from single words before its own count.
+PRIOR = 8.0
 WORDS_HELD = 200_000
-CHUNK = 1_200_000
-BUCKET = 1_000_000
+CHUNK = 800_000
+BUCKET = 700_000
 BROADCAST_IDS = 1_000_000
-UNKNOWN, START = 0, 1
+START = 1
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"\w+")
 
@@ -46,41 +48,11 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def vocabulary(docs: DataFrame, size: int) -> list[str]:
-    """The ``size`` most frequent words over all documents; ties go to the lesser word.
-
-    Tasks count in Python and pass on what they have counted whenever it exceeds
-    ``WORDS_HELD`` words; the sums are made by Spark.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
-
-        def out() -> pa.RecordBatch:
-            row = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-            held.clear()
-            return row
-
-        for b in batches:
-            for t in b.column(0):
-                held.update(words(t.as_py()))
-                if len(held) > WORDS_HELD:
-                    yield out()
-        yield out()
-
-    counts = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
-
-
 class _Keys(dict):
-    """The hash of each word met; ``UNKNOWN`` for words out of ``known``, if that is given."""
-
-    def __init__(self, known: frozenset[str] | None):
-        self.known = known
+    """The hash of each word met."""
 
     def __missing__(self, word: str) -> int:
-        key = UNKNOWN if self.known is not None and word not in self.known else xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        self[word] = key
+        self[word] = key = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return key
 
 
@@ -94,16 +66,14 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True))
 
 
-def _chunks(docs: DataFrame, vocab: list[str] | None) -> DataFrame:
+def _chunks(docs: DataFrame) -> DataFrame:
     """``chunk, n, n_target, data`` from ``doc_id, text, target``: documents in chunks of about ``CHUNK`` words.
 
     ``data`` has ids and which of them are null, targets, numbers of words, the
     chunk's different keys in order, and the place of each word among these.
     """
-    known = None if vocab is None else frozenset(vocab)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, held, rows, seen = _Keys(known), [], 0, 0
+        keys, held, rows, seen = _Keys(), [], 0, 0
         task = TaskContext.get().partitionId() << 32
 
         def out() -> pa.RecordBatch:
@@ -127,7 +97,7 @@ def _chunks(docs: DataFrame, vocab: list[str] | None) -> DataFrame:
         if held:
             yield out()
 
-    return docs.select(F.col("doc_id").cast("long"), "text", "target").mapInArrow(run, "chunk long, n long, n_target long, data binary")
+    return docs.select(F.col("doc_id").cast("long"), "text", "target").transform(mapped, run, "chunk long, n long, n_target long, data binary")
 
 
 class _Chunk:
@@ -135,23 +105,34 @@ class _Chunk:
 
     def __init__(self, data: bytes):
         self.ids, self.null, self.good, sizes, keys, place = _unpack(data)
-        self.sizes, place = sizes.astype(np.int64), place.astype(np.int64)
+        self.sizes, self.place = sizes.astype(np.int64), place.astype(np.int64)
         self.keys = np.append(keys.astype(np.uint64), np.uint64(START))
-        before = np.empty_like(place)
-        before[1:] = place[:-1]
+        self.before = np.empty_like(self.place)
+        self.before[1:] = self.place[:-1]
         self.first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
-        before[self.first] = len(keys)
-        pairs, self.pair = np.unique(before * len(self.keys) + place, return_inverse=True)
+        self.before[self.first] = len(keys)
+        pairs, self.pair = np.unique(self.before * len(self.keys) + self.place, return_inverse=True)
         self.a, self.b = pairs // len(self.keys), pairs % len(self.keys)
+        self.target = np.repeat(self.good, self.sizes)
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self) -> list[np.ndarray]:
         """How often target documents and all documents of the chunk hold each bigram."""
-        n = len(self.a)
-        return np.bincount(self.pair[np.repeat(self.good, self.sizes)], minlength=n), np.bincount(self.pair, minlength=n)
+        return [np.bincount(x, minlength=len(self.a)) for x in (self.pair[self.target], self.pair)]
+
+    def word_counts(self) -> list[np.ndarray]:
+        """How often target documents and all documents hold each key as the second and as the first word of a bigram."""
+        n, t = len(self.keys), self.target
+        return [np.bincount(x, minlength=n) for x in (self.place[t], self.place, self.before[t], self.before)]
 
     def bigram_keys(self) -> np.ndarray:
         return self.keys[self.a] * _PRIME + self.keys[self.b]
 
+    def own(self, what: np.ndarray) -> np.ndarray:
+        """For each token: how often its document holds ``what`` is there."""
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        _, at, n = np.unique(owner * (int(what.max()) + 1) + what, return_inverse=True, return_counts=True)
+        return n[at]
+
 
 def _asked(chunk: int, keys: np.ndarray, values: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
     """Requests of a chunk: a row for each bucket that has one of its keys."""
@@ -174,7 +155,7 @@ def _told(keys: np.ndarray, answers: list[bytes], buckets: int) -> list[np.ndarr
     return out
 
 
-def _sums(requests: DataFrame) -> DataFrame:
+def _sums(requests: DataFrame, parts: int) -> DataFrame:
     """``chunk, bucket, fresh, data``: for each request the sums over all chunks of its keys' values.
 
     A key is new in the first of its requests, so that some task can count each
@@ -208,8 +189,23 @@ def _sums(requests: DataFrame) -> DataFrame:
         if held:
             yield out(last)
 
-    dealt = requests.repartition(width(requests.sparkSession), "bucket").sortWithinPartitions("bucket", "chunk")
-    return dealt.mapInArrow(run, "chunk long, bucket long, fresh long, data binary")
+    dealt = requests.repartition(parts, "bucket").sortWithinPartitions("bucket", "chunk")
+    return dealt.transform(mapped, run, "chunk long, bucket long, fresh long, data binary")
+
+
+def _requests(chunks: DataFrame, buckets: int, words: bool) -> DataFrame:
+    """What the chunks ask and tell of their words or of their bigrams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, data in zip(*b.columns, strict=True):
+                c = _Chunk(data.as_py())
+                if words:
+                    yield from _asked(chunk.as_py(), c.keys, c.word_counts(), buckets)
+                else:
+                    yield from _asked(chunk.as_py(), c.bigram_keys(), c.counts(), buckets)
+
+    return chunks.select("chunk", "data").transform(mapped, run, "chunk long, bucket long, data binary")
 
 
 def _with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
@@ -217,7 +213,7 @@ def _with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
     rows = chunks.select("chunk", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("bucket"), "data")
     for kind, told in enumerate(answers, 1):
         rows = rows.unionByName(told.select("chunk", F.lit(kind).alias("kind"), "bucket", "data"))
-    dealt = rows.repartition(width(chunks.sparkSession), "chunk").sortWithinPartitions("chunk", "kind", "bucket")
+    dealt = rows.repartition(width(chunks, 4.0), "chunk").sortWithinPartitions("chunk", "kind", "bucket")
     return dealt.select("chunk", "kind", "data")
 
 
@@ -235,107 +231,59 @@ def _gathered(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[i
         yield last, _Chunk(parts[0][0]), parts[1:]
 
 
-def _bigram_requests(chunks: DataFrame, buckets: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for chunk, data in zip(*b.columns, strict=True):
-                c = _Chunk(data.as_py())
-                yield from _asked(chunk.as_py(), c.bigram_keys(), [*c.counts()], buckets)
-
-    return chunks.select("chunk", "data").mapInArrow(run, "chunk long, bucket long, data binary")
+def bits(pair: np.ndarray, first: np.ndarray, second: np.ndarray, n: np.ndarray, kinds: int, prior: float = PRIOR) -> np.ndarray:
+    """Bits of tokens from counts of their bigram, of its first word as such, of its second word, and of all tokens.
 
-
-def _word_requests(chunks: DataFrame, bigrams: DataFrame, buckets: int, scale: float, discount: float) -> DataFrame:
-    """Of each word, in the target and in all documents: occurrences, followers, and what the discount takes.
-
-    The last is given as the number of different followers met ``discount``
-    times or more, and for the background also the count of the other followers.
+    The bigram's share is smoothed by ``prior`` tokens spread like single words,
+    and these by half a token for each of ``kinds`` words.
     """
+    single = (second + 0.5) / (n + 0.5 * kinds)
+    return -np.log2((pair + prior * single) / (first + prior))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, c, (told,) in _gathered(batches, 1):
-            if not told:
-                continue
-            target, background, fresh = _told(c.bigram_keys(), told, buckets)
-            full = background * scale >= discount
-            n, mine = len(c.keys), c.counts()
-            values = [np.bincount(x, weights=m, minlength=n).astype(np.int64) for x in (c.b, c.a) for m in mine]
-            values += [np.bincount(c.a[fresh & x], minlength=n) for x in (target > 0, full)]
-            values.append(np.bincount(c.a[fresh & ~full], weights=background[fresh & ~full], minlength=n).astype(np.int64))
-            yield from _asked(chunk, c.keys, values, buckets)
-
-    return _with_answers(chunks, bigrams).mapInArrow(run, "chunk long, bucket long, data binary")
-
-
-def losses(counts: np.ndarray, discount: float = DISCOUNT) -> np.ndarray:
-    """Bits for each (previous, current) of a whole table, the last id being the start: absolute discounting, with add-half unigrams below."""
-    size = len(counts)
-    single = counts.sum(axis=0) + 0.5
-    single[size - 1] = 0  # nothing is followed by the start
-    single = single / max(single.sum(), 1e-300)
-    taken = np.minimum(counts, discount)
-    n = counts.sum(axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        p = np.where(n > 0, (counts - taken + taken.sum(axis=1, keepdims=True) * single) / n, single)
-        return -np.log2(np.maximum(p, 1e-12)).astype(np.float32)
-
-
-def matched(target: np.ndarray, background: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss tables of both models, the background scaled to the target's tokens."""
-    scale = target.sum() / background.sum() if target.sum() and background.sum() else 1.0
-    return losses(target), losses(background * scale)
-
-
-def score_documents(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFrame:
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, loss_target, loss_background, score`` for each row of ``docs`` (``doc_id, text``).
 
     The target are the documents whose ``doc_id`` has quality 1 in ``labels``
     (``doc_id, quality``); repeated or null labels change nothing. Vocabulary and
-    counts are those of all rows, whole texts; a caller may ask for the ``size``
-    most frequent words only, the others then are one unknown word. A text
-    without a word, empty or null, has no tokens and null losses. Without any
-    target document the target's model knows no word better than another.
-    Repeated rows count repeatedly and give repeated results; other columns are
-    ignored; an empty table gives none. The losses are those of ``matched``.
+    counts are those of all rows, whole texts, and every word counts; a row is
+    scored by what all other rows hold. A text without a word, empty or null, has
+    no tokens and null losses. Without any target document the target's model
+    knows no word better than another. Repeated rows count repeatedly and give
+    repeated results; other columns are ignored; an empty table gives none.
     """
-    vocab = None if size is None else vocabulary(docs, size)
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_good")).distinct()
     # ids are broadcast up to a size that is counted first; beyond it both sides are dealt out
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = rows.join(good, F.col("doc_id") == F.col("_good"), "left").select("doc_id", "text", F.col("_good").isNotNull().alias("target"))
-    chunks = stage_table(_chunks(marked, vocab), "words")
+    chunks = stage_table(_chunks(marked), "words")
     total = chunks.agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).first()
-    n_background, n_target = total["n"] or 0, total["n_target"] or 0
-    scale = n_target / n_background if n_target and n_background else 1.0
-    buckets = max(16, n_background // BUCKET)
-    bigrams = stage_table(_sums(_bigram_requests(chunks, buckets)), "bigrams")
-    singles = stage_table(_sums(_word_requests(chunks, bigrams, buckets, scale, DISCOUNT)), "singles")
-    # the start is among the keys and the unknown word isn't, unless a size was asked for
-    kinds = (singles.agg(F.sum("fresh")).first()[0] or 1) if vocab is None else len(vocab) + 1
-
-    def bits(count: np.ndarray, taken: np.ndarray, left: np.ndarray, n: np.ndarray, single: np.ndarray) -> np.ndarray:
-        with np.errstate(invalid="ignore", divide="ignore"):
-            p = np.where(n > 0, (count - taken + left * single) / n, single)
-        return -np.log2(np.maximum(p, 1e-12))
+    n_all, n_target = total["n"] or 0, total["n_target"] or 0
+    scale = n_target / n_all if n_target and n_all else 1.0
+    buckets = max(16, n_all // BUCKET)
+    pairs = _sums(_requests(chunks, buckets, False), width(chunks, 3.0))
+    singles = stage_table(_sums(_requests(chunks, buckets, True), width(chunks, 2.0)), "singles")
+    # the start is among the keys
+    kinds = max(1, (singles.agg(F.sum("fresh")).first()[0] or 1) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, c, (pairs, told) in _gathered(batches, 2):
+        for _, c, (pair_told, word_told) in _gathered(batches, 2):
             means, some = np.zeros((2, len(c.sizes))), c.sizes > 0
             if some.any():
-                target, background, _ = _told(c.bigram_keys(), pairs, buckets)
-                as_b, as_b_all, as_a, as_a_all, kinds_t, full, rest, _ = _told(c.keys, told, buckets)
-                single = (as_b[c.b] + 0.5) / (n_target + 0.5 * kinds)
-                loss = [bits(target, np.minimum(target, DISCOUNT), (kinds_t * DISCOUNT)[c.a], as_a[c.a], single)]
-                single = (as_b_all[c.b] * scale + 0.5) / (n_background * scale + 0.5 * kinds)
-                count = background * scale
-                loss.append(bits(count, np.minimum(count, DISCOUNT), (full * DISCOUNT + rest * scale)[c.a], as_a_all[c.a] * scale, single))
-                for k in range(2):
-                    means[k, some] = np.add.reduceat(loss[k][c.pair], c.first) / c.sizes[some]
+                of_pair = _told(c.bigram_keys(), pair_told, buckets)[:2]
+                as_second, as_second_all, as_first, as_first_all = _told(c.keys, word_told, buckets)[:4]
+                own = [c.own(x) for x in (c.pair, c.before, c.place)]
+                size = np.repeat(c.sizes, c.sizes)
+                for k, (pair, first, second, n, mine, by) in enumerate(
+                    ((of_pair[0], as_first, as_second, n_target, c.target, 1.0), (of_pair[1], as_first_all, as_second_all, n_all, np.True_, scale))
+                ):
+                    counts = (pair[c.pair] - own[0] * mine, first[c.before] - own[1] * mine, second[c.place] - own[2] * mine, n - size * mine)
+                    means[k, some] = np.add.reduceat(bits(*(x * by for x in counts), kinds), c.first) / c.sizes[some]
             parts = [pa.array(x, pa.float64(), mask=~some) for x in (means[0], means[1], means[0] - means[1])]
             ids = pa.array(c.ids.astype(np.int64), pa.int64(), mask=c.null)
             yield pa.RecordBatch.from_arrays([ids, pa.array(c.sizes, pa.int64()), *parts], names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
     schema = "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
-    return _with_answers(chunks, bigrams, singles).mapInArrow(run, schema)
+    return _with_answers(chunks, pairs, singles).transform(mapped, run, schema)

@@ -109,63 +109,65 @@ def test_texts_without_letters_and_odd_tables(spark):
 # ---------------------------------------------------------------- language model
 
 
-def plain_scores(rows, good, size):
+def plain_scores(rows, good):
+    """Losses of each row under bigram models of the other rows, from plain counts."""
     import collections
-
-    texts = [lm_score.words(t) for _, t in rows]
-    counts = collections.Counter(w for t in texts for w in t)
-    vocab = {w: i + 1 for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size])}
-    n = len(vocab) + 2
-    tables = np.zeros((2, n, n))
-    ids = [[n - 1, *[vocab.get(w, 0) for w in t]] for t in texts]
-    for (i, _), seq in zip(rows, ids, strict=True):
-        for a, b in zip(seq, seq[1:], strict=False):
-            tables[1, a, b] += 1
-            tables[0, a, b] += i in good
-    target, background = lm_score.matched(*tables)
+    import math
+    import re
+
+    texts = [(i, re.findall(r"\w+", (t or "").lower())) for i, t in rows]
+    kinds = max(1, len({w for _, t in texts for w in t}))
+    steps = [list(zip([None, *t], t, strict=False)) for _, t in texts]
+    total = [sum(len(s) for (i, _), s in zip(texts, steps, strict=True) if every or i in good) for every in (0, 1)]
+    scale = total[0] / total[1] if all(total) else 1.0
     out = []
-    for seq in ids:
-        steps = list(zip(seq, seq[1:], strict=False))
-        out.append((float(np.mean([target[s] for s in steps])), float(np.mean([background[s] for s in steps]))) if steps else (None, None))
+    for k, (i, _) in enumerate(texts):
+        losses = []
+        for every in (0, 1):
+            others = [s for j, ((d, _), s) in enumerate(zip(texts, steps, strict=True)) if j != k and (every or d in good)]
+            pair = collections.Counter(x for s in others for x in s)
+            first, second = (collections.Counter(x[c] for s in others for x in s) for c in (0, 1))
+            by, n = scale if every else 1.0, sum(map(len, others))
+            bits = [-math.log2((by * pair[a, b] + 8 * (by * second[b] + 0.5) / (by * n + 0.5 * kinds)) / (by * first[a] + 8)) for a, b in steps[k]]
+            losses.append(sum(bits) / len(bits) if bits else None)
+        out.append(tuple(losses))
     return out
 
 
-def test_scores_equal_brute_force(spark, rnd):
+def test_scores_equal_brute_force(spark, rnd, monkeypatch):
     words = "alpha Beta gamma delta épsilon zeta eta".split()
     rows = [(i, " ".join(rnd.choices(words, weights=[1 + (i % 2) * k for k in range(7)], k=rnd.randint(1, 40)))) for i in range(60)]
-    rows += [(60, None), (61, ""), (62, "?!"), (63, "beta " * 20_000), (5, rows[5][1])]
+    rows += [(60, None), (61, ""), (62, "?!"), (63, "beta " * 5_000), (5, rows[5][1]), (64, "rarea once"), (None, "rareb alpha")]
     good = {i for i in range(60) if i % 2}
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 as score", "1 as quality").repartition(3)
     labels = spark.createDataFrame([(i, 1) for i in good] + [(1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, quality int")
-    got = {(r["doc_id"], r["n_tokens"]): r for r in lm_score.score_documents(docs, labels, size=5).collect()}
-    for (i, t), (a, b) in zip(rows, plain_scores(rows, good, 5), strict=True):
-        r = got[i, len(lm_score.words(t))]
-        if a is None:
-            assert r["score"] is None and r["loss_target"] is None
-        else:
-            assert abs(r["loss_target"] - a) < 1e-4 and abs(r["loss_background"] - b) < 1e-4 and abs(r["score"] - (a - b)) < 1e-4
-
-
-def test_every_word_counts(spark, rnd, monkeypatch):
-    rows = [(i, " ".join(f"w{rnd.randint(0, 1400)}" for _ in range(60))) for i in range(120)]
-    common = " ".join(f"w{k}" for k in range(1401))
-    rows += [(200, common), (201, "w1 rarea w2"), (202, "w1 rareb w2"), (203, "rarea w1"), (None, "rarea w1")]
-    good = {i for i in range(0, 120, 3)} | {203}
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
-    for chunk in (lm_score.CHUNK, 500):
+    want = sorted((str(i), len(lm_score.words(t)), a, b) if a else (str(i), 0, 0.0, 0.0) for (i, t), (a, b) in zip(rows, plain_scores(rows, good), strict=True))
+    for chunk in (lm_score.CHUNK, 300):
         monkeypatch.setattr(lm_score, "CHUNK", chunk)
-        got = {r["doc_id"]: r for r in lm_score.score_documents(docs, labels).collect()}
-        assert len(got) == len(rows) and got[201]["score"] < got[202]["score"] - 0.1
-        for (i, _), (a, b) in zip(rows, plain_scores(rows, good, 10**6), strict=True):
-            assert abs(got[i]["loss_target"] - a) < 1e-4 and abs(got[i]["loss_background"] - b) < 1e-4
+        found = lm_score.score_documents(docs, labels).collect()
+        assert all((r["score"] is None) == (r["n_tokens"] == 0) for r in found)
+        got = sorted((str(r["doc_id"]), r["n_tokens"], r["loss_target"] or 0.0, r["loss_background"] or 0.0) for r in found)
+        for x, y in zip(got, want, strict=True):
+            assert x[:2] == y[:2] and abs(x[2] - y[2]) < 1e-9 and abs(x[3] - y[3]) < 1e-9
+
+
+def test_scores_hold_when_the_background_grows(spark, rnd):
+    words = [f"w{k}" for k in range(60)]
+    say = lambda skew: " ".join(rnd.choices(words, weights=[1 + skew * (k % 5) for k in range(60)], k=200))
+    good = [(i, say(4)) for i in range(20)]
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    asked = [(100, say(4)), (101, say(0)), (102, say(1))]
+    score = lambda n: {r["doc_id"]: r["score"] for r in lm_score.score_documents(spark.createDataFrame(good + asked + [(1000 + i, say(0)) for i in range(n)], "doc_id long, text string"), labels).collect()}
+    few, many = score(60), score(600)
+    assert few[100] < few[102] < few[101] and many[100] < many[102] < many[101]
+    assert max(abs(few[i] - many[i]) for i in (100, 101, 102)) < 0.25 * abs(few[100] - few[101])
 
 
 def test_models_are_distributions(rnd):
-    counts = np.array([[rnd.choice([0, 0, 1, 2.5, 9]) for _ in range(6)] for _ in range(6)])
-    counts[:, 5] = 0
-    p = 2.0 ** -lm_score.losses(counts)[:, :5]
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
+    pair = np.array([rnd.choice([0, 0, 1, 2.5, 9]) for _ in range(6)])
+    second = pair + np.array([rnd.randint(0, 5) for _ in range(6)])
+    p = 2.0 ** -lm_score.bits(pair, pair.sum(), second, second.sum(), 6)
+    assert abs(p.sum() - 1) < 1e-9
 
 
 def test_target_documents_score_lower(spark, rnd):
