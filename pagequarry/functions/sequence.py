@@ -63,16 +63,19 @@ def rising_subsequence(values: Column) -> Column:
         best = F.array_max(F.transform(prior, lambda e: F.struct(e["len"], e["i"].alias("i"))))
         return F.concat(s, F.array(F.struct((F.coalesce(best["len"], F.lit(0)) + 1).cast("int").alias("len"), F.coalesce(-best["i"], F.lit(-1)).cast("int").alias("prev"), v.cast("double").alias("v"))))
 
-    states = F.aggregate(values, F.array().cast(kind), step)
-    end = F.array_max(F.transform(states, lambda e, i: F.struct(e["len"].alias("len"), (-i).alias("i"))))
-    start = F.struct(F.coalesce(-end["i"], F.lit(-1)).cast("int").alias("at"), F.array().cast("array<int>").alias("path"))
+    def path(states: Column) -> Column:
+        end = F.array_max(F.transform(states, lambda e, i: F.struct(e["len"].alias("len"), (-i).alias("i"))))
+        start = F.struct(F.coalesce(-end["i"], F.lit(-1)).cast("int").alias("at"), F.array().cast("array<int>").alias("path"))
 
-    def back(s: Column, _: Column) -> Column:
-        more = s["at"] >= 0
-        at = F.when(more, F.get(states, s["at"])["prev"]).otherwise(-1)
-        return F.struct(at.cast("int").alias("at"), F.when(more, F.concat(F.array(s["at"]), s["path"])).otherwise(s["path"]).alias("path"))
+        def back(s: Column, _: Column) -> Column:
+            more = s["at"] >= 0
+            at = F.when(more, F.get(states, s["at"])["prev"]).otherwise(-1)
+            return F.struct(at.cast("int").alias("at"), F.when(more, F.concat(F.array(s["at"]), s["path"])).otherwise(s["path"]).alias("path"))
 
-    return F.aggregate(values, start, back, lambda s: s["path"])
+        return F.aggregate(values, start, back, lambda s: s["path"])
+
+    # bound, so that the way back does not compute it again at each step
+    return bind(F.aggregate(values, F.array().cast(kind), step), path)
 
 
 def sessions(rows: Column, starts: Callable[[Column, Column], Column]) -> Column:

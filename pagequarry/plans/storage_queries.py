@@ -202,7 +202,7 @@ def m01(i):
 @query("m02_stage_timeout", sql=" SELECT * FROM (VALUES ('quick', 'ran'), ('endless', 'failed'), ('after', 'blocked'), ('other', 'ran')) q(stage, outcome)")
 def m02(i):
     # numbers that would take hours to count
-    slow = i.spark.range(10**7).crossJoin(i.spark.range(10**7)).agg(F.sum(F.sqrt(F.hash("*"))).alias("id"))
+    slow = i.spark.range(10**15).agg(F.sum(F.sqrt(F.hash("id"))).alias("id"))
     make = lambda name, needs, df: st.Stage(name, needs, (name,), lambda _, f: {name: df})
     few = i.spark.range(3)
     plan = [make("quick", (), few), make("endless", (), slow), make("after", ("endless",), few), make("other", ("quick",), few)]
