@@ -263,7 +263,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     n_all, n_target = total["n"] or 0, total["n_target"] or 0
     scale = n_target / n_all if n_target and n_all else 1.0
     buckets = max(16, n_all // BUCKET)
-    pairs = _sums(_requests(chunks, buckets, False), width(chunks, 3.0))
+    # written, so that what was asked can go before the answers move
+    pairs = stage_table(_sums(_requests(chunks, buckets, False), width(chunks, 3.0)), "pairs")
     singles = stage_table(_sums(_requests(chunks, buckets, True), width(chunks, 2.0)), "singles")
     # the start is among the keys
     kinds = max(1, (singles.agg(F.sum("fresh")).first()[0] or 1) - 1)
