@@ -152,10 +152,10 @@ def page_sets_equal(*frames: DataFrame) -> DataFrame:
 
 
 # a look at the shape comes before the long list of functions
-ISA_TAG = rf"(?<![A-Z0-9])(?=[A-Z]{{2,4}}\s*-?\s*\d)(?:{ISA_FUNCTIONS})\s*-?\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
-COMPACT_TAG = rf"(?<![A-Z0-9])\d{{3,8}}\s*(?:{ISA_FUNCTIONS})\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
-BROAD_TAG = r"(?<![A-Z0-9])\d{3,8}\s*[A-Z]{2,8}\s*\d{2,8}(?:[A-Z]{1,4})?(?![A-Z0-9])"
-SERIAL_OR_REFERENCE = r"(?<!\d)\d{3,8}\s*[-/]\s*\d{1,8}(?!\d)"
+ISA_TAG = rf"(?=[A-Z])(?<![A-Z0-9])(?=[A-Z]{{2,4}}\s*-?\s*\d)(?:{ISA_FUNCTIONS})\s*-?\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
+COMPACT_TAG = rf"(?=\d)(?<![A-Z0-9])\d{{3,8}}\s*(?:{ISA_FUNCTIONS})\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
+BROAD_TAG = r"(?=\d)(?<![A-Z0-9])\d{3,8}\s*[A-Z]{2,8}\s*\d{2,8}(?:[A-Z]{1,4})?(?![A-Z0-9])"
+SERIAL_OR_REFERENCE = r"(?=\d)(?<!\d)\d{3,8}\s*[-/]\s*\d{1,8}(?!\d)"
 _NEAR = {"near_tag": t.worded(TAG_FIELD), "near_equipment": t.worded(EQUIPMENT_CONTEXT)}
 
 
