@@ -21,9 +21,8 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with batches of ``BATCH_ROWS`` rows at most.
 
-    The JVM writes a batch through direct buffers as large as the batch, which only
-    a garbage collection frees, and such stages make little garbage otherwise: with
-    Spark's default of 10,000 texts these buffers outgrow the heap. The session
+    A batch of texts is held by the JVM, in direct buffers between the processes
+    and in Python, so Spark's default of 10,000 rows takes much memory. The session
     keeps the setting, since plans read it when they run.
     """
     conf = df.sparkSession.conf
