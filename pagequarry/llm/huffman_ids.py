@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -38,7 +39,6 @@ BLOCK = 2048
 FILE_IDS = 4_000_000
 END_ID = 1
 CACHE_WORDS = 400_000
-NEW_WORDS = 200_000
 
 
 # ---------------------------------------------------------------- codes
@@ -222,8 +222,8 @@ class WordTokens:
     The tokenizer drops white space and never joins what it parts, so the ids of
     a text are those of its chunks in turn. A chunk is looked up in lower case
     where case can't matter: without marks that compose and without the spelling
-    of a special token. Chunks met in a second slice of texts are kept longer than
-    those met in one only; both sets are bounded.
+    of a special token. Chunks are kept in two generations of about ``words`` each:
+    those not met since the last change are forgotten at the next one.
     """
 
     _composes = re.compile("[^\x00-˿]")
@@ -233,7 +233,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype, self.words, self.seen, self.new = dtype, words, {}, {}
+        self.dtype, self.words, self.seen, self.before = dtype, words, {}, {}
         spec = json.loads(self.tokenizer.to_str())
         self.specials = [t["content"].lower().encode() for t in spec["added_tokens"]]
         steps = [p["type"] for p in spec["pre_tokenizer"].get("pretokenizers", [])]
@@ -241,11 +241,11 @@ class WordTokens:
         if steps != ["Split", "ByteLevel"] or kinds != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("only tokenizers that drop white space and lower-case are remembered by chunk")
 
-    def _chunks(self, text: str) -> list[bytes]:
-        raw = text.encode()
+    def _lowered(self, raw: bytes) -> bytes:
+        """The text in lower case, unless case may matter in it."""
         low = raw.lower()
-        plain = not self._composes.search(text) and not any(s in low for s in self.specials)
-        return (low if plain else raw).split()
+        plain = (raw.isascii() or not self._composes.search(raw.decode())) and not any(s in low for s in self.specials)
+        return low if plain else raw
 
     def _plain(self, chunk: bytes) -> str | None:
         """What the tokenizer's normalizer and byte level make of a chunk of Latin letters; None if it is anything else."""
@@ -259,12 +259,13 @@ class WordTokens:
         two = self.dtype == "<u2" and sys.byteorder == "little"
         pack = (lambda ids: array("H", ids).tobytes()) if two else (lambda ids: np.array(ids, self.dtype).tobytes())
         model, out, rest, marks = self.tokenizer.model, {}, [], {}
+        seen, before = self.seen.get, self.before.get
         for chunk in missing:
             core = chunk.rstrip(_MARKS)
             if not core or (plain := self._plain(core)) is None:
                 rest.append(chunk)
                 continue
-            ids = out.get(core) or self.seen.get(core) or self.new.get(core)
+            ids = out.get(core) or seen(core) or before(core)
             if ids is None:
                 ids = out[core] = pack([t.id for t in model.tokenize(plain)])
             if len(core) < len(chunk):
@@ -276,26 +277,25 @@ class WordTokens:
             out[chunk] = pack(found.ids)
         return out
 
-    def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
-        chunks = [self._chunks(t) for t in texts]
-        seen, new, every = self.seen, self.new, set().union(*chunks)
-        known = every & seen.keys()
-        here = dict(zip(known, map(seen.__getitem__, known), strict=True))
-        rest = every - known
-        again = rest & new.keys()
-        for c in again:
-            seen[c] = here[c] = new.pop(c)
-        missing = rest - again
-        if missing:
-            learned = self._learn(missing)
-            here |= learned
-            new |= learned
-        if len(new) > NEW_WORDS:
-            new.clear()
-        if len(seen) > self.words:
-            seen.clear()
-        get = here.__getitem__
-        return [b"".join(map(get, c)) + end for c in chunks]
+    def encode(self, texts: list[bytes], end: bytes = b"") -> list[bytes]:
+        """Packed ids of each text, given in UTF-8."""
+        lists = pc.ascii_split_whitespace(pa.array([self._lowered(t) for t in texts], pa.binary()).cast(pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        different = coded.dictionary.cast(pa.binary()).to_pylist()
+        missing = set(different).difference(self.seen)
+        again = missing & self.before.keys()
+        learned = self._learn(missing - again - {b""})
+        self.seen.update(zip(again, map(self.before.__getitem__, again), strict=True))
+        self.seen |= learned
+        # white space at the ends of a text leaves an empty chunk there
+        ids = pa.array([self.seen[c] if c else b"" for c in different], pa.large_binary()).take(coded.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
+        data = bytes(ids.buffers()[2] or b"")
+        stops = places[np.cumsum(lists.value_lengths().to_numpy())].tolist()
+        out = [data[a:z] + end for a, z in zip([0, *stops[:-1]], stops, strict=True)]
+        if len(self.seen) > self.words:
+            self.before, self.seen = self.seen, {}
+        return out
 
 
 _tokens: dict[tuple[str, str], WordTokens] = {}
@@ -309,9 +309,9 @@ def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         words = _tokens.get((path, dtype)) or _tokens.setdefault((path, dtype), WordTokens(path, dtype))
         end = np.array([end_id], dtype).tobytes()
         for b in batches:
-            _, offsets = utf8(b.column(1))
-            for i, j in slices(offsets, 3 << 20):
-                texts = [t or "" for t in b.column(1)[i:j].to_pylist()]
+            data, offsets = utf8(b.column(1))
+            for i, j in slices(offsets, 4 << 20):
+                texts = [bytes(data[a:z]) for a, z in zip(offsets[i:j].tolist(), offsets[i + 1 : j + 1].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(words.encode(texts, end), pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, ids binary")

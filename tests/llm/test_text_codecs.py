@@ -34,7 +34,7 @@ def test_word_tokens_equal_the_library(rnd):
     library, words = Tokenizer.from_file(BPE), hf.WordTokens(BPE, "<u2")
     made = ["".join(rnd.choice("abcXYZéß .,'!-*_|<>\n\t12") for _ in range(rnd.randint(0, 50))) for _ in range(300)]
     for t in [x or "" for x in [*TEXTS, *made]]:
-        assert np.frombuffer(words.encode([t])[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode([t.encode()])[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("most", [4, 8, 16])
