@@ -36,8 +36,8 @@ from .common import mapped, stage_table, width
 #: Tokens that a context is given from single words before its own count.
 PRIOR = 8.0
 WORDS_HELD = 200_000
-CHUNK = 500_000
-BUCKET = 500_000
+CHUNK = 650_000
+BUCKET = 600_000
 BROADCAST_IDS = 1_000_000
 START = 1
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
