@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as t
+from .numbering import ranked
 
 IDENTITY = ("equipment_tag", "serial_number")
 METADATA = ("model", "equipment_description", "range_or_rating", "set_point", "declaration_reference", "purchase_order", "test_certificate_reference")
@@ -133,26 +134,12 @@ def patterns(evidence: DataFrame) -> DataFrame:
     return out.select(t.short_id("PAT-", f, v, s).alias("pattern_id"), "*", action.alias("action"))
 
 
-def numbered(rows: DataFrame, key: str, name: str, prefix: int = 4) -> DataFrame:
-    """``rows`` with their place in the order of the text column ``key``, whose values differ.
-
-    Rows are numbered within the first characters of their key, after as many as
-    lesser ones have; so only the counts of prefixes are in one place.
-    """
-    rows = rows.withColumn("_prefix", F.left(key, F.lit(prefix)))
-    counts = rows.groupBy("_prefix").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select("_prefix", F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_prefix").orderBy(key)) + F.col("_before")
-    return rows.join(counts, "_prefix").withColumn(name, place).drop("_prefix", "_before")
-
-
 def identity_registry(evidence: DataFrame) -> DataFrame:
     """Different pairs of tag and serial number with their pages and an id by their order."""
     key = F.concat(t.norm_upper("equipment_tag"), F.lit("::"), t.clean("serial_number"))
     groups = evidence.groupBy(key.alias("identity_key")).agg(F.min("equipment_tag").alias("equipment_tag"), F.min("serial_number").alias("serial_number"), F.array_join(F.array_sort(F.collect_set("source_page")), ",").alias("pages"))
-    found = numbered(groups, "identity_key", "_place")
-    return found.select(F.format_string("EQ-%04d", F.col("_place")).alias("registry_id"), *groups.columns)
+    found = ranked(groups, ["identity_key"], place="_place")
+    return found.select(F.format_string("EQ-%04d", F.col("_place") + 1).alias("registry_id"), *groups.columns)
 
 
 def promotion(evidence: DataFrame) -> DataFrame:

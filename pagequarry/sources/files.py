@@ -6,12 +6,14 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     if not found:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
@@ -25,6 +27,13 @@ def scratch(spark: SparkSession, name: str = "scratch") -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` as a table in the shared folder, which cuts its lineage."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _at(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -54,10 +63,11 @@ def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(data)
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(part, p):
-        raise OSError(f"cannot move {path}.partial into place")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    # one step, so that there is a whole file at any time
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(fs.makeQualified(part), fs.makeQualified(p), over)
 
 
 def get_text(spark: SparkSession, path: str) -> str:
