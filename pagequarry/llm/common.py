@@ -101,3 +101,17 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         j = min(n, max(j, i + 1))
         yield i, j
         i = j
+
+
+def crc32_sql(codes: str) -> str:
+    """SQL for the unsigned CRC-32 of a list of bytes, for SQL twins.
+
+    The table of the checksum is linear in the bits of a byte, so eight of its values are enough.
+    """
+    step = "a >> 8"
+    for k in range(8):
+        value = 1 << k
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        step = f"xor({step}, ((xor(a, b) >> {k}) & 1) * {value})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {step}), 4294967295)"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, sentencepiece_viterbi, simhash, suffix_dedup, warc_zip
+from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, merkle, sentencepiece_viterbi, simhash, spelling, suffix_dedup, warc_zip
 from .common import documents
 
 
@@ -56,6 +56,14 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.digests(huffman_ids.stored_ids(documents(spark, sf_dir), path))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(merkle.manifest(documents(spark, sf_dir), tampered=merkle.tampered_counts()))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -68,6 +76,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_token_ids": op10_token_ids,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -75,4 +85,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontaminate": decontaminate.ORACLE_SQL,
         "op3_line_dedup": line_dedup.ORACLE_SQL,
+        "op12_merkle_manifest": merkle.ORACLE_SQL,
+        "op13_spelling_variants": spelling.ORACLE_SQL,
     }
