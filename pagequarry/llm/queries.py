@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, merkle, sentencepiece_viterbi, simhash, spelling, suffix_dedup, warc_zip
+from . import decontaminate, flac, huffman_ids, langid, line_dedup, lm_score, merkle, pii, sentencepiece_viterbi, simhash, spelling, suffix_dedup, warc_zip
 from .common import documents
 
 
@@ -56,6 +56,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.digests(huffman_ids.stored_ids(documents(spark, sf_dir), path))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(documents(spark, sf_dir)))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digests(merkle.manifest(documents(spark, sf_dir), tampered=merkle.tampered_counts()))
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_token_ids": op10_token_ids,
+        "op11_pii": op11_pii,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_spelling_variants": op13_spelling_variants,
     }
