@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ..functions import geometry as g
-from ..functions import sequence as sq
-from ..functions import text as t
 from ..operators import evidence as ev
 from ..operators import pages as pg
-from ..sources import files, sinks
+from ..operators import regions as rg
+from ..sources import binary, files, sinks
 from ..sources import readers as rd
 from ..streaming.resume import ingest
 from . import evidence_queries, page_queries, table_queries
@@ -184,8 +183,57 @@ fixture("regions", "SELECT page, CAST((table_id % 3) * 1000 AS DOUBLE) AS x1, CA
 k AS (SELECT *, sum(fresh) OVER (PARTITION BY page, x1 ORDER BY y1) AS grp FROM o) SELECT page, x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM k GROUP BY page, x1, grp""",
 )
 def g16(i):
-    boxes = i.regions.groupBy("page").agg(F.array_sort(F.collect_list(g.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))).alias("b"))
-    return boxes.select("page", F.explode(sq.merged_boxes(F.col("b"))).alias("b")).select("page", "b.*")
+    return rg.merged_regions(i.regions, ["page"])
+
+
+# a raster for each table, of 300 by 350 pixels, with the outlines of its lines and of all of them
+PAGE_WIDTH, PAGE_HEIGHT = 300, 350
+fixture("ruled_lines", "SELECT page, table_id, line_no, confidence, floor(x1 / 2) AS x1, floor(y1 / 2) AS y1, floor(x2 / 2) AS x2, floor(y2 / 2) AS y2 FROM ocr_lines", "ocr_lines")
+
+
+def _rasters(i):
+    key, sides = ["page", "table_id"], ("x1", "y1", "x2", "y2")
+    hull = i.ruled_lines.groupBy(*key).agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
+    runs = files.written(rg.drawn(i.ruled_lines.select(*key, *sides).unionByName(hull), key), "rasters")
+    return runs, hull.select(*key, F.lit(PAGE_WIDTH).alias("width"), F.lit(PAGE_HEIGHT).alias("height"))
+
+
+@query(
+    "s08_table_regions",
+    "ruled_lines",
+    sql=f""", h AS (SELECT page, table_id, greatest(min(x1) - 18, 0) AS x1, greatest(min(y1) - 18, 0) AS y1, least(max(x2) + 18, {PAGE_WIDTH}) AS x2, least(max(y2) + 18, {PAGE_HEIGHT}) AS y2 FROM ruled_lines GROUP BY 1, 2),
+p AS (SELECT *, greatest(12, floor((x2 - x1) * 0.02)) AS px, greatest(12, floor((y2 - y1) * 0.02)) AS py FROM h WHERE x2 - x1 >= 75 AND y2 - y1 >= 17 AND (x2 - x1) * (y2 - y1) >= 4200)
+SELECT page, table_id, greatest(x1 - px, 0) AS x1, greatest(y1 - py, 0) AS y1, least(x2 + px, {PAGE_WIDTH}) AS x2, least(y2 + py, {PAGE_HEIGHT}) AS y2 FROM p""",
+)
+def s08(i):
+    runs, pages = _rasters(i)
+    return rg.table_regions(runs, pages, ["page", "table_id"])
+
+
+@query(
+    "k06_row_crops",
+    "ruled_lines",
+    sql=f""", e AS (SELECT DISTINCT table_id, x1, y1, x2, y2 FROM ruled_lines UNION SELECT table_id, min(x1), min(y1), max(x2), max(y2) FROM ruled_lines GROUP BY 1),
+rows AS (SELECT *, unnest(range(y1::BIGINT, y2::BIGINT)) AS y FROM e),
+spans AS (SELECT table_id, y, x1::BIGINT AS a, x2::BIGINT AS z FROM rows WHERE y IN (y1::BIGINT, y2::BIGINT - 1) UNION SELECT table_id, y, x1::BIGINT, x1::BIGINT + 1 FROM rows UNION SELECT table_id, y, x2::BIGINT - 1, x2::BIGINT FROM rows),
+q AS (SELECT table_id, line_no, greatest(x1 - 20, 0)::INT AS l, greatest(y1 - 10, 0)::INT AS t, least(x2 + 20, {PAGE_WIDTH})::INT AS r, least(y2 + 10, {PAGE_HEIGHT})::INT AS b FROM ruled_lines WHERE confidence < 0.70::DOUBLE),
+ink AS (SELECT DISTINCT q.table_id, q.line_no, s.y, unnest(range(greatest(a, l), least(z, r))) AS x FROM q JOIN spans s ON s.table_id = q.table_id AND s.y >= t AND s.y < b AND a < r AND z > l),
+n AS (SELECT table_id, line_no, count(*) AS n FROM ink GROUP BY 1, 2)
+SELECT concat(q.table_id, '_', q.line_no, '.png') AS name, (r - l)::INT AS width, (b - t)::INT AS height, n AS n_black FROM q JOIN n USING (table_id, line_no)""",
+)
+def k06(i):
+    runs, pages = _rasters(i)
+    queue = i.ruled_lines.filter("confidence < 0.70D").select(F.concat_ws("/", "table_id", "line_no").alias("crop_id"), "page", "table_id", "x1", "y1", "x2", "y2", F.lit(0).alias("rotation"))
+    folder = files.scratch(i.spark, "crops")
+    binary.write_files(binary.row_crops(runs, pages, queue, ["page", "table_id"], (20, 10)), folder)
+
+    def look(batches):
+        for b in batches:
+            images = [binary.pixels(x.as_py()) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.shape[1] for x in images], pa.int32()), pa.array([x.shape[0] for x in images], pa.int32()), pa.array([int((x == 0).sum()) for x in images], pa.int64())], names=["name", "width", "height", "n_black"])
+
+    found = i.spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(folder)
+    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "content").mapInArrow(look, "name string, width int, height int, n_black long")
 
 
 def _evidence_run(i, **options):
