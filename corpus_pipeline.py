@@ -10,33 +10,47 @@ from pyspark.sql import functions as F
 from pagequarry.llm import decontaminate, langid, line_dedup, sentencepiece_viterbi, simhash
 from pagequarry.llm.common import documents, stage_table
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+def _as(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """``kept`` with the columns of ``docs``, in their order."""
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a letter, which have a language; texts that are null, blank or only marks go."""
-    return langid.with_language(docs).select(*COLUMNS)
+    return _as(docs, langid.with_language(docs))
 
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines that many sites share out of the texts; no document goes."""
-    kept = line_dedup.without_shared_lines(docs)
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Takes lines that many sites share out of the texts; no document goes. ``n_chars``, where there is one, follows."""
+    added = {"n_lines", "n_removed"} & set(docs.columns)
+    rows = docs
+    for c in added:
+        rows = rows.withColumnRenamed(c, f"_own_{c}")
+    kept = line_dedup.without_shared_lines(rows)
+    for c in added:
+        kept = kept.drop(c).withColumnRenamed(f"_own_{c}", c)
+    return _as(docs, kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of similar texts, once if its row repeats; rows without an id stay."""
+    """Keeps one document of each group of similar texts, that of the least id.
+
+    Rows of one id and different texts are different documents; a row that repeats
+    in id and text stays once; rows without an id stay.
+    """
     groups = stage_table(simhash.similar_texts(docs), "groups")
-    keep = groups.filter("doc_id = component_id").groupBy("doc_id").count()
+    keep = groups.filter("doc_id = component_id and print = component_print").groupBy("doc_id", "print").count()
     again = not keep.filter("count > 1").isEmpty()
-    named = docs.filter("doc_id is not null").join(keep.select("doc_id"), "doc_id", "left_semi")
-    named = named.dropDuplicates(["doc_id"]) if again else named
-    return named.select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
+    # a struct, so that no column of the table can clash with those added here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long"), simhash.text_print(F.col("text")).alias("print"))
+    named = rows.filter("doc_id is not null").join(keep.select("doc_id", "print"), ["doc_id", "print"], "left_semi")
+    named = named.dropDuplicates(["doc_id", "print"]) if again else named
+    return named.unionByName(rows.filter("doc_id is null")).select("_row.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain an item of ``benchmark``."""
-    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+    return _as(docs, decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

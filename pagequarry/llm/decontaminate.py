@@ -274,7 +274,9 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thr
 
 def without_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, threshold: float = THRESHOLD, block: int = BLOCK_SHINGLES) -> DataFrame:
     """The rows of ``docs``, with all columns, that contain no item; blocks of items are searched one after the other."""
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
+    # names by number, since a name may hold a dot
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])
     for held in _blocks(items, block):
         index = build(held, words, threshold)
 
@@ -289,7 +291,7 @@ def without_items(docs: DataFrame, items: DataFrame, words: int = SHINGLE, thres
                 yield b.filter(pa.array(clean))
 
         docs = docs.transform(mapped, run, docs.schema)
-    return docs
+    return docs.toDF(*names)
 
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"

@@ -169,7 +169,10 @@ def annotate(docs: DataFrame, net: ByteNet) -> DataFrame:
     Columns of those two names are replaced.
     """
     columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    names, at = [*columns, "lang_pred", "score"], columns.index("text")
+    at = columns.index("text")
+    # names by number, since a name may hold a dot
+    own = docs.select(*[F.col(f"`{c}`") for c in columns]).toDF(*[f"c{i}" for i in range(len(columns))])
+    names = [*own.columns, "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,8 +185,8 @@ def annotate(docs: DataFrame, net: ByteNet) -> DataFrame:
                     _score(net, data, offsets[i : j + 1], ok[i:j], langs[i:j], scores[i:j])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=names)
 
-    schema = T.StructType([*docs.select(*columns).schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*columns).transform(mapped, run, schema)
+    schema = T.StructType([*own.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return own.transform(mapped, run, schema).toDF(*columns, "lang_pred", "score")
 
 
 def _score(net: ByteNet, data: memoryview, offsets: np.ndarray, ok: np.ndarray, langs: np.ndarray, scores: np.ndarray) -> None:
@@ -245,7 +248,7 @@ def with_language(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= margin / len(net.langs))
     if not {"lang_pred", "score"} & set(docs.columns):
-        return annotate(docs, net).filter(sure).select(*docs.columns)
+        return annotate(docs, net).filter(sure).drop("lang_pred", "score")
     # columns of those names are kept apart
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
     return annotate(rows, net).filter(sure).select("_row.*")

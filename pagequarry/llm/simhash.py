@@ -11,16 +11,22 @@ six bit blocks, three changed bits leave three blocks alone, so a pair shares
 one of the 20 cells made of three blocks each. ``similar_texts`` links texts by
 the similarity of their shingles. At 0.8 about ten of 64 bits change, which
 leaves too few blocks alone, so there each text also has ``SAMPLES``
-fingerprints of a few shingles each, the least under as many hashes; a pair of
-this similarity shares one of them with a probability of over 0.999. Texts that
-shared fingerprints join, directly or over others, are a family; its members come
-together once, whole, and the pairs that the tables and the distance of the whole
-fingerprints leave are verified by all their shingles.
+fingerprints of a few shingles each, the least under as many hashes. A pair of
+this similarity of 26 shingles or more shares one of them with a probability of
+over 0.998. For shorter texts, where a sample holds much of the text, prefixes
+lose none: of ``n`` shingles all but the least 0.8 ``n`` may be missing from the
+other text, so one of the others, by any fixed order, is common to both and is
+also among the others there. Texts that shared fingerprints or shingles join,
+directly or over others, are a family; its members come together once, whole, and
+the pairs that the tables and the distance of the whole fingerprints leave are
+verified by all their shingles. Short texts go without the tables, since a
+shingle of few moves many bits.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +46,8 @@ CELL_MAX = 4096
 TEXT_SHINGLE = 5
 SIMILARITY = 0.8
 SAMPLES, SAMPLE = 20, 5
+#: Pairs of which one text has at most so many shingles share a shingle of their prefixes and skip the tables.
+SHORT = 25
 #: Bits in which fingerprints of texts at ``SIMILARITY`` may differ: three standard deviations over the mean.
 WIDE_RADIUS = 18
 #: A family of more members or bytes than this is dealt out in blocks; ``HUBS`` of its members go to all of them.
@@ -126,6 +134,17 @@ def sampled_fingerprints(found: np.ndarray) -> tuple[int, np.ndarray]:
     return whole, np.frombuffer(_majority(raw[kept]).tobytes(), ">u8").astype(np.uint64)
 
 
+def prefix(found: np.ndarray, similarity: float = SIMILARITY, short: int = SHORT) -> np.ndarray:
+    """The least hashes of a short text's shingles, of which a similar text of ``short`` shingles or fewer has one in its prefix.
+
+    Texts that a short one can be similar to count as short, too.
+    """
+    n = len(found)
+    if n * similarity > short + 1e-9:
+        return found[:0].astype(np.uint64)
+    return found[: n - math.ceil(similarity * n - 1e-9) + 1].astype(np.uint64)
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``doc_id, fp``: the SimHash of each whole text as a signed long.
 
@@ -319,8 +338,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS,
 # ---------------------------------------------------------------- by similarity of shingles
 
 
-def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, text, key, fp, samples``: a hash of all words, the SimHash, and those of the samples."""
+def _signatures(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``doc_id, text, print, key, fp, samples``: hashes of the text and of its words, the SimHash, the samples', and then the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -328,12 +347,20 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
             for t in b.column(1):
                 key, found = text_shingles(t.as_py(), words)
                 whole, parts = sampled_fingerprints(found)
-                keys.append(_signed(key)), fps.append(_signed(whole)), samples.append(parts.view(np.int64))
+                keys.append(_signed(key)), fps.append(_signed(whole))
+                samples.append(np.concatenate([parts, prefix(found, similarity)]).view(np.int64))
             flat = pa.array(np.concatenate(samples) if samples else np.zeros(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(range(0, len(flat) + 1, SAMPLES), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.int64()), pa.array(fps, pa.int64()), lists], names=["doc_id", "text", "key", "fp", "samples"])
+            ends = np.cumsum([0, *map(len, samples)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64()), pa.array(fps, pa.int64()), lists], names=["doc_id", "text", "print", "key", "fp", "samples"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text", text_print(F.col("text")).alias("print"))
+    return rows.transform(mapped, run, "doc_id long, text string, print long, key long, fp long, samples array<long>")
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, text string, key long, fp long, samples array<long>")
+def text_print(text: Column) -> Column:
+    """What tells the texts of rows of one id apart; a null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _block_links(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, sets: list[np.ndarray], label: np.ndarray, apart: np.ndarray, home: np.ndarray, radius: int, similarity: float) -> tuple[list[int], list[int]]:
@@ -347,8 +374,11 @@ def _block_links(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, sets: lis
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     mine, label, us, vs = np.zeros(int(ids.max()) + 1, np.int32), label.copy(), [], []
     for a in np.flatnonzero(apart).tolist():
-        rest = np.flatnonzero(home & (label != label[a]))
-        rest = rest[_verified(table, fps, np.full(len(rest), a), rest, radius)] if len(rest) else rest
+        rest = np.flatnonzero(home & (label != label[a]) & (np.minimum(sizes, sizes[a]) >= similarity * np.maximum(sizes, sizes[a]) - 1e-9))
+        if len(rest):
+            near = np.minimum(sizes[rest], sizes[a]) <= SHORT
+            near[_verified(table, fps, np.full(len(rest), a), rest, radius)] = True
+            rest = rest[near]
         if not len(rest):
             continue
         own = ids[starts[a] : starts[a] + sizes[a]]
@@ -408,7 +438,9 @@ def _gathered(rows: DataFrame, members: DataFrame, pivots: int) -> DataFrame:
 def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: float, radius: int, pivots: int, block_texts: int) -> DataFrame:
     """``key, group`` for each text that is similar to another one; ``group`` is a key of it."""
     spark = rows.sparkSession
-    cells = nodes.select("key", F.posexplode("samples").alias("part", "sample")).select(F.xxhash64("part", "sample").alias("cell"), "key")
+    cells = nodes.select("key", F.posexplode("samples").alias("part", "sample"))
+    # shingles of a prefix are of one kind wherever they stand
+    cells = cells.select(F.xxhash64(F.least("part", F.lit(SAMPLES)), "sample").alias("cell"), "key")
     # written, so that the join deals out both sides anew and a hot cell's rows can be split
     leads = stage_table(cells.groupBy("cell").agg(F.min("key").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leads")
     met = cells.join(leads, "cell").filter("key > lead").select(F.col("lead").alias("u"), F.col("key").alias("v")).distinct()
@@ -444,11 +476,13 @@ def _similar_groups(rows: DataFrame, nodes: DataFrame, words: int, similarity: f
 
 
 def similar_texts(docs: DataFrame, words: int = TEXT_SHINGLE, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, pivots: int = PIVOTS, block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """``doc_id, component_id`` for each row of ``docs`` (``doc_id, text``) with an id.
+    """``doc_id, print, component_id, component_print`` for each row of ``docs`` (``doc_id, text``) with an id.
 
     Texts are linked if at least ``similarity`` of all their different shingles
     are common to both; ``component_id`` is the least ``doc_id`` that links
-    reach. Words are those of ``fingerprint``; texts with the same words are one
+    reach. Rows of one id may have different texts; these are told apart by
+    ``print``, a hash of the text, and of such rows the one of least
+    ``component_print`` comes first. Words are those of ``fingerprint``; texts with the same words are one
     node, and null, empty and blank texts are such. All pairs of a family are
     held against each other unless links have joined them already. A family of
     more than ``block_texts`` texts is dealt out in blocks: each is solved by
@@ -457,12 +491,14 @@ def similar_texts(docs: DataFrame, words: int = TEXT_SHINGLE, similarity: float
     results, rows without an id none; other columns are ignored; an empty table
     gives none.
     """
-    rows = stage_table(_signatures(docs.filter("doc_id is not null"), words), "signatures")
-    one = F.min(F.struct("doc_id", F.octet_length("text").alias("bytes"))).alias("one")
+    rows = stage_table(_signatures(docs.filter("doc_id is not null"), words, similarity), "signatures")
+    one = F.min(F.struct("doc_id", "print", F.octet_length("text").alias("bytes"))).alias("one")
     nodes = rows.groupBy("key").agg(one, F.first("samples").alias("samples"))
-    nodes = stage_table(nodes.select("key", "samples", F.col("one.doc_id").alias("rep"), F.coalesce("one.bytes", F.lit(0)).alias("bytes")), "nodes")
+    nodes = nodes.select("key", "samples", F.col("one.doc_id").alias("rep"), F.col("one.print").alias("rep_print"), F.coalesce("one.bytes", F.lit(0)).alias("bytes"))
+    nodes = stage_table(nodes, "nodes")
     groups = _similar_groups(rows, nodes, words, similarity, radius, pivots, block_texts)
-    labels = nodes.select("key", "rep").join(groups, "key", "left").select("key", "rep", F.coalesce("group", "key").alias("group"))
+    labels = nodes.select("key", "rep", "rep_print").join(groups, "key", "left").select("key", F.struct("rep", "rep_print").alias("rep"), F.coalesce("group", "key").alias("group"))
     labels = stage_table(labels, "labels")
-    least = labels.groupBy("group").agg(F.min("rep").alias("component_id"))
-    return rows.select("doc_id", "key").join(labels.join(least, "group").select("key", "component_id"), "key").select("doc_id", "component_id")
+    least = labels.groupBy("group").agg(F.min("rep").alias("least"))
+    found = labels.join(least, "group").select("key", F.col("least.rep").alias("component_id"), F.col("least.rep_print").alias("component_print"))
+    return rows.select("doc_id", "print", "key").join(found, "key").select("doc_id", "print", "component_id", "component_print")

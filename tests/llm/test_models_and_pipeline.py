@@ -210,7 +210,7 @@ def test_stages_keep_and_drop_what_they_should(spark, tmp_path, rnd):
         docs.write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         seen[name] = docs.collect()
-        assert name == "sentencepiece" or docs.columns == list(cp.COLUMNS)
+        assert name == "sentencepiece" or docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     first = [r["doc_id"] for r in seen["language_id"]]
     assert not {102, 103} & set(first) and len(first) == len(rows) - 2
     assert all("All rights" not in r["text"] for r in seen["line_dedup"] if r["doc_id"] is not None and r["doc_id"] < 40)
@@ -236,6 +236,30 @@ def test_near_copies_go(spark, rnd):
     assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == [*range(0, 40, 2), 50]
 
 
+def test_rows_of_one_id_and_other_columns_stay(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    text = {x: " ".join(f"{x}{k}" for k in range(30)) for x in "abc"}
+    near = " ".join([*text["a"].split()[:-1], "other"])
+    for given, want in (
+        ([(1, "a"), (1, "b"), (2, "c"), (3, "c"), (3, "near")], {(1, "a"), (1, "b"), (2, "c")}),
+        ([(1, "a"), (2, "b"), (2, "a"), (2, "b")], {(1, "a"), (2, "b")}),
+    ):
+        full = text | {"near": near}
+        rows = [(i, full[x], "en", f"s{k}", 0, k, "p") for k, (i, x) in enumerate(given)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines int, print string")
+        got = cp.near_duplicates(spark, docs, "").collect()
+        assert sorted((r["doc_id"], r["text"]) for r in got) == sorted((i, full[x]) for i, x in want)
+    # columns that operators use themselves pass through all stages
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_removed long, score int, lang_pred string").withColumn("a.b", cp.F.lit(1))
+    spark.createDataFrame([(1, "no such item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in cp.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes
+        assert {(r["n_removed"], r["score"], r["lang_pred"], r["a.b"]) for r in after.collect()} <= {(0, k, "p", 1) for k in range(9)}
+        docs = after
+
+
 def test_pipeline_of_empty_table(spark, tmp_path):
     import corpus_pipeline as cp
 
@@ -248,5 +272,5 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)

@@ -163,6 +163,37 @@ def test_block_links_are_those_of_brute_force(rnd):
 def test_similar_texts_of_odd_tables(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a b c d e"), (6, "a b c d e"), (None, "a b"), (9, "z " * 30_000), (8, "z z " * 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as key", "2 as component", "3 as samples")
-    got = sorted(map(tuple, simhash.similar_texts(df).collect()))
+    got = sorted((r["doc_id"], r["component_id"]) for r in simhash.similar_texts(df).collect())
     assert got == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (6, 6), (8, 8), (9, 8)]
     assert simhash.similar_texts(df.limit(0)).count() == 0
+
+
+def test_no_pair_of_short_texts_is_lost(spark, rnd):
+    texts, pairs = {}, collections.defaultdict(list)
+    for n in range(1, 45):
+        for _ in range(12):
+            a = [f"v{rnd.randrange(10**7)}" for _ in range(n + 4)]
+            changed = list(a)
+            changed[rnd.choice([0, -1])] = "other"
+            middle = [*a[: n // 2], "other", *a[n // 2 + 1 :]]
+            for b in (a[:-1], a[1:], a[1:-1], [*a, "more"], ["more", *a], changed, middle, a[: -max(1, n // 5)], [w.upper() for w in a]):
+                b = [*b, *[f"u{rnd.randrange(10**7)}" for _ in range(rnd.choice([0, 0, 1]))]]
+                if len(plain_shingles(" ".join(a)) & plain_shingles(" ".join(b))) >= 0.8 * len(plain_shingles(" ".join(a)) | plain_shingles(" ".join(b))) - 1e-9:
+                    i = len(texts)
+                    # a number of its own keeps pairs apart from each other
+                    texts[i], texts[i + 1] = " ".join(a), " ".join(b)
+                    pairs[n].append((i, i + 1))
+                    a = [f"v{rnd.randrange(10**7)}" for _ in range(n + 4)]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_texts(docs).collect()}
+    found = {n: [got[a] == got[b] for a, b in p] for n, p in pairs.items()}
+    assert sum(map(len, found.values())) > 400 and 4 in found and 5 in found
+    assert all(all(f) for n, f in found.items() if n <= 25)
+    late = [x for n, f in found.items() if n > 25 for x in f]
+    assert sum(late) >= 0.99 * len(late)
+
+
+def test_rows_of_one_id_are_told_apart_by_their_texts(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "d e f"), (2, "g h i"), (3, "g h  i")], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["print"] == r["component_print"]) for r in simhash.similar_texts(df).collect()}
+    assert got == {(1, 1, True), (2, 2, True), (3, 2, False)}
