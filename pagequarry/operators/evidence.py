@@ -78,7 +78,7 @@ def priority(policy: Policy, field_name: Column, n: Column, rank: Column, confid
 
 
 def decide(groups: DataFrame, policy: Policy = Policy()) -> DataFrame:
-    """``best_evidence`` groups with priority, band, decision, reason and action."""
+    """``best_evidence`` groups with priority, band, decision, reason, action, and the pages, evidence ids and source texts they rest on."""
     n, rank, confidence = F.col("n_values"), F.col("score.rank"), F.col("score.confidence")
     score = priority(policy, F.col("field_name"), n, rank, confidence)
     accepted = (n <= policy.max_values) & (rank >= policy.min_rank) & (confidence >= policy.min_confidence)
@@ -89,6 +89,7 @@ def decide(groups: DataFrame, policy: Policy = Policy()) -> DataFrame:
         .otherwise("confidence below auto-accept threshold")
     )
     action = F.when(accepted, "auto_accept").when(n > policy.max_values, "compare_candidates").otherwise("review_source_context")
+    rests_on = [F.col(f"{c}s") for c in PROVENANCE if f"{c}s" in groups.columns]
     return groups.select(
         "equipment_id",
         "equipment_tag",
@@ -103,15 +104,34 @@ def decide(groups: DataFrame, policy: Policy = Policy()) -> DataFrame:
         accepted.alias("auto_accepted"),
         reason.alias("reason"),
         action.alias("action"),
+        *rests_on,
     )
 
 
+def page_context(evidence: DataFrame, context: tuple[str, ...], most: int = 2) -> DataFrame:
+    """``evidence`` with ``linked``: its registry id, or the equipment of its context if that has ``most`` at most.
+
+    ``context`` are the columns that tell what stands together, such as the page. Of a
+    context with more equipment no list is made.
+    """
+    pairs = evidence.select(*context, "equipment_id").distinct()
+    few = pairs.groupBy(*context).agg(F.count("*").alias("_n")).filter(F.col("_n") <= most)
+    named = pairs.join(few, list(context), "left_semi").groupBy(*context).agg(F.array_join(F.array_sort(F.collect_list("equipment_id")), ",").alias("_ids"))
+    own = F.when(F.col("registry_id") != "", F.col("registry_id"))
+    return evidence.join(named, list(context), "left").withColumn("linked", F.coalesce(own, "_ids", F.lit(""))).drop("_ids")
+
+
+def fanned_out(evidence: DataFrame, context: tuple[str, ...]) -> DataFrame:
+    """A row for each different equipment of a context."""
+    return evidence.select(*context, "equipment_id").distinct()
+
+
 def summary(decided: DataFrame) -> DataFrame:
     """What is left to review for each equipment."""
     review = ~F.col("auto_accepted")
     out = decided.groupBy("equipment_id", "equipment_tag", "serial_number").agg(
         F.count("*").alias("review_fields"),
-        F.count_if(review & (F.col("priority") == "high")).alias("high_priority_fields"),
+        F.count_if(F.col("priority") == "high").alias("high_priority_fields"),
         F.count_if(review).alias("candidate_groups"),
     )
     return out.withColumn("action", F.when(F.col("high_priority_fields") > 0, "review_high_priority_first").otherwise("review_when_available"))

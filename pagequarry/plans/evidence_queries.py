@@ -69,9 +69,17 @@ def a15(i):
     return g.select("equipment_id", "equipment_tag", "serial_number", "field_name", "n_values", "n_rows", "norm_value", F.col("score.rank").alias("tier_rank"), "score.confidence", "score.selection_score", *joined)
 
 
-@query("p34_auto_accept", "evidence", sql=RANKED + "SELECT * FROM decided")
+def _decided(i):
+    """Decisions with what they rest on as text."""
+    d = ev.decide(ev.best_evidence(i.evidence))
+    for c, by in (("source_pages", "|"), ("evidence_ids", "|"), ("source_texts", " || ")):
+        d = d.withColumn(c, F.array_join(c, by))
+    return d
+
+
+@query("p34_auto_accept", "evidence", sql=RANKED + PROVENANCE + "SELECT decided.*, source_pages, evidence_ids, source_texts FROM decided JOIN pv USING (equipment_id, field_name)")
 def p34(i):
-    return ev.decide(ev.best_evidence(i.evidence))
+    return _decided(i)
 
 
 @query("p33_priority_score", "evidence", sql=RANKED + "SELECT equipment_id, field_name, priority_score, priority FROM decided WHERE NOT auto_accepted")
@@ -79,19 +87,19 @@ def p33(i):
     return ev.decide(ev.best_evidence(i.evidence)).filter("not auto_accepted").select("equipment_id", "field_name", "priority_score", "priority")
 
 
-@query("a16_equipment_summary", "evidence", sql=RANKED + "SELECT equipment_id, equipment_tag, serial_number, count(*) AS review_fields, count(*) FILTER (NOT auto_accepted AND priority = 'high') AS high_priority_fields, count(*) FILTER (NOT auto_accepted) AS candidate_groups, CASE WHEN count(*) FILTER (NOT auto_accepted AND priority = 'high') > 0 THEN 'review_high_priority_first' ELSE 'review_when_available' END AS action FROM decided GROUP BY ALL")
+@query("a16_equipment_summary", "evidence", sql=RANKED + "SELECT equipment_id, equipment_tag, serial_number, count(*) AS review_fields, count(*) FILTER (priority = 'high') AS high_priority_fields, count(*) FILTER (NOT auto_accepted) AS candidate_groups, CASE WHEN count(*) FILTER (priority = 'high') > 0 THEN 'review_high_priority_first' ELSE 'review_when_available' END AS action FROM decided GROUP BY ALL")
 def a16(i):
     return ev.summary(ev.decide(ev.best_evidence(i.evidence)))
 
 
-@query("o02_review_order", "evidence", sql=RANKED + "SELECT equipment_id, field_name, priority, priority_score, row_number() OVER (PARTITION BY equipment_id ORDER BY CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, priority_score DESC, field_name) AS position FROM decided WHERE NOT auto_accepted")
+@query("o02_review_order", "evidence", sql=RANKED + PROVENANCE + "SELECT equipment_id, field_name, priority, priority_score, source_pages, evidence_ids, source_texts, row_number() OVER (PARTITION BY equipment_id ORDER BY CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, priority_score DESC, field_name) AS position FROM decided JOIN pv USING (equipment_id, field_name) WHERE NOT auto_accepted")
 def o02(i):
     from pyspark.sql.window import Window
 
-    d = ev.decide(ev.best_evidence(i.evidence)).filter("not auto_accepted")
+    d = _decided(i).filter("not auto_accepted")
     band = t.rank(F.col("priority"), {"high": 0, "medium": 1, "low": 2})
     w = Window.partitionBy("equipment_id").orderBy(band, F.desc("priority_score"), "field_name")
-    return d.select("equipment_id", "field_name", "priority", "priority_score", F.row_number().over(w).alias("position"))
+    return d.select("equipment_id", "field_name", "priority", "priority_score", "source_pages", "evidence_ids", "source_texts", F.row_number().over(w).alias("position"))
 
 
 @query("a08_first_seen_values", "evidence", sql=" SELECT equipment_id, field_name, list(field_value ORDER BY first_id) AS field_values FROM (SELECT equipment_id, field_name, field_value, min(evidence_id) AS first_id FROM evidence GROUP BY ALL) q GROUP BY ALL".replace("list(field_value ORDER BY first_id)", "string_agg(field_value, '|' ORDER BY first_id)"))
@@ -280,7 +288,7 @@ def j10(i):
     return ev.final_register(ev.promotion(i.evidence).filter("promotion_status = 'eligible'"), FIELDS)
 
 
-fixture("decisions", "SELECT concat(' ', CAST(p_partkey AS STRING)) AS tag, CASE WHEN p_partkey % 3 = 0 THEN 'accept_equipment_name' ELSE 'no_name_evidence_found' END AS decision, CASE WHEN p_partkey % 6 = 0 THEN ' ' ELSE p_name END AS equipment_name FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0")
+fixture("decisions", "SELECT concat(' ', CAST(p_partkey AS STRING)) AS tag, CASE WHEN p_partkey % 3 = 0 THEN 'accept_equipment_name' ELSE 'no_name_evidence_found' END AS decision, CASE WHEN p_partkey % 6 = 0 THEN ' ' ELSE p_name END AS equipment_name FROM part")
 
 
 @query("j12_name_decisions", "registry_rows", "decisions", sql=" SELECT r.*, coalesce(d.equipment_name, '') AS equipment_name, CASE WHEN d.tag IS NULL THEN 'unreviewed' ELSE 'reviewed' END AS name_status FROM registry_rows r LEFT JOIN (SELECT * FROM decisions WHERE decision = 'accept_equipment_name' AND trim(equipment_name) <> '') d ON upper(trim(d.tag)) = upper(trim(r.equipment_tag))")
@@ -306,18 +314,14 @@ def j25(i):
     return ev.inherited(i.register_wide, ("purchase_order", "declaration_reference"), ("model", "set_point"))
 
 
-@query("j30_page_context", "evidence", sql=", p AS (SELECT source_page, list_sort(list(DISTINCT equipment_id)) AS ids FROM evidence WHERE confidence >= 1 GROUP BY 1) SELECT e.evidence_id, CASE WHEN e.registry_id <> '' THEN e.registry_id WHEN len(p.ids) <= 2 THEN array_to_string(p.ids, ',') ELSE '' END AS linked FROM evidence e LEFT JOIN p USING (source_page)")
+@query("j30_page_context", "evidence", sql=", p AS (SELECT source_page, source_text, list_sort(list(DISTINCT equipment_id)) AS ids FROM evidence GROUP BY 1, 2) SELECT e.evidence_id, CASE WHEN e.registry_id <> '' THEN e.registry_id WHEN len(p.ids) <= 2 THEN array_to_string(p.ids, ',') ELSE '' END AS linked FROM evidence e LEFT JOIN p USING (source_page, source_text)")
 def j30(i):
-    p = i.evidence.filter("confidence >= 1").groupBy("source_page").agg(F.array_sort(F.collect_set("equipment_id")).alias("ids"))
-    j = i.evidence.join(p, "source_page", "left")
-    few = F.when(F.size("ids") <= 2, F.array_join("ids", ","))
-    return j.select("evidence_id", F.when(F.col("registry_id") != "", F.col("registry_id")).otherwise(F.coalesce(few, F.lit(""))).alias("linked"))
+    return ev.page_context(i.evidence, ("source_page", "source_text")).select("evidence_id", "linked")
 
 
-@query("j31_fan_out", "evidence", sql=", l AS (SELECT source_page, field_name, list_sort(list(DISTINCT equipment_id)) AS ids FROM evidence WHERE source_page <= 30 GROUP BY 1, 2) SELECT source_page, field_name, unnest(ids) AS equipment_id FROM l")
+@query("j31_fan_out", "evidence", sql=", l AS (SELECT source_page, field_name, list_sort(list(DISTINCT equipment_id)) AS ids FROM evidence GROUP BY 1, 2) SELECT source_page, field_name, unnest(ids) AS equipment_id FROM l")
 def j31(i):
-    g = i.evidence.filter("source_page <= 30").groupBy("source_page", "field_name").agg(F.array_sort(F.collect_set("equipment_id")).alias("ids"))
-    return g.select("source_page", "field_name", F.explode("ids").alias("equipment_id"))
+    return ev.fanned_out(i.evidence, ("source_page", "field_name"))
 
 
 @query("u02_bag_union", "evidence", "register", sql=" SELECT equipment_tag, field_name, field_value AS value FROM evidence UNION ALL SELECT equipment_tag, field_name, value FROM register")

@@ -336,7 +336,9 @@ def j28(i):
 
 
 fixture("all_gaps", "SELECT DISTINCT tag, s.direction, s.value AS nominal FROM cells CROSS JOIN slot_schema s", "cells", "slot_schema")
-fixture("layer", "SELECT tag, direction, value AS nominal, value + CASE WHEN table_id % 50 < 3 AND place % 2 = 0 THEN 0.5 ELSE 0 END AS observed FROM cells WHERE place <> 4 AND table_id % 7 = 0", "cells")
+# what has no match here has another tag, so that all cells are read
+fixture("layer", "SELECT CASE WHEN place = 4 THEN concat(tag, ' of another layer') ELSE tag END AS tag, direction, value AS nominal, value + CASE WHEN table_id % 50 < 3 AND place % 2 = 0 THEN 0.5 ELSE 0 END AS observed FROM cells", "cells")
+fixture("primary_cells", "SELECT CASE WHEN place >= 3 THEN concat(tag, ' of another table') ELSE tag END AS tag, direction, value, cell_id FROM cells", "cells")
 LAYER = ", kn AS (SELECT tag, direction, printf('%g', nominal) AS nominal_text, list_sort(list(DISTINCT printf('%g', observed))) AS vs FROM layer GROUP BY 1, 2, 3) "
 
 
@@ -357,26 +359,26 @@ def p46(i):
     return ms.resolved_gaps(i.all_gaps, _layer(i)).groupBy("status").agg(F.count("*").alias("n"))
 
 
-RECON = LAYER + ", pr AS (SELECT tag, direction, printf('%g', value) AS nominal_text, arg_max(value + 0.25::DOUBLE, cell_id) AS p FROM cells WHERE table_id % 11 = 0 AND place < 3 GROUP BY 1, 2, 3), ev2 AS (SELECT tag, direction, nominal_text FROM pr UNION SELECT tag, direction, printf('%g', nominal) FROM all_gaps), j AS (SELECT e.*, pr.p, coalesce(kn.vs, []) AS vs FROM ev2 e LEFT JOIN pr USING (tag, direction, nominal_text) LEFT JOIN kn USING (tag, direction, nominal_text)), rc AS (SELECT tag, direction, nominal_text, CASE WHEN p IS NOT NULL THEN printf('%g', p) WHEN len(vs) = 1 THEN vs[1] ELSE '' END AS value, CASE WHEN p IS NOT NULL THEN 'primary_observation' WHEN len(vs) = 1 THEN 'resolved_from_completed_layer' WHEN len(vs) > 1 THEN 'unresolved_secondary_conflict' ELSE 'unresolved' END AS status, CASE WHEN p IS NOT NULL THEN 'primary' WHEN len(vs) = 1 THEN 'secondary_verified' ELSE 'review_required' END AS review_status FROM j) "
+RECON = LAYER + ", pr AS (SELECT tag, direction, printf('%g', value) AS nominal_text, arg_max(value + 0.25::DOUBLE, cell_id) AS p FROM primary_cells GROUP BY 1, 2, 3), ev2 AS (SELECT tag, direction, nominal_text FROM pr UNION SELECT tag, direction, printf('%g', nominal) FROM all_gaps), j AS (SELECT e.*, pr.p, coalesce(kn.vs, []) AS vs FROM ev2 e LEFT JOIN pr USING (tag, direction, nominal_text) LEFT JOIN kn USING (tag, direction, nominal_text)), rc AS (SELECT tag, direction, nominal_text, CASE WHEN p IS NOT NULL THEN printf('%g', p) WHEN len(vs) = 1 THEN vs[1] ELSE '' END AS value, CASE WHEN p IS NOT NULL THEN 'primary_observation' WHEN len(vs) = 1 THEN 'resolved_from_completed_layer' WHEN len(vs) > 1 THEN 'unresolved_secondary_conflict' ELSE 'unresolved' END AS status, CASE WHEN p IS NOT NULL THEN 'primary' WHEN len(vs) = 1 THEN 'secondary_verified' ELSE 'review_required' END AS review_status FROM j) "
 
 
 def _reconciled(i):
-    primary = i.cells.filter("table_id % 11 = 0 and place < 3").select("tag", "direction", t.general(F.col("value")).alias("nominal_text"), (F.col("value") + 0.25).alias("observed"), F.col("cell_id").alias("seq"))
+    primary = i.primary_cells.select("tag", "direction", t.general(F.col("value")).alias("nominal_text"), (F.col("value") + 0.25).alias("observed"), F.col("cell_id").alias("seq"))
     review = i.all_gaps.select("tag", "direction", t.general(F.col("nominal")).alias("nominal_text"))
     return ms.reconciled(primary, review, _layer(i))
 
 
-@query("j26_reconciliation", "cells", "all_gaps", "layer", sql=RECON + "SELECT tag, direction, nominal_text, value FROM rc")
+@query("j26_reconciliation", "primary_cells", "all_gaps", "layer", sql=RECON + "SELECT tag, direction, nominal_text, value FROM rc")
 def j26(i):
     return _reconciled(i).select("tag", "direction", "nominal_text", "value")
 
 
-@query("p47_observation_choice", "cells", "all_gaps", "layer", sql=RECON + "SELECT * FROM rc")
+@query("p47_observation_choice", "primary_cells", "all_gaps", "layer", sql=RECON + "SELECT * FROM rc")
 def p47(i):
     return _reconciled(i)
 
 
-@query("o06_reconciliation_order", "cells", "all_gaps", "layer", sql=RECON + "SELECT tag, direction, nominal_text, row_number() OVER (PARTITION BY tag ORDER BY direction, TRY_CAST(nominal_text AS DOUBLE) NULLS LAST) AS position FROM rc")
+@query("o06_reconciliation_order", "primary_cells", "all_gaps", "layer", sql=RECON + "SELECT tag, direction, nominal_text, row_number() OVER (PARTITION BY tag ORDER BY direction, TRY_CAST(nominal_text AS DOUBLE) NULLS LAST) AS position FROM rc")
 def o06(i):
     w = Window.partitionBy("tag").orderBy("direction", F.col("nominal_text").try_cast("double").asc_nulls_last())
     return _reconciled(i).select("tag", "direction", "nominal_text", F.row_number().over(w).alias("position"))

@@ -303,7 +303,7 @@ def s11(i):
 
 
 CANDIDATE = r"""(SELECT page, CASE CAST(page % 5 AS INT) WHEN 0 THEN concat('863-ACS-', CAST(page % 900 + 100 AS STRING)) WHEN 1 THEN concat('IN-', CAST(page AS STRING), '-AB') WHEN 2 THEN concat('863-AB-', CAST(page % 800 + 100 AS STRING), '/', CAST(page % 800 + 101 AS STRING)) WHEN 3 THEN concat('X', CAST(page AS STRING), '-7-2') ELSE concat('512-P-', CAST(page % 700 + 200 AS STRING)) END AS candidate,
-CASE CAST(page % 7 AS INT) WHEN 0 THEN 'EQUIPMENT TAG: here' WHEN 1 THEN CASE WHEN page % 2 = 0 THEN 'pump and valve near' ELSE 'skid pump motor filter 512-PV-100/200, ' END WHEN 2 THEN 'DRAWING no' WHEN 3 THEN 'document specification' WHEN 4 THEN 'JOB 12' WHEN 5 THEN concat('ITP ref ', left(text, 30)) ELSE concat('scale sheet drawn checked package fan air skid 863-AB-', CAST(page % 800 + 100 AS STRING), ' / ', CAST(page % 800 + 101 AS STRING), ' ', left(text, 25)) END AS context FROM page_text)"""
+CASE CAST(page % 7 AS INT) WHEN 0 THEN concat('EQUIPMENT TAG: here ', text) WHEN 1 THEN CASE WHEN page % 2 = 0 THEN 'pump and valve near' ELSE 'skid pump motor filter 512-PV-100/200, ' END WHEN 2 THEN 'DRAWING no' WHEN 3 THEN 'document specification' WHEN 4 THEN 'JOB 12' WHEN 5 THEN concat('ITP ref ', text) ELSE concat('scale sheet drawn checked package fan air skid 863-AB-', CAST(page % 800 + 100 AS STRING), ' / ', CAST(page % 800 + 101 AS STRING), ' ', text) END AS context FROM page_text)"""
 fixture("candidates", CANDIDATE.removeprefix("(").removesuffix(")"), "page_text")
 TERMS = ", ".join(f"'{x}'" for x in sorted(pg.EQUIPMENT_TERMS))
 TITLES = ", ".join(f"'{x}'" for x in pg.TITLE_BLOCK_TERMS)

@@ -121,10 +121,9 @@ def s19(i):
     return rd.image_pages(i.page_text.select(name.alias("path"))).select(F.col("page").cast("long").alias("page"))
 
 
-@query("s20_batch_contract", "page_text", sql=" SELECT page, recommended_route FROM (SELECT page, 'table_extraction' AS recommended_route, document_id FROM page_text) q WHERE document_id = (SELECT min(document_id) FROM page_text)")
+@query("s20_batch_contract", "page_text", sql=" SELECT page, 'table_extraction' AS recommended_route FROM page_text")
 def s20(i):
-    first = i.page_text.agg(F.min("document_id").alias("document_id"))
-    batch = i.page_text.join(first, "document_id", "left_semi").select("document_id", "page", F.lit("table_extraction").alias("recommended_route"), F.lit("selected").alias("reason"))
+    batch = i.page_text.select(F.lit("all pages").alias("document_id"), "page", F.lit("table_extraction").alias("recommended_route"), F.lit("selected").alias("reason"))
     return rd.checked_batch(batch).select("page", "recommended_route")
 
 
