@@ -9,11 +9,12 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import files
 from ..sources.readers import MissingInput
+from ..streaming.progress import watched
 
 Frames = dict[str, DataFrame]
 
@@ -35,6 +36,7 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.rows: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -48,9 +50,19 @@ class Catalog:
         return self.spark.read.parquet(self.path(name))
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write a table; how many rows it has is counted on the way."""
+        seen = Observation(name)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.path(name))
+        self.rows[name] = seen.get["rows"]
         return self.load(name)
 
+    def known_rows(self, name: str) -> int | None:
+        """The rows of a table that this catalog, or an earlier run by its ``status.json``, wrote."""
+        if name not in self.rows and files.exists(self.spark, f"{self.folder}/status.json"):
+            said = json.loads(files.get_text(self.spark, f"{self.folder}/status.json"))
+            self.rows = {t: n for s in said.values() for t, n in s.get("rows_out", {}).items()} | self.rows
+        return self.rows.get(name)
+
     def first_of(self, *names: str) -> DataFrame:
         """The first of several tables that exists."""
         for n in names:
@@ -101,7 +113,9 @@ def run(
 
     ``force`` is for all stages or names some. Returns what was done for each: ran,
     skipped, failed, or blocked by a failed one. The catalog's ``status.json`` says
-    the same with seconds and errors, and is replaced after each stage. A failure
+    the same with seconds, errors, and the rows of the tables read (where a stage
+    wrote them) and written, and is replaced after each stage; while a stage runs,
+    ``progress.json`` says how many of its tasks are done. A failure
     ends the run, unless ``keep_going`` lets stages go on that don't need what
     failed; so does a stage that takes more than ``timeout`` seconds.
     """
@@ -124,13 +138,15 @@ def run(
             done[s.name] = "skipped"
         else:
             try:
-                _within(catalog.spark, timeout, work)
+                with watched(catalog.spark, f"{catalog.folder}/progress.json", stage=s.name):
+                    _within(catalog.spark, timeout, work)
                 done[s.name] = "ran"
             except Exception as e:
                 done[s.name], error = "failed", e
         if done[s.name] in ("failed", "blocked"):
             lost |= set(s.makes)
-        status[s.name] = {"status": done[s.name], "seconds": round(time.time() - began, 3), "error": str(error)[:500] if error else ""}
+        rows = lambda names: {n: catalog.known_rows(n) for n in names if catalog.known_rows(n) is not None}
+        status[s.name] = {"status": done[s.name], "seconds": round(time.time() - began, 3), "error": str(error)[:500] if error else "", "rows_in": rows((*s.needs, *s.optional)), "rows_out": rows(s.makes) if done[s.name] in ("ran", "skipped") else {}}
         files.put_text(catalog.spark, f"{catalog.folder}/status.json", json.dumps(status, indent=1))
         if error and not keep_going:
             raise error
@@ -138,9 +154,9 @@ def run(
 
 
 def progress(stages: list[Stage], catalog: Catalog) -> DataFrame:
-    """``position, stage, table_name, there``: which tables of a plan exist by now; for a view of a run that goes on elsewhere."""
-    rows = [(k, s.name, m, catalog.has(m)) for k, s in enumerate(stages) for m in s.makes]
-    return catalog.spark.createDataFrame(rows, "position int, stage string, table_name string, there boolean")
+    """``position, stage, table_name, there, n_rows``: which tables of a plan exist by now, and their rows as far as known; for a view of a run that goes on elsewhere."""
+    rows = [(k, s.name, m, catalog.has(m), catalog.known_rows(m)) for k, s in enumerate(stages) for m in s.makes]
+    return catalog.spark.createDataFrame(rows, "position int, stage string, table_name string, there boolean, n_rows long")
 
 
 def table_batch_stages(least: float = 0.8) -> list[Stage]:

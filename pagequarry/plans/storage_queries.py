@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..operators import evidence as ev
 from ..operators import pages as pg
 from ..operators import regions as rg
-from ..sources import binary, files, sinks
+from ..sources import binary, files, named, sinks
 from ..sources import readers as rd
+from ..streaming import ledger
 from ..streaming.resume import ingest
 from . import evidence_queries, page_queries, table_queries
 from . import stages as st
@@ -240,21 +241,40 @@ def _evidence_run(i, **options):
     return catalog, st.run(st.evidence_stages(), catalog, {"evidence": i.evidence}, **options)
 
 
-@query("m01_stage_slice", sql=" SELECT * FROM (VALUES ('pattern_queue', 'ran'), ('review_queue', 'ran')) q(stage, outcome)")
+def _told(catalog, stages):
+    """What stages wrote, by the counts taken while they wrote it."""
+    return st.progress(stages, catalog).filter("n_rows is not null").select("stage", "table_name", "n_rows")
+
+
+KEYED = evidence_queries.RANKED + evidence_queries.PATTERN
+
+
+@query(
+    "m01_stage_slice",
+    "evidence",
+    sql=KEYED + """SELECT 'pattern_queue' AS stage, 'patterns' AS table_name, count(*) AS n_rows FROM (SELECT DISTINCT norm_field, norm_value, norm_source FROM k)
+UNION ALL SELECT 'review_queue', 'decided', count(*) FROM decided UNION ALL SELECT 'review_queue', 'review_queue', count(*) FROM decided WHERE NOT auto_accepted UNION ALL SELECT 'review_queue', 'auto_accepted', count(*) FROM decided WHERE auto_accepted
+UNION ALL SELECT 'review_queue', 'summary', count(*) FROM (SELECT DISTINCT equipment_id, equipment_tag, serial_number FROM decided)""",
+)
 def m01(i):
-    _, done = _evidence_run(i, start="7a", stop="review_queue")
-    return i.spark.createDataFrame(list(done.items()), "stage string, outcome string")
+    catalog, _ = _evidence_run(i, start="7a", stop="review_queue")
+    return _told(catalog, st.evidence_stages())
 
 
-@query("m02_stage_timeout", sql=" SELECT * FROM (VALUES ('quick', 'ran'), ('endless', 'failed'), ('after', 'blocked'), ('other', 'ran')) q(stage, outcome)")
+@query("m02_stage_timeout", sql=" SELECT 'quick' AS stage, 'quick' AS table_name, count(*) AS n_rows FROM lineitem UNION ALL SELECT 'other', 'other', count(DISTINCT l_partkey) FROM lineitem")
 def m02(i):
-    # numbers that would take hours to count
-    slow = i.spark.range(10**15).agg(F.sum(F.sqrt(F.hash("id"))).alias("id"))
-    make = lambda name, needs, df: st.Stage(name, needs, (name,), lambda _, f: {name: df})
-    few = i.spark.range(3)
-    plan = [make("quick", (), few), make("endless", (), slow), make("after", ("endless",), few), make("other", ("quick",), few)]
-    done = st.run(plan, st.Catalog(i.spark, files.scratch(i.spark, "stages")), keep_going=True, timeout=10)
-    return i.spark.createDataFrame(list(done.items()), "stage string, outcome string")
+    # a sum over each row times a number of steps that would take hours
+    slow = i.lineitem.select(F.explode(F.sequence(F.lit(1), F.lit(2_000_000))).alias("k"), "l_orderkey").agg(F.sum(F.sqrt(F.hash("k", "l_orderkey"))).alias("x"))
+    make = lambda name, needs, build: st.Stage(name, needs, (name,), lambda _, f: {name: build(f)})
+    plan = [
+        make("quick", ("lineitem",), lambda f: f["lineitem"]),
+        make("endless", ("lineitem",), lambda f: slow),
+        make("after", ("endless",), lambda f: f["endless"]),
+        make("other", ("quick",), lambda f: f["quick"].select("l_partkey").distinct()),
+    ]
+    catalog = st.Catalog(i.spark, files.scratch(i.spark, "stages"))
+    st.run(plan, catalog, {"lineitem": i.lineitem}, keep_going=True, timeout=10)
+    return _told(catalog, plan)
 
 
 @query("m03_precondition", "evidence", sql=" SELECT count(*) AS n_rows, true AS raised FROM evidence")
@@ -270,18 +290,46 @@ def m03(i):
 @query(
     "m04_table_batch",
     "page_lines",
-    sql=""" SELECT stage, outcome FROM (VALUES ('render', 'ran'), ('image_ocr', 'ran'), ('visual_rows', 'ran'), ('logical_rows', 'ran'), ('review_queue', 'ran'), ('review_crops', 'ran'), ('auto_review', 'ran'), ('decision_export', 'ran')) q(stage, outcome)
-UNION ALL SELECT concat('lines of ', page), CAST(count(*) AS STRING) FROM page_lines WHERE page % 7 <> 0 GROUP BY page""",
+    sql=""" SELECT 'render' AS stage, 'rendered_pages' AS table_name, count(DISTINCT page) AS n_rows FROM page_lines UNION ALL SELECT 'image_ocr', 'ocr_lines', count(*) FROM page_lines WHERE page % 7 <> 0
+UNION ALL SELECT 'lines', CAST(page AS STRING), count(*) FROM page_lines WHERE page % 7 <> 0 GROUP BY page""",
 )
 def m04(i):
     catalog = st.Catalog(i.spark, files.scratch(i.spark, "batch"))
     texts = _page_texts(i)
     images = texts.select(F.format_string("/in/page_%03d.png", "page").alias("path"))
     plan = st.table_batch_stages()
-    done = st.run(plan, catalog, {"images": images, "ocr_pages": texts.select("value")}, keep_going=True)
-    said = i.spark.createDataFrame(list(done.items()), "stage string, outcome string")
-    lines = catalog.load("ocr_lines").groupBy("page").agg(F.count("*").cast("string").alias("outcome"))
-    return said.unionByName(lines.select(F.concat(F.lit("lines of "), F.col("page").cast("string")).alias("stage"), "outcome"))
+    st.run(plan, catalog, {"images": images, "ocr_pages": texts.select("value")}, keep_going=True)
+    lines = catalog.load("ocr_lines").groupBy("page").agg(F.count("*").alias("n_rows"))
+    first = _told(catalog, plan).filter("stage in ('render', 'image_ocr')")
+    # the last stage is there only if all before it ran
+    catalog.load("export_summary")
+    return first.unionByName(lines.select(F.lit("lines").alias("stage"), F.col("page").cast("string").alias("table_name"), "n_rows"))
+
+
+def _page_files(i, texts):
+    """Page files of their own in a folder."""
+    folder = files.scratch(i.spark, "page-files")
+    binary.write_files(texts.select(F.format_string("page_%05d.json", "page").alias("name"), F.col("value").alias("content")), folder)
+    return folder
+
+
+@query("s24_named_reader", "page_lines", sql=" SELECT 'd' AS document_id, page, table_index, line_no, text, confidence, x1, y2, source_kind FROM page_lines WHERE page % 7 <> 0")
+def s24(i):
+    folder = _page_files(i, _page_texts(i))
+    return i.spark.read.format(named.use(i.spark, "ocr_page_lines")).load(folder).select("document_id", "page", "table_index", "line_no", "text", "confidence", "x1", "y2", "source_kind")
+
+
+@query("m04_page_ledger", "page_lines", sql=" SELECT page, CASE WHEN page % 7 = 0 THEN 2 ELSE 1 END AS attempts, 'done' AS outcome, count(*) AS n_lines FROM page_lines GROUP BY page")
+def m04_ledger(i):
+    folder = _page_files(i, _page_texts(i))
+    pages = ledger.Pages(i.spark, folder, *(files.scratch(i.spark, n) for n in ("page-rows", "page-ledger", "page-progress")), files_at_once=70)
+    pages.run()
+    # what failed is mended, and comes again
+    mended = _page_texts(i, broken=False).filter("page % 7 = 0")
+    binary.write_files(mended.select(F.format_string("page_%05d.json", "page").alias("name"), F.col("value").alias("content")), folder)
+    pages.run()
+    lines = pages.rows().groupBy("page").agg(F.count("*").alias("n_lines"))
+    return pages.latest().join(lines, "page", "left").select("page", F.col("attempt").alias("attempts"), "outcome", "n_lines")
 
 
 @query("m07_fallback_source", "registry_rows", sql=" SELECT equipment_id, equipment_tag FROM registry_rows")
@@ -291,7 +339,13 @@ def m07(i):
     return catalog.first_of("reviewed_registry", "registry")
 
 
-@query("x02_progress", sql=" SELECT * FROM (VALUES (0, 'promote_evidence', 'promoted', true), (0, 'promote_evidence', 'registry', true), (1, 'pattern_queue', 'patterns', true), (2, 'review_queue', 'decided', false), (2, 'review_queue', 'review_queue', false), (2, 'review_queue', 'auto_accepted', false), (2, 'review_queue', 'summary', false), (3, 'final_registry', 'final_registry', false)) q(position, stage, table_name, there)")
+@query(
+    "x02_progress",
+    "evidence",
+    sql=KEYED + """SELECT 'promote_evidence' AS stage, 'promoted' AS table_name, count(*) AS n_rows FROM evidence UNION ALL SELECT 'promote_evidence', 'registry', count(*) FROM (SELECT DISTINCT concat(regexp_replace(upper(equipment_tag), '[^A-Z0-9]', '', 'g'), '::', trim(serial_number)) FROM evidence)
+UNION ALL SELECT 'pattern_queue', 'patterns', count(*) FROM (SELECT DISTINCT norm_field, norm_value, norm_source FROM k)""",
+)
 def x02(i):
     catalog, _ = _evidence_run(i, stop="pattern_queue")
-    return st.progress(st.evidence_stages(), catalog)
+    # as another process sees it
+    return _told(st.Catalog(i.spark, catalog.folder), st.evidence_stages())
