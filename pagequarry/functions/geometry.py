@@ -82,9 +82,13 @@ def stretched(b: Column, width: Column, height: Column) -> Column:
     return F.when((w >= width * 0.7) & (h <= height * 0.35), flat).when((h >= height * 0.7) & (w <= width * 0.35), tall).otherwise(b)
 
 
+def tile_width(width: Column, tiles: int = 5, share: float = 0.3) -> Column:
+    return F.floor(width / (tiles - (tiles - 1) * share))
+
+
 def tile_starts(width: Column, tiles: int = 5, share: float = 0.3) -> Column:
     """Left edges of overlapping tiles over a crop."""
-    tile = F.ceil(width / (tiles - (tiles - 1) * share))
+    tile = tile_width(width, tiles, share)
     step = F.floor(tile * (1 - share))
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(tiles - 1)), lambda i: F.least(i * step, width - tile)))
 

@@ -46,6 +46,24 @@ def deduplicated(lines: DataFrame, least: float = 0.35) -> DataFrame:
     return kept.select(*TABLE, (-F.col("i.line_no")).alias("line_no"), "i.text", "i.confidence", "i.box.*")
 
 
+def tile_lines(lines: DataFrame, least: float = 0.5) -> DataFrame:
+    """Lines of tiles in the coordinates of their page, those met in several tiles once.
+
+    ``lines`` has ``page, table_id, line_no``, ``text, confidence``, the crop's place
+    ``crop_x, crop_y`` and ``crop_width``, the ``tile`` from 0, and ``x1, y1, x2, y2`` in
+    the tile. Of lines of equal text, whatever the case, that overlap by ``least`` or
+    more the most confident stays, then the first.
+    """
+    start = F.element_at(g.tile_starts(F.col("crop_width")), F.col("tile").cast("int") + 1)
+    dx, dy = F.col("crop_x") + start, F.col("crop_y")
+    placed = lines.filter(F.col("tile") < F.size(g.tile_starts(F.col("crop_width")))).select(*TABLE, "line_no", "text", "confidence", *[(F.col(c) + d).cast("double").alias(c) for c, d in (("x1", dx), ("y1", dy), ("x2", dx), ("y2", dy))])
+    item = F.struct(F.col("confidence"), (-F.col("line_no")).cast("int").alias("line_no"), F.col("text"), g.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("box"))
+    groups = placed.groupBy(*TABLE, F.upper("text").alias("_key")).agg(F.sort_array(F.collect_list(item), asc=False).alias("items"))
+    kind = "array<struct<confidence: double, line_no: int, text: string, box: struct<x1: double, y1: double, x2: double, y2: double>>>"
+    kept = groups.select(*TABLE, F.explode(sq.greedy(F.col("items"), lambda k, x: g.iou(k["box"], x["box"]) >= least, kind)).alias("i"))
+    return kept.select(*TABLE, (-F.col("i.line_no")).alias("line_no"), "i.text", "i.confidence", "i.box.*")
+
+
 def visual_rows(lines: DataFrame, tolerance: float = 18.0) -> DataFrame:
     """Rows of lines by running-mean clusters of their vertical centres."""
     cy = (F.col("y1") + F.col("y2")) / 2

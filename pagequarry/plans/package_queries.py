@@ -39,12 +39,27 @@ def s05(i):
     return lines.filter("c >= 35").select("page", "block", "par", "line", "text", F.round("c", 6).alias("confidence"), "x1", "y1", "x2", "y2")
 
 
-@query("s07_tile_starts", sql=" SELECT p_partkey AS crop, n AS tile, CAST(least(n * floor(ceil((1800 + p_partkey) / 3.8::DOUBLE) * 0.7::DOUBLE), 1800 + p_partkey - ceil((1800 + p_partkey) / 3.8::DOUBLE)) AS BIGINT) AS start_x FROM part CROSS JOIN (SELECT unnest(range(5)) AS n) v")
+@query("s07_tile_starts", sql=" SELECT p_partkey AS crop, n AS tile, CAST(least(n * floor(floor((1800 + p_partkey) / 3.8::DOUBLE) * 0.7::DOUBLE), 1800 + p_partkey - floor((1800 + p_partkey) / 3.8::DOUBLE)) AS BIGINT) AS start_x FROM part CROSS JOIN (SELECT unnest(range(5)) AS n) v")
 def s07(i):
     w = F.col("p_partkey") + 1800
     return i.part.select(F.col("p_partkey").alias("crop"), F.posexplode(g.tile_starts(w))).select("crop", F.col("pos").cast("long").alias("tile"), F.col("col").cast("long").alias("start_x"))
 
 
+# a crop of 1900 pixels for each table: tiles of 500 that start at 0, 350, 700, 1050 and 1400, each with the lines that it holds whole
+fixture(
+    "tile_lines",
+    """SELECT page, table_id, CAST(line_no * 10 + k.tile AS INT) AS line_no, CASE WHEN k.tile % 2 = 0 THEN text ELSE lower(text) END AS text, confidence - k.tile * CAST(0.01 AS DOUBLE) AS confidence, CAST(40 AS DOUBLE) AS crop_x, CAST(table_id % 90 AS DOUBLE) AS crop_y, 1900 AS crop_width, k.tile AS tile, x1 * 4 - k.tile * 350 AS x1, y1, x2 * 3 + x1 - k.tile * 350 AS x2, y2
+FROM (SELECT page, table_id, line_no, text, confidence, x1, y1, x2, y2 FROM ocr_lines WHERE source_kind = 'detected_table_crop') q CROSS JOIN (SELECT 0 AS tile UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) k
+WHERE x1 * 4 - k.tile * 350 >= 0 AND x2 * 3 + x1 - k.tile * 350 <= 500""",
+    "ocr_lines",
+)
+
+
+@query("s07_tile_lines", "tile_lines", sql=" SELECT page, table_id, min(line_no) AS line_no, arg_min(text, line_no) AS text, max(confidence) AS confidence, min(x1 + tile * 350 + 40) AS x1, min(y1 + crop_y) AS y1, min(x2 + tile * 350 + 40) AS x2, min(y2 + crop_y) AS y2 FROM tile_lines GROUP BY page, table_id, CAST(floor(line_no / 10) AS INT)")
+def s07_lines(i):
+    return tb.tile_lines(i.tile_lines)
+
+
 @query("s18_manifest_last_wins", sql=", m AS (SELECT o_custkey % 500 AS review_id, o_orderkey AS seq, concat('crop_', CAST(o_orderkey AS STRING), '.png') AS crop FROM orders) SELECT review_id, crop FROM m QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY seq DESC) = 1")
 def s18(i):
     items = i.orders.groupBy((F.col("o_custkey") % 500).alias("k")).agg(F.sort_array(F.collect_list("o_orderkey")).alias("items"))

@@ -273,12 +273,6 @@ def p41(i):
     return lines.select("page", "line_no", pg.table_like(F.col("line")).alias("table_like"))
 
 
-@query("k08_full_text", "page_text", sql=" SELECT document_id, md5(string_agg(text, chr(10) ORDER BY page)) AS text_md5, count(*) AS n_pages FROM page_text GROUP BY 1")
-def k08(i):
-    pages = F.array_sort(F.collect_list(F.struct("page", "text")))
-    return i.page_text.groupBy("document_id").agg(F.array_join(F.transform(pages, lambda p: p["text"]), "\n").alias("t"), F.count("*").alias("n_pages")).select("document_id", F.md5(F.col("t").cast("binary")).alias("text_md5"), "n_pages")
-
-
 @query("k04_page_list", "selected_pages", sql=" SELECT printf('%03d', page) AS value FROM selected_pages")
 def k04(i):
     return i.selected_pages.select(F.format_string("%03d", "page").alias("value"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import evidence as ev
 from ..operators import pages as pg
 from ..operators import regions as rg
-from ..sources import binary, files, named, sinks
+from ..sources import binary, documents, files, named, sinks, workbook
 from ..sources import readers as rd
 from ..streaming import ledger
 from ..streaming.resume import ingest
@@ -128,6 +128,13 @@ def s20(i):
     return rd.checked_batch(batch).select("page", "recommended_route")
 
 
+@query("k08_full_text", "page_text", sql=" SELECT document_id, page, CAST(sum(strlen(text) + 1) OVER (PARTITION BY document_id ORDER BY page) - strlen(text) - 1 AS BIGINT) AS position, CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS text_md5 FROM page_text")
+def k08(i):
+    folder = files.scratch(i.spark, "full-text")
+    index = documents.write_full_text(i.page_text, folder)
+    return documents.read_pages(index, folder).select("document_id", "page", F.col("offset").alias("position"), "bytes", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query("k07_control_file", "evidence", sql=" SELECT field_name AS key, count(*) AS n FROM evidence GROUP BY 1")
 def k07(i):
     counts = {r["field_name"]: r["count"] for r in i.evidence.groupBy("field_name").count().collect()}
@@ -168,8 +175,8 @@ def k11(i):
 def k05(i):
     path = files.scratch(i.spark, "package.xlsx")
     r = i.register_wide.select("equipment_tag", "serial_number", "model")
-    sinks.write_workbook({"register": r.orderBy("equipment_tag"), "counts": r.agg(F.count("*").alias("n"))}, path)
-    return rd.read_workbook(i.spark, path).select("sheet", "row_no", F.array_join("cells", "|").alias("cells"))
+    workbook.write_workbook({"register": r.orderBy("equipment_tag"), "counts": r.agg(F.count("*").alias("n"))}, path)
+    return workbook.read_workbook(i.spark, path).select("sheet", "row_no", F.array_join("cells", "|").alias("cells"))
 
 
 # boxes far apart in two columns: those of one column lie closer than the gap and share most of their width

@@ -63,13 +63,35 @@ def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(data)
     finally:
         out.close()
+    move(spark, f"{path}.partial", path)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file over another one, or to where none is, in one step, so that there is a whole file at any time."""
+    part, fs = _at(spark, source)
+    p, _ = _at(spark, target)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    # one step, so that there is a whole file at any time
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(fs.makeQualified(part), fs.makeQualified(p), over)
 
 
+def created(spark: SparkSession, path: str):
+    """A stream of the session's file system to a new file."""
+    p, fs = _at(spark, path)
+    return fs.create(p, True)
+
+
+def copied_into(spark: SparkSession, path: str, out) -> None:
+    """Copy a file into a stream, without its bytes passing Python."""
+    p, fs = _at(spark, path)
+    source = fs.open(p)
+    try:
+        spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+    finally:
+        source.close()
+
+
 def get_text(spark: SparkSession, path: str) -> str:
     """The text of a small file."""
     return spark.read.text(path, wholetext=True).first()["value"]

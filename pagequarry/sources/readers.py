@@ -77,23 +77,6 @@ def read_ocr_pages(spark: SparkSession, path: str, pages: list[int] | None = Non
     return parsed_ocr_pages(spark.read.option("pathGlobFilter", "page_*.json").text(path, wholetext=True), pages)
 
 
-def read_workbook(spark: SparkSession, path: str) -> DataFrame:
-    """``sheet, row_no, cells`` of an XLSX workbook with texts in its cells, as ``write_workbook`` makes it."""
-    import io
-    import zipfile
-    from xml.etree import ElementTree
-
-    data = spark.read.format("binaryFile").load(path).first()["content"]
-    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-    rows = []
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{main}sheet")]
-        for k, name in enumerate(names, 1):
-            for r in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{k}.xml")).iter(f"{main}row"):
-                rows.append((name, int(r.get("r")), ["".join(c.itertext()) for c in r.iter(f"{main}c")]))
-    return spark.createDataFrame(rows, "sheet string, row_no int, cells array<string>")
-
-
 def unwrapped(rows: DataFrame) -> DataFrame:
     """Rows whose fields stand in ``raw_record`` or ``review`` envelopes, with the fields at the top."""
     found = set(rows.columns)

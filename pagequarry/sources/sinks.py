@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import io
 import json
-import zipfile
-from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +40,6 @@ def write_page_list(pages: DataFrame, path: str, pattern: str = "%03d") -> None:
     pages.select(F.format_string(pattern, "page").alias("value")).write.mode("overwrite").text(path)
 
 
-def full_text(pages: DataFrame, separator: str = "\n") -> DataFrame:
-    """The text of each document, its pages in order."""
-    parts = F.array_sort(F.collect_list(F.struct("page", "text")))
-    return pages.groupBy("document_id").agg(F.array_join(F.transform(parts, lambda p: p["text"]), separator).alias("text"))
-
-
 def header_only(spark: SparkSession, columns: list[str]) -> DataFrame:
     """An empty table of text columns, in place of an input that is optional."""
     return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
@@ -63,70 +54,6 @@ def lineage(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-SHEET_ROWS = 1_048_576
-_HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
-_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-_RELS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-_PACKAGE = "http://schemas.openxmlformats.org/package/2006"
-_OFFICE = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-
-
-def _column(n: int) -> str:
-    out = ""
-    while n:
-        n, k = divmod(n - 1, 26)
-        out = chr(65 + k) + out
-    return out
-
-
-def _sheet(df: DataFrame, widest: int) -> str:
-    names, rows, widths = df.columns, [], [len(c) for c in df.columns]
-    for n, r in enumerate([names, *df.limit(SHEET_ROWS).toLocalIterator(prefetchPartitions=True)], 1):
-        if n > SHEET_ROWS:
-            raise ValueError(f"a sheet holds {SHEET_ROWS} rows")
-        values = ["" if v is None else str(v) for v in r]
-        widths = [max(w, len(v)) for w, v in zip(widths, values, strict=True)]
-        style = ' s="1"' if n == 1 else ""
-        cells = "".join(f'<c r="{_column(k)}{n}" t="inlineStr"{style}><is><t xml:space="preserve">{escape(v)}</t></is></c>' for k, v in enumerate(values, 1))
-        rows.append(f'<row r="{n}">{cells}</row>')
-    cols = "".join(f'<col min="{k}" max="{k}" width="{min(w + 2, widest)}" customWidth="1"/>' for k, w in enumerate(widths, 1))
-    view = '<sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" activePane="bottomLeft" state="frozen"/></sheetView></sheetViews>'
-    return f'{_HEAD}<worksheet xmlns="{_MAIN}">{view}<cols>{cols}</cols><sheetData>{"".join(rows)}</sheetData><autoFilter ref="A1:{_column(len(names))}{len(rows)}"/></worksheet>'
-
-
-def write_workbook(frames: dict[str, DataFrame], path: str, widest: int = 60) -> None:
-    """An XLSX workbook with a sheet for each frame: bold header, first row frozen, filters, widths up to ``widest``.
-
-    A workbook is one file for people to read, so its rows pass through the
-    driver; a frame of more rows than a sheet can hold raises. Larger packages are
-    for ``write_package``.
-    """
-    from . import files
-
-    spark = next(iter(frames.values())).sparkSession
-    for name, df in frames.items():
-        if df.limit(SHEET_ROWS).count() >= SHEET_ROWS:
-            raise ValueError(f"{name} has more rows than a sheet holds")
-    sheets = list(enumerate(frames.items(), 1))
-    parts = {
-        "[Content_Types].xml": f'<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/>'
-        + f'<Override PartName="/xl/workbook.xml" ContentType="{_OFFICE}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{_OFFICE}.styles+xml"/>'
-        + "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{_OFFICE}.worksheet+xml"/>' for k, _ in sheets)
-        + "</Types>",
-        "_rels/.rels": f'<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_RELS}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_RELS}"><sheets>' + "".join(f'<sheet name="{escape(n[:31], {chr(34): "&quot;"})}" sheetId="{k}" r:id="rId{k}"/>' for k, (n, _) in sheets) + "</sheets></workbook>",
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_PACKAGE}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{_RELS}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k, _ in sheets) + f'<Relationship Id="rId{len(sheets) + 1}" Type="{_RELS}/styles" Target="styles.xml"/></Relationships>',
-        "xl/styles.xml": f'<styleSheet xmlns="{_MAIN}"><fonts count="2"><font/><font><b/></font></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf fontId="1" applyFont="1"/></cellXfs></styleSheet>',
-    }
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, text in parts.items():
-            z.writestr(name, text if name.startswith("[") else f"{_HEAD}{text}")
-        for k, (_, df) in sheets:
-            z.writestr(f"xl/worksheets/sheet{k}.xml", _sheet(df, widest))
-    files.put_bytes(spark, path, out.getvalue())
-
-
 def write_package(frames: dict[str, DataFrame], folder: str) -> None:
     """Each frame as a folder of CSV files, and the package's lineage."""
     for name, df in frames.items():

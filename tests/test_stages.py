@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import json
+import zipfile
+import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagequarry.plans import stages as st
 from pagequarry.plans.registry import Inputs
 from pagequarry.sources import readers as rd
-from pagequarry.sources import sinks
+from pagequarry.sources import documents, sinks, workbook
 from pagequarry.streaming.resume import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -122,12 +125,60 @@ def test_plan_goes_on_without_what_failed(spark, tmp_path):
     assert st.run(plan[2:], catalog, force=("c",)) == {"c": "ran"} and st.run(plan[2:], catalog) == {"c": "skipped"}
 
 
-def test_workbook_is_read_again(spark, tmp_path):
-    df = spark.createDataFrame([("a & b", 1), (' "x" <y>', None)], "name string, n int")
+def test_workbook_is_read_again(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("a & b", 1), (' "x" <y>', None)], "name string, n int").coalesce(1)
     path = f"file://{tmp_path}/x.xlsx"
-    sinks.write_workbook({"one & two": df}, path)
-    got = [tuple(r) for r in rd.read_workbook(spark, path).orderBy("row_no").collect()]
-    assert got == [("one & two", 1, ["name", "n"]), ("one & two", 2, ["a & b", "1"]), ("one & two", 3, [' "x" <y>', ""])]
+    for _ in range(2):
+        workbook.write_workbook({"one & two": df, "none": df.limit(0)}, path)
+    got = sorted((r["sheet"], r["row_no"], r["cells"]) for r in workbook.read_workbook(spark, path).collect())
+    assert got == [("none", 1, ["name", "n"]), ("one & two", 1, ["name", "n"]), ("one & two", 2, ["a & b", "1"]), ("one & two", 3, [' "x" <y>', ""])]
+    # many fragments, in the order of the frame
+    monkeypatch.setattr(workbook, "FRAGMENT", 20_000)
+    many = spark.range(30_000).select((30_000 - F.col("id")).alias("k"), F.concat(F.lit("été "), F.col("id")).alias("a.b")).orderBy("k")
+    workbook.write_workbook({"many": many}, path)
+    with zipfile.ZipFile(tmp_path / "x.xlsx") as z:
+        assert z.testzip() is None
+        assert 'ref="A1:B30001"' in z.read("xl/worksheets/sheet1.xml").decode()
+    rows = sorted((r["row_no"], *r["cells"]) for r in workbook.read_workbook(spark, path).collect())
+    assert rows == [(1, "k", "a.b")] + [(i + 1, str(i), f"été {30_000 - i}") for i in range(1, 30_001)]
+    monkeypatch.setattr(workbook, "SHEET_ROWS", 100)
+    with pytest.raises(ValueError):
+        workbook.write_workbook({"many": many}, path)
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == ["x.xlsx"]
+
+
+def test_large_members_are_zip64(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workbook, "_LARGE", 10)
+    zipped = workbook._Zip(spark, f"file://{tmp_path}/x.zip")
+    texts = {"a": "x" * 1000, "b": "", "c": "y" * 5}
+    for name, text in texts.items():
+        zipped.add(name, [workbook._piece(text[:3]), workbook._piece(text[3:])])
+    zipped.close()
+    monkeypatch.undo()
+    data = bytearray((tmp_path / "x.zip").read_bytes())
+    # a field that holds the mark of the small limit is one of the large limit
+    assert data.count(b"PK\x06\x06") == 1
+    for a, b in ((b"x" * 70, b"y" * 9), (b"", b"abc"), (b"abc", b"")):
+        assert workbook.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+def test_full_texts_are_written_in_parts(spark, tmp_path):
+    rows = [("d", p, f"page {p} é") for p in range(200)] + [("e", 1, ""), ("e", 2, None), ("e", 3, "end"), (None, 5, "no name")]
+    pages = spark.createDataFrame(rows, "document_id string, page int, text string").repartition(3)
+    folder = f"file://{tmp_path}/texts"
+    index = documents.write_full_text(pages, folder)
+    by_path = {}
+    for r in index.collect():
+        by_path.setdefault(r["document_id"], {}).setdefault(r["path"], []).append(r)
+    for name, parts in by_path.items():
+        whole = b"".join((tmp_path / "texts" / p).read_bytes() for p in sorted(parts))
+        want = "\n".join(t or "" for d, _, t in rows if d == name).encode()
+        assert whole == want
+        for r in (r for p in parts.values() for r in p):
+            text = next(t or "" for d, n, t in rows if (d, n) == (name, r["page"]))
+            assert whole[r["offset"] : r["offset"] + r["bytes"]].decode() == text
+    assert len(by_path["d"]) > 1
+    assert {(r["document_id"], r["page"], r["text"]) for r in documents.read_pages(index, folder).collect()} == {(d, p, t or "") for d, p, t in rows}
 
 
 def test_decisions_and_json_lines(spark, tmp_path):
