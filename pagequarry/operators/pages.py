@@ -191,19 +191,31 @@ def serial_references(s: Column) -> Column:
 
 
 def _evidence(s: Column) -> Column:
-    """What one scan text shows, as a struct."""
-    has = lambda words: s.rlike(t.worded(words))
-    terms = F.size(F.array_distinct(F.regexp_extract_all(s, F.lit(t.worded(TABLE_CONTEXT)), F.lit(0))))
-    return F.struct(
-        tag_matches(s).alias("matches"),
-        broad_tags(s).alias("broad"),
-        serial_references(s).alias("references"),
-        has(TAG_FIELD).alias("tag_field"),
-        has(SERIAL_FIELD).alias("serial_field"),
-        has(CERTIFICATE).alias("certificate"),
-        has(EQUIPMENT_CONTEXT).alias("equipment"),
-        terms.alias("table_terms"),
-    )
+    """What one scan text shows, as a struct.
+
+    Every identifier has a digit, and one scan tells whether any of the words occurs,
+    so most patterns are looked for in few texts only.
+    """
+    some = s.rlike(t.worded("|".join([TAG_FIELD, SERIAL_FIELD, CERTIFICATE, EQUIPMENT_CONTEXT, TABLE_CONTEXT])))
+    match = "array<struct<kind: string, tag: string, near_tag: boolean, near_equipment: boolean, accepted: boolean>>"
+
+    def looked_at(any_of: Column) -> Column:
+        where = lambda c, kind: F.when(any_of["digit"], c).otherwise(F.array().cast(kind))
+        has = lambda words: any_of["word"] & s.rlike(t.worded(words))
+        found = F.size(F.array_distinct(F.regexp_extract_all(s, F.lit(t.worded(TABLE_CONTEXT)), F.lit(0))))
+        return F.struct(
+            where(tag_matches(s), match).alias("matches"),
+            where(broad_tags(s), "array<string>").alias("broad"),
+            where(serial_references(s), "array<string>").alias("references"),
+            has(TAG_FIELD).alias("tag_field"),
+            has(SERIAL_FIELD).alias("serial_field"),
+            has(CERTIFICATE).alias("certificate"),
+            has(EQUIPMENT_CONTEXT).alias("equipment"),
+            F.when(any_of["word"], found).otherwise(0).alias("table_terms"),
+        )
+
+    # bound, so that each of the two scans is done once
+    return t.bind(F.struct(s.rlike("[0-9]").alias("digit"), some.alias("word")), looked_at)
 
 
 def _reasons(e: Column, broad: Column) -> Column:
