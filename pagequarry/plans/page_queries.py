@@ -9,6 +9,19 @@ from ..functions import text as t
 from ..operators import pages as pg
 from .registry import fixture, query
 
+# fixed values, written out again for the SQL, so that it does not depend on the lists of the operators
+SQL_CERTIFICATE = "FINAL TEST CERTIFICATE|DECLARATION OF CONFORMITY|CALIBRATION CERTIFICATE|TEST CERTIFICATE|INSPECTION CERTIFICATE|CERTIFICATE OF CONFORMITY|CERTIFICATE|DECLARATION"
+SQL_EQUIPMENT_CONTEXT = "EQUIPMENT|INSTRUMENTS?|VALVE|ACTUATOR|TRANSMITTER|CONTROLLER|SWITCH|GAUGE|DETECTOR|SENSOR|METER|ANALYSER|ANALYZER|SOLENOID|CONTROL VALVE|PRESSURE|TEMPERATURE|FLOW|LEVEL|PROCESS CONNECTION|SET ?POINT|PROOF PRESSURE|RANGE|MANUFACTURER|MODEL|TYPE|SERIAL"
+SQL_EQUIPMENT_TERMS = ("EQUIPMENT", "VESSEL", "RECEIVER", "PUMP", "COMPRESSOR", "MOTOR", "TANK", "FILTER", "SEPARATOR", "EXCHANGER", "HEATER", "COOLER", "VALVE", "SKID", "PACKAGE", "BLOWER", "FAN", "GENERATOR", "TURBINE", "INSTRUMENT", "AIR",)
+SQL_EXPLICIT_LABEL = r"\b(EQUIPMENT|VESSEL|PUMP|COMPRESSOR|MOTOR|SKID|PACKAGE)\s+(TAG|NO\.?|NUMBER)\b|\bTAG\s*(NO\.?|NUMBER|#)?\s*[:#]|\bEQUIPMENT\s*:"
+SQL_ISA_FUNCTIONS = "XV|HV|MOV|SDV|ESDV|BDV|PSV|PCV|FCV|LCV|TCV|PT|PI|PIC|PIT|PC|PS|PSH|PSHH|PSL|PSLL|TT|TI|TIC|TIT|TC|TS|TSH|TSHH|TSL|TSLL|FT|FI|FIC|FIT|FC|FS|FSH|FSHH|FSL|FSLL|LT|LI|LIC|LIT|LC|LS|LSH|LSHH|LSL|LSLL|AT|AI|AIC|AIT|AC|AS|ZT|ZI|ZIC|ZIT|ZC|ZS|YT|YI|YIC|YIT|YC|YS|TE|FE|PE|LE|AE|VE|WE"
+SQL_RELEVANT_CLASSES = ("certificate", "material_traceability", "inspection_plan", "inspection_report", "spare_parts", "calibration", "pressure_test", "ndt", "equipment_metadata",)
+SQL_RELEVANT_ROUTES = ("table_extraction", "ocr_key_value",)
+SQL_SERIAL_FIELD = "SERIAL|SERIAL NO|SERIAL NUMBER|S/N|SNO"
+SQL_TABLE_CONTEXT = "TABLE|EQUIPMENT LIST|INSTRUMENT DATA|DATA SHEET|DOCUMENT REGISTER|DOCUMENT NUMBER|DRAWING|SPARE PARTS?|PART NUMBER|QUANTITY|DESCRIPTION|MODEL|RANGE|SET ?POINT|TERMINAL|WIRING|SCHEMATIC|PNEUMATIC|HYDRAULIC|PACKING|STORAGE"
+SQL_TAG_FIELD = "TAG|INSTRUMENT TAG|EQUIPMENT TAG|LOOP TAG|ITEM TAG|TAG NO"
+SQL_TITLE_BLOCK_TERMS = ("SCALE", "SHEET", "DRAWN", "CHECKED", "APPROVED", "APPD", "DWN", "REVISION", "DOCUMENT NUMBER", "PURCHASER", "CLIENT REP",)
+
 fixture("page_text", "SELECT source AS document_id, CAST(doc_id AS BIGINT) AS page, text, CAST(doc_id % 5 AS INT) AS images FROM documents WHERE text IS NOT NULL")
 TAXONOMY = [
     ("index", "high", "native_text_plus_visual_check", ["License, Version", "contents"]),
@@ -87,7 +100,7 @@ def a02(i):
     return pg.class_hits(i.page_text, TAXONOMY).select(F.explode("hits").alias("h")).groupBy(F.col("h.cls").alias("page_class")).agg(F.count("*").alias("n"))
 
 
-@query("p03_intake_relevance", "page_text", sql=_class_sql() + f"SELECT page, priority = 'high' AND page_class IN {pg.RELEVANT_CLASSES} AND route IN {pg.RELEVANT_ROUTES} AS relevant FROM classes")
+@query("p03_intake_relevance", "page_text", sql=_class_sql() + f"SELECT page, priority = 'high' AND page_class IN {SQL_RELEVANT_CLASSES} AND route IN {SQL_RELEVANT_ROUTES} AS relevant FROM classes")
 def p03(i):
     return _classes(i).select("page", pg.relevant(F.col("priority"), F.col("page_class"), F.col("route")).alias("relevant"))
 
@@ -105,7 +118,7 @@ COMPARE = (
     + _profile_sql()
     + f""", j AS (SELECT page, coalesce(page_class, '') AS page_class, coalesce(priority, '') AS priority, coalesce(route, '') AS route, coalesce(recommended_route, '') AS recommended_route, coalesce(images, 0) AS images, coalesce(sel, false) AS selected, coalesce(rev, false) AS in_review
 FROM (SELECT page, page_class, priority, route FROM classes) c FULL JOIN (SELECT page, recommended_route, images FROM routed) p USING (page) FULL JOIN (SELECT page, true AS sel FROM selected_pages) s USING (page) FULL JOIN (SELECT page, true AS rev FROM review_pages) r USING (page)),
-k AS (SELECT *, priority = 'high' AND page_class IN {pg.RELEVANT_CLASSES} AND route IN {pg.RELEVANT_ROUTES} AS intake_relevant FROM j),
+k AS (SELECT *, priority = 'high' AND page_class IN {SQL_RELEVANT_CLASSES} AND route IN {SQL_RELEVANT_ROUTES} AS intake_relevant FROM j),
 f AS (SELECT *, CASE WHEN selected AND intake_relevant THEN 'tag_selected_intake_agrees' WHEN selected THEN 'tag_selected_intake_disagrees' WHEN intake_relevant THEN 'intake_relevant_not_tag_selected' WHEN in_review THEN 'weak_tag_evidence' WHEN page_class = '' THEN 'unknown_or_low_evidence' ELSE 'not_selected_not_intake_relevant' END AS flag FROM k),
 cmp AS (SELECT *, CASE WHEN flag = 'intake_relevant_not_tag_selected' THEN 'high' WHEN flag = 'weak_tag_evidence' THEN 'medium' WHEN flag = 'tag_selected_intake_disagrees' AND (recommended_route = 'render_ocr' OR images >= 3) THEN 'medium' WHEN priority = 'high' THEN 'medium' ELSE 'low' END AS review_priority FROM f) """
 )
@@ -130,7 +143,7 @@ def p05(i):
     return _compared(i).select("page", "flag", "review_priority")
 
 
-@query("p06_supplemental_pages", "page_text", "selected_pages", sql=_class_sql() + f"SELECT page, page_class, score FROM classes WHERE priority = 'high' AND page_class IN {pg.RELEVANT_CLASSES} AND route IN {pg.RELEVANT_ROUTES} AND score >= 100 AND page NOT IN (SELECT page FROM selected_pages)")
+@query("p06_supplemental_pages", "page_text", "selected_pages", sql=_class_sql() + f"SELECT page, page_class, score FROM classes WHERE priority = 'high' AND page_class IN {SQL_RELEVANT_CLASSES} AND route IN {SQL_RELEVANT_ROUTES} AND score >= 100 AND page NOT IN (SELECT page FROM selected_pages)")
 def p06(i):
     c = _classes(i).filter(pg.relevant(F.col("priority"), F.col("page_class"), F.col("route")) & (F.col("score") >= 100))
     return c.join(i.selected_pages, "page", "left_anti").select("page", "page_class", "score")
@@ -175,12 +188,12 @@ def _scan_sql() -> str:
     """The twin's engine has no look-around: runs of characters are marked instead, and patterns take the marks in."""
     gap = r"(?:⟩\s*⟨)?"
     tags = {
-        "compact_instrument_tag": rf"⟨\d{{3,8}}{gap}(?:{pg.ISA_FUNCTIONS}){gap}\d{{1,8}}(?:[A-Z]{{1,4}})?⟩",
-        "isa_instrument_tag": rf"⟨(?:{pg.ISA_FUNCTIONS})(?:⟩\s*-?\s*⟨)?\d{{1,8}}(?:[A-Z]{{1,4}})?⟩",
+        "compact_instrument_tag": rf"⟨\d{{3,8}}{gap}(?:{SQL_ISA_FUNCTIONS}){gap}\d{{1,8}}(?:[A-Z]{{1,4}})?⟩",
+        "isa_instrument_tag": rf"⟨(?:{SQL_ISA_FUNCTIONS})(?:⟩\s*-?\s*⟨)?\d{{1,8}}(?:[A-Z]{{1,4}})?⟩",
         "broad": rf"⟨\d{{3,8}}{gap}[A-Z]{{2,8}}{gap}\d{{2,8}}(?:[A-Z]{{1,4}})?⟩",
     }
     has = lambda c, words: rf"regexp_matches({c}, '(^|[^\p{{L}}\p{{N}}_])({words})([^\p{{L}}\p{{N}}_]|$)')"
-    table = pg.TABLE_CONTEXT.replace(" ?", r"(?:⟩\s*⟨)?").replace(" ", r"⟩\s+⟨")
+    table = SQL_TABLE_CONTEXT.replace(" ?", r"(?:⟩\s*⟨)?").replace(" ", r"⟩\s+⟨")
     hits = " UNION ALL ".join(f"SELECT page, rotation, s, '{k}' AS kind, {n} AS nth, regexp_extract_all(a, '{p}') AS hits, string_split_regex(a, '{p}') AS gaps FROM n" for n, (k, p) in enumerate(tags.items()))
     return rf""", n0 AS (SELECT page, rotation, trim(regexp_replace(translate(upper(replace(text, 'ß', 'ss')), '–—|_', '--  '), '[\s\p{{Z}}\x0b\x1c-\x1f\x85]+', ' ', 'g')) AS s FROM rotations),
 n AS (SELECT page, rotation, s, regexp_replace(s, '([A-Z0-9]+)', '⟨\1⟩', 'g') AS a, regexp_replace(s, '(\d+)', '⟨\1⟩', 'g') AS digits, regexp_replace(s, '([\p{{L}}\p{{N}}_]+)', '⟨\1⟩', 'g') AS w FROM n0),
@@ -188,14 +201,14 @@ h0 AS ({hits}),
 h1 AS (SELECT page, rotation, s, kind, nth, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM h0 WHERE len(hits) > 0),
 h2 AS (SELECT page, rotation, s, kind, nth, i, translate(hit, '⟨⟩', '') AS hit, length(translate(hit, '⟨⟩', '')) AS size, sum(length(translate(gap, '⟨⟩', '')) + length(translate(hit, '⟨⟩', ''))) OVER (PARTITION BY page, rotation, nth ORDER BY i) AS stop FROM h1),
 h3 AS (SELECT *, regexp_replace(hit, '\s+', '', 'g') AS tag, substring(s, CAST(greatest(stop - size - 220, 0) + 1 AS BIGINT), CAST(stop - greatest(stop - size - 220, 0) + 220 AS BIGINT)) AS near FROM h2),
-h4 AS (SELECT *, {has("near", pg.TAG_FIELD)} AS near_tag, {has("near", pg.EQUIPMENT_CONTEXT)} AS near_equipment FROM h3),
+h4 AS (SELECT *, {has("near", SQL_TAG_FIELD)} AS near_tag, {has("near", SQL_EQUIPMENT_CONTEXT)} AS near_equipment FROM h3),
 hit AS (SELECT page, rotation, kind, nth, i, tag, near_tag, near_equipment, kind = 'compact_instrument_tag' OR CASE WHEN length(tag) > 5 THEN contains(hit, '-') OR length(tag) >= 7 OR near_tag OR near_equipment ELSE near_tag OR near_equipment END AS accepted FROM h4 WHERE kind <> 'broad'),
 sure AS (SELECT page, rotation, list_distinct(list(tag)) AS sure, CAST(5 * count(DISTINCT tag) + sum(5 * near_tag::INT + 2 * near_equipment::INT) AS INT) AS points, bool_or(near_tag OR near_equipment) AS near, bool_or(near_equipment) AS near_equipment FROM hit WHERE accepted GROUP BY 1, 2),
 brd AS (SELECT h4.page, h4.rotation, tag, min(i) AS i FROM h4 LEFT JOIN sure USING (page, rotation) WHERE kind = 'broad' AND near_tag AND NOT list_contains(coalesce(sure, []), tag) GROUP BY 1, 2, 3),
 brds AS (SELECT page, rotation, list(tag) AS broad FROM brd GROUP BY 1, 2),
 ser AS (SELECT page, rotation, ref, min(i) AS i FROM (SELECT page, rotation, unnest(x) AS ref, generate_subscripts(x, 1) AS i FROM (SELECT page, rotation, list_transform(regexp_extract_all(digits, '⟨\d{{3,8}}⟩\s*[-/]\s*⟨\d{{1,8}}⟩'), lambda r: regexp_replace(translate(r, '⟨⟩', ''), '\s+', '', 'g')) AS x FROM n) q) q GROUP BY 1, 2, 3),
 sers AS (SELECT page, rotation, list_sort(list(ref)) AS serials FROM ser GROUP BY 1, 2),
-f AS (SELECT page, rotation, s, {has("s", pg.TAG_FIELD)} AS tag_field, {has("s", pg.SERIAL_FIELD)} AS serial_field, {has("s", pg.CERTIFICATE)} AS certificate, {has("s", pg.EQUIPMENT_CONTEXT)} AS equipment, len(list_distinct(regexp_extract_all(w, '⟨(?:{table})⟩'))) AS terms FROM n),
+f AS (SELECT page, rotation, s, {has("s", SQL_TAG_FIELD)} AS tag_field, {has("s", SQL_SERIAL_FIELD)} AS serial_field, {has("s", SQL_CERTIFICATE)} AS certificate, {has("s", SQL_EQUIPMENT_CONTEXT)} AS equipment, len(list_distinct(regexp_extract_all(w, '⟨(?:{table})⟩'))) AS terms FROM n),
 ev AS (SELECT f.*, coalesce(near, false) AS near, coalesce(near_equipment, false) AS near_equipment, list_sort(list_concat(coalesce(sure, []), coalesce(broad, []))) AS tags, coalesce(serials, []) AS serials,
 CAST(coalesce(points, 0) + 3 * len(coalesce(broad, [])) AS INT) AS equipment_score, CAST(len(coalesce(serials, [])) AS INT) AS serial_score,
 CAST(3 * tag_field::INT + 2 * serial_field::INT + 3 * (tag_field AND serial_field)::INT + 3 * certificate::INT + equipment::INT + (terms > 0)::INT + 2 * (terms >= 3)::INT AS INT) AS review_score
@@ -299,12 +312,12 @@ def s11(i):
 CANDIDATE = r"""(SELECT page, CASE CAST(page % 5 AS INT) WHEN 0 THEN concat('863-ACS-', CAST(page % 900 + 100 AS STRING)) WHEN 1 THEN concat('IN-', CAST(page AS STRING), '-AB') WHEN 2 THEN concat('863-AB-', CAST(page % 800 + 100 AS STRING), '/', CAST(page % 800 + 101 AS STRING)) WHEN 3 THEN concat('X', CAST(page AS STRING), '-7-2') ELSE concat('512-P-', CAST(page % 700 + 200 AS STRING)) END AS candidate,
 CASE CAST(page % 7 AS INT) WHEN 0 THEN concat('EQUIPMENT TAG: here ', text) WHEN 1 THEN CASE WHEN page % 2 = 0 THEN 'pump and valve near' ELSE 'skid pump motor filter 512-PV-100/200, ' END WHEN 2 THEN 'DRAWING no' WHEN 3 THEN 'document specification' WHEN 4 THEN 'JOB 12' WHEN 5 THEN concat('ITP ref ', text) ELSE concat('scale sheet drawn checked package fan air skid 863-AB-', CAST(page % 800 + 100 AS STRING), ' / ', CAST(page % 800 + 101 AS STRING), ' ', text) END AS context FROM page_text)"""
 fixture("candidates", CANDIDATE.removeprefix("(").removesuffix(")"), "page_text")
-TERMS = ", ".join(f"'{x}'" for x in sorted(pg.EQUIPMENT_TERMS))
-TITLES = ", ".join(f"'{x}'" for x in pg.TITLE_BLOCK_TERMS)
+TERMS = ", ".join(f"'{x}'" for x in sorted(SQL_EQUIPMENT_TERMS))
+TITLES = ", ".join(f"'{x}'" for x in SQL_TITLE_BLOCK_TERMS)
 UP = r"upper(trim(regexp_replace({0}, '\s+', ' ', 'g'), ' ' || chr(9) || chr(13) || chr(10) || ':;,.()[]{{}}'))"
 P38 = rf""", c AS (SELECT page, candidate, {UP.format("candidate")} AS v, {UP.format("context")} AS u FROM candidates),
 x AS (SELECT *, len(list_filter([{TERMS}], lambda x: contains(u, x)))::INT AS n, len(list_filter([{TITLES}], lambda x: contains(u, x))) >= 3 AS title, regexp_matches(v, '^\d{{3,4}}\s*-\s*[A-Z]{{1,4}}\s*-\s*\d{{3,5}}$') AS f, regexp_matches(u, '\b\d{{3,4}}\s*-\s*[A-Z]{{1,4}}\s*-\s*\d{{3,5}}\s*/\s*\d{{3,5}}\b') AS pr,
-regexp_matches(u, '{pg.EXPLICIT_LABEL}') AS ex, regexp_matches(u, '\b(DRG|DWG|DRAWING)') AS dr, regexp_matches(u, '\b(DOC|DOCUMENT|QCP|WPS|WPQR|ITP|MDR|P&ID)\b') AS dc, regexp_matches(u, '\bJOB') AS jb FROM c),
+regexp_matches(u, '{SQL_EXPLICIT_LABEL}') AS ex, regexp_matches(u, '\b(DRG|DWG|DRAWING)') AS dr, regexp_matches(u, '\b(DOC|DOCUMENT|QCP|WPS|WPQR|ITP|MDR|P&ID)\b') AS dc, regexp_matches(u, '\bJOB') AS jb FROM c),
 y AS (SELECT *, (CASE WHEN ex THEN 8 ELSE 0 END) + least(4, n) + (CASE WHEN pr THEN 3 ELSE 0 END) - (CASE WHEN title THEN 5 ELSE 0 END) + (CASE WHEN f THEN 2 ELSE -2 END) AS total FROM x),
 z AS (SELECT page, candidate, CASE WHEN dr OR regexp_matches(v, '^(RFT-|GMMOS-|IN-)') THEN 'drawing_or_document_reference|-7|exclude_from_asset_admission' WHEN dc AND regexp_matches(u, 'SPECIFICATION|PROCEDURE|DOCUMENT') THEN 'document_or_procedure_reference|-6|exclude_from_asset_admission' WHEN f AND ex THEN 'likely_equipment_tag|12|admit_to_asset_candidate_queue' WHEN f AND n >= 1 THEN 'possible_equipment_tag|' || (6 + least(3, n)) || '|review_for_asset_admission' WHEN dc THEN 'document_or_procedure_reference|-6|exclude_from_asset_admission' WHEN jb THEN 'job_number_or_reference|-5|exclude_from_asset_admission' WHEN total >= 10 THEN 'likely_equipment_tag|' || total || '|admit_to_asset_candidate_queue' WHEN total >= 5 THEN 'possible_equipment_tag|' || total || '|review_for_asset_admission' ELSE 'ambiguous_identifier|' || total || '|review_only' END AS w FROM y),
 cand AS (SELECT page, candidate, split_part(w, '|', 1) AS type, CAST(split_part(w, '|', 2) AS INT) AS score, split_part(w, '|', 3) AS recommendation FROM z) """

@@ -51,7 +51,10 @@ def p09(i):
 @query(
     "g05_iou",
     "ocr_lines",
-    sql=""", p AS (SELECT a.table_id, a.line_no AS left_no, b.line_no AS right_no, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) AS w, greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS h, (a.x2 - a.x1) * (a.y2 - a.y1) AS s, (b.x2 - b.x1) * (b.y2 - b.y1) AS r FROM ocr_lines a JOIN ocr_lines b ON a.table_id = b.table_id AND a.line_no < b.line_no)
+    sql=""", lists AS (SELECT table_id, list({'line_no': line_no, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}) AS ls FROM ocr_lines GROUP BY 1),
+lefts AS (SELECT table_id, ls, unnest(ls) AS a FROM lists),
+pairs AS (SELECT table_id, a, unnest(ls) AS b FROM lefts),
+p AS (SELECT table_id, a.line_no AS left_no, b.line_no AS right_no, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) AS w, greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS h, (a.x2 - a.x1) * (a.y2 - a.y1) AS s, (b.x2 - b.x1) * (b.y2 - b.y1) AS r FROM pairs WHERE a.line_no < b.line_no)
 SELECT table_id, left_no, right_no, CASE WHEN s + r - w * h > 0 THEN w * h / (s + r - w * h) ELSE 0 END AS iou, CASE WHEN least(s, r) > 0 THEN w * h / least(s, r) ELSE 0 END AS overlap FROM p WHERE w > 0 AND h > 0""",
 )
 def g05(i):
@@ -185,7 +188,7 @@ def a04(i):
     return tb.auto_review(i.review_rows).select("page", "table_id", "line_no", "copies")
 
 
-@query("j06_crop_manifest", "review_rows", sql=" SELECT r.page, r.table_id, r.line_no, coalesce(m.crop, '') AS crop_file FROM review_rows r LEFT JOIN (SELECT table_id, line_no, crop FROM review_rows WHERE line_no % 2 = 0) m USING (table_id, line_no)")
+@query("j06_crop_manifest", "review_rows", sql=" SELECT page, table_id, line_no, CASE WHEN line_no % 2 = 0 THEN coalesce(crop, '') ELSE '' END AS crop_file FROM review_rows")
 def j06(i):
     m = i.review_rows.filter("line_no % 2 = 0").select("table_id", "line_no", F.col("crop").alias("crop_file"))
     return i.review_rows.join(m, ["table_id", "line_no"], "left").select("page", "table_id", "line_no", t.text("crop_file").alias("crop_file"))
