@@ -333,3 +333,19 @@ def inherited(records: DataFrame, references: tuple[str, ...], fields: tuple[str
     j = lack.join(donors, ["ref_name", "ref", "field_name"]).filter("donor <> equipment_tag")
     out = j.groupBy(*key, "field_name").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.countDistinct("donor").alias("n_donors"))
     return out.filter("lo = hi").select(*key, "field_name", F.col("lo").alias("inherited_value"), "n_donors")
+
+
+#: Fields of a record, which all count for its score; the first ones are named where they are missing.
+RECORD_FIELDS = (*CORE, "serial_number", "purchase_order", "declaration_reference")
+
+
+def record_score(fields: tuple[str, ...] = RECORD_FIELDS, core: tuple[str, ...] = CORE) -> tuple[Column, Column, Column]:
+    """How many fields of a record are filled, its review status, and which core fields are missing."""
+    score = sum((F.col(c) != "").cast("int") for c in fields)
+    missing = F.concat_ws(",", *[F.when(F.col(c) == "", c) for c in core])
+    return score, F.when(score == len(fields), "complete").otherwise("review_required"), missing
+
+
+def confidence_text(confidence: Column, least: float = 0.0) -> Column:
+    """A confidence to four places; nothing for what is not above ``least``."""
+    return F.when(confidence - least <= 0, "").otherwise(F.format_string("%.4f", confidence))

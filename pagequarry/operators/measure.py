@@ -219,3 +219,58 @@ def reconciled(primary: DataFrame, review: DataFrame, layer: DataFrame) -> DataF
     review_ = F.when(F.col("p").isNotNull(), "primary").when(n == 1, "secondary_verified").otherwise("review_required")
     value = F.when(F.col("p").isNotNull(), primary_).when(n == 1, F.get("s", F.lit(0))).otherwise("")
     return j.select(*key, value.alias("value"), status.alias("status"), review_.alias("review_status"))
+
+
+def row_identifiers(words: DataFrame, row: str = "row_no") -> DataFrame:
+    """The leftmost word of each row that has parts joined by hyphen, underscore or slash."""
+    found = words.filter(F.upper("word").rlike("^[A-Z0-9]+([-_/][A-Z0-9]+)+$"))
+    return found.groupBy(row).agg(F.min_by("word", "x").alias("identifier"))
+
+
+def row_positions(words: DataFrame, row: str = "row_no", most: int = 10_000) -> DataFrame:
+    """The leftmost integer of each row, from 1 to ``most``."""
+    n = F.when(F.col("word").rlike(r"^\d+$"), F.col("word").try_cast("int"))
+    return words.withColumn("n", n).filter(F.col("n").between(1, most)).groupBy(row).agg(F.min_by("n", "x").alias("position"))
+
+
+def unique_bands(members: DataFrame) -> DataFrame:
+    """Cells that lie in one band only (``n`` is their number of bands)."""
+    return members.filter("n = 1").select("cell_id", "band")
+
+
+def shares_terms(text: Column, terms: tuple[str, ...]) -> Column:
+    """Whether a text has one of the terms as a word between spaces."""
+    return F.arrays_overlap(F.split(F.lower(text), " "), F.array(*[F.lit(x) for x in terms]))
+
+
+def row_window(cells: DataFrame, anchors: DataFrame, keys: list[str], height: float = 62.0) -> DataFrame:
+    """``cell_id, anchor``: anchors (``keys, anchor, ay``) within ``height`` above or below a cell of their group.
+
+    Cells and anchors meet by bands of that height, a cell in the bands around its own.
+    """
+    band = F.floor(F.col("y") / height)
+    near = cells.withColumn("_band", F.explode(F.array(band - 1, band, band + 1)))
+    banded = anchors.withColumn("_band", F.floor(F.col("ay") / height))
+    return near.join(banded, [*keys, "_band"]).filter(F.abs(F.col("y") - F.col("ay")) <= height).select("cell_id", "anchor")
+
+
+def order_acceptance(declaration: Column) -> Column:
+    """The five digits at the end of a declaration's reference, else nothing."""
+    return F.regexp_extract(declaration, r"(\d{5})$", 1)
+
+
+def valid_date(text: Column) -> Column:
+    """A date from day, month and year or the other way round; null where it is none."""
+    return F.coalesce(F.try_to_date(text, "dd-MM-yyyy"), F.try_to_date(text, "yyyy-MM-dd"))
+
+
+def valid_serial(text: Column) -> Column:
+    return text.rlike(r"^\d{6}$")
+
+
+def first_available(sources: dict[str, DataFrame], names: tuple[str, ...]) -> DataFrame:
+    """The first of some sources, by name, that is given."""
+    found = next((n for n in names if n in sources), None)
+    if found is None:
+        raise KeyError(f"none of {', '.join(names)} is there")
+    return sources[found]

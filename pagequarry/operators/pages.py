@@ -151,7 +151,7 @@ def page_sets_equal(*frames: DataFrame) -> DataFrame:
     return every.groupBy("page").agg(F.count("*").alias("n_frames")).filter(F.col("n_frames") < len(frames))
 
 
-# a look at the shape comes before the long list of functions
+# fixed values, but for the looks ahead, which change no match and save time
 ISA_TAG = rf"(?=[A-Z])(?<![A-Z0-9])(?=[A-Z]{{2,4}}\s*-?\s*\d)(?:{ISA_FUNCTIONS})\s*-?\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
 COMPACT_TAG = rf"(?=\d)(?<![A-Z0-9])\d{{3,8}}\s*(?:{ISA_FUNCTIONS})\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
 BROAD_TAG = r"(?=\d)(?<![A-Z0-9])\d{3,8}\s*[A-Z]{2,8}\s*\d{2,8}(?:[A-Z]{1,4})?(?![A-Z0-9])"
@@ -392,3 +392,25 @@ def tag_candidate(value: Column, context: Column) -> Column:
 
     up = lambda c: F.upper(t.clean(c, t.EDGES))
     return t.bind(F.struct(up(context).alias("ctx"), up(value).alias("value")), judged)
+
+
+def batch_rows(pages: DataFrame, selected: DataFrame, route: str = "table_extraction", reason: str = "selected_tag_page") -> DataFrame:
+    """Rows of a batch for the selected pages: ``document_id, page, recommended_route, reason``."""
+    kept = pages.join(selected, "page", "left_semi")
+    return kept.select("document_id", "page", F.lit(route).alias("recommended_route"), F.lit(reason).alias("reason"))
+
+
+def page_review_queue(weak: DataFrame, fields: DataFrame, most: int = 2) -> DataFrame:
+    """``page, review_reason``: pages of weak tag evidence, and those with ``most`` rows of ``fields`` or fewer."""
+    sparse = fields.groupBy("page").agg(F.count("*").alias("n")).filter(F.col("n") <= most)
+    named = lambda df, why: df.select(F.col("page").cast("long").alias("page"), F.lit(why).alias("review_reason"))
+    return named(weak, "weak_tag_evidence").unionByName(named(sparse, "sparse_non_tabular_fields"))
+
+
+def preview(text: Column, size: int = 40) -> Column:
+    """The first characters of a text."""
+    return F.left(text, F.lit(size))
+
+
+def first_words(text: Column, n: int = 3) -> Column:
+    return F.array_join(F.slice(F.split(F.btrim(text, F.lit(" ")), r"\s+"), 1, n), " ")

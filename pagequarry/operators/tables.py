@@ -273,3 +273,47 @@ def nearest_column(cells: DataFrame, columns: DataFrame) -> DataFrame:
     d = F.abs(F.col("cx") - F.col("column_x"))
     j = j.filter(d <= F.greatest(F.col("column_width") * 1.8, F.lit(120.0)))
     return j.groupBy(*TABLE, "line_no").agg(F.min_by("column_no", F.struct(d, F.col("column_no"))).alias("column_no"), F.min(d).alias("distance"))
+
+
+def extractor_tables(payload: Column, number: Column) -> tuple[Column, Column]:
+    """The id and the number of rows of what an extractor gave: an object with rows, a list of rows, or one value.
+
+    What names no table gets an id from ``number``.
+    """
+    made, many = F.startswith(payload, F.lit("{")), F.startswith(payload, F.lit("["))
+    n = F.when(made, F.json_array_length(F.get_json_object(payload, "$.rows"))).when(many, F.json_array_length(payload)).otherwise(1)
+    name = F.when(made, F.get_json_object(payload, "$.table_id")).otherwise(F.concat(F.lit("table_"), number.cast("string")))
+    return name, n
+
+
+def modes(rows: DataFrame, keys: list[str], value: str, order: Column) -> DataFrame:
+    """``keys``, the most frequent ``value`` and its count ``n``; of equals the first by ``order``."""
+    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
+    return counts.groupBy(*keys).agg(F.max_by(value, F.struct("n", -F.col("_first"))).alias(value), F.max("n").alias("n"))
+
+
+def table_score(heading: Column, row: Column, sure: Column, text: Column) -> Column:
+    """An aggregate: 10 for each heading line, 2 for each different row text, and up to 5 for sure lines."""
+    rows = F.countDistinct(F.when(row, text))
+    return F.count_if(heading) * 10 + rows * 2 + F.least(F.lit(5), F.count_if(sure))
+
+
+def valid_lines(lines: DataFrame) -> DataFrame:
+    """Lines with a text and a box that has an area."""
+    return lines.filter((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")) & (F.btrim("text") != ""))
+
+
+def table_groups(lines: DataFrame) -> DataFrame:
+    """Tables with their number of lines that hold text, and the first such line."""
+    return lines.filter(F.btrim("text") != "").groupBy(*TABLE).agg(F.count("*").alias("n_lines"), F.min("line_no").alias("first_line"))
+
+
+# fixed values
+LINE_FIELDS = {"serial": r"SERIAL NO: *(\S+)", "model": r"MODEL *: *(\S+)", "client": "CLIENT: *(.+)$"}
+
+
+def line_fields(lines: DataFrame, keys: list[str], patterns: dict[str, str] | None = None) -> DataFrame:
+    """``keys, field_name, value`` of the fields that upper-cased lines name."""
+    patterns = patterns or LINE_FIELDS
+    found = lines.select(*keys, *[F.regexp_extract(F.upper("text"), p, 1).alias(n) for n, p in patterns.items()])
+    return found.unpivot(keys, list(patterns), "field_name", "value").filter("value <> ''")

@@ -349,10 +349,8 @@ def a20(i):
 
 @query("p28_record_score", "register_wide", sql=" SELECT equipment_tag, score, CASE WHEN score = 7 THEN 'complete' ELSE 'review_required' END AS review_status, missing FROM (SELECT equipment_tag, CAST((model <> '')::INT + (equipment_description <> '')::INT + (range_or_rating <> '')::INT + (set_point <> '')::INT + (serial_number <> '')::INT + (purchase_order <> '')::INT + (declaration_reference <> '')::INT AS INT) AS score, concat_ws(',', CASE WHEN model = '' THEN 'model' END, CASE WHEN equipment_description = '' THEN 'equipment_description' END, CASE WHEN range_or_rating = '' THEN 'range_or_rating' END, CASE WHEN set_point = '' THEN 'set_point' END) AS missing FROM register_wide) q")
 def p28(i):
-    names = (*FIELDS, "serial_number", "purchase_order", "declaration_reference")
-    score = sum((F.col(c) != "").cast("int") for c in names)
-    missing = F.concat_ws(",", *[F.when(F.col(c) == "", c) for c in FIELDS])
-    return i.register_wide.select("equipment_tag", score.alias("score"), F.when(score == len(names), "complete").otherwise("review_required").alias("review_status"), missing.alias("missing"))
+    score, status, missing = ev.record_score()
+    return i.register_wide.select("equipment_tag", score.alias("score"), status.alias("review_status"), missing.alias("missing"))
 
 
 @query("f22_rank_maps", "evidence", sql=" SELECT evidence_tier, CASE evidence_tier WHEN 'tier_1_dense_record_evidence' THEN 4 WHEN 'tier_1_direct_or_linked_row' THEN 4 WHEN 'tier_2_local_shared_block_evidence' THEN 2 ELSE 0 END AS tier_rank, count(*) AS n FROM evidence GROUP BY 1, 2")
@@ -363,4 +361,4 @@ def f22(i):
 
 @query("f23_confidence_format", "evidence", sql=" SELECT evidence_id, CASE WHEN confidence - 0.92::DOUBLE <= 0 THEN '' ELSE printf('%.4f', confidence) END AS confidence_text FROM evidence")
 def f23(i):
-    return i.evidence.select("evidence_id", F.when(F.col("confidence") - 0.92 <= 0, "").otherwise(F.format_string("%.4f", "confidence")).alias("confidence_text"))
+    return i.evidence.select("evidence_id", ev.confidence_text(F.col("confidence"), 0.92).alias("confidence_text"))

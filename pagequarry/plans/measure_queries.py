@@ -75,13 +75,12 @@ fixture("row_words", "SELECT o_orderkey AS row_no, w.n AS x, CASE w.n WHEN 0 THE
 
 @query("f08_row_identifier", "row_words", sql=r" SELECT row_no, arg_min(word, x) AS identifier FROM row_words WHERE regexp_matches(upper(word), '^[A-Z0-9]+([-_/][A-Z0-9]+)+$') GROUP BY 1")
 def f08(i):
-    return i.row_words.filter(F.upper("word").rlike("^[A-Z0-9]+([-_/][A-Z0-9]+)+$")).groupBy("row_no").agg(F.min_by("word", "x").alias("identifier"))
+    return ms.row_identifiers(i.row_words)
 
 
 @query("g15_leftmost_integer", "row_words", sql=r" SELECT row_no, CAST(arg_min(word, x) AS INT) AS position FROM row_words WHERE regexp_matches(word, '^\d+$') AND CAST(word AS INT) BETWEEN 1 AND 10000 GROUP BY 1".replace("WHERE regexp_matches(word, '^\\d+$') AND CAST(word AS INT) BETWEEN", "WHERE TRY_CAST(CASE WHEN regexp_matches(word, '^\\d+$') THEN word END AS INT) BETWEEN"))
 def g15(i):
-    n = F.when(F.col("word").rlike(r"^\d+$"), F.col("word").try_cast("int"))
-    return i.row_words.withColumn("n", n).filter("n between 1 and 10000").groupBy("row_no").agg(F.min_by("n", "x").alias("position"))
+    return ms.row_positions(i.row_words)
 
 
 # header cells: with and without a direction, a measurement or a width
@@ -133,7 +132,7 @@ def _band_members(i):
 
 @query("j22_unique_band", "cells", sql=BANDS + "SELECT cell_id, band FROM m WHERE n = 1")
 def j22(i):
-    return _band_members(i).filter("n = 1").select("cell_id", "band")
+    return ms.unique_bands(_band_members(i))
 
 
 def _slots(i):
@@ -289,7 +288,7 @@ def u05(i):
 
 @query("u06_term_overlap", "measure_text", sql=r" SELECT text_no, len(list_intersect(list_distinct(string_split(lower(text), ' ')), ['pressure', 'reading', 'value', 'range'])) > 0 AS shares FROM measure_text")
 def u06(i):
-    return i.measure_text.select("text_no", F.arrays_overlap(F.split(F.lower("text"), " "), F.array(*[F.lit(x) for x in ("pressure", "reading", "value", "range")])).alias("shares"))
+    return i.measure_text.select("text_no", ms.shares_terms(F.col("text"), ("pressure", "reading", "value", "range")).alias("shares"))
 
 
 fixture("identifiers", "SELECT CAST(o_orderkey % 60 AS INT) AS page, CASE WHEN o_orderkey % 60 >= 40 THEN concat(CASE WHEN o_orderkey % 4 = 0 THEN 'PT-' ELSE 'PS-' END, CAST(o_orderkey % 90 AS STRING)) WHEN o_orderkey % 6 = 0 THEN concat('366-', CAST(o_orderkey % 30 AS STRING)) ELSE concat('003656-00', CAST(o_orderkey % 40 + 10 AS STRING)) END AS identifier FROM orders")
@@ -388,7 +387,7 @@ def o06(i):
 def j19(i):
     c = i.cells.withColumn("grp", F.col("table_id") % 100)
     a = c.filter("place = 0").groupBy("grp", F.col("tag").alias("anchor")).agg(F.min("y").alias("ay"))
-    return c.join(a, "grp").filter("abs(y - ay) <= 62").select("cell_id", "anchor")
+    return ms.row_window(c, a, ["grp"])
 
 
 fixture(
@@ -469,7 +468,7 @@ def f29(i):
 
 @query("f30_order_acceptance", "register_wide", sql=r" SELECT equipment_tag, regexp_extract(declaration_reference || lpad(equipment_tag, 5, '0'), '(\d{5})$', 1) AS order_acceptance_number FROM register_wide")
 def f30(i):
-    return i.register_wide.select("equipment_tag", F.regexp_extract(F.concat("declaration_reference", F.lpad("equipment_tag", 5, "0")), r"(\d{5})$", 1).alias("order_acceptance_number"))
+    return i.register_wide.select("equipment_tag", ms.order_acceptance(F.concat("declaration_reference", F.lpad("equipment_tag", 5, "0"))).alias("order_acceptance_number"))
 
 
 @query("f01_clean", "measure_text", sql=r" SELECT text_no, trim(regexp_replace('  ' || text || chr(9) || ' x ', '\s+', ' ', 'g')) AS plain, trim(regexp_replace(' ;' || text || '| ', '\s+', ' ', 'g'), ' ;|,') AS bare FROM measure_text")
@@ -492,7 +491,7 @@ def f21(i):
 def f14(i):
     n = F.col("text_no")
     day = F.concat_ws("-", F.lpad((n % 28 + 1).cast("string"), 2, "0"), F.lpad((n % 12 + 1).cast("string"), 2, "0"), (n % 40 + 1990).cast("string"))
-    return i.measure_text.select("text_no", F.coalesce(F.try_to_date(day, "dd-MM-yyyy"), F.try_to_date(day, "yyyy-MM-dd")).cast("string").alias("day"), n.cast("string").rlike(r"^\d{6}$").alias("serial_ok"))
+    return i.measure_text.select("text_no", ms.valid_date(day).cast("string").alias("day"), ms.valid_serial(n.cast("string")).alias("serial_ok"))
 
 
 @query("j32_done_pending", sql=" SELECT o_orderkey AS page, CASE WHEN o_orderkey % 3 = 0 THEN 'completed' ELSE 'pending' END AS state FROM orders WHERE o_orderkey % 2 = 0")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..operators import measure as ms
 from ..operators import pages as pg
 from ..operators import tables as tb
 from ..sources import readers as rd
@@ -72,11 +73,8 @@ fixture("shapes", """SELECT o_orderkey AS shape_no, CASE CAST(o_orderkey % 3 AS
 
 @query("s23_extractor_shapes", "shapes", sql=" SELECT shape_no, CASE WHEN payload LIKE '{%' THEN json_extract_string(payload, '$.table_id') ELSE concat('table_', CAST(shape_no AS STRING)) END AS table_id, CAST(CASE WHEN payload LIKE '{%' THEN json_array_length(json_extract(payload, '$.rows')) WHEN payload LIKE '[%' THEN json_array_length(CAST(payload AS JSON)) ELSE 1 END AS INT) AS n_rows FROM shapes")
 def s23(i):
-    p = F.col("payload")
-    made = F.startswith(p, F.lit("{"))
-    many = F.startswith(p, F.lit("["))
-    n = F.when(made, F.json_array_length(F.get_json_object(p, "$.rows"))).when(many, F.json_array_length(p)).otherwise(1)
-    return i.shapes.select("shape_no", F.when(made, F.get_json_object(p, "$.table_id")).otherwise(F.concat(F.lit("table_"), F.col("shape_no").cast("string"))).alias("table_id"), n.alias("n_rows"))
+    name, n = tb.extractor_tables(F.col("payload"), F.col("shape_no"))
+    return i.shapes.select("shape_no", name.alias("table_id"), n.alias("n_rows"))
 
 
 @query("k03_summary_counts", "page_text", sql=page_queries._class_sql() + "SELECT 'rows' AS fact, '' AS label, count(*) AS n FROM classes UNION ALL SELECT 'page_class', page_class, count(*) FROM classes GROUP BY 2 UNION ALL SELECT 'route', route, count(*) FROM classes GROUP BY 2")
@@ -104,15 +102,12 @@ def m09(i):
 
 @query("m05_batch_rows", "page_text", "selected_pages", sql=" SELECT document_id, page, 'table_extraction' AS recommended_route, 'selected_tag_page' AS reason FROM page_text WHERE page IN (SELECT page FROM selected_pages)")
 def m05(i):
-    p = i.page_text.join(i.selected_pages, "page", "left_semi")
-    return p.select("document_id", "page", F.lit("table_extraction").alias("recommended_route"), F.lit("selected_tag_page").alias("reason"))
+    return pg.batch_rows(i.page_text, i.selected_pages)
 
 
 @query("m06_review_queue", "review_pages", "key_lines", sql=" SELECT page, 'weak_tag_evidence' AS review_reason FROM review_pages UNION ALL SELECT page, 'sparse_non_tabular_fields' FROM (SELECT page FROM key_lines WHERE contains(text, 'CLIENT') GROUP BY 1 HAVING count(*) <= 2) q")
 def m06(i):
-    weak = i.review_pages.select("page", F.lit("weak_tag_evidence").alias("review_reason"))
-    sparse = i.key_lines.filter(F.contains("text", F.lit("CLIENT"))).groupBy("page").agg(F.count("*").alias("n")).filter("n <= 2")
-    return weak.unionByName(sparse.select(F.col("page").cast("long").alias("page"), F.lit("sparse_non_tabular_fields").alias("review_reason")))
+    return pg.page_review_queue(i.review_pages, i.key_lines.filter(F.contains("text", F.lit("CLIENT"))))
 
 
 @query("g18_header_columns", "headers", sql=table_queries.P16 + "SELECT header_no, semantic, header_no * 3.0::DOUBLE + 20 AS column_x, greatest(1, header_no % 50)::DOUBLE AS column_width FROM sem WHERE semantic NOT IN ('', 'excluded')")
@@ -163,6 +158,5 @@ def k02(i):
 @query("o09_first_source", "layer", "cells", sql=" SELECT tag, direction, count(*) AS n FROM layer GROUP BY 1, 2")
 def o09(i):
     # the reconciled layer stands before the cells it was made of
-    sources = {"layer": lambda: i.layer, "cells": lambda: i.cells}
-    first = next(name for name in ("reconciled", "layer", "cells") if name in sources)
-    return sources[first]().groupBy("tag", "direction").agg(F.count("*").alias("n"))
+    first = ms.first_available({"layer": i.layer, "cells": i.cells}, ("reconciled", "layer", "cells"))
+    return first.groupBy("tag", "direction").agg(F.count("*").alias("n"))

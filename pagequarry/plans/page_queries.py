@@ -71,7 +71,7 @@ def f17(i):
 
 @query("o10_truncation", "page_text", sql=r" SELECT page, left(text, 40) AS head, array_to_string(list_slice(regexp_split_to_array(trim(text), '\s+'), 1, 3), ' ') AS first_words FROM page_text")
 def o10(i):
-    return i.page_text.select("page", F.left("text", F.lit(40)).alias("head"), F.array_join(F.slice(F.split(F.btrim("text", F.lit(" ")), r"\s+"), 1, 3), " ").alias("first_words"))
+    return i.page_text.select("page", pg.preview(F.col("text")).alias("head"), pg.first_words(F.col("text")).alias("first_words"))
 
 
 @query("p02_route_lists", "page_text", sql=_profile_sql() + "SELECT recommended_route, string_agg(CAST(page AS STRING), ',' ORDER BY page) AS pages FROM routed GROUP BY 1")

@@ -293,8 +293,7 @@ def a09(i):
 
 @query("a10_mode_first_seen", "ocr_lines", sql=", k AS (SELECT page, text, count(*) AS n, min(table_id * 100 + line_no) AS first FROM ocr_lines GROUP BY 1, 2) SELECT page, text, n FROM k QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, first) = 1")
 def a10(i):
-    k = i.ocr_lines.groupBy("page", "text").agg(F.count("*").alias("n"), F.min(F.col("table_id") * 100 + F.col("line_no")).alias("first"))
-    return k.groupBy("page").agg(F.max_by("text", F.struct("n", -F.col("first"))).alias("text"), F.max("n").alias("n"))
+    return tb.modes(i.ocr_lines, ["page"], "text", F.col("table_id") * 100 + F.col("line_no"))
 
 
 @query("a28_best_orientation", "ocr_lines", sql=", k AS (SELECT page, (line_no % 4) * 90 AS rotation, count(DISTINCT table_id) AS tables, CAST(round(sum(confidence) * 100) AS BIGINT) AS score FROM ocr_lines GROUP BY 1, 2) SELECT page, rotation, score FROM k QUALIFY row_number() OVER (PARTITION BY page ORDER BY score DESC, tables DESC, rotation) = 1")
@@ -305,9 +304,8 @@ def a28(i):
 
 @query("a29_table_score", "ocr_lines", sql=" SELECT table_id, 10 * count(*) FILTER (contains(text, 'GENERAL')) + 2 * count(DISTINCT text) FILTER (contains(text, 'Row')) + least(5, floor(count(*) FILTER (confidence >= 0.8) / 100)) AS score FROM ocr_lines GROUP BY 1".replace("least(5, floor(count(*) FILTER (confidence >= 0.8) / 100))", "CAST(least(5, count(*) FILTER (confidence >= 0.8)) AS BIGINT)"))
 def a29(i):
-    heads = F.count_if(F.contains("text", F.lit("GENERAL")))
-    rows = F.countDistinct(F.when(F.contains("text", F.lit("Row")), F.col("text")))
-    return i.ocr_lines.groupBy("table_id").agg((heads * 10 + rows * 2 + F.least(F.lit(5), F.count_if(F.col("confidence") >= 0.8))).alias("score"))
+    has = lambda word: F.contains("text", F.lit(word))
+    return i.ocr_lines.groupBy("table_id").agg(tb.table_score(has("GENERAL"), has("Row"), F.col("confidence") >= 0.8, F.col("text")).alias("score"))
 
 
 # pages with none to five labelled lines
@@ -349,12 +347,12 @@ def g21(i):
 
 @query("g20_valid_boxes", "ocr_lines", sql=" SELECT page, table_id, line_no FROM ocr_lines WHERE x2 > x1 AND y2 > y1 AND trim(text) <> ''")
 def g20(i):
-    return i.ocr_lines.filter((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")) & (F.btrim("text") != "")).select("page", "table_id", "line_no")
+    return tb.valid_lines(i.ocr_lines).select("page", "table_id", "line_no")
 
 
 @query("g22_table_groups", "ocr_lines", sql=" SELECT page, table_id, count(*) AS n_lines, min(line_no) AS first_line FROM ocr_lines WHERE trim(text) <> '' GROUP BY 1, 2")
 def g22(i):
-    return i.ocr_lines.filter(F.btrim("text") != "").groupBy("page", "table_id").agg(F.count("*").alias("n_lines"), F.min("line_no").alias("first_line"))
+    return tb.table_groups(i.ocr_lines)
 
 
 fixture("key_lines", "SELECT page, line_no, table_id, CASE CAST(line_no % 7 AS INT) WHEN 0 THEN concat('Serial No: ', CAST(table_id AS STRING)) WHEN 1 THEN 'Model : MAH-77 ' WHEN 2 THEN 'ends with:' WHEN 3 THEN ': no label' WHEN 4 THEN 'CLIENT: ACME: Ltd' WHEN 5 THEN '99 x: y' ELSE text END AS text FROM ocr_lines", "ocr_lines")
@@ -394,6 +392,4 @@ def p40(i):
 
 @query("f06_line_fields", "key_lines", sql=r", f AS (SELECT table_id, line_no, regexp_extract(upper(text), 'SERIAL NO: *(\S+)', 1) AS serial, regexp_extract(upper(text), 'MODEL *: *(\S+)', 1) AS model, regexp_extract(upper(text), 'CLIENT: *(.+)$', 1) AS client FROM key_lines) SELECT table_id, line_no, field_name, value FROM (UNPIVOT f ON serial, model, client INTO NAME field_name VALUE value) q WHERE value <> ''")
 def f06(i):
-    u = F.upper("text")
-    f = i.key_lines.select("table_id", "line_no", F.regexp_extract(u, r"SERIAL NO: *(\S+)", 1).alias("serial"), F.regexp_extract(u, r"MODEL *: *(\S+)", 1).alias("model"), F.regexp_extract(u, "CLIENT: *(.+)$", 1).alias("client"))
-    return f.unpivot(["table_id", "line_no"], ["serial", "model", "client"], "field_name", "value").filter("value <> ''")
+    return tb.line_fields(i.key_lines, ["table_id", "line_no"])
