@@ -33,3 +33,31 @@ def ranked(rows: DataFrame, order: list[str | Column], group: list[str] | None =
     for g, n in zip(group, names, strict=True):
         same &= F.col(g).eqNullSafe(F.col(n))
     return dealt.join(starts, same).withColumn(place, F.col("_at") + F.col("_shift")).drop("_at", "_range", "_shift", *names)
+
+
+def medians(rows: DataFrame, keys: list[str], value: str, parts: int | None = None) -> DataFrame:
+    """``keys, middle, upper_middle, n``: exact medians of a column of numbers; the mean of two middles, and the higher.
+
+    Equal values of a group are counted first. Different ones are dealt out by
+    ranges of group and value, so a group of any size is held by no task; counts
+    summed up within ranges and over them tell which values stand in the middle.
+    Nulls don't count; a group of nulls has no row.
+    """
+    spark, order = rows.sparkSession, [F.col(k).asc_nulls_first() for k in keys] + [F.col(value).asc()]
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    dealt = counts.repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    dealt = written(dealt.withColumn("_range", F.shiftright(F.monotonically_increasing_id(), 33)), "values")
+    names = [f"_g{i}" for i in range(len(keys))]
+    sums = dealt.groupBy("_range", *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.sum("_n").alias("_m"))
+    before = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(sums.select(*names, F.col("_range").alias("_r"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_start"), F.sum("_m").over(Window.partitionBy(*names)).alias("n")), "ranges")
+    same = F.col("_range") == F.col("_r")
+    for k, n in zip(keys, names, strict=True):
+        same &= F.col(k).eqNullSafe(F.col(n))
+    upto = F.sum("_n").over(Window.partitionBy("_range", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = dealt.withColumn("_upto", upto).join(starts, same)
+    last = F.col("_start") + F.col("_upto")
+    holds = lambda i: (last - F.col("_n") <= i) & (i < last)
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    middles = placed.filter(holds(low) | holds(high)).groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("upper_middle"), F.first("n").alias("n"))
+    return middles.select(*keys, ((F.col("_low") + F.col("upper_middle")) / 2).alias("middle"), "upper_middle", "n")

@@ -9,6 +9,7 @@ from ..functions import geometry as g
 from ..functions import sequence as sq
 from ..functions import text as t
 from ..operators import tables as tb
+from ..operators.numbering import medians
 from .registry import fixture, query
 
 fixture("base_lines", "SELECT l_orderkey AS ok, l_linenumber AS ln, min(l_partkey) AS pk, min(l_suppkey) AS sk, min(l_returnflag) AS rf FROM lineitem GROUP BY l_orderkey, l_linenumber")
@@ -287,8 +288,8 @@ def j18(i):
 
 @query("a09_medians", "ocr_lines", sql=" SELECT table_id, median(y2 - y1) AS middle, list_sort(list(y2 - y1))[len(list(y2 - y1)) // 2 + 1] AS upper_middle FROM ocr_lines GROUP BY 1")
 def a09(i):
-    h = F.col("y2") - F.col("y1")
-    return i.ocr_lines.groupBy("table_id").agg(F.median(h).alias("middle"), sq.upper_median(F.collect_list(h)).alias("upper_middle"))
+    heights = i.ocr_lines.select("table_id", (F.col("y2") - F.col("y1")).alias("height"))
+    return medians(heights, ["table_id"], "height").drop("n")
 
 
 @query("a10_mode_first_seen", "ocr_lines", sql=", k AS (SELECT page, text, count(*) AS n, min(table_id * 100 + line_no) AS first FROM ocr_lines GROUP BY 1, 2) SELECT page, text, n FROM k QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, first) = 1")

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from pagequarry.operators.numbering import ranked
+from pagequarry.operators.numbering import medians, ranked
 from pagequarry.sources import files
 
 
@@ -32,6 +32,23 @@ def test_ranges_are_even_where_keys_have_one_prefix(spark):
     assert len(files_of) == 8 and max(spark.read.parquet(f).count() for f in files_of) < 2 * 40_000 / 8
 
 
+def test_medians_are_exact_however_the_group_is_dealt(spark):
+    rnd = random.Random(6)
+    rows = [(None, float(rnd.randrange(50))) for _ in range(101)] + [("a", rnd.random()) for _ in range(4000)] + [("b", 2.0), ("b", 3.0), ("c", None), ("d", 1.5), ("e", None), ("e", 7.0)]
+    # a third of a group is one value
+    rows += [("a", 0.5)] * 2000
+    df = spark.createDataFrame(rows, "g string, v double")
+    for parts in (1, 7):
+        got = {r["g"]: (r["middle"], r["upper_middle"], r["n"]) for r in medians(df, ["g"], "v", parts).collect()}
+        want = {}
+        for g in {r[0] for r in rows}:
+            v = sorted(r[1] for r in rows if r[0] == g and r[1] is not None)
+            if v:
+                want[g] = ((v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2, v[len(v) // 2], len(v))
+        assert got == want
+    assert medians(df.limit(0), ["g"], "v").count() == 0
+
+
 def test_control_files_are_replaced_in_one_step(spark, tmp_path):
     path = f"file://{tmp_path}/status.json"
     for text in ("one", "two"):
