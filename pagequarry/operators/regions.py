@@ -186,7 +186,8 @@ def in_groups(rows: DataFrame, by: list[str], keys: list[str], run: Callable[[di
 def window_ink(ink: np.ndarray, window: int = WINDOW, offset: int = OFFSET) -> np.ndarray:
     """Where an array exceeds the mean of the window around by more than ``offset``; outside is nothing. Sums are differences of prefix sums."""
     half = window // 2
-    total = np.pad(ink, half + 1)[:-1, :-1].astype(np.int64).cumsum(0).cumsum(1)
+    wide = np.int32 if ink.size * 255 < 1 << 31 else np.int64
+    total = np.pad(ink, half + 1)[:-1, :-1].astype(wide).cumsum(0, dtype=wide).cumsum(1, dtype=wide)
     total = np.pad(total, ((0, 1), (0, 1)), mode="edge")
     n, m = ink.shape
     sums = total[window : window + n, window : window + m] - total[:n, window : window + m] - total[window : window + n, :m] + total[:n, :m]
