@@ -326,6 +326,19 @@ def s24(i):
     return i.spark.read.format(named.use(i.spark, "ocr_page_lines")).load(folder).select("document_id", "page", "table_index", "line_no", "text", "confidence", "x1", "y2", "source_kind")
 
 
+@named.reader("page_sizes", "page int, n_tables long, n_lines long")
+def page_sizes(_, text):
+    """A reader as users add them: how much a page file holds."""
+    data = json.loads(text)
+    tables = data["tables"]
+    yield int(data["page"]), len(tables), sum(len(x["lines"]) for x in tables)
+
+
+@query("x03_own_reader", "page_lines", sql=" SELECT page, count(DISTINCT table_index) AS n_tables, count(*) AS n_lines FROM page_lines WHERE page % 7 <> 0 GROUP BY page")
+def x03_reader(i):
+    return named.read_tables(i.spark, _page_files(i, _page_texts(i)), ("page_sizes",))
+
+
 @query("m04_page_ledger", "page_lines", sql=" SELECT page, CASE WHEN page % 7 = 0 THEN 2 ELSE 1 END AS attempts, 'done' AS outcome, count(*) AS n_lines FROM page_lines GROUP BY page")
 def m04_ledger(i):
     folder = _page_files(i, _page_texts(i))
