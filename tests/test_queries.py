@@ -52,6 +52,20 @@ def test_fixtures_hold_all_orders(spark):
     i = Inputs(spark, SF)
     assert i.cells.select("table_id").distinct().count() == i.orders.count()
     assert i.cert_lines.count() == 3 * i.base_lines.count()
+    # what is to have no match has other values, and is not left out
+    assert i.layer.count() == i.primary_cells.count() == i.cells.count()
+    assert i.decisions.count() == i.part.count() and i.candidates.count() == i.page_text.count() == i.documents.count()
+    assert i.ruled_lines.count() == i.page_lines.count() == i.ocr_lines.count()
+
+
+def test_contexts_hold_whole_texts(spark):
+    from pyspark.sql import functions as F
+
+    from pagequarry.plans.registry import Inputs
+
+    i = Inputs(spark, SF)
+    longest = i.candidates.agg(F.max(F.length("context"))).first()[0]
+    assert longest >= i.page_text.filter("page % 7 in (0, 5, 6)").agg(F.max(F.length("text"))).first()[0]
 
 
 def test_scanned_texts_are_whole(spark):
