@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from . import files
+
 BOX = T.StructType([T.StructField(c, T.DoubleType()) for c in ("x1", "y1", "x2", "y2")])
 LINE = T.StructType(
     [
@@ -177,13 +179,18 @@ def parse_decisions(spark: SparkSession, text: str) -> DataFrame:
     return spark.createDataFrame(rows, "tag string, equipment_name string")
 
 
-def load_policy(path: str):
-    return parse_policy(Path(path).read_text())
+def _text(path: str, spark: SparkSession | None) -> str:
+    """A small file's text: from the session's file systems, or from the driver's disk if there is no session."""
+    return files.get_text(spark, path) if spark else Path(path).read_text()
+
+
+def load_policy(path: str, spark: SparkSession | None = None):
+    return parse_policy(_text(path, spark))
 
 
-def load_taxonomy(path: str) -> list[tuple[str, str, str, list[str]]]:
-    return parse_taxonomy(Path(path).read_text())
+def load_taxonomy(path: str, spark: SparkSession | None = None) -> list[tuple[str, str, str, list[str]]]:
+    return parse_taxonomy(_text(path, spark))
 
 
 def load_decisions(spark: SparkSession, path: str) -> DataFrame:
-    return parse_decisions(spark, Path(path).read_text())
+    return parse_decisions(spark, _text(path, spark))

@@ -66,10 +66,13 @@ def test_lists_and_contracts(spark):
     assert [r["v"] for r in last.collect()] == ["b"]
 
 
-def test_policy_and_taxonomy(tmp_path):
+def test_policy_and_taxonomy(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"auto_accept": {"minimum_confidence": 0.5}}')
     p = rd.load_policy(str(tmp_path / "p.json"))
     assert p.min_confidence == 0.5 and p.high == 70
+    assert rd.load_policy(f"file://{tmp_path}/p.json", spark) == p
+    (tmp_path / "d.yaml").write_text("a1: {decision: accept_equipment_name, equipment_name: Pump}")
+    assert [tuple(r) for r in rd.load_decisions(spark, f"file://{tmp_path}/d.yaml").collect()] == [("A1", "Pump")]
     (tmp_path / "t.yaml").write_text("classes:\n  index:\n    priority: high\n    route: native_text\n    keywords: [contents, contents]\n")
     assert rd.load_taxonomy(str(tmp_path / "t.yaml")) == [("index", "high", "native_text", ["contents", "contents"])]
     (tmp_path / "u.yaml").write_text("classes:\n  index:\n    priority: no\n")
