@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as t
+from ..sources.files import written
+from .measure import checked_broadcast
 
 # fixed values
 SERIAL = r"(?i)ser(?:ial)?\.?\s*(?:no|number)\.?\s*[:#-]?\s*(\d{4,})"
@@ -32,6 +34,11 @@ def _band(y: Column, height: float = 64.0) -> Column:
     return F.floor(y / height)
 
 
+def _counted(rows: DataFrame, by: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first ``most`` rows of each group of ``by`` in ``order``; tasks keep no more before they shuffle."""
+    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_r") <= most).drop("_r")
+
+
 def pairs(lines: DataFrame) -> DataFrame:
     """Serial numbers with tags: on the same line, or from the first neighbour to the right on the same row.
 
@@ -63,12 +70,18 @@ def ranked_pairs(found: DataFrame) -> DataFrame:
 
 
 def nearest_set_points(records: DataFrame, lines: DataFrame, most: float = 120.0) -> DataFrame:
-    """The set point line of the page that is closest to each record's line, within ``most``."""
+    """The set point line of the page that is closest to each record's line, within ``most``.
+
+    Of set points at one height the first line counts, and records at one height
+    have the same one, so heights meet and not lines.
+    """
     found = F.struct(F.regexp_extract("text", SET_POINT, 1).alias("set_point"))
-    points = lines.select("page", _band(F.col("y1")).alias("band"), F.col("y1").alias("sy"), F.col("line_no").alias("s_no"), F.inline(F.array(found))).filter("set_point <> ''")
-    asked = records.select("page", "line_no", "y1", F.explode(F.sequence(_band(F.col("y1") - most), _band(F.col("y1") + most))).alias("band"))
+    points = lines.select("page", F.col("y1").alias("sy"), F.col("line_no").alias("s_no"), F.inline(F.array(found))).filter("set_point <> ''")
+    points = _counted(points, ["page", "sy"], [F.col("s_no"), F.col("set_point")], 1).withColumn("band", _band(F.col("sy")))
+    asked = records.select("page", "y1").distinct().withColumn("band", F.explode(F.sequence(_band(F.col("y1") - most), _band(F.col("y1") + most))))
     j = asked.join(points, ["page", "band"]).withColumn("d", F.abs(F.col("sy") - F.col("y1"))).filter(F.col("d") <= most)
-    return j.groupBy("page", "line_no").agg(F.min(F.struct("d", "s_no", "set_point")).alias("b")).select("page", "line_no", F.col("b.set_point").alias("set_point"), F.col("b.d").alias("distance"))
+    best = j.groupBy("page", "y1").agg(F.min(F.struct("d", "s_no", "set_point")).alias("b"))
+    return records.join(checked_broadcast(written(best, "nearest")), ["page", "y1"]).select("page", "line_no", F.col("b.set_point").alias("set_point"), F.col("b.d").alias("distance"))
 
 
 def best_values(lines: DataFrame, patterns: dict[str, str]) -> DataFrame:
