@@ -42,9 +42,11 @@ def _counted(rows: DataFrame, by: list[str], order: list[Column], most: int) ->
 def pairs(lines: DataFrame) -> DataFrame:
     """Serial numbers with tags: on the same line, or from the first neighbour to the right on the same row.
 
-    ``lines`` has ``page, line_no, text, confidence, x1, y1, x2, y2``. Lines of a
-    page meet by bands of its height: a serial number asks the bands that it
-    reaches, a tag lies in one.
+    ``lines`` has ``page, line_no, text, confidence, x1, y1, x2, y2``; ``line_no`` tells
+    the lines of a page apart. What a serial number reaches depends on its place
+    only, and of tags in one place only the first two can be a neighbour, the second
+    one for a line that is the first itself. So places meet, by bands of the page's
+    height, and not lines; a page may have any number of these.
     """
     serial, mark = F.regexp_extract("text", SERIAL, 1), F.upper(F.regexp_extract("text", TAG, 1))
     found = F.struct(serial.alias("serial"), mark.alias("mark"), F.regexp_extract("text", DIRECT, 1).alias("direct_serial"), F.upper(F.regexp_extract("text", DIRECT, 2)).alias("direct_tag"))
@@ -53,12 +55,17 @@ def pairs(lines: DataFrame) -> DataFrame:
     direct = read.filter("direct_tag <> ''").select("page", "line_no", F.col("direct_serial").alias("serial"), F.col("direct_tag").alias("tag"), "confidence", F.lit(True).alias("direct"), F.lit(0.0).alias("dy"))
     reach = F.greatest(F.lit(26.0), (F.col("y2") - F.col("y1")) * 1.15)
     alone = read.filter("serial <> '' and direct_tag = ''").select("page", "line_no", "serial", "x2", "y1", reach.alias("reach"), "confidence")
-    alone = alone.withColumn("band", F.explode(F.sequence(_band(F.col("y1") - F.col("reach")), _band(F.col("y1") + F.col("reach")))))
-    others = read.filter("mark <> ''").select("page", _band(F.col("y1")).alias("band"), F.col("line_no").alias("n_no"), F.col("mark").alias("tag"), F.col("x1").alias("nx1"), F.col("y1").alias("ny1"), F.col("confidence").alias("n_confidence"))
-    dy = F.abs(F.col("ny1") - F.col("y1"))
-    j = alone.join(others, ["page", "band"]).filter((F.col("n_no") != F.col("line_no")) & (dy <= F.col("reach")) & (F.col("nx1") >= F.col("x2") - 30))
-    near = j.groupBy("page", "line_no", "serial").agg(F.min(F.struct("nx1", dy.alias("dy"), "n_no", "tag", F.least("confidence", "n_confidence").alias("confidence"))).alias("b"))
-    split = near.select("page", "line_no", "serial", "b.tag", "b.confidence", F.lit(False).alias("direct"), F.col("b.dy").alias("dy"))
+    place = ["page", "x2", "y1", "reach"]
+    asked = alone.select(*place).distinct()
+    asked = asked.withColumn("band", F.explode(F.sequence(_band(F.col("y1") - F.col("reach")), _band(F.col("y1") + F.col("reach")))))
+    others = read.filter("mark <> ''").select("page", F.col("line_no").alias("n_no"), F.col("mark").alias("tag"), F.col("x1").alias("nx1"), F.col("y1").alias("ny1"), F.col("confidence").alias("n_confidence"))
+    others = _counted(others, ["page", "nx1", "ny1"], [F.col(c) for c in ("n_no", "tag", "n_confidence")], 2).withColumn("band", _band(F.col("ny1")))
+    j = asked.join(others, ["page", "band"]).withColumn("dy", F.abs(F.col("ny1") - F.col("y1"))).filter((F.col("dy") <= F.col("reach")) & (F.col("nx1") >= F.col("x2") - 30))
+    first = _counted(j, place, [F.col(c) for c in ("nx1", "dy", "n_no", "tag", "n_confidence")], 2)
+    near = first.groupBy(*place).agg(F.array_sort(F.collect_list(F.struct("nx1", "dy", "n_no", "tag", "n_confidence"))).alias("near"))
+    hit = F.get(F.filter("near", lambda n: n["n_no"] != F.col("line_no")), F.lit(0))
+    split = alone.join(checked_broadcast(written(near, "near")), place).withColumn("b", hit).filter("b is not null")
+    split = split.select("page", "line_no", "serial", "b.tag", F.least("confidence", "b.n_confidence").alias("confidence"), F.lit(False).alias("direct"), F.col("b.dy").alias("dy"))
     both = direct.unionByName(split)
     return both.withColumn("score", pair_score(F.col("direct"), F.col("tag"), F.col("confidence"), F.col("dy")))
 

@@ -22,6 +22,29 @@ def lines(seed, n=150):
     return out
 
 
+def test_pairs_equal_all_with_all(spark):
+    own = 0
+    for seed in range(3):
+        rows = lines(seed)
+        want = set()
+        for page, no, text, _, _, y1, x2, y2 in rows:
+            if "Serial" not in text:
+                continue
+            reach, found = max(26.0, (y2 - y1) * 1.15), []
+            for p, n, other, _, x, y, *_ in rows:
+                tag = other.split()[-1]
+                if p == page and ("LT" in tag or "PT" in tag) and abs(y - y1) <= reach and x >= x2 - 30:
+                    own += n == no
+                    if n != no:
+                        found.append((x, abs(y - y1), n, tag))
+            if found:
+                want.add((page, no, text.split()[2], min(found)[3]))
+        got = rc.pairs(spark.createDataFrame(rows, LINE)).select("page", "line_no", "serial", "tag").collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+    # there are lines that would be their own neighbour
+    assert own
+
+
 def test_set_points_equal_all_with_all(spark):
     rows = lines(7)
     df = spark.createDataFrame(rows, LINE)
@@ -47,3 +70,9 @@ def test_crowded_page_of_set_points(spark):
     began, page = time.time(), crowded(spark, "Setpoint: 5 BAR")
     assert rc.nearest_set_points(page.filter("line_no % 2 = 0"), page).filter("set_point = '5 BAR'").count() == 60_000
     assert time.time() - began < 60
+
+
+def test_crowded_page_of_pairs(spark):
+    began = time.time()
+    assert rc.pairs(crowded(spark, "7000LT01")).filter("tag = '7000LT01'").count() == 60_000
+    assert time.time() - began < 60
