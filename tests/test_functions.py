@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions import geometry as g
 from pagequarry.functions import sequence as sq
 from pagequarry.functions import text as t
+from pagequarry.operators import evidence as ev
 from pagequarry.operators import measure as ms
 from pagequarry.operators import pages as pg
 from pagequarry.operators import tables as tb
@@ -147,3 +148,12 @@ def test_fields_references_and_decisions(spark):
     assert scanned(spark, "equipment tag")[1]["decision"] == "tag_field_with_equipment_context"
     assert scanned(spark, "packing")[1]["decision"] == "document_or_table_context_only"
     assert scanned(spark, None)[1]["decision"] == "no_tag_evidence"
+
+
+def test_equipment_id_with_several_tags_is_one_group(spark):
+    row = "equipment_id string, equipment_tag string, serial_number string, field_name string, field_value string, evidence_tier string, confidence double, selection_score double, source_page int, evidence_id string, source_text string"
+    tier = "tier_1_dense_record_evidence"
+    e = [("EQ-1", tag, tag + tag, "model", "X", tier, c, 1.0, k, f"e{k}", "t") for k, (tag, c) in enumerate((("a", 0.96), ("b", 0.99), ("b", 0.97)))]
+    (g,) = ev.decide(ev.best_evidence(spark.createDataFrame(e, row))).collect()
+    assert (g.equipment_tag, g.serial_number, g.n_values, g.confidence, g.auto_accepted) == ("b", "bb", 2, 0.99, False)
+    assert g.evidence_ids == ["e0", "e1", "e2"]
