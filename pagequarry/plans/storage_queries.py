@@ -175,7 +175,7 @@ def k11(i):
 def k05(i):
     path = files.scratch(i.spark, "package.xlsx")
     r = i.register_wide.select("equipment_tag", "serial_number", "model")
-    workbook.write_workbook({"register": r.orderBy("equipment_tag"), "counts": r.agg(F.count("*").alias("n"))}, path)
+    workbook.write_workbook({"register": r.orderBy("equipment_tag"), "counts": r.agg(F.count("*").alias("n"))}, path, further=True)
     return workbook.read_workbook(i.spark, path).select("sheet", "row_no", F.array_join("cells", "|").alias("cells"))
 
 

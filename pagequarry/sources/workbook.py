@@ -77,7 +77,8 @@ _END = b"\x03\x00"
 
 
 def fragments(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """``first, path, crc32, size, packed``: files of deflated rows of a sheet, in the order of ``df``."""
+    """``first, path, crc32, size, packed``: files of deflated rows of sheets, in the order of ``df``; none has rows of two sheets."""
+    most = SHEET_ROWS - 1
     texts = df.select(F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns]).alias("cells")).withColumn("_order", F.monotonically_increasing_id())
     rows = ranked(files.written(texts, "cells"), ["_order"]).select("place", "cells")
 
@@ -102,9 +103,11 @@ def fragments(df: DataFrame, folder: str, name: str) -> DataFrame:
         first, n = 0, 0
         for b in batches:
             for place, cells in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if held and place % most == 0:
+                    yield out()
                 if not held:
                     first, n = place, 0
-                held.append(_row(place + 2, cells.as_py()))
+                held.append(_row(place % most + 2, cells.as_py()))
                 n += len(held[-1])
                 if n > FRAGMENT:
                     yield out()
@@ -161,35 +164,46 @@ class _Zip:
         self.out.close()
 
 
-def write_workbook(frames: dict[str, DataFrame], path: str, widest: int = 60) -> None:
+def write_workbook(frames: dict[str, DataFrame], path: str, widest: int = 60, further: bool = False) -> None:
     """An XLSX workbook with a sheet for each frame: bold header, first row frozen, filters, widths up to ``widest``.
 
-    A frame of more rows than a sheet can hold raises. Rows keep their order.
+    A frame of more rows than a sheet can hold raises, or with ``further`` goes on
+    in sheets of its own after the first, each with the header; a defined name says
+    which one they continue. Rows keep their order.
     """
-    spark, sheets = next(iter(frames.values())).sparkSession, list(enumerate(frames.items(), 1))
+    spark, most = next(iter(frames.values())).sparkSession, SHEET_ROWS - 1
     folder = files.scratch(spark, "workbook")
-    made = []
-    for k, (name, df) in sheets:
+    made, sheets, continued = [], [], {}
+    for f, (name, df) in enumerate(frames.items(), 1):
         names = df.columns
         longest = [F.coalesce(F.max(F.length(F.col(f"`{c}`").cast("string"))), F.lit(0)).alias(f"w{i}") for i, c in enumerate(names)]
         count, *widths = df.agg(F.count(F.lit(1)).alias("n"), *longest).first()
-        if count >= SHEET_ROWS:
+        if count > most and not further:
             raise ValueError(f"{name} has more rows than a sheet holds")
         cols = "".join(f'<col min="{i}" max="{i}" width="{min(max(w, len(c)) + 2, widest)}" customWidth="1"/>' for i, (w, c) in enumerate(zip(widths, names, strict=True), 1))
         view = '<sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" activePane="bottomLeft" state="frozen"/></sheetView></sheetViews>'
         head = f'{_HEAD}<worksheet xmlns="{_MAIN}">{view}<cols>{cols}</cols><sheetData>{_row(1, names, chr(32) + "s=" + chr(34) + "1" + chr(34))}'
-        tail = f'</sheetData><autoFilter ref="A1:{column_name(len(names))}{count + 1}"/></worksheet>'
-        # some hundred rows at most, since a sheet is bounded
-        rows = fragments(df, folder, f"sheet{k}").orderBy("first").collect()
-        pieces = [(r["path"], r["crc32"], r["size"], r["packed"]) for r in rows]
-        made.append((f"xl/worksheets/sheet{k}.xml", [_piece(head), *pieces, _piece(tail)]))
+        # a hundred bytes for some megabytes of rows
+        found, start = fragments(df, folder, f"sheet{f}").orderBy("first").collect(), len(sheets) + 1
+        for part in range(max(1, -(-count // most))):
+            k = start + part
+            tail = f'</sheetData><autoFilter ref="A1:{column_name(len(names))}{min(count - part * most, most) + 1}"/></worksheet>'
+            pieces = [(r["path"], r["crc32"], r["size"], r["packed"]) for r in found if r["first"] // most == part]
+            made.append((f"xl/worksheets/sheet{k}.xml", [_piece(head), *pieces, _piece(tail)]))
+            label = f" ({part + 1})" if part else ""
+            sheets.append((k, name[: 31 - len(label)] + label))
+            if part:
+                continued[k] = start
+    if len({n.lower() for _, n in sheets}) < len(sheets):
+        raise ValueError("two sheets have the same name")
+    told = "".join(f'<definedName name="continued_{k}" hidden="1">{n}</definedName>' for k, n in continued.items())
     texts = {
         "[Content_Types].xml": f'<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/>'
         + f'<Override PartName="/xl/workbook.xml" ContentType="{_OFFICE}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{_OFFICE}.styles+xml"/>'
         + "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{_OFFICE}.worksheet+xml"/>' for k, _ in sheets)
         + "</Types>",
         "_rels/.rels": f'<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_RELS}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_RELS}"><sheets>' + "".join(f'<sheet name="{escape(n[:31], {chr(34): "&quot;"})}" sheetId="{k}" r:id="rId{k}"/>' for k, (n, _) in sheets) + "</sheets></workbook>",
+        "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_RELS}"><sheets>' + "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{k}" r:id="rId{k}"/>' for k, n in sheets) + "</sheets>" + (f"<definedNames>{told}</definedNames>" if told else "") + "</workbook>",
         "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_PACKAGE}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{_RELS}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k, _ in sheets) + f'<Relationship Id="rId{len(sheets) + 1}" Type="{_RELS}/styles" Target="styles.xml"/></Relationships>',
         "xl/styles.xml": f'<styleSheet xmlns="{_MAIN}"><fonts count="2"><font/><font><b/></font></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf fontId="1" applyFont="1"/></cellXfs></styleSheet>',
     }
@@ -211,8 +225,10 @@ def _piece(text: str) -> tuple[bytes, int, int, int]:
 def read_workbook(spark: SparkSession, path: str) -> DataFrame:
     """``sheet, row_no, cells`` of an XLSX workbook with texts in its cells, as ``write_workbook`` makes it.
 
-    A sheet is read by one task, as a stream, since it is one deflated one.
+    A frame that goes on in further sheets comes as one, with one header. A sheet
+    is read by one task, as a stream, since it is one deflated one.
     """
+    most = SHEET_ROWS - 1
 
     def opened():
         import zipfile
@@ -226,8 +242,11 @@ def read_workbook(spark: SparkSession, path: str) -> DataFrame:
         from xml.etree import ElementTree
 
         with opened() as z:
-            found = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{{{_MAIN}}}sheet")]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(range(1, len(found) + 1), pa.int32())], names=["sheet", "k"])
+            book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+        found = [s.get("name") for s in book.iter(f"{{{_MAIN}}}sheet")]
+        marks = {d.get("name"): d.text for d in book.iter(f"{{{_MAIN}}}definedName")}
+        start = [int(marks.get(f"continued_{k}", k)) for k in range(1, len(found) + 1)]
+        yield pa.RecordBatch.from_arrays([pa.array([found[k - 1] for k in start], pa.string()), pa.array(range(1, len(found) + 1), pa.int32()), pa.array(start, pa.int32())], names=["sheet", "k", "start"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xml.etree import ElementTree
@@ -236,7 +255,7 @@ def read_workbook(spark: SparkSession, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([name] * len(numbers), pa.string()), pa.array(numbers, pa.int32()), pa.array(cells, pa.list_(pa.string()))], names=["sheet", "row_no", "cells"])
 
         for b in batches:
-            for name, k in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for name, k, start in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 numbers: list[int] = []
                 cells: list[list[str]] = []
                 with opened() as z, z.open(f"xl/worksheets/sheet{k}.xml") as sheet:
@@ -246,14 +265,15 @@ def read_workbook(spark: SparkSession, path: str) -> DataFrame:
                             above = e
                         if e.tag != f"{{{_MAIN}}}row" or event == "start":
                             continue
-                        numbers.append(int(e.get("r")))
-                        cells.append(["".join(c.itertext()) for c in e.iter(f"{{{_MAIN}}}c")])
+                        if k == start or int(e.get("r")) > 1:
+                            numbers.append(int(e.get("r")) + (k - start) * most)
+                            cells.append(["".join(c.itertext()) for c in e.iter(f"{{{_MAIN}}}c")])
                         above.clear()
                         if len(numbers) >= 5000:
                             yield batch()
                             numbers, cells = [], []
                 yield batch()
 
-    found = spark.range(1, numPartitions=1).mapInArrow(names, "sheet string, k int").collect()
-    sheets = spark.createDataFrame(found, "sheet string, k int").repartition(max(1, len(found)), "k")
+    found = spark.range(1, numPartitions=1).mapInArrow(names, "sheet string, k int, start int").collect()
+    sheets = spark.createDataFrame(found, "sheet string, k int, start int").repartition(max(1, len(found)), "k")
     return sheets.mapInArrow(rows, "sheet string, row_no int, cells array<string>")

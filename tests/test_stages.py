@@ -190,3 +190,16 @@ def test_decisions_and_json_lines(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n[2]\n{"a": \n  {"a": 3}\n')
     rows = rd.read_jsonl(spark, str(tmp_path / "x.jsonl"), spark.createDataFrame([], "a int").schema)
     assert sorted(r["a"] for r in rows.collect()) == [1, 3]
+
+
+def test_workbook_frame_goes_on_in_further_sheets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workbook, "SHEET_ROWS", 1001)
+    path, df = f"file://{tmp_path}/x.xlsx", spark.range(2500).select(F.col("id").alias("n")).orderBy("n")
+    workbook.write_workbook({"many": df, "full": df.limit(1000), "few": df.limit(1)}, path, further=True)
+    got = {(r["sheet"], r["row_no"]): r["cells"] for r in workbook.read_workbook(spark, path).collect()}
+    want = {(s, k + 2): [str(k)] for s, n in (("many", 2500), ("full", 1000), ("few", 1)) for k in range(n)}
+    assert got == want | {(s, 1): ["n"] for s in ("many", "full", "few")}
+    with zipfile.ZipFile(tmp_path / "x.xlsx") as z:
+        book = z.read("xl/workbook.xml").decode()
+        assert z.testzip() is None and [book.count(f'name="{n}"') for n in ("many", "many (2)", "many (3)", "full", "few")] == [1] * 5
+        assert z.read("xl/worksheets/sheet3.xml").decode().count("<row ") == 501
