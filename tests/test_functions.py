@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -157,3 +158,30 @@ def test_equipment_id_with_several_tags_is_one_group(spark):
     (g,) = ev.decide(ev.best_evidence(spark.createDataFrame(e, row))).collect()
     assert (g.equipment_tag, g.serial_number, g.n_values, g.confidence, g.auto_accepted) == ("b", "bb", 2, 0.99, False)
     assert g.evidence_ids == ["e0", "e1", "e2"]
+
+
+def test_inherited_equals_all_with_all(spark):
+    sizes = set()
+    for seed in range(2):
+        rnd = random.Random(seed)
+        pick = lambda n: rnd.choice(["", "", *"abcdef"[:n]])
+        rows = [(f"t{rnd.randrange(25)}", f"s{rnd.randrange(2)}", pick(6), pick(6), pick(6), pick(1), pick(2)) for _ in range(60)]
+        refs = {(t_, s, k, r[k]) for r in rows for t_, s in [r[:2]] for k in (2, 3, 4) if r[k]}
+        want = {}
+        for tag, serial, f in {(r[0], r[1], f) for r in rows for f in (5, 6) if not r[f]}:
+            mine = {(k, v) for t_, s, k, v in refs if (t_, s) == (tag, serial)}
+            found = {(t_, r[f]) for t_, s, k, v in refs if (k, v) in mine and t_ != tag for r in rows if r[:2] == (t_, s) and r[f]}
+            if len({v for _, v in found}) == 1:
+                want[tag, serial, "vw"[f - 5]] = (found.pop()[1], len({t_ for t_, _ in found} | {t_ for t_, s, k, v in refs if (k, v) in mine and t_ != tag for r in rows if r[:2] == (t_, s) and r[f]}))
+                sizes.add(min(len(mine), 3))
+        df = spark.createDataFrame(rows, "equipment_tag string, serial_number string, x string, y string, z string, v string, w string")
+        got = {tuple(r[:3]): tuple(r[3:]) for r in ev.inherited(df, ("x", "y", "z"), ("v", "w")).collect()}
+        assert got == want
+    assert sizes == {1, 2, 3}
+
+
+def test_inherited_of_a_shared_reference(spark):
+    began, n = time.time(), spark.range(40_000)
+    rows = n.select(F.col("id").cast("string").alias("equipment_tag"), F.lit("").alias("serial_number"), F.lit("PO").alias("x"), F.when(F.col("id") % 2 == 0, "v").otherwise("").alias("v"))
+    assert ev.inherited(rows, ("x",), ("v",)).filter("inherited_value = 'v' and n_donors = 20000").count() == 20_000
+    assert time.time() - began < 60
