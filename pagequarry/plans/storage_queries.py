@@ -122,10 +122,11 @@ def s19(i):
     return rd.image_pages(i.page_text.select(name.alias("path"))).select(F.col("page").cast("long").alias("page"))
 
 
-@query("s20_batch_contract", "page_text", sql=" SELECT page, 'table_extraction' AS recommended_route FROM page_text")
+@query("s20_batch_contract", "page_text", sql=" SELECT document_id, page, 'table_extraction' AS recommended_route FROM page_text")
 def s20(i):
-    batch = i.page_text.select(F.lit("all pages").alias("document_id"), "page", F.lit("table_extraction").alias("recommended_route"), F.lit("selected").alias("reason"))
-    return rd.checked_batch(batch).select("page", "recommended_route")
+    # a batch for each document
+    batches = i.page_text.select("document_id", "page", F.lit("table_extraction").alias("recommended_route"), F.lit("selected").alias("reason"))
+    return rd.checked_batches(batches, F.col("document_id")).select("document_id", "page", "recommended_route")
 
 
 @query("k08_full_text", "page_text", sql=" SELECT document_id, page, CAST(sum(strlen(text) + 1) OVER (PARTITION BY document_id ORDER BY page) - strlen(text) - 1 AS BIGINT) AS position, CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS text_md5 FROM page_text")

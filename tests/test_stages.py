@@ -203,3 +203,17 @@ def test_workbook_frame_goes_on_in_further_sheets(spark, tmp_path, monkeypatch):
         book = z.read("xl/workbook.xml").decode()
         assert z.testzip() is None and [book.count(f'name="{n}"') for n in ("many", "many (2)", "many (3)", "full", "few")] == [1] * 5
         assert z.read("xl/worksheets/sheet3.xml").decode().count("<row ") == 501
+
+
+def test_batches_of_many_documents(spark):
+    route = "table_extraction"
+    row = "document_id string, page int, recommended_route string, reason string, b int"
+    make = lambda *more: spark.createDataFrame([("a", 1, route, "", 1), ("a", 2, route, "", 1), ("b", 1, route, "", 2), *more], row)
+    assert rd.checked_batches(make(), F.col("b")).count() == 3
+    for bad in (("c", 1, route, "", 2), (None, 1, route, "", 2), ("c", 1, "ocr", "", 3), ("c", 1, None, "", 3)):
+        with pytest.raises(rd.ContractError):
+            rd.checked_batches(make(bad), F.col("b"))
+    from pagequarry import plans
+
+    got = plans.queries()["s20_batch_contract"](spark, SF)
+    assert got.select("document_id").distinct().count() == Inputs(spark, SF).page_text.select("document_id").distinct().count() > 1
