@@ -102,16 +102,18 @@ def gap_tolerance(schema: DataFrame, factor: float, default: float) -> DataFrame
     return gaps.select("direction", F.least(F.lit(120.0), F.greatest(F.lit(35.0), F.coalesce("gap", F.lit(default)) * factor)).alias("tolerance"))
 
 
-def nearest_slots(cells: DataFrame, schema: DataFrame, factor: float = 0.45, default: float = 100.0) -> DataFrame:
-    """The nearest slot of its direction for each cell (``cell_id, direction, x``) within the tolerance.
+def nearest_slots(cells: DataFrame, schema: DataFrame, factor: float = 0.45, default: float = 100.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The nearest slot of its direction for each cell (``cell_id, direction, x``) within the tolerance, with the columns of ``keep``.
 
-    The schema has one row for each direction and slot, so it is small.
+    The schema has one row for each direction and slot, so its slots are an array
+    for each direction, and cells are not shuffled if directions are counted to be few.
     """
-    s = schema.select("direction", F.col("slot"), F.col("x").alias("slot_x"), F.col("value").alias("slot_value"))
-    j = cells.join(s, "direction").withColumn("d", F.abs(F.col("x") - F.col("slot_x")))
-    best = j.groupBy("cell_id", "direction").agg(F.min(F.struct("d", "slot", "slot_value")).alias("b"))
-    best = best.join(gap_tolerance(schema, factor, default), "direction")
-    return best.select("cell_id", "direction", F.col("b.slot").alias("slot"), F.col("b.slot_value").alias("nominal"), F.col("b.d").alias("distance"), (F.col("b.d") <= F.col("tolerance")).alias("within"))
+    slots_ = schema.groupBy("direction").agg(F.collect_list(F.struct("x", "slot", "value")).alias("_slots"))
+    s = slots_.join(gap_tolerance(schema, factor, default), "direction")
+    near = F.array_min(F.transform("_slots", lambda k: F.struct(F.abs(F.col("x") - k["x"]).alias("distance"), k["slot"].alias("slot"), k["value"].alias("nominal"))))
+    # a generator, so that the nearest one is found once
+    found = cells.join(checked_broadcast(s), "direction").select("cell_id", "direction", *keep, "tolerance", F.inline(F.array(near)))
+    return found.select("cell_id", "direction", "slot", "nominal", "distance", (F.col("distance") <= F.col("tolerance")).alias("within"), *keep)
 
 
 def mapping_status(distance: Column, difference: Column, tolerance: float = 100.0) -> Column:

@@ -185,3 +185,10 @@ def test_inherited_of_a_shared_reference(spark):
     rows = n.select(F.col("id").cast("string").alias("equipment_tag"), F.lit("").alias("serial_number"), F.lit("PO").alias("x"), F.when(F.col("id") % 2 == 0, "v").otherwise("").alias("v"))
     assert ev.inherited(rows, ("x",), ("v",)).filter("inherited_value = 'v' and n_donors = 20000").count() == 20_000
     assert time.time() - began < 60
+
+
+def test_nearest_slots_keep_cells_where_they_are(spark):
+    cells = spark.createDataFrame([(1, "up", 12.0, "a"), (2, "up", 15.0, "b"), (3, "down", 90.0, "c"), (4, "none", 1.0, "d")], "cell_id int, direction string, x double, tag string")
+    schema = spark.createDataFrame([("up", 1, 10.0, 0.0), ("up", 2, 20.0, 5.0), ("down", 1, 300.0, 7.0)], "direction string, slot int, x double, value double")
+    near = ms.nearest_slots(cells, schema, keep=("tag",))
+    assert sorted(map(tuple, near.collect())) == [(1, "up", 1, 0.0, 2.0, True, "a"), (2, "up", 1, 0.0, 5.0, True, "b"), (3, "down", 1, 7.0, 210.0, False, "c")]
