@@ -107,7 +107,7 @@ def run(
     stop: str | None = None,
     force: bool | tuple[str, ...] = False,
     keep_going: bool = False,
-    timeout: float | None = None,
+    timeout: float | dict[str, float] | None = None,
 ) -> dict[str, str]:
     """Run stages in order and save their tables; stages whose tables are all there are skipped unless forced.
 
@@ -117,12 +117,14 @@ def run(
     wrote them) and written, and is replaced after each stage; while a stage runs,
     ``progress.json`` says how many of its tasks are done. A failure
     ends the run, unless ``keep_going`` lets stages go on that don't need what
-    failed; so does a stage that takes more than ``timeout`` seconds.
+    failed; so does a stage that takes more than ``timeout`` seconds, which may be
+    given for stages by name or alias; those not named have no limit then.
     """
     have, done, status, lost = dict(inputs or {}), {}, {}, set()
     for s in selected(stages, start, stop):
         began, error = time.time(), None
         forced = force is True or (isinstance(force, tuple) and bool({s.name, *s.aliases} & set(force)))
+        limit = min((timeout[n] for n in (s.name, *s.aliases) if n in timeout), default=None) if isinstance(timeout, dict) else timeout
 
         def work(s: Stage = s) -> None:
             for n in (*s.needs, *s.optional):
@@ -139,7 +141,7 @@ def run(
         else:
             try:
                 with watched(catalog.spark, f"{catalog.folder}/progress.json", stage=s.name):
-                    _within(catalog.spark, timeout, work)
+                    _within(catalog.spark, limit, work)
                 done[s.name] = "ran"
             except Exception as e:
                 done[s.name], error = "failed", e

@@ -192,6 +192,20 @@ def test_decisions_and_json_lines(spark, tmp_path):
     assert sorted(r["a"] for r in rows.collect()) == [1, 3]
 
 
+def test_timeouts_of_single_stages(spark, tmp_path):
+    def waiting(batches):
+        import time
+
+        time.sleep(4)
+        yield from batches
+
+    make = lambda name, build: st.Stage(name, (), (name,), build)
+    slow = lambda n: (lambda _, f: {n: spark.range(3).coalesce(1).mapInArrow(waiting, "id long")})
+    catalog = st.Catalog(spark, f"file://{tmp_path}")
+    done = st.run([make("long", slow("long")), make("limited", slow("limited"))], catalog, keep_going=True, timeout={"limited": 1})
+    assert done == {"long": "ran", "limited": "failed"} and catalog.load("long").count() == 3
+
+
 def test_workbook_frame_goes_on_in_further_sheets(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(workbook, "SHEET_ROWS", 1001)
     path, df = f"file://{tmp_path}/x.xlsx", spark.range(2500).select(F.col("id").alias("n")).orderBy("n")
