@@ -203,3 +203,14 @@ def test_row_crops_are_the_same_pixels(spark, tmp_path):
         assert (bn.pixels(data) == want).all(), name
     with pytest.raises(ValueError):
         bn.pixels(data[:-6] + b"x" + data[-5:])
+
+
+@pytest.mark.parametrize("band", [16, 512])
+def test_components_of_boxes_go_on_over_bands(spark, monkeypatch, band):
+    monkeypatch.setattr(rg, "BAND", band)
+    # two that touch at a corner once widened, one that does not, one at the page's end, and pages without sizes or boxes
+    rows = [(1, 10, 10, 20, 12), (1, 24, 16, 30, 60), (1, 50, 10, 55, 12), (1, 90, 90, 100, 100), (3, 1, 1, 5, 5), (None, 1, 1, 5, 5)]
+    boxes = spark.createDataFrame(rows, "page int, x1 int, y1 int, x2 int, y2 int")
+    pages = spark.createDataFrame([(1, 100, 100), (2, 100, 100), (4, 0, 0)], "page int, width int, height int")
+    got = sorted(tuple(r) for r in rg.components(boxes, pages, ["page"], 2).collect())
+    assert got == [(1, 8, 8, 32, 62), (1, 48, 8, 57, 14), (1, 88, 88, 100, 100)]
