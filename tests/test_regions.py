@@ -205,6 +205,29 @@ def test_row_crops_are_the_same_pixels(spark, tmp_path):
         bn.pixels(data[:-6] + b"x" + data[-5:])
 
 
+def test_many_small_rasters_are_neither_joined_nor_groups_of_their_own(spark):
+    from pagequarry.sources import binary as bn
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    boxes = spark.createDataFrame([(p, 10.0 * (p % 5), 20.0, 10.0 * (p % 5) + 60, 40.0) for p in range(300)], "page int, x1 double, y1 double, x2 double, y2 double")
+    pages = spark.range(300).select(F.col("id").cast("int").alias("page"), F.lit(120).alias("width"), F.lit(80).alias("height"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    runs = rg.drawn(boxes, ["page"])
+    assert "Window" not in plan(runs)
+    ink = rg.thresholded(runs, pages, ["page"])
+    assert "Join" not in plan(ink) and "Join" not in plan(rg.column_runs(ink, pages, ["page"]))
+    queue = boxes.withColumn("crop_id", F.concat(F.lit("c"), "page")).withColumn("rotation", F.lit(0))
+    crops = bn.row_crops(runs, pages, queue, ["page"], (5, 5))
+    assert "FlatMapGroupsInPandas" not in plan(crops)
+    got = crops.select("crop_id", "left", "top", "right", "bottom", "content").collect()
+    assert len(got) == 300
+    for r in got:
+        left = 10 * (int(r["crop_id"][1:]) % 5)
+        image = bn.pixels(bytes(r["content"]))
+        assert image.shape == (30, left + 65 - max(0, left - 5)) and (image == 0).sum() == 2 * 60 + 2 * 18
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("band", [16, 512])
 def test_components_of_boxes_go_on_over_bands(spark, monkeypatch, band):
     monkeypatch.setattr(rg, "BAND", band)
