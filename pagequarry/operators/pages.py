@@ -152,7 +152,8 @@ def page_sets_equal(*frames: DataFrame) -> DataFrame:
 
 
 # fixed values, but for the looks ahead, which change no match and save time
-ISA_TAG = rf"(?=[A-Z])(?<![A-Z0-9])(?=[A-Z]{{2,4}}\s*-?\s*\d)(?:{ISA_FUNCTIONS})\s*-?\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
+#: Found by its digits, which are few; its function (group 1) is looked back at. In a scan text at most one space stands on each side of the dash.
+ISA_TAG = rf"(?=\d)(?<=[A-Z]\s?-?\s?)(?<=(?<![A-Z0-9])((?:{ISA_FUNCTIONS})\s?-?\s?))\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
 COMPACT_TAG = rf"(?=\d)(?<![A-Z0-9])\d{{3,8}}\s*(?:{ISA_FUNCTIONS})\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
 BROAD_TAG = r"(?=\d)(?<![A-Z0-9])\d{3,8}\s*[A-Z]{2,8}\s*\d{2,8}(?:[A-Z]{1,4})?(?![A-Z0-9])"
 SERIAL_OR_REFERENCE = r"(?=\d)(?<!\d)\d{3,8}\s*[-/]\s*\d{1,8}(?!\d)"
@@ -174,7 +175,7 @@ def tag_matches(s: Column) -> Column:
             ok = tag_accepted(tag, F.lit(kind == "compact_instrument_tag"), F.contains(m["value"], F.lit("-")), m["near_tag"] | m["near_equipment"])
             return F.struct(F.lit(kind).alias("kind"), tag.alias("tag"), m["near_tag"].alias("near_tag"), m["near_equipment"].alias("near_equipment"), ok.alias("accepted"))
 
-        return F.transform(t.near_matches(s, pattern, _NEAR), one)
+        return F.transform(t.near_matches(s, pattern, _NEAR, headed=pattern == ISA_TAG), one)
 
     return F.concat(judged("compact_instrument_tag", COMPACT_TAG), judged("isa_instrument_tag", ISA_TAG))
 

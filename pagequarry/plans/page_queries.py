@@ -259,7 +259,7 @@ def f03(i):
 @query("j24_text_proximity", "rotations", sql=SCAN + "SELECT page, rotation, CAST(i - 1 AS INT) AS nth, hit AS value, near_tag, near_equipment FROM h4 WHERE kind = 'isa_instrument_tag'")
 def j24(i):
     contexts = {"near_tag": t.worded(pg.TAG_FIELD), "near_equipment": t.worded(pg.EQUIPMENT_CONTEXT)}
-    found = t.bind(t.scan_text("text"), lambda s: t.near_matches(s, pg.ISA_TAG, contexts))
+    found = t.bind(t.scan_text("text"), lambda s: t.near_matches(s, pg.ISA_TAG, contexts, headed=True))
     return i.rotations.select("page", "rotation", F.posexplode(found).alias("nth", "m")).select("page", "rotation", "nth", "m.*")
 
 

@@ -192,3 +192,37 @@ def test_nearest_slots_keep_cells_where_they_are(spark):
     schema = spark.createDataFrame([("up", 1, 10.0, 0.0), ("up", 2, 20.0, 5.0), ("down", 1, 300.0, 7.0)], "direction string, slot int, x double, value double")
     near = ms.nearest_slots(cells, schema, keep=("tag",))
     assert sorted(map(tuple, near.collect())) == [(1, "up", 1, 0.0, 2.0, True, "a"), (2, "up", 1, 0.0, 5.0, True, "b"), (3, "down", 1, 7.0, 210.0, False, "c")]
+
+
+def test_tags_found_by_their_digits_are_those_of_the_plain_pattern(spark):
+    import random
+    import re
+
+    from pyspark.sql import functions as F
+
+    from pagequarry.functions import text as t
+    from pagequarry.operators import pages as pg
+
+    assert pg.ISA_TAG.startswith(r"(?=\d)")
+    plain = rf"(?<![A-Z0-9])(?:{pg.ISA_FUNCTIONS})\s*-?\s*\d{{1,8}}(?:[A-Z]{{1,4}})?(?![A-Z0-9])"
+    rnd = random.Random(3)
+    parts = ["PT", "PIC", "XV", "FSHH", "ABC", "A", "-", " - ", " ", " \n", "_", "|", "–", "1", "123456789", "12345678", "7A", "Z", "é", "Ü", ".", "TAG", "tag no", "valve", "PT1PT2"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, text string").withColumn("s", t.scan_text("text"))
+    got = df.select("s", t.near_matches(F.col("s"), pg.ISA_TAG, pg._NEAR, window=5, headed=True).alias("m")).collect()
+    word = {n: rf"(?<![^\W])(?:{w})(?![^\W])" for n, w in (("near_tag", pg.TAG_FIELD), ("near_equipment", pg.EQUIPMENT_CONTEXT))}
+    n = 0
+    for r in got:
+        assert r["s"] == re.sub(r"[\s\x1c-\x1f\x85]+", " ", r["s"]).strip(" ")
+        found = list(re.finditer(plain, r["s"], re.ASCII))
+        want = [(m[0], *[bool(re.search(w, r["s"][max(0, m.start() - 5) : m.end() + 5])) for w in word.values()]) for m in found]
+        assert [tuple(m) for m in r["m"]] == want, r["s"]
+        n += len(found)
+    assert n > 200
+
+
+def test_words_are_looked_for_where_three_characters_fit(spark):
+    from pagequarry.functions import text as t
+
+    assert t.worded("TAG|SET ?POINT|S/N").startswith("(?=[ST][/AE][GNT])")
+    assert t.worded("AB?|CDE").startswith("(?=[AC])(?<!")
