@@ -72,7 +72,7 @@ fin AS (SELECT *, row_number() OVER (PARTITION BY table_id, key ORDER BY rn DESC
 
 @query("g03_greedy_dedup", "ocr_lines", sql=GREEDY + "SELECT page, table_id, line_no FROM kept")
 def g03(i):
-    return tb.deduplicated(i.ocr_lines).select("page", "table_id", "line_no")
+    return tb.deduplicated(i.by_order.ocr_lines).select("page", "table_id", "line_no")
 
 
 CLUSTER = """/*recursive*/, s AS (SELECT *, (y1 + y2) / 2 AS cy, row_number() OVER (PARTITION BY table_id ORDER BY (y1 + y2) / 2, x1, line_no) AS rn FROM ocr_lines),
@@ -84,24 +84,24 @@ vr AS (SELECT s.page, s.table_id, CAST(c.cid AS INT) AS row_no, string_agg(s.tex
 @query("g01_mean_clusters", "ocr_lines", sql=CLUSTER + "SELECT s.page, s.table_id, s.line_no, CAST(c.cid AS INT) AS row_no FROM s JOIN c USING (table_id, rn)")
 def g01(i):
     item = F.struct(((F.col("y1") + F.col("y2")) / 2).alias("cy"), F.col("x1").alias("x1"), F.col("line_no").alias("line_no"))
-    groups = i.ocr_lines.groupBy("page", "table_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    groups = i.by_order.ocr_lines.groupBy("page", "table_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
     ids = sq.mean_clusters(F.transform("items", lambda x: x["cy"]), F.lit(18.0))
     return groups.select("page", "table_id", F.explode(F.arrays_zip("items", ids.alias("ids"))).alias("z")).select("page", "table_id", "z.items.line_no", F.col("z.ids").alias("row_no"))
 
 
 @query("a05_bbox_hull", "ocr_lines", sql=CLUSTER + "SELECT page, table_id, row_no, x1, y1, x2, y2 FROM vr")
 def a05(i):
-    return tb.visual_rows(i.ocr_lines).select("page", "table_id", "row_no", "x1", "y1", "x2", "y2")
+    return tb.visual_rows(i.by_order.ocr_lines).select("page", "table_id", "row_no", "x1", "y1", "x2", "y2")
 
 
 @query("a06_mean_confidence", "ocr_lines", sql=CLUSTER + "SELECT page, table_id, row_no, round(confidence, 9) AS confidence, n_lines FROM vr")
 def a06(i):
-    return tb.visual_rows(i.ocr_lines).select("page", "table_id", "row_no", F.round("confidence", 9).alias("confidence"), "n_lines")
+    return tb.visual_rows(i.by_order.ocr_lines).select("page", "table_id", "row_no", F.round("confidence", 9).alias("confidence"), "n_lines")
 
 
 @query("a07_ordered_text", "ocr_lines", sql=CLUSTER + "SELECT page, table_id, row_no, text FROM vr")
 def a07(i):
-    return tb.visual_rows(i.ocr_lines).select("page", "table_id", "row_no", "text")
+    return tb.visual_rows(i.by_order.ocr_lines).select("page", "table_id", "row_no", "text")
 
 
 SESSION = (
@@ -117,7 +117,7 @@ logical AS (SELECT *, CASE WHEN status = 'candidate' THEN '' WHEN record_kind =
 
 
 def _logical(i):
-    rows = tb.visual_rows(i.ocr_lines)
+    rows = tb.visual_rows(i.by_order.ocr_lines)
     return tb.logical_rows(rows)
 
 
@@ -203,7 +203,7 @@ def j05(i):
 
 @query("j04_source_rows", "ocr_lines", sql=SESSION + ", x AS (SELECT page, table_id, record_no, unnest(string_split(source_rows, ',')) AS r FROM logical) SELECT x.page, x.table_id, x.record_no, vr.row_no, vr.n_lines FROM x JOIN vr ON vr.table_id = x.table_id AND vr.row_no = CAST(x.r AS INT)")
 def j04(i):
-    rows = tb.visual_rows(i.ocr_lines)
+    rows = tb.visual_rows(i.by_order.ocr_lines)
     x = tb.logical_rows(rows).select("page", "table_id", "record_no", F.explode(F.split("source_rows", ",")).alias("r")).withColumn("row_no", F.col("r").cast("int"))
     return x.join(rows.select("page", "table_id", "row_no", "n_lines"), ["page", "table_id", "row_no"]).select("page", "table_id", "record_no", "row_no", "n_lines")
 
@@ -228,7 +228,7 @@ def w03(i):
 
 @query("w05_header_segments", "ocr_lines", sql=CLUSTER + ", h AS (SELECT *, contains(text, 'GENERAL') AS hd FROM vr), s2 AS (SELECT *, sum(hd::INT) OVER (PARTITION BY table_id ORDER BY row_no) AS segment FROM h), w AS (SELECT *, coalesce(y1 - lag(y2) OVER (PARTITION BY table_id, segment ORDER BY row_no) > 180, false) AS wide FROM s2 WHERE segment > 0), z AS (SELECT *, max(wide::INT) OVER (PARTITION BY table_id, segment ORDER BY row_no) AS cut FROM w) SELECT page, table_id, row_no, CAST(segment AS BIGINT) AS segment FROM z WHERE cut = 0 AND NOT hd")
 def w05(i):
-    rows = tb.visual_rows(i.ocr_lines).withColumn("is_header", F.contains("text", F.lit("GENERAL")))
+    rows = tb.visual_rows(i.by_order.ocr_lines).withColumn("is_header", F.contains("text", F.lit("GENERAL")))
     return tb.data_rows(rows).select("page", "table_id", "row_no", "segment")
 
 
