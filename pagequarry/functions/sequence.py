@@ -20,8 +20,12 @@ def mean_clusters(values: Column, tolerance: Column) -> Column:
 
     def step(s: Column, v: Column) -> Column:
         joins = (s["n"] > 0) & (F.abs(v - s["total"] / F.greatest(s["n"], F.lit(1))) <= tolerance)
-        cid = F.when(joins, s["cid"]).otherwise(s["cid"] + 1)
-        return F.struct(F.when(joins, s["total"] + v).otherwise(v).alias("total"), F.when(joins, s["n"] + 1).otherwise(F.lit(1)).alias("n"), cid.alias("cid"), F.concat(s["ids"], F.array(cid)).alias("ids"))
+
+        def put(total: Column, n: Column, cid: Column) -> Column:
+            return F.struct(total.alias("total"), n.alias("n"), cid.alias("cid"), F.concat(s["ids"], F.array(cid)).alias("ids"))
+
+        # one look at the tolerance for each value
+        return F.when(joins, put(s["total"] + v, s["n"] + 1, s["cid"])).otherwise(put(v, F.lit(1), s["cid"] + 1))
 
     return F.aggregate(values, start, step, lambda s: s["ids"])
 

@@ -54,11 +54,18 @@ def slots(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Slots of header cells (``x, value``) by running-mean clusters of x; the tolerance follows the gaps."""
     item = F.struct(F.col("x").cast("double").alias("x"), F.col("value").cast("double").alias("value"), F.col("confidence").alias("confidence"))
     g = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    xs = F.transform("items", lambda i: i["x"])
-    gaps = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.size(xs) - 1, F.lit(1))), lambda i: F.get(xs, i) - F.get(xs, i - 1)), lambda d: d.between(5, 90))
-    middle = F.try_element_at(F.array_sort(gaps), (F.floor(F.size(gaps) / 2) + 1).cast("int"))
-    tolerance = F.when(F.size(gaps) > 0, F.least(F.lit(80.0), F.greatest(F.lit(25.0), middle * 1.3))).otherwise(55.0)
-    ids = sq.mean_clusters(xs, tolerance)
+
+    def gaps(xs: Column) -> Column:
+        every = F.transform(xs, lambda x, i: F.when(i > 0, x - F.get(xs, i - 1)))
+        return F.array_sort(F.filter(every, lambda d: d.between(5, 90)))
+
+    def tolerance(d: Column) -> Column:
+        middle = F.try_element_at(d, (F.floor(F.size(d) / 2) + 1).cast("int"))
+        return F.when(F.size(d) > 0, F.least(F.lit(80.0), F.greatest(F.lit(25.0), middle * 1.3))).otherwise(55.0)
+
+    # each bound, so that the clusters don't compute all before them again at each x
+    clustered = lambda xs: t.bind(t.bind(gaps(xs), tolerance), lambda most: sq.mean_clusters(xs, most))
+    ids = t.bind(F.transform("items", lambda i: i["x"]), clustered)
     flat = g.select(*keys, F.explode(F.arrays_zip("items", ids.alias("ids"))).alias("z")).select(*keys, F.col("z.ids").alias("slot"), "z.items.*")
     return flat.groupBy(*keys, "slot").agg(F.avg("x").alias("x"), F.max_by("value", F.struct("confidence", -F.col("x"))).alias("value"), F.count("*").alias("support"))
 
