@@ -51,9 +51,10 @@ def replace_matching(items: Column, same: Callable[[Column, Column], Column], be
     """Items in order; one that matches a kept item takes the place of the first such if it is better, and is dropped if not."""
 
     def step(kept: Column, x: Column) -> Column:
-        first = F.array_min(F.filter(F.transform(kept, lambda k, i: F.when(same(k, x), i)), lambda i: i.isNotNull()))
-        put = F.transform(kept, lambda k, i: F.when((i == first) & better(x, k), x).otherwise(k))
-        return F.when(first.isNull(), F.concat(kept, F.array(x))).otherwise(put)
+        first = F.array_position(F.transform(kept, lambda k: same(k, x)), F.lit(True))
+        put = lambda at: F.transform(kept, lambda k, i: F.when((i + 1 == at) & better(x, k), x).otherwise(k))
+        # bound, so that it is not looked for again at each kept item
+        return bind(first, lambda at: F.when(at == 0, F.concat(kept, F.array(x))).otherwise(put(at)))
 
     return F.aggregate(items, F.array().cast(kind), step)
 
