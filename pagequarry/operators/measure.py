@@ -206,6 +206,15 @@ def coverage_gaps(tags: DataFrame, schema: DataFrame, found: DataFrame) -> DataF
     return every.join(found.select("tag", "direction", "slot").distinct(), ["tag", "direction", "slot"], "left_anti")
 
 
+def per_number(rows: DataFrame, keys: list[str], numbers: list[str], *aggregates: Column) -> DataFrame:
+    """Rows that share ``keys`` and ``numbers`` as one, with aggregates over them, so that a number is made text once and not for each row."""
+    # groups don't tell the two zeros apart, texts do
+    zero = [F.when(F.col(c) == 0, F.col(c).cast("string")).alias(f"_zero_{c}") for c in numbers]
+    groups = rows.groupBy(*keys, *[F.col(c).alias(f"_{c}") for c in numbers], *zero)
+    # a number is told by an aggregate, so that no filter on its text goes below and looks at each row
+    return groups.agg(*[F.max(c).alias(c) for c in numbers], *aggregates).drop(*[f"_{c}" for c in numbers], *[f"_zero_{c}" for c in numbers])
+
+
 def resolved_gaps(gaps: DataFrame, layer: DataFrame) -> DataFrame:
     """Gaps with the values of a completed layer on tag, direction and nominal: resolved, none or in conflict."""
     key = ["tag", "direction", "nominal_text"]

@@ -78,3 +78,28 @@ def test_scanned_texts_are_whole(spark):
     for name in ("rotations", "table_text"):
         short = getattr(i, name).join(whole, "page").filter(F.length("text") < F.col("n"))
         assert short.isEmpty(), name
+
+
+def test_work_on_orders_is_dealt_out_once(spark):
+    """Cells, lines and their groups stay in the task of their order, and there are more tasks for more orders."""
+    from pagequarry.plans.registry import Inputs
+
+    i = Inputs(spark, SF)
+    assert i.n_parts("orders") == 1 and i.by_order.cells.count() == i.cells.count()
+    for name in ("g11_slot_emission", "j22_unique_band", "g04_replace_dedup", "a07_ordered_text"):
+        plan = plans.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan, name
+
+
+def test_numbers_are_made_text_once_for_each_group(spark):
+    from pyspark.sql import functions as F
+
+    from pagequarry.functions import text as t
+    from pagequarry.operators import measure as ms
+
+    rows_ = spark.createDataFrame([("a", 0.0, 1), ("a", -0.0, 2), ("a", 1.5, 3), ("a", 1.5, 4), ("a", None, 5)], "tag string, value double, seq int")
+    once = ms.per_number(rows_, ["tag"], ["value"], F.max("seq").alias("seq")).withColumn("shown", t.general(F.col("value")))
+    assert sorted((r["shown"], r["seq"]) for r in once.collect()) == [("-0", 2), ("0", 1), ("1.5", 4), ("null", 5)]
+    # a filter on the text stays above the groups
+    plan = once.filter("shown <> 'x'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("format_string") < plan.index("Aggregate")
