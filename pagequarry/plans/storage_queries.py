@@ -29,7 +29,9 @@ fixture(
 def _page_texts(i, broken: bool = True):
     """A JSON text for each page, with its tables and lines in order; each seventh page is broken or has no number."""
     line = F.struct("line_no", "text", "confidence", F.struct("x1", "y1", "x2", "y2").alias("bbox"), "source_kind")
-    tables = i.page_lines.groupBy("page", "table_index").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    # lines of a page come together once, for its tables and for itself
+    lines = i.by_order.page_lines.repartition(8 + i.n_parts("lineitem"), "page")
+    tables = lines.groupBy("page", "table_index").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     pages = tables.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("table_index", "lines"))).alias("tables"))
     text = F.to_json(F.struct(F.lit("d").alias("document_id"), "page", "tables"))
     bad = F.when(F.col("page") % 14 == 0, F.concat(F.lit("{"), text)).when(F.col("page") % 7 == 0, F.replace(text, F.lit('"page":'), F.lit('"no":'))).otherwise(text)
@@ -39,7 +41,7 @@ def _page_texts(i, broken: bool = True):
 @query("s09_ocr_pages", "page_lines", sql=" SELECT 'd' AS document_id, page, table_index, line_no, text, confidence, x1, y2, source_kind FROM page_lines WHERE page % 7 <> 0")
 def s09(i):
     path = files.scratch(i.spark, "ocr-pages")
-    _page_texts(i).select("value").write.text(path)
+    _page_texts(i).select("value").write.text(path, compression="gzip")
     return rd.parsed_ocr_pages(i.spark.read.text(path)).select("document_id", "page", "table_index", "line_no", "text", "confidence", "x1", "y2", "source_kind")
 
 
