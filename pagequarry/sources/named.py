@@ -11,15 +11,20 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-Parser = Callable[[int, str], Iterable[tuple]]
+#: Gives rows, or batches of rows with the columns of its schema.
+Parser = Callable[[int, str], Iterable[tuple | pa.RecordBatch]]
 #: Bytes of files that a partition gets at most, but for a larger file.
 PART_BYTES = 32 << 20
+#: Rows of a batch that a reader gives at once.
+BATCH_ROWS = 10_000
 _PAGE = re.compile(r"page[_-]?0*(\d+)")
 READERS: dict[str, tuple[Parser, str]] = {}
 
@@ -63,7 +68,7 @@ class PageReader(DataSourceReader):
             size += n
         return [Files(p) for p in parts] or [Files([])]
 
-    def read(self, partition: Files) -> Iterator[tuple]:
+    def read(self, partition: Files) -> Iterator[tuple | pa.RecordBatch]:
         from pyarrow import fs as pafs
 
         fs, _ = pafs.FileSystem.from_uri(self.folder)
@@ -129,13 +134,25 @@ def read_tables(spark: SparkSession, folder: str, names: tuple[str, ...] = ("own
     return text_tables(texts.select(page.alias("page"), F.col("value").alias("text")))
 
 
+OCR_LINE = pa.schema(
+    [("document_id", pa.string()), ("page", pa.int32()), ("table_index", pa.int32()), ("line_no", pa.int32()), ("text", pa.string())]
+    + [(c, pa.float64()) for c in ("confidence", "x1", "y1", "x2", "y2")]
+    + [("source_kind", pa.string())]
+)
+
+
 @reader("ocr_page_lines", "document_id string, page int, table_index int, line_no int, text string, confidence double, x1 double, y1 double, x2 double, y2 double, source_kind string")
-def ocr_page_lines(_: int, text: str) -> Iterator[tuple]:
+def ocr_page_lines(_: int, text: str) -> Iterator[pa.RecordBatch]:
     """The lines of an OCR page file, which names its page itself."""
     data = json.loads(text)
     page = int(data["page"])
-    for k, table in enumerate(data.get("tables") or []):
-        for n, line in enumerate(table.get("lines") or []):
-            b = line.get("bbox") or {}
-            number = lambda v: None if v is None else float(v)
-            yield (data.get("document_id"), page, table.get("table_index", k), n, line.get("text"), number(line.get("confidence")), *(number(b.get(s)) for s in ("x1", "y1", "x2", "y2")), line.get("source_kind"))
+    number = lambda v: None if v is None else float(v)
+    rows = (
+        (data.get("document_id"), page, table.get("table_index", k), n, line.get("text"), number(line.get("confidence")), *(number(b.get(s)) for s in ("x1", "y1", "x2", "y2")), line.get("source_kind"))
+        for k, table in enumerate(data.get("tables") or [])
+        for n, line in enumerate(table.get("lines") or [])
+        for b in (line.get("bbox") or {},)
+    )
+    # columns at once, not values of rows one by one; a page of any number of lines is some batches
+    while some := list(islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*some, strict=True), OCR_LINE.types, strict=True)], schema=OCR_LINE)

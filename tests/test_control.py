@@ -131,3 +131,23 @@ def test_files_are_whole_and_named_once(spark, tmp_path):
     kept = {r["name"]: r["bytes"] for r in binary.write_files(rows, f"file://{tmp_path}/out").collect()}
     assert kept == {"a.bin": 100_000, "b.bin": 0, "c.bin": 0}
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a.bin", "b.bin", "c.bin"]
+
+
+def test_pages_come_together_once_and_are_read_in_batches(spark):
+    import pyarrow as pa
+
+    from pagequarry.plans import storage_queries
+    from pagequarry.plans.registry import Inputs
+
+    plan = storage_queries._page_texts(Inputs(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "ENSURE_REQUIREMENTS" not in plan
+    lines = [{"text": str(k), "confidence": 1, "bbox": {"x1": k}} for k in range(named.BATCH_ROWS + 1)]
+    found = list(named.ocr_page_lines(0, json.dumps({"page": 3, "tables": [{"lines": lines}]})))
+    assert [type(b) for b in found] == [pa.RecordBatch] * 2 and sum(b.num_rows for b in found) == len(lines)
+    assert found[1].to_pylist() == [{"document_id": None, "page": 3, "table_index": 0, "line_no": named.BATCH_ROWS, "text": str(named.BATCH_ROWS), "confidence": 1.0, "x1": float(named.BATCH_ROWS), "x2": None, "y1": None, "y2": None, "source_kind": None}]
+
+
+def test_ledger_parses_a_page_as_its_lines_are(spark):
+    texts = spark.createDataFrame([("a", '{"page": 4, "tables": []}'), ("b", '{"page": "4"}'), ("c", '{"page": 4'), ("d", '{"no": 4}')], "path string, value string")
+    _, told = lg.ocr_page_work(texts)
+    assert {r["path"]: (r["page"], r["error"]) for r in told.collect()} == {"a": (4, None), "b": (None, "broken page"), "c": (None, "broken page"), "d": (None, "no page number")}
