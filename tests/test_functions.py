@@ -160,6 +160,45 @@ def test_equipment_id_with_several_tags_is_one_group(spark):
     assert g.evidence_ids == ["e0", "e1", "e2"]
 
 
+def test_evidence_is_normalised_once(spark, monkeypatch):
+    kind = "equipment_id string, equipment_tag string, serial_number string, field_name string, field_value string, source_page int, confidence double, source_text string, evidence_tier string, selection_status string, registry_id string"
+    rest = ("tier_1_direct_or_linked_row", "selected", "r")
+    rows = [
+        ("e1", "a-1", " 7", "Model", " x\t y", 3, 0.5, "Line  X y", *rest),
+        ("e2", "A 1", "7 ", "model", "X Y ", 2, 0.9, "line x y", *rest),
+        ("e2", "A 1", "7 ", "model", "X Y ", None, 0.1, "line x y", *rest),
+        ("e2", "A 1", "7 ", "model", "x y", 2, 0.1, "x y", *rest),
+        ("e3", None, None, "mo-del", "Mo del", 11, 0.4, None, *rest),
+        ("e3", None, "8", "model", "\x0b \f", 1, 0.4, "z", *rest),
+        ("e3", None, "8", "model", "--", 1, 0.4, "z", *rest[:2], "\n"),
+    ]
+    e = spark.createDataFrame(rows, kind)
+    texts = spark.createDataFrame([(x,) for x in ("", " ", "a", " a  b ", "\ta", "a\r\n b", "\x0b\f", "\u00a0 a", "é \u2003 b", None)], "t string")
+    assert texts.filter((t.tidy("t") != t.clean("t")) | (t.blank("t") != (t.clean("t") == ""))).count() == 0
+
+    p = ev.promotion(e)
+    assert p.columns == [*e.columns, "promotion_status", "promotion_reason"]
+    repeats, blank = "value repeats the field name", "blank field name or value"
+    assert p.filter("promotion_reason = 'selected row'").count() == 4
+    assert sorted(r["promotion_reason"] for r in p.filter("equipment_id = 'e3'").collect()) == [blank, "unmatched equipment identity", repeats]
+    # one pattern each for the field's name and its value
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 2
+
+    found = [tuple(r)[1:] for r in ev.patterns(e).orderBy("norm_value").collect()]
+    assert found == [
+        ("model", "--", "z", 1, 0.4, 1, "1", "review_equipment_specific"),
+        ("mo-del", "mo del", "", 1, 0.4, 1, "11", "review_equipment_specific"),
+        ("model", "x y", "line x y", 2, 0.9, 3, "2,3", "review_once_then_propagate"),
+    ]
+    seen = []
+    monkeypatch.setattr(ev, "written", lambda df, name: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    assert [tuple(r)[1:] for r in ev.identity_registry(e).orderBy("registry_id").collect()] == [("::", None, None, "11"), ("::8", None, "8", "1"), ("A1::7", "A 1", " 7", "2,3")]
+    # keys are made of different pairs, not of all rows
+    (plan,) = seen
+    pairs = plan.split("\n")[1:]
+    assert "- Aggregate [equipment_tag#" in pairs[0] and "regexp_replace" not in "".join(pairs[1:])
+
+
 def test_inherited_equals_all_with_all(spark):
     sizes = set()
     for seed in range(2):
