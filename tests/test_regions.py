@@ -237,3 +237,41 @@ def test_components_of_boxes_go_on_over_bands(spark, monkeypatch, band):
     pages = spark.createDataFrame([(1, 100, 100), (2, 100, 100), (4, 0, 0)], "page int, width int, height int")
     got = sorted(tuple(r) for r in rg.components(boxes, pages, ["page"], 2).collect())
     assert got == [(1, 8, 8, 32, 62), (1, 48, 8, 57, 14), (1, 88, 88, 100, 100)]
+
+
+def test_rasters_are_packed_and_give_the_same(spark, monkeypatch):
+    """A row for each band of a raster, not for each run; regions and crops are the same."""
+    from pagequarry.plans import storage_queries as sqs
+    from pagequarry.plans.registry import Inputs
+    from pagequarry.sources import binary as bn
+
+    _, runs, pages = sqs._rasters(Inputs(spark, "/root/testdata/sf0.001"))
+    assert rg.is_packed(runs) and runs.count() == pages.count()
+    rng = np.random.default_rng(6)
+    image = np.where(rng.random((60, 80)) < 0.1, rng.integers(0, 255, (60, 80)), 255).astype(np.uint8)
+    image[5:50, 10:13] = image[5:8, 10:70] = image[47:50, 10:70] = 0
+    rows = spark.createDataFrame([(1, *r) for r in as_runs(image)] + [(None, 1, 0, 4, 0)], "page int, y int, x1 int, x2 int, grey int")
+    pages = spark.createDataFrame([(1, 80, 60), (2, 80, 60)], "page int, width int, height int")
+    queue = spark.createDataFrame([("a", 1, 3.0, 2.0, 70.0, 55.0, 0), ("b", 2, 3.0, 2.0, 9.0, 30.0, 0)], "crop_id string, page int, x1 double, y1 double, x2 double, y2 double, rotation int")
+    want = [plain_regions(image, 0.2, 0.1), image[1:56, 2:71]]
+    assert want[0]
+    for band in (512, 7):
+        for module in (rg, bn):
+            monkeypatch.setattr(module, "BAND", band)
+        table = rg.packed(rows, ["page"])
+        assert sorted(map(tuple, rg.unpacked(table, ["page"]).collect())) == sorted((1, *r) for r in as_runs(image))
+        for given in (rows, table):
+            assert sorted(tuple(r)[1:] for r in rg.table_regions(given, pages, ["page"], 0.2, 0.1).collect()) == want[0]
+            crops = {r["crop_id"]: bn.pixels(bytes(r["content"])) for r in bn.row_crops(given, pages, queue, ["page"], (1, 1)).collect()}
+            assert (crops["a"] == want[1]).all() and (crops["b"] == 255).all() and crops["b"].shape == (30, 8)
+
+
+def test_files_are_read_by_name(spark, tmp_path):
+    from pagequarry.sources import binary as bn
+
+    rows = spark.createDataFrame([("a.png", b"1"), ("b.png", b"")], "name string, content binary")
+    kept = bn.write_files(rows, f"file://{tmp_path}/f")
+    assert sorted((r["name"], bytes(r["content"])) for r in bn.read_files(kept, f"file://{tmp_path}/f").collect()) == [("a.png", b"1"), ("b.png", b"")]
+    (tmp_path / "f" / "b.png").unlink()
+    with pytest.raises(Exception, match="b.png"):
+        bn.read_files(kept, f"file://{tmp_path}/f").collect()
