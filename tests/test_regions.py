@@ -240,7 +240,7 @@ def test_components_of_boxes_go_on_over_bands(spark, monkeypatch, band):
 
 
 def test_rasters_are_packed_and_give_the_same(spark, monkeypatch):
-    """A row for each band of a raster, not for each run; regions and crops are the same."""
+    """A row for each band of a raster, not for each run; whole pages and pages by bands have the same regions and crops."""
     from pagequarry.plans import storage_queries as sqs
     from pagequarry.plans.registry import Inputs
     from pagequarry.sources import binary as bn
@@ -255,9 +255,10 @@ def test_rasters_are_packed_and_give_the_same(spark, monkeypatch):
     queue = spark.createDataFrame([("a", 1, 3.0, 2.0, 70.0, 55.0, 0), ("b", 2, 3.0, 2.0, 9.0, 30.0, 0)], "crop_id string, page int, x1 double, y1 double, x2 double, y2 double, rotation int")
     want = [plain_regions(image, 0.2, 0.1), image[1:56, 2:71]]
     assert want[0]
-    for band in (512, 7):
+    for band, whole in ((512, 1 << 22), (7, 1 << 22), (7, 0)):
         for module in (rg, bn):
             monkeypatch.setattr(module, "BAND", band)
+        monkeypatch.setattr(rg, "WHOLE", whole)
         table = rg.packed(rows, ["page"])
         assert sorted(map(tuple, rg.unpacked(table, ["page"]).collect())) == sorted((1, *r) for r in as_runs(image))
         for given in (rows, table):
