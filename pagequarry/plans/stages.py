@@ -17,16 +17,21 @@ from ..sources.readers import MissingInput
 from ..streaming.progress import watched
 
 Frames = dict[str, DataFrame]
+Made = dict[str, DataFrame | Callable[[Frames], DataFrame]]
 
 
 @dataclass(frozen=True)
 class Stage:
-    """A step that makes tables from tables. ``optional`` inputs may be missing."""
+    """A step that makes tables from tables. ``optional`` inputs may be missing.
+
+    ``build`` may give a function in place of a table, which makes it of the tables
+    there are by then, so that what is made of a stage's earlier table reads that.
+    """
 
     name: str
     needs: tuple[str, ...]
     makes: tuple[str, ...]
-    build: Callable[[SparkSession, Frames], Frames]
+    build: Callable[[SparkSession, Frames], Made]
     aliases: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
 
@@ -52,8 +57,9 @@ class Catalog:
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table; how many rows it has is counted on the way."""
         seen = Observation(name)
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.path(name))
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         self.rows[name] = seen.get["rows"]
+        files.tidy_up(self.spark)
         return self.load(name)
 
     def known_rows(self, name: str) -> int | None:
@@ -132,7 +138,7 @@ def run(
                     have[n] = catalog.load(n)
             made = s.build(catalog.spark, {n: have[n] for n in (*s.needs, *s.optional) if n in have})
             for m in s.makes:
-                have[m] = catalog.save(m, made[m])
+                have[m] = catalog.save(m, made[m](have) if callable(made[m]) else made[m])
 
         if lost & set(s.needs):
             done[s.name] = "blocked"
@@ -228,7 +234,8 @@ def evidence_stages() -> list[Stage]:
 
     def queue(_, f):
         decided = ev.decide(ev.best_evidence(f["evidence"]))
-        return {"decided": decided, "review_queue": decided.filter("not auto_accepted"), "auto_accepted": decided.filter("auto_accepted"), "summary": ev.summary(decided)}
+        part = lambda rule: lambda have: have["decided"].filter(rule)
+        return {"decided": decided, "review_queue": part("not auto_accepted"), "auto_accepted": part("auto_accepted"), "summary": lambda have: ev.summary(have["decided"])}
 
     def patterns(_, f):
         return {"patterns": ev.patterns(f["evidence"])}

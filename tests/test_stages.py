@@ -231,3 +231,28 @@ def test_batches_of_many_documents(spark):
 
     got = plans.queries()["s20_batch_contract"](spark, SF)
     assert got.select("document_id").distinct().count() == Inputs(spark, SF).page_text.select("document_id").distinct().count() > 1
+
+
+def test_evidence_comes_together_once_with_its_ids(spark, tmp_path):
+    """Ids of any form come back as they were; rows are shuffled once, and stage tables made of the decisions read these."""
+    from pagequarry.operators import evidence as ev
+
+    ids = ["0a1b", "0A1B", "xyz", "abc", "", None, "0a1b"]
+    rows = [("E1", "T1", "S1", "model", "v", i, p, "text", "tier_1_direct_tag_row", 0.99, 1.0) for p, i in enumerate(ids)]
+    columns = "equipment_id string, equipment_tag string, serial_number string, field_name string, field_value string, evidence_id string, source_page int, source_text string, evidence_tier string, confidence double, selection_score double"
+    evidence = spark.createDataFrame(rows, columns)
+    best = ev.best_evidence(evidence)
+    got = best.first()
+    assert got["evidence_ids"] == ["0A1B", "0a1b", "abc", "xyz"] and got["n_rows"] == 7 and got["source_pages"] == list(range(7))
+    assert best._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+    catalog = st.Catalog(spark, f"file://{tmp_path}/stages")
+    read = []
+
+    class Seen(st.Catalog):
+        def save(self, name, df):
+            read.append((name, sorted(f.rpartition("/")[0].rpartition("/")[2] for f in set(df.inputFiles()))))
+            return super().save(name, df)
+
+    st.run(st.evidence_stages(), Seen(spark, catalog.folder), {"evidence": evidence}, start="7b", stop="7b")
+    assert [n for n, _ in read] == ["decided", "review_queue", "auto_accepted", "summary"]
+    assert all(set(places) == {"decided"} for _, places in read[1:])
