@@ -26,13 +26,20 @@ fixture(
 )
 
 
-def _page_texts(i, broken: bool = True):
-    """A JSON text for each page, with its tables and lines in order; each seventh page is broken or has no number."""
+def _page_texts(i, broken: bool = True, parts: int = 1):
+    """A JSON text for each page, with its tables and lines in order; each seventh page is broken or has no number.
+
+    With ``parts`` a page comes in up to so many texts, each with some of its tables
+    whole: a text is one value, which a task holds several times over, and these
+    pages are the same 150 however many lines there are.
+    """
     line = F.struct("line_no", "text", "confidence", F.struct("x1", "y1", "x2", "y2").alias("bbox"), "source_kind")
     # lines of a page come together once, for its tables and for itself
-    lines = i.by_order.page_lines.repartition(8 + i.n_parts("lineitem"), "page")
-    tables = lines.groupBy("page", "table_index").agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    pages = tables.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("table_index", "lines"))).alias("tables"))
+    key = ["page"] if parts == 1 else ["page", "part"]
+    lines = i.by_order.page_lines.withColumn("part", F.pmod(F.xxhash64("table_index"), F.lit(parts)))
+    lines = lines.repartition(8 + i.n_parts("lineitem"), *key)
+    tables = lines.groupBy(*key, "table_index").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    pages = tables.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("table_index", "lines"))).alias("tables"))
     text = F.to_json(F.struct(F.lit("d").alias("document_id"), "page", "tables"))
     bad = F.when(F.col("page") % 14 == 0, F.concat(F.lit("{"), text)).when(F.col("page") % 7 == 0, F.replace(text, F.lit('"page":'), F.lit('"no":'))).otherwise(text)
     return pages.select("page", (bad if broken else text).alias("value"))
@@ -307,7 +314,8 @@ UNION ALL SELECT 'lines', CAST(page AS STRING), count(*) FROM page_lines WHERE p
 )
 def m04(i):
     catalog = st.Catalog(i.spark, files.scratch(i.spark, "batch"))
-    texts = _page_texts(i)
+    # texts stay as long as they are while there are more lines
+    texts = _page_texts(i, parts=i.n_parts("lineitem"))
     pages = files.written(i.page_lines.select("page").distinct(), "pages")
     images = pages.select(F.format_string("/in/page_%03d.png", "page").alias("path"))
     plan = st.table_batch_stages()

@@ -151,3 +151,20 @@ def test_ledger_parses_a_page_as_its_lines_are(spark):
     texts = spark.createDataFrame([("a", '{"page": 4, "tables": []}'), ("b", '{"page": "4"}'), ("c", '{"page": 4'), ("d", '{"no": 4}')], "path string, value string")
     _, told = lg.ocr_page_work(texts)
     assert {r["path"]: (r["page"], r["error"]) for r in told.collect()} == {"a": (4, None), "b": (None, "broken page"), "c": (None, "broken page"), "d": (None, "no page number")}
+
+
+def test_a_page_in_parts_has_the_same_lines(spark):
+    """Texts of parts of pages are shorter, whole in themselves, and hold the same lines; broken pages are broken in all parts."""
+    from pyspark.sql import functions as F
+
+    from pagequarry.plans import storage_queries
+    from pagequarry.plans.registry import Inputs
+    from pagequarry.sources.readers import parsed_ocr_pages
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    one, some = storage_queries._page_texts(i).cache(), storage_queries._page_texts(i, parts=5).cache()
+    longest = lambda texts: texts.agg(F.max(F.length("value"))).first()[0]
+    assert some.count() > 2 * one.count() and longest(some) < longest(one) * 0.7
+    a, b = (sorted(map(tuple, parsed_ocr_pages(t.select("value")).collect()), key=str) for t in (one, some))
+    assert a == b and a and all(r[1] % 7 for r in a)
+    one.unpersist(), some.unpersist()
